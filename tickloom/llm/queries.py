@@ -8,11 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat import chat_digest
 from .decontaminate import decontaminate
+from .langid import identify
 from .line_dedup import drop_repeated_lines
 from .ngram_join import ngram_components
+from .perplexity import quality
 from .sentencepieces import digests
 from .token_file import token_file_digest
+from .url_rules import filter_urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,28 +27,82 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
 
+def op2_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_repeated_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "line_counts.n_lines", "line_counts.n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+#: a conversation of control strings, formatted beside those of the table
+CONTROL = r"\### Assistant: </turn> ok"
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", CONTROL), (-7, 1, "assistant", CONTROL)], rows.schema)
+    return chat_digest(rows.unionByName(extra))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents"))
 
 
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_perplexity": op2_perplexity,
     "op4_line_dedup": op4_line_dedup,
+    "op5_chat_format": op5_chat_format,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_language_id": op7_language_id,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
+    "op9_url_rules": op9_url_rules,
     "op10_token_file": op10_token_file,
 }
-ORACLES: dict[str, str] = {}
+_ESCAPED = r"replace(replace(replace({0}, '\', '\\'), '</turn>', '\l/turn>'), '### ', '\h## ')"
+
+ORACLES: dict[str, str] = {
+    "op5_chat_format": f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{CONTROL}'
+  UNION ALL SELECT -7, 1, 'assistant', '{CONTROL}'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+  CAST(sum(4 + length(replace({_ESCAPED.format("role")}, ':', '\\c')) + 2 + length({_ESCAPED.format("text")}) + 8) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+""",
+    "op4_line_dedup": """
+WITH lines AS (
+  SELECT doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS pos
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))
+), lost AS (
+  SELECT k, max(doc_id) AS keeper FROM lines WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3
+)
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN keeper <> doc_id THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(CASE WHEN keeper <> doc_id THEN NULL ELSE line END, chr(10) ORDER BY pos), '')) AS kept_sha256
+FROM lines LEFT JOIN lost USING (k) GROUP BY doc_id
+""",
+}
