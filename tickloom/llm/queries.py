@@ -13,6 +13,7 @@ from .decontaminate import decontaminate
 from .langid import identify
 from .line_dedup import drop_repeated_lines
 from .ngram_join import ngram_components
+from .passages import near_passages
 from .perplexity import quality
 from .sentencepieces import digests
 from .token_file import token_file_digest
@@ -31,6 +32,10 @@ def op2_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_passages(table(spark, sf_dir, "documents"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_repeated_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "line_counts.n_lines", "line_counts.n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -69,6 +74,7 @@ def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_perplexity": op2_perplexity,
+    "op3_passages": op3_passages,
     "op4_line_dedup": op4_line_dedup,
     "op5_chat_format": op5_chat_format,
     "op6_sentencepiece": op6_sentencepiece,
