@@ -1,0 +1,254 @@
+"""Maker simulation: one independent cell per (parameters, coin, day, bound).
+
+A tape is a DataFrame of trades and books; a grid of cells is a DataFrame of parameters.  The two are
+joined on (coin, day) and every cell is one group: cells never talk to each other, so a sweep is as
+parallel as it has cells.  What a cell computes is path-dependent (fills move inventory, inventory
+moves quotes), so that part is a small sequential kernel; everything after it (decomposition,
+buckets, regimes, gate) is relational, in ``sweep``.
+
+A price level with one of our orders is a queue of parts: other people's size or ours.  Prints at the
+level eat it from the front; prints through it fill ours.  When the visible size grows, the growth
+joins at the back.  When it shrinks without a print, the bound decides what left: the back
+(``pessimistic``), the front (``optimistic``) or a share of everything (``pro_rata``).
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+EPS = 1e-12
+BOUNDS = ("pessimistic", "pro_rata", "optimistic")
+
+
+def allocate(traded: float, ahead: float, own: list[float]) -> list[float]:
+    """How much of a print at a level reaches each own order behind ``ahead``."""
+    left, out = max(0.0, traded - ahead), []
+    for size in own:
+        out.append(min(size, left))
+        left -= out[-1]
+    return out
+
+
+@dataclass
+class Part:
+    size: float
+    order: int = 0  # 0: somebody else's
+
+
+@dataclass
+class Queues:
+    """Own orders and the visible size around them."""
+
+    bound: str
+    levels: dict[tuple[str, float], list[Part]] = field(default_factory=dict)
+    open: dict[int, tuple[str, float]] = field(default_factory=dict)
+    seen: dict[str, dict[float, float]] = field(default_factory=lambda: {"B": {}, "A": {}})
+    mid: float | None = None
+    last_id: int = 0
+    blind: int = 0
+    crossed: int = 0
+
+    def place(self, side: str, px: float, size: float) -> int:
+        at = (side, px)
+        if at not in self.levels:
+            self.blind += not (self.seen["B"] or self.seen["A"])
+            there = self.seen[side].get(px, 0.0)
+            self.levels[at] = [Part(there)] if there > EPS else []
+        self.last_id += 1
+        self.levels[at].append(Part(size, self.last_id))
+        self.open[self.last_id] = at
+        return self.last_id
+
+    def cancel(self, order: int) -> bool:
+        at = self.open.pop(order, None)
+        if at is None:
+            return False
+        self._keep(at, [p for p in self.levels[at] if p.order != order])
+        return True
+
+    def _keep(self, at: tuple[str, float], parts: list[Part]) -> None:
+        """Levels without an own order are forgotten."""
+        parts = [p for p in parts if p.size > EPS]
+        if any(p.order for p in parts):
+            self.levels[at] = parts
+        else:
+            self.levels.pop(at, None)
+
+    def print_(self, aggressor: str, px: float, size: float) -> list[tuple[int, str, float, float, float]]:
+        """Fills of a print: (order, side, price, size, size ahead when it came), best level first."""
+        side = "A" if aggressor == "B" else "B"
+        way = 1 if side == "A" else -1
+        fills = []
+        for at in sorted((k for k in self.levels if k[0] == side and way * (px - k[1]) >= 0), key=lambda k: way * k[1]):
+            through, left, ahead = at[1] != px, size, 0.0
+            for p in self.levels[at]:
+                if not through and left <= EPS:
+                    break
+                take = p.size if through and p.order else 0.0 if through else min(p.size, left)
+                if p.order and take > EPS:
+                    fills.append((p.order, side, at[1], take, ahead))
+                if not p.order:
+                    ahead += p.size
+                p.size -= take
+                left -= take
+            for p in self.levels[at]:
+                if p.order and p.size <= EPS:
+                    self.open.pop(p.order, None)
+            self._keep(at, self.levels[at])
+        return fills
+
+    def book(self, bids: dict[float, float], asks: dict[float, float]) -> None:
+        self.seen = {"B": bids, "A": asks}
+        for at in list(self.levels):
+            others = [p for p in self.levels[at] if not p.order]
+            now, had = self.seen[at[0]].get(at[1], 0.0), sum(p.size for p in others)
+            if now > had + EPS:
+                self.levels[at].append(Part(now - had))
+            elif had > now + EPS:
+                gone = had - now
+                for p in others[::-1] if self.bound == "pessimistic" else others:
+                    take = p.size * (had - now) / had if self.bound == "pro_rata" else min(p.size, gone)
+                    p.size -= take
+                    gone -= take
+                self._keep(at, self.levels[at])
+        bid, ask = max(bids, default=None), min(asks, default=None)
+        self.crossed += sum((s == "B" and ask is not None and px >= ask) or (s == "A" and bid is not None and px <= bid) for s, px in self.open.values())
+        if bid is not None and ask is not None:
+            self.mid = (bid + ask) / 2
+
+    def ahead(self, order: int) -> float | None:
+        at = self.open.get(order)
+        if at is None:
+            return None
+        total = 0.0
+        for p in self.levels[at]:
+            if p.order == order:
+                return total
+            total += 0.0 if p.order else p.size
+        return None
+
+
+@dataclass
+class Flow:
+    """Windowed order-flow imbalance over a slow average of its size, within [-3, 3]."""
+
+    window_ms: int = 1000
+    warmup: int = 30
+    alpha: float = 1 - 0.5 ** (1 / 300)
+    before: tuple | None = None
+    events: list = field(default_factory=list)
+    norm: float = 0.0
+    n: int = 0
+
+    def update(self, t: int, bid: tuple[float, float] | None, ask: tuple[float, float] | None) -> float:
+        if bid is None or ask is None:
+            return 0.0
+        if self.before:
+            (pb, qb), (pa, qa) = self.before
+            e = (bid[0] >= pb) * bid[1] - (bid[0] <= pb) * qb - (ask[0] <= pa) * ask[1] + (ask[0] >= pa) * qa
+            self.events.append((t, e))
+        self.before = (bid, ask)
+        self.events = [x for x in self.events if x[0] >= t - self.window_ms]
+        flow = sum(e for _, e in self.events)
+        self.norm += self.alpha * (abs(flow) - self.norm)
+        self.n += 1
+        return max(-3.0, min(3.0, flow / self.norm)) if self.n >= self.warmup and self.norm > 0 else 0.0
+
+
+def quotes(bid: float, ask: float, signal: float, inventory: float, limit: float, tick: float, width: int | None, gain: float = 1.0, tilt: float = 0.0, cut: float = 1.5) -> dict[str, float | None]:
+    """Wanted prices.  With a width: that many ticks behind the touch, moved by the signal against the
+    threatened side and by the tilt, never inside the touch.  Without: the touch, the threatened side
+    pulled from a signal of ``cut`` on.  Full inventory stops its side; a crossed book stops both."""
+    want: dict[str, float | None] = {"B": None, "A": None}
+    if bid >= ask:
+        return want
+    if width is None:
+        want = {"B": None if signal <= -cut else bid, "A": None if signal >= cut else ask}
+    else:
+        back, off = max(0.0, width - gain * signal + tilt), max(0.0, width + gain * signal - tilt)
+        want = {"B": round(bid - round(back) * tick, 9), "A": round(ask + round(off) * tick, 9)}
+    if inventory >= limit:
+        want["B"] = None
+    if inventory <= -limit:
+        want["A"] = None
+    return want
+
+
+CELL = ["param", "coin", "day", "bound", "size", "width", "delay_ms", "fee_bps", "funding_hourly"]
+SERIES = "param string, coin string, day string, bound string, t_ms long, kind string, order_id long, side string, px double, size double, ahead double, mid double, inventory double, cash double, fee double, funding double"
+
+
+def run_cell(cell: dict, tape: pd.DataFrame) -> list[tuple]:
+    """One pass: a ``fill`` row per fill and a ``block`` row per book, in order.
+
+    Within a block: funding on the inventory held since the last one, then actions whose delay has
+    passed, the block's prints, its book, and last the policy.
+    """
+    q, flow = Queues(cell["bound"]), Flow()
+    cash = inventory = fees = funding = 0.0
+    last = mid = None
+    waiting: list[tuple[float, str, tuple]] = []
+    prints: list[tuple] = []
+    head = (cell["param"], cell["coin"], cell["day"], cell["bound"])
+    out: list[tuple] = []
+    for row in tape.itertuples():
+        if row.rank == 0:
+            prints.append((row.side, row.price, row.size))
+            continue
+        t = row.t_ms
+        if last is not None and mid is not None:
+            paid = inventory * mid * cell["funding_hourly"] * (t - last) / 3_600_000
+            cash, funding = cash - paid, funding + paid
+        due, waiting = [w for w in waiting if w[0] <= t], [w for w in waiting if w[0] > t]
+        for _, kind, what in due:
+            q.place(*what) if kind == "place" else q.cancel(*what)
+        before = q.mid
+        for aggressor, px, size in prints:
+            for order, side, price, got, ahead in q.print_(aggressor, px, size):
+                way = 1 if side == "B" else -1
+                fee = price * got * cell["fee_bps"] / 10_000
+                inventory, cash, fees = inventory + way * got, cash - way * price * got - fee, fees + fee
+                out.append((*head, t, "fill", order, side, price, got, ahead, before, inventory, cash, fee, 0.0))
+        prints = []
+        bids, asks = ({round(x["px"], 9): x["sz"] for x in levels} for levels in (row.bids, row.asks))
+        q.book(bids, asks)
+        bid, ask = max(bids, default=None), min(asks, default=None)
+        if bid is not None and ask is not None:
+            mid = (bid + ask) / 2
+        out.append((*head, t, "block", None, None, None, None, None, mid, inventory, cash, fees, funding))
+        signal = flow.update(t, None if bid is None else (bid, bids[bid]), None if ask is None else (ask, asks[ask]))
+        width = None if pd.isna(cell["width"]) else int(cell["width"])
+        want = quotes(bid, ask, signal, inventory, 5 * cell["size"], 0.1, width) if bid is not None and ask is not None else {"B": None, "A": None}
+        for side, px in want.items():
+            kept = False
+            for order, at in sorted(q.open.items()):
+                if at[0] == side:
+                    if at[1] == px and not kept:
+                        kept = True
+                    else:
+                        waiting.append((t + cell["delay_ms"], "cancel", (order,)))
+            if px is not None and not kept:
+                waiting.append((t + cell["delay_ms"], "place", (side, px, cell["size"])))
+        last = t
+    return out
+
+
+def simulate(tape: DataFrame, cells: DataFrame) -> DataFrame:
+    """Fills and blocks of every cell (``SERIES``).
+
+    ``tape`` has ``coin, day, t_ms, rank, arrival, price, size, side, bids, asks``: trades of rank 0, books
+    of rank 1.  ``cells`` has the columns of ``CELL``.  One cell reads one coin's day.
+    """
+    cells = cells.select(*[F.col(c).alias(f"c_{c}") for c in CELL])
+    met = tape.join(cells, (F.col("coin") == F.col("c_coin")) & (F.col("day") == F.col("c_day"))).drop("coin", "day")
+
+    def one(rows: pd.DataFrame) -> pd.DataFrame:
+        cell = {c: rows[f"c_{c}"].iloc[0] for c in CELL}
+        out = run_cell(cell, rows.sort_values(["t_ms", "rank", "arrival"]))
+        return pd.DataFrame(out, columns=[c.split()[0] for c in SERIES.split(", ")])
+
+    return met.groupBy("c_param", "c_coin", "c_day", "c_bound").applyInPandas(one, SERIES)

@@ -1,0 +1,90 @@
+"""What a simulation's series mean: PnL parts, buckets, regimes and the gate."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from .asof import asof
+
+CELL = ["param", "coin", "day", "bound"]
+MIN_DAYS = 5
+
+
+def decompose(series: DataFrame, drift_ms: int = 5000) -> DataFrame:
+    """Per cell: total PnL as spread capture + drift after fills - fees - funding + residual.
+
+    Fills without a mid, or too close to the end to look ``drift_ms`` ahead, are counted as skipped.
+    """
+    key = F.concat_ws("|", *CELL)
+    blocks, fills = series.where("kind = 'block'").withColumn("cell", key), series.where("kind = 'fill'").withColumn("cell", key)
+    mids = blocks.where("mid is not null").select("cell", "t_ms", F.col("t_ms").alias("arrival"), F.col("mid").alias("later"))
+    end = mids.groupBy("cell").agg(F.max("t_ms").alias("end_ms"))
+    ahead = asof(fills.withColumn("t_ms", F.col("t_ms") + drift_ms), mids, ["later"], key="cell").join(end, "cell", "left")
+    way = F.when(F.col("side") == "B", 1.0).otherwise(-1.0)
+    able = F.col("mid").isNotNull() & (F.col("t_ms") <= F.col("end_ms")) & F.col("later").isNotNull()
+    per_fill = ahead.groupBy(*CELL).agg(
+        F.sum(F.coalesce(way * (F.col("mid") - F.col("px")) * F.col("size"), F.lit(0.0))).alias("spread_capture"), F.sum(F.when(able, way * (F.col("later") - F.col("mid")) * F.col("size")).otherwise(0.0)).alias("drift"),
+        F.count("*").alias("fills"), F.sum(F.col("px") * F.col("size")).alias("notional"), F.count_if(~F.coalesce(able, F.lit(False))).alias("skipped"),
+    )
+    by = F.struct("t_ms")
+    last = blocks.groupBy(*CELL).agg(
+        (F.max_by("cash", by) + F.max_by("inventory", by) * F.coalesce(F.max_by(F.col("mid"), F.when(F.col("mid").isNotNull(), F.col("t_ms"))), F.lit(0.0))).alias("total_pnl"),
+        (-F.max_by("fee", by)).alias("fees"), (-F.max_by("funding", by)).alias("funding"), F.count("*").alias("blocks"),
+    )
+    out = last.join(per_fill, CELL, "left").fillna(0.0, ["spread_capture", "drift", "notional"]).fillna(0, ["fills", "skipped"])
+    return out.withColumn("residual", F.col("total_pnl") - (F.col("spread_capture") + F.col("drift") + F.col("fees") + F.col("funding")))
+
+
+def buckets(series: DataFrame, width_ms: int) -> DataFrame:
+    """Per cell and time bucket: PnL, realised variance and fills.
+
+    Edges run from the first block on and belong to the bucket before them.  Bucket PnLs add up to
+    the cell's total.
+    """
+    w = Window.partitionBy(*CELL).orderBy("t_ms")
+    blocks = series.where("kind = 'block' and mid is not null")
+    blocks = blocks.withColumns({"start": F.min("t_ms").over(Window.partitionBy(*CELL)), "equity": F.col("cash") + F.col("inventory") * F.col("mid")})
+    blocks = blocks.withColumns({"gain": F.col("equity") - F.lag("equity", 1, 0.0).over(w), "move": F.log(F.try_divide("mid", F.lag("mid").over(w)))})
+    bucket = lambda: F.greatest(F.lit(0).cast("long"), F.ceil((F.col("t_ms") - F.col("start")) / width_ms) - 1)
+    fills = series.where("kind = 'fill'").join(blocks.select(*CELL, "start").distinct(), CELL).groupBy(*CELL, bucket().alias("bucket")).agg(F.count("*").alias("fills"))
+    per = blocks.groupBy(*CELL, bucket().alias("bucket")).agg(F.sum("gain").alias("pnl"), F.coalesce(F.sum(F.col("move") * F.col("move")), F.lit(0.0)).alias("variance"))
+    return per.join(fills, [*CELL, "bucket"], "left").fillna(0, ["fills"])
+
+
+def regimes(buckets_: DataFrame) -> DataFrame:
+    """Buckets with ``regime`` low, mid or high: terciles of variance, pooled per coin.
+
+    The cut points are the values of rank ``n div 3`` and ``2n div 3``.  They come from one bound's
+    buckets, as every bound sees the same market.
+    """
+    one = buckets_.select("coin", "day", "bucket", "variance").distinct()
+    rank = F.row_number().over(Window.partitionBy("coin").orderBy("variance", "day", "bucket")) - 1
+    n = F.count("*").over(Window.partitionBy("coin"))
+    cut = one.select("coin", "variance", rank.alias("r"), n.alias("n")).groupBy("coin").agg(F.max(F.when(F.col("r") == F.floor(F.col("n") / 3), F.col("variance"))).alias("a"), F.max(F.when(F.col("r") == F.floor(2 * F.col("n") / 3), F.col("variance"))).alias("b"))
+    label = F.when(F.col("variance") < F.col("a"), "low").when(F.col("variance") < F.col("b"), "mid").otherwise("high")
+    return buckets_.join(cut, "coin").withColumn("regime", label).drop("a", "b")
+
+
+def gate(labelled: DataFrame) -> DataFrame:
+    """Per (coin, param): PnL of each day and regime under the pessimistic bound, and the verdict.
+
+    It passes if every day is above zero and no regime below; under ``MIN_DAYS`` days it is advisory.
+    """
+    hard = labelled.where("bound = 'pessimistic'")
+    days = hard.groupBy("coin", "param", "day").agg(F.sum("pnl").alias("pnl")).groupBy("coin", "param").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("day", "pnl")))).alias("day_pnls"), F.min("pnl").alias("min_day"), F.count("*").alias("days"), F.sum("pnl").alias("pessimistic_pnl")
+    )
+    per = hard.groupBy("coin", "param", "regime").agg(F.sum("pnl").alias("pnl")).groupBy("coin", "param").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("regime", "pnl")))).alias("regime_pnls"), F.min("pnl").alias("min_regime")
+    )
+    totals = labelled.groupBy("coin", "param").pivot("bound", ["optimistic", "pro_rata"]).agg(F.sum("pnl"))
+    out = days.join(per, ["coin", "param"]).join(totals, ["coin", "param"], "left")
+    passes = (F.col("min_day") > 0) & (F.col("min_regime") >= 0)
+    return out.withColumns({"passes": passes, "advisory": F.col("days") < MIN_DAYS}).orderBy("coin", "param")
+
+
+def refee(cells: DataFrame, fee_bps: float, other_bps: float) -> DataFrame:
+    """Totals had the maker fee been another: linear in the filled notional, nothing is run again."""
+    return cells.withColumn("total_pnl_refee", F.col("total_pnl") + F.col("notional") * (fee_bps - other_bps) / 10_000)

@@ -1,6 +1,560 @@
-"""Registered market queries and their SQL."""
+"""Registered market queries over the given tables, and the SQL that must agree with them."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ..functions import scalars
+from ..functions.scalars import round6
+from ..operators import asof, backtest, book, candles, indicators, l4, latency, ofi, sim, sweep, validate
+from ..sources import archive, diffs, frames, sinks, views
+
+HOUR, DAY = 3_600_000, 86_400_000
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+_TRADES = """trades AS (SELECT event_type AS symbol, epoch_us(ts) // 1000 AS t_ms, value AS price, CAST(regexp_extract(props, '([0-9]+)', 1) AS DOUBLE) + 1 AS size,
+  CASE WHEN user_id % 2 = 0 THEN 'B' ELSE 'A' END AS side, event_id AS arrival, user_id FROM events)"""
+_QUOTES = (
+    _TRADES
+    + """, quotes AS (SELECT symbol, t_ms, arrival, floor(price * 10 + 0.5) / 10 AS bid_px, size AS bid_sz,
+  floor(price * 10 + 0.5) / 10 + 0.1 * (1 + user_id % 3) AS ask_px, CAST(user_id % 50 + 1 AS DOUBLE) AS ask_sz FROM trades)"""
+)
+_LEVELS = (
+    _QUOTES
+    + """, lv AS (SELECT symbol, t_ms, arrival, i, bid_px - 0.1 * i AS bp, bid_sz + (arrival * 7 + i * 3) % 11 AS bs,
+  ask_px + (CASE WHEN arrival % 97 = 0 THEN -1.0 ELSE 0.0 END) + 0.1 * i AS ap, ask_sz + (arrival * 5 + i * 2) % 13 AS sz, arrival % 89 = 0 AS bare
+  FROM quotes, (SELECT unnest(range(10)) AS i))"""
+)
+
+
+def _r(*names: str) -> str:
+    return ", ".join(f"floor({n} * 1e6 + 0.37) / 1e6 AS {n}" for n in names)
+
+
+def query(name: str, sql: str | None = None):
+    def add(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[name] = f
+        if sql:
+            ORACLES[name] = sql
+        return f
+
+    return add
+
+
+def rounded(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({n: round6(F.col(n)) for n in names})
+
+
+_CANDLE = """arg_min(price, {o}) AS open, max(price) AS high, min(price) AS low, arg_max(price, {o}) AS close, sum(size) AS volume, count(*) AS trades,
+  CASE WHEN sum(size) > 0 THEN sum(price * size) / sum(size) ELSE arg_max(price, {o}) END AS vwap"""
+_BY_TIME = _CANDLE.format(o="t_ms * 1000000 + arrival")
+
+
+@query("candles_hourly", f"WITH {_TRADES}, c AS (SELECT symbol, CAST(t_ms // {HOUR} * {HOUR} AS BIGINT) AS start_ms, {_BY_TIME} FROM trades GROUP BY 1, 2) SELECT symbol, start_ms, open, high, low, close, volume, trades, {_r('vwap')} FROM c")
+def candles_hourly(spark, d):
+    return rounded(candles.tumbling(views.trades(spark, d), HOUR), "vwap")
+
+
+@query("candles_without_size", f"WITH {_TRADES} SELECT symbol, CAST(t_ms // {DAY} * {DAY} AS BIGINT) AS start_ms, CAST(count(*) AS DOUBLE) AS volume, max(price) AS high FROM trades GROUP BY 1, 2")
+def candles_without_size(spark, d):
+    return candles.tumbling_without_size(views.trades(spark, d).drop("size"), DAY).select("symbol", "start_ms", "volume", "high")
+
+
+@query("candles_anchored", f"""WITH {_TRADES}, f AS (SELECT symbol AS s, min(t_ms) AS t0 FROM trades GROUP BY 1),
+c AS (SELECT symbol, CAST(t0 + ((t_ms - t0) // {4 * HOUR} + 1) * {4 * HOUR} AS BIGINT) AS end_ms, {_BY_TIME} FROM trades JOIN f ON symbol = s GROUP BY 1, 2)
+SELECT symbol, end_ms, open, high, low, close, volume, trades, {_r('vwap')} FROM c""")
+def candles_anchored(spark, d):
+    return rounded(candles.anchored(views.trades(spark, d), 4 * HOUR), "vwap")
+
+
+_TRAIL = f"""WITH {_TRADES}, c AS (SELECT a.symbol, a.t_ms, a.arrival, arg_min(b.price, b.arrival) AS open, max(b.price) AS high, min(b.price) AS low, arg_max(b.price, b.arrival) AS close,
+  sum(b.size) AS volume, count(*) AS trades, sum(b.price * b.size) / sum(b.size) AS vwap
+  FROM trades a JOIN trades b ON a.symbol = b.symbol AND b.t_ms >= a.t_ms - {3 * HOUR} AND b.t_ms < a.t_ms AND b.arrival < a.arrival GROUP BY 1, 2, 3)
+SELECT symbol, t_ms, arrival, open, high, low, close, volume, trades, {_r('vwap')} FROM c"""
+
+
+@query("candles_trailing", _TRAIL)
+def candles_trailing(spark, d):
+    return rounded(candles.trailing(views.trades(spark, d), 3 * HOUR), "vwap")
+
+
+@query("candles_trailing_in_order", _TRAIL)
+def candles_trailing_in_order(spark, d):
+    return rounded(candles.trailing(views.trades(spark, d), 3 * HOUR, in_order=True), "vwap")
+
+
+_HOURLY = f"{_TRADES}, h AS (SELECT symbol, CAST(t_ms // {HOUR} * {HOUR} AS BIGINT) AS start_ms, {_BY_TIME} FROM trades GROUP BY 1, 2), c AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY start_ms) AS i FROM h)"
+_IND = ["sma_10", "sma_20", "sma_50", "ema_10", "ema_20", "ema_50", "rsi_14", "bb_middle", "bb_upper", "bb_lower", "bb_width", "price_change", "price_change_pct", "volume_sma_10", "volume_ratio"]
+_EMA = ", ".join(
+    f"sum(CASE WHEN b.i = greatest(1, a.i - 199) THEN pow(1 - 2.0 / {n + 1}, a.i - b.i) ELSE 2.0 / {n + 1} * pow(1 - 2.0 / {n + 1}, a.i - b.i) END * b.close) AS ema_{n}" for n in (10, 20, 50)
+)
+
+
+@query("indicators_hourly", f"""WITH {_HOURLY}, d AS (SELECT *, close - lag(close) OVER w AS chg, lag(close) OVER w AS prev FROM c WINDOW w AS (PARTITION BY symbol ORDER BY start_ms)),
+e AS (SELECT a.symbol, a.i, {_EMA} FROM c a JOIN c b ON a.symbol = b.symbol AND b.i BETWEEN a.i - 199 AND a.i GROUP BY 1, 2),
+x AS (SELECT symbol, start_ms, i, close, volume, chg, prev,
+  avg(close) OVER (w ROWS 9 PRECEDING) AS s10, avg(close) OVER (w ROWS 19 PRECEDING) AS s20, avg(close) OVER (w ROWS 49 PRECEDING) AS s50, stddev_pop(close) OVER (w ROWS 19 PRECEDING) AS sd,
+  sum(greatest(chg, 0)) OVER (w ROWS 13 PRECEDING) AS up, sum(greatest(-chg, 0)) OVER (w ROWS 13 PRECEDING) AS down, avg(volume) OVER (w ROWS 9 PRECEDING) AS v10 FROM d WINDOW w AS (PARTITION BY symbol ORDER BY start_ms)),
+y AS (SELECT x.symbol, start_ms, CASE WHEN x.i >= 10 THEN s10 END AS sma_10, CASE WHEN x.i >= 20 THEN s20 END AS sma_20, CASE WHEN x.i >= 50 THEN s50 END AS sma_50,
+  CASE WHEN x.i >= 10 THEN ema_10 END AS ema_10, CASE WHEN x.i >= 20 THEN ema_20 END AS ema_20, CASE WHEN x.i >= 50 THEN ema_50 END AS ema_50,
+  CASE WHEN x.i >= 15 THEN CASE WHEN down = 0 THEN 100.0 ELSE 100 - 100 / (1 + up / down) END END AS rsi_14, s20 AS bb_middle, s20 + 2 * sd AS bb_upper, s20 - 2 * sd AS bb_lower,
+  CASE WHEN s20 = 0 THEN 0.0 ELSE 4 * sd / s20 * 100 END AS bb_width, chg AS price_change, CASE WHEN prev = 0 THEN 0.0 ELSE chg / prev * 100 END AS price_change_pct, v10 AS volume_sma_10, volume / v10 AS volume_ratio
+  FROM x JOIN e ON x.symbol = e.symbol AND x.i = e.i WHERE x.i >= 20)
+SELECT symbol, start_ms, {_r(*_IND)} FROM y""")
+def indicators_hourly(spark, d):
+    return rounded(indicators.indicators(candles.tumbling(views.trades(spark, d), HOUR)), *_IND)
+
+
+_METRICS = ["best_bid", "best_ask", "mid", "spread", "spread_bps", "imbalance", "imbalance_5"]
+
+
+@query("book_metrics", f"""WITH {_LEVELS}, g AS (SELECT symbol, t_ms, arrival, bare, max(bp) FILTER (WHERE i = 0) AS b, max(ap) FILTER (WHERE i = 0) AS a, max(bs) FILTER (WHERE i = 0) AS bz, max(sz) FILTER (WHERE i = 0) AS az,
+  sum(bs) AS bv, sum(sz) AS av, sum(bs) FILTER (WHERE i < 5) AS b5, sum(sz) FILTER (WHERE i < 5) AS a5 FROM lv GROUP BY 1, 2, 3, 4),
+m AS (SELECT symbol, t_ms, arrival, b AS best_bid, CASE WHEN NOT bare THEN a END AS best_ask, bz AS bid_size, CASE WHEN NOT bare THEN az END AS ask_size, CASE WHEN NOT bare THEN (b + a) / 2 END AS mid, CASE WHEN NOT bare THEN a - b END AS spread,
+  CASE WHEN bare THEN NULL WHEN (b + a) / 2 > 0 THEN (a - b) / ((b + a) / 2) * 10000 ELSE 0.0 END AS spread_bps, bv AS bid_volume, CASE WHEN bare THEN 0.0 ELSE av END AS ask_volume,
+  CASE WHEN bare THEN 1.0 ELSE (bv - av) / (bv + av) END AS imbalance, CASE WHEN bare THEN 1.0 ELSE (b5 - a5) / (b5 + a5) END AS imbalance_5,
+  CAST(10 AS BIGINT) AS bid_levels, CAST(CASE WHEN bare THEN 0 ELSE 10 END AS BIGINT) AS ask_levels, NOT bare AND b >= a AS crossed FROM g)
+SELECT symbol, t_ms, arrival, bid_size, ask_size, bid_volume, ask_volume, bid_levels, ask_levels, crossed, {_r(*_METRICS)} FROM m""")
+def book_metrics(spark, d):
+    return rounded(book.metrics(views.books(spark, d)), *_METRICS)
+
+
+@query("book_sanitized", f"""WITH {_LEVELS} SELECT symbol, t_ms, arrival, CAST(count(*) FILTER (WHERE bp > 0 AND round(bp, 8) > 0) AS BIGINT) AS bid_levels, {_r('max(round(bp, 8))').replace('AS max(round(bp, 8))', 'AS best_bid')}
+FROM lv WHERE NOT bare GROUP BY symbol, t_ms, arrival HAVING max(CASE WHEN i = 0 THEN bp END) > 0 AND max(CASE WHEN i = 0 THEN round(bp, 8) END) < min(CASE WHEN ap > 0 THEN round(ap, 8) END)""")
+def book_sanitized(spark, d):
+    kept = book.sanitize(views.books(spark, d))
+    return kept.select("symbol", "t_ms", "arrival", F.size("bids").cast("long").alias("bid_levels"), round6(F.get("bids", F.lit(0))["px"]).alias("best_bid"))
+
+
+@query("trades_sanitized", f"WITH {_TRADES} SELECT symbol, t_ms, arrival, round(price, 8) AS price, round(size, 8) AS size, CASE WHEN side = 'B' THEN 'buy' ELSE 'sell' END AS side FROM trades WHERE price > 0 AND size > 0")
+def trades_sanitized(spark, d):
+    return validate.sanitize_trades(views.trades(spark, d))
+
+
+@query("trade_findings", f"""WITH {_TRADES}, x AS (SELECT *, lag(price) OVER w AS before, avg(size) OVER (w ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS usual FROM trades WINDOW w AS (PARTITION BY symbol ORDER BY arrival))
+SELECT symbol, t_ms, arrival, 'trade' AS data_type, 'price_not_positive' AS code, 'ERROR' AS level FROM x WHERE price <= 0
+UNION ALL SELECT symbol, t_ms, arrival, 'trade', 'size_not_positive', 'ERROR' FROM x WHERE size <= 0
+UNION ALL SELECT symbol, t_ms, arrival, 'trade', 'price_change', 'WARNING' FROM x WHERE before > 0 AND abs(price - before) > 0.1 * before
+UNION ALL SELECT symbol, t_ms, arrival, 'trade', 'volume_spike', 'WARNING' FROM x WHERE usual > 0 AND size > 10.0 * usual""")
+def trade_findings(spark, d):
+    return validate.trade_findings(views.trades(spark, d))
+
+
+@query("book_findings", f"""WITH {_LEVELS}, g AS (SELECT symbol, t_ms, arrival, bare, max(bp) FILTER (WHERE i = 0) AS b, max(ap) FILTER (WHERE i = 0) AS a FROM lv GROUP BY 1, 2, 3, 4)
+SELECT symbol, t_ms, arrival, 'orderbook' AS data_type, 'empty_asks' AS code, 'ERROR' AS level FROM g WHERE bare
+UNION ALL SELECT symbol, t_ms, arrival, 'orderbook', 'crossed', 'CRITICAL' FROM g WHERE NOT bare AND b >= a
+UNION ALL SELECT symbol, t_ms, arrival, 'orderbook', 'wide_spread', 'WARNING' FROM g WHERE NOT bare AND b < a AND a - b > 0.05 * b""")
+def book_findings(spark, d):
+    return validate.book_findings(views.books(spark, d))
+
+
+_TIMES = f"""SELECT a.symbol, a.t_ms, a.arrival, 'trade' AS data_type, 'duplicate' AS code, 'WARNING' AS level FROM n a JOIN n b ON a.symbol = b.symbol AND b.i BETWEEN a.i - 100 AND a.i - 1 GROUP BY 1, 2, 3 HAVING min(abs(a.t_ms - b.t_ms)) < 60000"""
+_ASOF_MS = 1_705_000_000_000
+
+
+@query("time_findings", f"""WITH {_TRADES}, n AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY arrival) AS i FROM trades) {_TIMES}
+UNION ALL SELECT symbol, t_ms, arrival, 'trade', 'future', 'ERROR' FROM trades WHERE t_ms > {_ASOF_MS} + 10000
+UNION ALL SELECT symbol, t_ms, arrival, 'trade', 'stale', 'WARNING' FROM trades WHERE t_ms < {_ASOF_MS} - 300000""")
+def time_findings(spark, d):
+    return validate.time_findings(views.trades(spark, d).withColumn("data_type", F.lit("trade")), _ASOF_MS, near_ms=60_000)
+
+
+@query("structure_findings", "SELECT event_type AS symbol, CAST(epoch_us(ts) // 1000 AS BIGINT) AS t_ms, event_id AS arrival, 'any' AS data_type, 'missing_data' AS code, 'ERROR' AS level FROM events WHERE event_id % 100 = 0")
+def structure_findings(spark, d):
+    points = views.trades(spark, d).withColumns({"data_type": F.lit("trade"), "data": F.when(F.col("arrival") % 100 != 0, F.lit("{}"))})
+    return validate.structure_findings(points)
+
+
+@query("quality", f"""WITH {_TRADES}, x AS (SELECT *, lag(price) OVER w AS before, avg(size) OVER (w ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS usual FROM trades WINDOW w AS (PARTITION BY symbol ORDER BY arrival)),
+f AS (SELECT symbol, 'E' AS l, 'p' AS c FROM x WHERE price <= 0 UNION ALL SELECT symbol, 'E', 's' FROM x WHERE size <= 0 UNION ALL SELECT symbol, 'W', 'change' FROM x WHERE before > 0 AND abs(price - before) > 0.1 * before UNION ALL SELECT symbol, 'W', 'spike' FROM x WHERE usual > 0 AND size > 10.0 * usual)
+SELECT symbol, count(*) AS findings, count(*) FILTER (WHERE l = 'E') AS errors, count(*) FILTER (WHERE c = 'spike') AS spikes, count(*) FILTER (WHERE c = 'change') AS price_changes, floor((1 - count(*) FILTER (WHERE l = 'E') * 1.0 / count(*)) * 1e6 + 0.37) / 1e6 AS accuracy,
+  (SELECT count(*) FROM trades t WHERE t.symbol = f.symbol) AS points FROM f GROUP BY symbol""")
+def quality(spark, d):
+    t = views.trades(spark, d)
+    return rounded(validate.quality(validate.trade_findings(t), t), "accuracy").select("symbol", "findings", "errors", "spikes", "price_changes", "accuracy", "points")
+
+
+@query("critical_dropped", f"""WITH {_LEVELS}, g AS (SELECT symbol, t_ms, arrival, bare, max(bp) FILTER (WHERE i = 0) AS b, max(ap) FILTER (WHERE i = 0) AS a FROM lv GROUP BY 1, 2, 3, 4) SELECT symbol, t_ms, arrival FROM g WHERE bare OR b < a""")
+def critical_dropped(spark, d):
+    b = views.books(spark, d)
+    return validate.drop_critical(b, validate.book_findings(b)).select("symbol", "t_ms", "arrival")
+
+
+_GAP = f"g AS (SELECT symbol, lag(t_ms) OVER (PARTITION BY symbol ORDER BY t_ms, arrival) AS start_ms, t_ms AS end_ms FROM trades)"
+
+
+@query("gaps", f"WITH {_TRADES}, {_GAP} SELECT symbol, start_ms, end_ms, (end_ms - start_ms) / 1000.0 AS seconds FROM g WHERE end_ms - start_ms >= {HOUR}")
+def gaps(spark, d):
+    return validate.gaps(views.trades(spark, d), HOUR)
+
+
+@query("gap_hours", f"WITH {_TRADES}, {_GAP} SELECT DISTINCT symbol, start_ms, unnest(range(start_ms // {HOUR}, end_ms // {HOUR} + 1)) % 24 AS hour FROM g WHERE end_ms - start_ms >= {HOUR}")
+def gap_hours(spark, d):
+    return validate.gap_hours(validate.gaps(views.trades(spark, d), HOUR))
+
+
+@query("gap_recovered", f"""WITH {_TRADES}, a AS (SELECT * FROM trades WHERE arrival % 4 <> 0), live AS (SELECT * FROM trades WHERE arrival % 4 = 0),
+g AS (SELECT symbol AS s, lag(t_ms) OVER (PARTITION BY symbol ORDER BY t_ms, arrival) AS start_ms, t_ms AS end_ms FROM live)
+SELECT symbol, t_ms, arrival, price, start_ms FROM a JOIN g ON symbol = s AND t_ms > start_ms AND t_ms <= end_ms AND end_ms - start_ms >= {2 * HOUR}""")
+def gap_recovered(spark, d):
+    t = views.trades(spark, d)
+    gap = validate.gaps(t.where("arrival % 4 = 0"), 2 * HOUR)
+    return validate.recovered(gap, t.where("arrival % 4 <> 0")).select("symbol", "t_ms", "arrival", "price", "start_ms")
+
+
+@query("monitor", f"""WITH {_TRADES}, m AS (SELECT symbol, t_ms, arrival, (max(price) OVER w - min(price) OVER w) AS r, min(price) OVER w AS low, sum(size) OVER w AS volume, avg(size) OVER w AS mean_size FROM trades WINDOW w AS (PARTITION BY symbol ORDER BY arrival ROWS 99 PRECEDING))
+SELECT symbol, t_ms, arrival, volume, floor(mean_size * 1e6 + 0.37) / 1e6 AS mean_size, floor((CASE WHEN low = 0 THEN 0.0 ELSE r / low END * 100) * 1e6 + 0.37) / 1e6 AS range_pct FROM m""")
+def monitor(spark, d):
+    return rounded(validate.monitor(views.trades(spark, d)), "mean_size", "range_pct")
+
+
+_E = """e AS (SELECT symbol, t_ms, arrival, CASE WHEN pb IS NULL THEN NULL ELSE CASE WHEN bid_px >= pb THEN bid_sz ELSE 0 END - CASE WHEN bid_px <= pb THEN qb ELSE 0 END - CASE WHEN ask_px <= pa THEN ask_sz ELSE 0 END + CASE WHEN ask_px >= pa THEN qa ELSE 0 END END AS e
+  FROM (SELECT *, lag(bid_px) OVER w AS pb, lag(bid_sz) OVER w AS qb, lag(ask_px) OVER w AS pa, lag(ask_sz) OVER w AS qa FROM quotes WINDOW w AS (PARTITION BY symbol ORDER BY t_ms, arrival)))"""
+_W, _H = 4 * HOUR, 2 * HOUR
+_OFI = f"{_QUOTES}, {_E}, w AS (SELECT symbol, CAST(t_ms // {_W} * {_W} AS BIGINT) AS start_ms, sum(e) AS ofi FROM e WHERE e IS NOT NULL GROUP BY 1, 2)"
+_TRIPLES = f"""{_OFI}, mids AS (SELECT symbol, t_ms, arg_max((bid_px + ask_px) / 2, arrival) AS mid FROM quotes GROUP BY 1, 2), lastq AS (SELECT symbol, max(t_ms) AS last_ms FROM quotes GROUP BY 1),
+o AS (SELECT w.*, start_ms + {_W} AS e_ms, start_ms + {_W} + {_H} AS f_ms FROM w JOIN lastq USING (symbol) WHERE start_ms + {_W} + {_H} <= last_ms),
+n AS (SELECT o.symbol, start_ms, ofi, f_ms, m.mid FROM o ASOF JOIN mids m ON o.symbol = m.symbol AND o.e_ms >= m.t_ms),
+tr AS (SELECT n.symbol, start_ms, ofi, m.mid - n.mid AS change, n.mid FROM n ASOF JOIN mids m ON n.symbol = m.symbol AND n.f_ms >= m.t_ms)"""
+
+
+@query("ofi_contributions", f"WITH {_QUOTES}, {_E} SELECT symbol, t_ms, arrival, e FROM e WHERE e IS NOT NULL")
+def ofi_contributions(spark, d):
+    return ofi.contributions(views.quotes(spark, d))
+
+
+@query("ofi_windows", f"WITH {_OFI} SELECT symbol, start_ms, ofi FROM w")
+def ofi_windows(spark, d):
+    return ofi.windows(views.quotes(spark, d), _W)
+
+
+@query("ofi_forward", f"WITH {_TRIPLES} SELECT symbol, start_ms, ofi, {_r('change', 'mid')} FROM tr")
+def ofi_forward(spark, d):
+    return rounded(ofi.forward(views.quotes(spark, d), _W, _H), "change", "mid")
+
+
+@query("ofi_regression", f"""WITH {_TRIPLES}, c AS (SELECT symbol, start_ms, ofi - avg(ofi) OVER (PARTITION BY symbol) AS x, change - avg(change) OVER (PARTITION BY symbol) AS y FROM tr),
+s AS (SELECT symbol, count(*) AS n, sum(x * x) AS sxx, sum(y * y) AS syy, sum(x * y) AS sxy FROM c GROUP BY 1),
+g AS (SELECT c.symbol, start_ms, x * (y - sxy / sxx * x) AS g FROM c JOIN s USING (symbol)), gl AS (SELECT symbol, g, lag(g) OVER (PARTITION BY symbol ORDER BY start_ms) AS g1 FROM g),
+h AS (SELECT symbol, sum(g * g) + coalesce(sum(g * g1), 0) AS v FROM gl GROUP BY 1)
+SELECT symbol, n, floor(sxy / sxx * 1e6 + 0.37) / 1e6 AS slope, floor(sxy / sqrt(sxx * syy) * 1e6 + 0.37) / 1e6 AS r, floor(sxy / sqrt(sxx * syy) * sqrt((n - 2) / (1 - sxy * sxy / (sxx * syy))) * 1e6 + 0.37) / 1e6 AS t_stat, floor(sxy / sqrt(v) * 1e6 + 0.37) / 1e6 AS t_hac FROM s JOIN h USING (symbol)""")
+def ofi_regression(spark, d):
+    return rounded(ofi.regression(ofi.forward(views.quotes(spark, d), _W, _H), ofi.hac_lag(_W, _H)), "slope", "r", "t_stat", "t_hac")
+
+
+_DEC = f"""{_TRIPLES}, k AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ofi, start_ms) - 1 AS rk, count(*) OVER (PARTITION BY symbol) AS n FROM tr),
+dt AS (SELECT symbol, CAST(((rk + 1) * least(10, n) - 1) // n + 1 AS BIGINT) AS decile, count(*) AS n, avg(ofi) AS mean_ofi, avg(change / mid * 10000) AS mean_fwd_bps FROM k GROUP BY 1, 2)"""
+
+
+@query("ofi_deciles", f"WITH {_DEC} SELECT symbol, decile, n, {_r('mean_ofi', 'mean_fwd_bps')} FROM dt")
+def ofi_deciles(spark, d):
+    return rounded(ofi.deciles(ofi.forward(views.quotes(spark, d), _W, _H)), "mean_ofi", "mean_fwd_bps")
+
+
+@query("ofi_monotone", f"WITH {_DEC}, u AS (SELECT symbol, mean_fwd_bps - lag(mean_fwd_bps) OVER (PARTITION BY symbol ORDER BY decile) AS step FROM dt) SELECT symbol, floor(avg(CASE WHEN step >= 0 THEN 1.0 ELSE 0.0 END) * 1e6 + 0.37) / 1e6 AS monotone_fraction FROM u WHERE step IS NOT NULL GROUP BY 1")
+def ofi_monotone(spark, d):
+    return rounded(ofi.monotone(ofi.deciles(ofi.forward(views.quotes(spark, d), _W, _H))), "monotone_fraction")
+
+
+@query("ofi_analysis")
+def ofi_analysis(spark, d):
+    return ofi.analyze(views.quotes(spark, d), [_W, DAY], [_H])
+
+
+@query("ofi_rolling")
+def ofi_rolling(spark, d):
+    return ofi.rolling_signal(views.quotes(spark, d), window_ms=HOUR, halflife=30, history=300)
+
+
+@query("asof_mid", f"""WITH {_QUOTES}, q AS (SELECT symbol, t_ms, arg_max((bid_px + ask_px) / 2, arrival) AS mid FROM quotes GROUP BY 1, 2), p AS (SELECT symbol, arrival, t_ms + {HOUR} AS at FROM trades)
+SELECT p.symbol, p.arrival, p.at AS t_ms, floor(q.mid * 1e6 + 0.37) / 1e6 AS mid FROM p ASOF JOIN q ON p.symbol = q.symbol AND p.at >= q.t_ms""")
+def asof_mid(spark, d):
+    probe = views.trades(spark, d).select("symbol", "arrival", (F.col("t_ms") + HOUR).alias("t_ms"))
+    q = views.quotes(spark, d).withColumn("mid", (F.col("bid_px") + F.col("ask_px")) / 2)
+    return rounded(asof.asof(probe, q, ["mid"]), "mid")
+
+
+@query("book_at_trade", f"""WITH {_LEVELS}, g AS (SELECT symbol, arrival, sum(bs) AS bv, CASE WHEN bare THEN 0.0 ELSE sum(sz) END AS av FROM lv WHERE arrival % 3 = 0 GROUP BY 1, 2, bare)
+SELECT t.symbol, t.t_ms, t.arrival, g.arrival AS book_arrival, floor((bv - av) / (bv + av) * 1e6 + 0.37) / 1e6 AS imbalance FROM trades t ASOF LEFT JOIN g ON t.symbol = g.symbol AND t.arrival >= g.arrival""")
+def book_at_trade(spark, d):
+    m = book.metrics(views.books(spark, d).where("arrival % 3 = 0")).withColumn("book_arrival", F.col("arrival"))
+    met = asof.asof(views.trades(spark, d), m, ["book_arrival", "imbalance"], t="arrival")
+    return rounded(met, "imbalance").select("symbol", "t_ms", "arrival", "book_arrival", "imbalance")
+
+
+@query("merged_tape", f"WITH {_TRADES} SELECT symbol, t_ms, 0 AS rank, arrival FROM trades UNION ALL SELECT symbol, t_ms, 1 AS rank, arrival FROM trades")
+def merged_tape(spark, d):
+    return asof.merge_events(views.trades(spark, d), views.books(spark, d)).select("symbol", "t_ms", "rank", "arrival")
+
+
+_LAT = f"{_TRADES}, l AS (SELECT symbol, CAST(arrival % 12007 - 20 AS DOUBLE) AS delta_ms FROM trades)"
+
+
+def _deltas(spark, d):
+    return views.trades(spark, d).select("symbol", (F.col("arrival") % 12007 - 20).cast("double").alias("delta_ms"), "arrival")
+
+
+_BUCKET = "CASE " + " ".join(f"WHEN greatest(delta_ms, 0) <= {b} THEN {i}" for i, b in enumerate(latency.BOUNDS)) + f" ELSE {len(latency.BOUNDS)} END"
+
+
+@query("latency_histogram", f"WITH {_LAT} SELECT symbol, {_BUCKET} AS bucket, count(*) AS n, sum(greatest(delta_ms, 0)) AS total_ms, count(*) FILTER (WHERE delta_ms < 0) AS negatives FROM l GROUP BY 1, 2")
+def latency_histogram(spark, d):
+    return latency.histogram(_deltas(spark, d)).select("symbol", "bucket", "n", "total_ms", "negatives")
+
+
+@query("latency_percentiles", f"""WITH {_LAT}, h AS (SELECT symbol, {_BUCKET} AS bucket, count(*) AS n, max(delta_ms) AS most FROM l GROUP BY 1, 2), r AS (SELECT *, sum(n) OVER (PARTITION BY symbol ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY symbol) AS total, max(most) OVER (PARTITION BY symbol) AS top FROM h),
+q AS (SELECT unnest([0.5, 0.95, 0.99]) AS q) SELECT symbol, CAST(q AS DOUBLE) AS q, CAST(arg_min(CASE bucket {' '.join(f'WHEN {i} THEN {b}' for i, b in enumerate(latency.BOUNDS))} ELSE top END, bucket) AS DOUBLE) AS value_ms FROM r, q WHERE upto >= q * total GROUP BY 1, 2""")
+def latency_percentiles(spark, d):
+    return latency.percentiles(latency.histogram(_deltas(spark, d)))
+
+
+@query("latency_summary", f"""WITH {_LAT} SELECT symbol, count(*) AS n, quantile_disc(delta_ms, 0.5) AS p50, quantile_disc(delta_ms, 0.95) AS p95, quantile_disc(delta_ms, 0.99) AS p99, floor(avg(delta_ms) * 1e6 + 0.37) / 1e6 AS mean, min(delta_ms) AS least, max(delta_ms) AS most, quantile_disc(delta_ms + 50, 0.5) AS adjusted_p50 FROM l GROUP BY 1""")
+def latency_summary(spark, d):
+    return rounded(latency.summary(_deltas(spark, d), 50), "mean").select("symbol", "n", "p50", "p95", "p99", "mean", "least", "most", "adjusted_p50")
+
+
+@query("latency_skip_first", f"WITH {_TRADES}, n AS (SELECT symbol, arrival, user_id % 7 AS conn_id, row_number() OVER (PARTITION BY symbol, user_id % 7 ORDER BY arrival) AS i FROM trades) SELECT symbol, conn_id, arrival FROM n WHERE i > 1")
+def latency_skip_first(spark, d):
+    t = views.trades(spark, d).withColumn("conn_id", F.col("user_id") % 7)
+    return latency.skip_first_frames(t).select("symbol", "conn_id", "arrival")
+
+
+_BARS = "bars AS (SELECT o_orderpriority AS symbol, CAST(epoch_ms(date_trunc('day', o_orderdate)) AS BIGINT) AS t_ms, arg_max(o_totalprice, o_orderkey) AS close FROM orders GROUP BY 1, 2)"
+_BT = f"""{_BARS}, s AS (SELECT *, CASE WHEN row_number() OVER w < 30 THEN 0 WHEN avg(close) OVER (w ROWS 9 PRECEDING) > avg(close) OVER (w ROWS 29 PRECEDING) THEN 1 WHEN avg(close) OVER (w ROWS 9 PRECEDING) < avg(close) OVER (w ROWS 29 PRECEDING) THEN -1 ELSE 0 END AS signal FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY t_ms)),
+p AS (SELECT *, CAST(coalesce(lag(signal) OVER w, 0) AS DOUBLE) AS position, coalesce(close / lag(close) OVER w - 1, 0) AS ret FROM s WINDOW w AS (PARTITION BY symbol ORDER BY t_ms)),
+b AS (SELECT *, greatest(position * ret - abs(position - coalesce(lag(position) OVER w, 0)) * 0.001, -1) AS net FROM p WINDOW w AS (PARTITION BY symbol ORDER BY t_ms))"""
+
+
+def _result(spark, d):
+    return backtest.run(views.bars(spark, d), backtest.crossover())
+
+
+@query("backtest_bars", f"WITH {_BT} SELECT symbol, t_ms, close, position, {_r('ret', 'net')} FROM b")
+def backtest_bars(spark, d):
+    return rounded(_result(spark, d), "ret", "net").drop("equity")
+
+
+@query("backtest_trades", f"""WITH {_BT}, x AS (SELECT *, sign(position) AS s, lag(close) OVER w AS before, lag(sign(position), 1, 0) OVER w AS ps, max(t_ms) OVER (PARTITION BY symbol) AS last_ms FROM b WINDOW w AS (PARTITION BY symbol ORDER BY t_ms)),
+y AS (SELECT *, sum(CASE WHEN s <> ps THEN 1 ELSE 0 END) OVER (PARTITION BY symbol ORDER BY t_ms) AS run FROM x)
+SELECT symbol, min(t_ms) AS entry_ms, max(t_ms) AS exit_ms, CAST(min(s) AS INTEGER) AS direction, arg_min(before, t_ms) AS entry_price, arg_max(close, t_ms) AS exit_price, count(*) AS bars, max(t_ms) = max(last_ms) AS is_open FROM y WHERE s <> 0 GROUP BY symbol, run""")
+def backtest_trades(spark, d):
+    return backtest.trades(_result(spark, d)).drop("ret")
+
+
+@query("backtest_metrics", f"""WITH {_BT}, n AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY t_ms) AS i FROM b)
+SELECT symbol, floor(avg(CASE WHEN position <> 0 THEN 1.0 ELSE 0.0 END) * 1e6 + 0.37) / 1e6 AS exposure, floor(avg(net) FILTER (WHERE i > 1) / stddev_pop(net) FILTER (WHERE i > 1) * sqrt(365.25) * 1e6 + 0.37) / 1e6 AS sharpe,
+  floor(avg(net) FILTER (WHERE i > 1) / stddev_pop(net) FILTER (WHERE i > 1 AND net < 0) * sqrt(365.25) * 1e6 + 0.37) / 1e6 AS sortino FROM n GROUP BY 1""")
+def backtest_metrics(spark, d):
+    return rounded(backtest.metrics(_result(spark, d)).select("symbol", "exposure", "sharpe", "sortino"), "exposure", "sharpe", "sortino")
+
+
+@query("backtest_report_figures")
+def backtest_report_figures(spark, d):
+    held = backtest.metrics(backtest.run(views.bars(spark, d), backtest.buy_and_hold)).withColumn("strategy", F.lit("buy_and_hold"))
+    bands = backtest.metrics(backtest.run(views.bars(spark, d), backtest.rsi_bands())).withColumn("strategy", F.lit("rsi_bands"))
+    return held.unionByName(bands)
+
+
+_ITEMS = "items AS (SELECT l_orderkey, l_linenumber, max(l_returnflag) AS l_returnflag, max(l_linestatus) AS l_linestatus, max(l_partkey) AS l_partkey, max(l_quantity) AS l_quantity FROM lineitem GROUP BY 1, 2)"
+_DIFFS = _ITEMS + """, base AS (SELECT l_returnflag AS coin, l_orderkey AS height, CAST(l_linenumber AS BIGINT) AS pos, l_orderkey * 8 + l_linenumber AS oid, CASE WHEN l_linestatus = 'O' THEN 'A' ELSE 'B' END AS side, CAST(1000 + l_partkey % 40 AS VARCHAR) AS px, l_quantity AS sz FROM items),
+n AS (SELECT coin, oid, arg_max(side, height * 64 + pos) AS side, arg_max(px, height * 64 + pos) AS px, arg_max(sz, height * 64 + pos) AS sz, max(height) AS height, max(pos) AS pos FROM base GROUP BY 1, 2),
+alive AS (SELECT coin, oid, side, px, CASE WHEN oid % 3 = 0 THEN floor(sz / 2) ELSE sz END AS size, height, pos FROM n WHERE oid % 5 <> 0 AND NOT (oid % 3 = 0 AND floor(sz / 2) <= 0))"""
+
+
+@query("l4_final_orders", f"WITH {_DIFFS} SELECT coin, oid, side, px, size, height, pos FROM alive")
+def l4_final_orders(spark, d):
+    return l4.final_orders(views.diffs(spark, d))
+
+
+@query("l4_queue_positions", f"WITH {_DIFFS} SELECT coin, oid, count(*) OVER w AS orders_ahead, coalesce(sum(size) OVER w, 0) AS size_ahead FROM alive WINDOW w AS (PARTITION BY coin, side, px ORDER BY height, pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+def l4_queue_positions(spark, d):
+    return l4.queue_positions(l4.final_orders(views.diffs(spark, d))).select("coin", "oid", "orders_ahead", "size_ahead")
+
+
+@query("l4_levels", f"WITH {_DIFFS} SELECT coin, side, px, sum(size) AS size, count(*) AS orders FROM alive GROUP BY 1, 2, 3")
+def l4_levels(spark, d):
+    return l4.levels(l4.final_orders(views.diffs(spark, d)))
+
+
+@query("l4_top", f"""WITH {_DIFFS}, lv AS (SELECT coin, side, px, sum(size) AS size, count(*) AS orders FROM alive GROUP BY 1, 2, 3), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY coin, side ORDER BY CASE WHEN side = 'B' THEN -CAST(px AS INTEGER) ELSE CAST(px AS INTEGER) END) AS INTEGER) AS rank FROM lv) SELECT coin, side, px, size, orders, rank FROM r WHERE rank <= 5""")
+def l4_top(spark, d):
+    return l4.top(l4.levels(l4.final_orders(views.diffs(spark, d))), 5)
+
+
+@query("l4_checksum", f"""WITH {_DIFFS}, lv AS (SELECT coin, side, px, sum(size) AS size, count(*) AS orders FROM alive GROUP BY 1, 2, 3), t AS (SELECT coin, side || '|' || px || '|' || CAST(CAST(size AS DECIMAL(38, 6)) AS VARCHAR) || '|' || CAST(orders AS VARCHAR) AS line FROM lv) SELECT coin, sha256(string_agg(line, chr(10) ORDER BY line)) AS checksum FROM t GROUP BY 1""")
+def l4_checksum(spark, d):
+    return l4.checksum(l4.levels(l4.final_orders(views.diffs(spark, d))))
+
+
+@query("l4_anomalies")
+def l4_anomalies(spark, d):
+    return l4.anomalies(views.diffs(spark, d))
+
+
+@query("l4_block_tops")
+def l4_block_tops(spark, d):
+    return l4.block_tops(views.diffs(spark, d))
+
+
+@query("l4_snapshot_replay", f"""WITH {_DIFFS}, cut AS (SELECT coin AS c, max(height) // 2 AS h FROM base GROUP BY 1), s AS (SELECT coin, count(*) FILTER (WHERE height <= h) AS old, count(*) AS orders, sum(size) AS size FROM alive JOIN cut ON coin = c GROUP BY 1) SELECT coin, orders, size FROM s""")
+def l4_snapshot_replay(spark, d):
+    """Final state from a snapshot taken half way and the diffs after it."""
+    all_ = views.diffs(spark, d)
+    half = all_.where("kind = 'new'").groupBy("coin").agg(F.floor(F.max("height") / 2).alias("h"))
+    early = all_.join(half, "coin").where("height <= h").drop("h")
+    stood = l4.final_orders(early).join(half, "coin").select("coin", F.col("h").alias("height"), (F.col("height") * 64 + F.col("pos")).alias("ordinal"), "oid", "side", "px", F.col("size").alias("sz"))
+    end = l4.final_orders(l4.with_snapshot(stood, all_))
+    return end.groupBy("coin").agg(F.count("*").alias("orders"), F.sum("size").alias("size"))
+
+
+def _frames(spark, d):
+    """The trades as feed frames, and other channels beside them."""
+    t = views.trades(spark, d)
+    text = lambda c: F.col(c).cast("string")
+    trade = F.to_json(F.struct(F.lit("trades").alias("channel"), F.array(F.struct(F.col("symbol").alias("coin"), text("price").alias("px"), text("size").alias("sz"), F.col("side"), F.col("t_ms").alias("time"), F.col("tid"))).alias("data")))
+    ctx = F.to_json(F.struct(F.lit("activeAssetCtx").alias("channel"), F.struct(F.col("symbol").alias("coin"), F.struct(text("price").alias("markPx"), F.when(F.col("arrival") % 5 > 0, (F.col("price") + 1).cast("string")).alias("oraclePx"), F.lit(True).alias("funding")).alias("ctx")).alias("data")))
+    quote = F.to_json(F.struct(F.lit("bbo").alias("channel"), F.struct(F.col("symbol").alias("coin"), F.col("t_ms").alias("time"), F.array(F.struct(text("price").alias("px"), text("size").alias("sz"), F.lit(1).alias("n")), F.lit(None).cast("struct<px:string,sz:string,n:int>")).alias("bbo")).alias("data")))
+    return t.select("arrival", F.explode(F.array(trade, ctx, quote, F.lit("no json"))).alias("raw"))
+
+
+_SYMBOLS = ["click", "view", "purchase"]
+_IN = "event_type IN ('click', 'view', 'purchase')"
+
+
+@query("frames_trades", f"SELECT event_id AS arrival, event_type AS symbol, CAST(epoch_us(ts) // 1000 AS BIGINT) AS t_ms, value AS price, CAST(regexp_extract(props, '([0-9]+)', 1) AS DOUBLE) + 1 AS size, CASE WHEN user_id % 2 = 0 THEN 'B' ELSE 'A' END AS side, event_id AS tid FROM events WHERE {_IN}")
+def frames_trades(spark, d):
+    return frames.trades(_frames(spark, d), _SYMBOLS)
+
+
+@query("frames_contexts", f"SELECT event_id AS arrival, event_type AS symbol, value AS mark, CASE WHEN event_id % 5 > 0 THEN value + 1 END AS oracle, CAST(NULL AS DOUBLE) AS funding, CASE WHEN event_id % 5 > 0 AND value + 1 > 0 THEN floor((value - (value + 1)) / (value + 1) * 10000 * 1e6 + 0.37) / 1e6 END AS basis_bps FROM events WHERE {_IN}")
+def frames_contexts(spark, d):
+    return rounded(frames.contexts(_frames(spark, d), _SYMBOLS, 0), "basis_bps").select("arrival", "symbol", "mark", "oracle", "funding", "basis_bps")
+
+
+@query("frames_bbo", f"SELECT event_id AS arrival, event_type AS symbol, CAST(epoch_us(ts) // 1000 AS BIGINT) AS t_ms, value AS bid_px, true AS no_ask FROM events WHERE {_IN}")
+def frames_bbo(spark, d):
+    return frames.bbo(_frames(spark, d), _SYMBOLS).select("arrival", "symbol", "t_ms", F.col("bid.px").cast("double").alias("bid_px"), F.col("ask").isNull().alias("no_ask"))
+
+
+@query("frames_channels", "SELECT CAST(c AS VARCHAR) AS channel, count(*) AS n FROM events, (SELECT unnest(['trades', 'activeAssetCtx', 'bbo', 'none']) AS c) GROUP BY 1")
+def frames_channels(spark, d):
+    return frames.channel(_frames(spark, d)).groupBy(F.coalesce("channel", F.lit("none")).alias("channel")).agg(F.count("*").alias("n"))
+
+
+@query("capture_quotes", f"WITH {_QUOTES} SELECT symbol, t_ms, arrival, bid_sz, ask_sz, {_r('bid_px', 'ask_px')} FROM quotes WHERE arrival % 3 < 2")
+def capture_quotes(spark, d):
+    """Quotes written as two shapes of capture lines, and junk, read back."""
+    q = views.quotes(spark, d)
+    s = lambda c: F.col(c).cast("string")
+    bid, ask = F.struct(s("bid_px").alias("px"), s("bid_sz").alias("sz")), F.struct(s("ask_px").alias("px"), s("ask_sz").alias("sz"))
+    top = F.to_json(F.struct("symbol", F.lit("bbo").alias("data_type"), F.struct(bid.alias("bid"), ask.alias("ask"), F.col("t_ms").alias("timestamp_ms")).alias("data")))
+    bare = F.to_json(F.struct(F.col("t_ms").alias("time"), F.col("symbol").alias("coin"), F.array(F.array(bid), F.array(ask)).alias("levels")))
+    raw = F.when(F.col("arrival") % 3 == 0, top).when(F.col("arrival") % 3 == 1, bare).otherwise("{broken")
+    return rounded(frames.capture_quotes(q.select(raw.alias("raw"), F.col("arrival").alias("ordinal"))), "bid_px", "ask_px")
+
+
+def _lines(spark, d):
+    base = views.diffs(spark, d).where("kind = 'new'")
+    event = F.struct(F.lit("u").alias("user"), "oid", "coin", F.when(F.col("oid") % 7 == 0, "?").otherwise(F.col("side")).alias("side"), "px", F.struct(F.struct(F.col("sz").cast("string").alias("sz")).alias("new")).alias("raw_book_diff"))
+    block = base.groupBy("height").agg(F.collect_list(event).alias("book_diffs"))
+    return block.select(F.to_json(F.struct(F.col("height").alias("time"), "height", F.struct("book_diffs").alias("data"))).alias("raw"), F.col("height").alias("ordinal"))
+
+
+@query("diff_lines", f"WITH {_ITEMS} SELECT coin, count(*) AS diffs, sum(sz) AS size FROM (SELECT l_returnflag AS coin, l_orderkey * 8 + l_linenumber AS oid, l_quantity AS sz FROM items) WHERE oid % 7 <> 0 GROUP BY 1")
+def diff_lines(spark, d):
+    """Diffs written as block lines and parsed again; events with a bad side are rejected."""
+    return diffs.events(_lines(spark, d)).where("reason is null").groupBy("coin").agg(F.count("*").alias("diffs"), F.sum("sz").alias("size"))
+
+
+@query("diff_counters", f"WITH {_ITEMS} SELECT CASE WHEN oid % 7 = 0 THEN '' ELSE coin END AS coin, count(*) FILTER (WHERE oid % 7 <> 0) AS diffs, count(*) FILTER (WHERE oid % 7 = 0) AS rejected, count(DISTINCT height) AS blocks, count(*) FILTER (WHERE oid % 7 <> 0) AS new FROM (SELECT l_returnflag AS coin, l_orderkey AS height, l_orderkey * 8 + l_linenumber AS oid FROM items) GROUP BY 1")
+def diff_counters(spark, d):
+    return diffs.counters(diffs.events(_lines(spark, d))).select("coin", "diffs", "rejected", "blocks", "new")
+
+
+@query("archive_requests", f"""WITH s AS (SELECT event_type AS symbol, CAST(min(ts) AS DATE) AS a, CAST(max(ts) AS DATE) AS b FROM events GROUP BY 1), dd AS (SELECT symbol, strftime(CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP), INTERVAL 1 DAY)) AS TIMESTAMP), '%Y%m%d') AS day FROM s)
+SELECT symbol, day, CAST(h AS INTEGER) AS hour, 'l2Book' AS data_type, 'market_data/' || day || '/' || CAST(h AS VARCHAR) || '/l2Book/' || symbol || '.lz4' AS path FROM dd, (SELECT unnest(range(24)) AS h)
+UNION ALL SELECT symbol, day, 0, 'asset_ctxs', 'asset_ctxs/' || day || '.csv.lz4' FROM dd""")
+def archive_requests(spark, d):
+    spans = views.table(spark, d, "events").groupBy(F.col("event_type").alias("symbol")).agg(F.min("ts").cast("date").alias("first_day"), F.max("ts").cast("date").alias("last_day"))
+    return archive.requests(spans, ["l2Book", "asset_ctxs"])
+
+
+@query("latest_rows", f"WITH {_TRADES}, r AS (SELECT symbol, t_ms, arrival, price, row_number() OVER (PARTITION BY symbol ORDER BY t_ms DESC, arrival DESC) AS rank FROM trades) SELECT symbol, t_ms, arrival, price, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 20")
+def latest_rows(spark, d):
+    return archive.latest(views.trades(spark, d), 20).select("symbol", "t_ms", "arrival", "price", "rank")
+
+
+@query("range_read", f"WITH {_TRADES} SELECT symbol, t_ms, arrival, price FROM trades WHERE symbol = 'click' AND t_ms BETWEEN 1704326400000 AND 1705017600000")
+def range_read(spark, d):
+    stored = views.trades(spark, d).withColumn("data_type", F.lit("trade"))
+    return archive.between(stored, "click", "trade", 1704326400000, 1705017600000).select("symbol", "t_ms", "arrival", "price")
+
+
+@query("capped_store", f"WITH {_TRADES}, r AS (SELECT symbol, t_ms, arrival, row_number() OVER (PARTITION BY symbol ORDER BY t_ms DESC, arrival DESC) AS n FROM trades) SELECT symbol, t_ms, arrival FROM r WHERE n <= 1000")
+def capped_store(spark, d):
+    return sinks.capped(views.trades(spark, d).withColumn("data_type", F.lit("trade"))).select("symbol", "t_ms", "arrival")
+
+
+@query("expired", f"WITH {_TRADES} SELECT symbol, t_ms, arrival FROM trades WHERE t_ms >= 1706000000000 - {10 * DAY}")
+def expired(spark, d):
+    return sinks.expire(views.trades(spark, d), 1706000000000, 10).select("symbol", "t_ms", "arrival")
+
+
+@query("dated_partitions", f"WITH {_TRADES} SELECT symbol, CAST(t_ms // {DAY} AS BIGINT) AS day, CAST(t_ms // {HOUR} % 24 AS INTEGER) AS hour, count(*) AS n FROM trades GROUP BY 1, 2, 3")
+def dated_partitions(spark, d):
+    return sinks.dated(views.trades(spark, d)).groupBy("symbol", F.datediff("date", F.lit("1970-01-01")).cast("long").alias("day"), "hour").agg(F.count("*").alias("n"))
+
+
+@query("capture_summary", f"""WITH {_QUOTES} SELECT symbol, floor(median(ask_px - bid_px) * 1e6 + 0.37) / 1e6 AS spread_median, floor(quantile_cont(ask_px - bid_px, 0.95) * 1e6 + 0.37) / 1e6 AS spread_p95, floor(avg(abs((bid_sz - ask_sz) / (bid_sz + ask_sz))) * 1e6 + 0.37) / 1e6 AS imbalance_abs, arg_min(bid_px, t_ms * 1000000 + arrival) AS first_bid, arg_max(bid_px, t_ms * 1000000 + arrival) AS last_bid FROM quotes GROUP BY 1""")
+def capture_summary(spark, d):
+    """Figures of a capture: median and interpolated p95 of the spread, mean imbalance, first and last."""
+    q = views.quotes(spark, d)
+    spread, order = F.col("ask_px") - F.col("bid_px"), F.struct("t_ms", "arrival")
+    out = q.groupBy("symbol").agg(F.median(spread).alias("spread_median"), F.percentile(spread, 0.95).alias("spread_p95"), F.avg(F.abs(scalars.imbalance(F.col("bid_sz"), F.col("ask_sz")))).alias("imbalance_abs"), F.min_by("bid_px", order).alias("first_bid"), F.max_by("bid_px", order).alias("last_bid"))
+    return rounded(out, "spread_median", "spread_p95", "imbalance_abs")
+
+
+@query("resampled", f"WITH {_TRADES} SELECT symbol, CAST(t_ms // {HOUR} * {HOUR} AS BIGINT) AS start_ms, floor(avg(price) * 1e6 + 0.37) / 1e6 AS mean, arg_max(price, t_ms * 1000000 + arrival) AS last FROM trades GROUP BY 1, 2")
+def resampled(spark, d):
+    start = (F.floor(F.col("t_ms") / HOUR) * HOUR).alias("start_ms")
+    return rounded(views.trades(spark, d).groupBy("symbol", start).agg(F.avg("price").alias("mean"), F.max_by("price", F.struct("t_ms", "arrival")).alias("last")), "mean")
+
+
+@query("ticks", "SELECT event_id AS arrival, CAST(value AS VARCHAR) AS px, CASE WHEN strpos(CAST(value AS VARCHAR), '.') > 0 THEN pow(10.0, -(length(CAST(value AS VARCHAR)) - strpos(CAST(value AS VARCHAR), '.'))) ELSE 1.0 END AS tick FROM events")
+def ticks(spark, d):
+    px = F.col("price").cast("string")
+    return views.trades(spark, d).select("arrival", px.alias("px"), scalars.tick(px).cast("double").alias("tick"))
+
+
+@query("fifo_allocation", f"""WITH {_TRADES}, o AS (SELECT symbol, arrival, size, coalesce(sum(size) OVER (PARTITION BY symbol, t_ms // {HOUR} ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior FROM trades) SELECT symbol, arrival, greatest(0, least(size, 150 - 25 - prior)) AS filled FROM o""")
+def fifo_allocation(spark, d):
+    """A print of 150 at a level with 25 ahead, over the orders of each hour in arrival order."""
+    t = views.trades(spark, d)
+    w = Window.partitionBy("symbol", F.floor(F.col("t_ms") / HOUR)).orderBy("arrival").rowsBetween(Window.unboundedPreceding, -1)
+    prior = F.coalesce(F.sum("size").over(w), F.lit(0.0))
+    return t.select("symbol", "arrival", F.greatest(F.lit(0.0), F.least(F.col("size"), F.lit(150.0) - 25 - prior)).alias("filled"))
+
+
+def _sim(spark, d):
+    day = lambda f: f.withColumns({"coin": F.col("symbol"), "day": F.floor(F.col("t_ms") / (7 * DAY)).cast("string")})
+    tape = asof.merge_events(views.trades(spark, d), views.books(spark, d)).select("symbol", "t_ms", "rank", "arrival", "trade.*", "book.*")
+    tape = day(tape).drop("symbol")
+    cells = tape.select("coin", "day").distinct()
+    grid = F.array(*[F.struct(F.lit(p).alias("param"), F.lit(b).alias("bound"), F.lit(w).alias("width")) for p, w in (("join", None), ("w2", 2.0)) for b in sim.BOUNDS])
+    cells = cells.select("coin", "day", F.explode(grid).alias("g")).select("g.param", "coin", "day", "g.bound", F.lit(5.0).alias("size"), F.col("g.width").cast("double").alias("width"), F.lit(400.0).alias("delay_ms"), F.lit(1.5).alias("fee_bps"), F.lit(1e-6).alias("funding_hourly"))
+    return sim.simulate(tape, cells)
+
+
+@query("sim_decomposition")
+def sim_decomposition(spark, d):
+    return sweep.decompose(_sim(spark, d), HOUR)
+
+
+@query("sim_gate")
+def sim_gate(spark, d):
+    return sweep.gate(sweep.regimes(sweep.buckets(_sim(spark, d), DAY)))
