@@ -81,8 +81,10 @@ def snapshots(frame: DataFrame) -> DataFrame:
     A snapshot is always read strictly: without coin, height or an order's id it raises.
     """
     at = lambda p: F.get_json_object("raw", p)
-    need = lambda c, name: F.coalesce(c, F.raise_error(F.lit(f"snapshot without {name}")).cast("string"))
-    whole = frame.select(need(at("$.coin"), "coin").alias("coin"), need(at("$.height"), "height").cast("bigint").alias("height"), F.concat(F.coalesce(F.from_json(at("$.bids"), ORDER), F.array().cast(ORDER)), F.coalesce(F.from_json(at("$.asks"), ORDER), F.array().cast(ORDER))).alias("o"))
+    lost = F.when(at("$.coin").isNull(), "coin").when(at("$.height").isNull(), "height")
+    listed = lambda p: F.coalesce(F.from_json(at(p), ORDER), F.array().cast(ORDER))
+    orders = F.when(lost.isNotNull(), F.raise_error(F.concat(F.lit("snapshot without "), lost)).cast(ORDER)).otherwise(F.concat(listed("$.bids"), listed("$.asks")))
+    whole = frame.select(at("$.coin").alias("coin"), at("$.height").cast("bigint").alias("height"), orders.alias("o"))
     each = whole.select("coin", "height", F.posexplode("o").alias("ordinal", "o"))
     oid = F.coalesce("o.oid", F.raise_error(F.lit("snapshot order without oid")).cast("bigint"))
     return each.select("coin", "height", F.col("ordinal").cast("bigint").alias("ordinal"), oid.alias("oid"), _side("o.side").alias("side"), F.coalesce("o.limit_px", "o.limitPx").alias("px"), F.col("o.sz").try_cast("double").alias("sz"))
