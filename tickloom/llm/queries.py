@@ -85,7 +85,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 _ESCAPED = r"replace(replace(replace({0}, '\', '\\'), '</turn>', '\l/turn>'), '### ', '\h## ')"
 
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ITEM_WORDS = f"list_filter(regexp_split_to_array({_LOW}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+_WORDS = f"list_filter(regexp_split_to_array({_LOW}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+
 ORACLES: dict[str, str] = {
+    "op1_decontaminate": f"""
+WITH iw AS (SELECT item_id, {_ITEM_WORDS} AS ws FROM benchmark WHERE item_id IS NOT NULL),
+win AS (
+  SELECT DISTINCT item_id, least(13, len(ws)) AS m, array_to_string(ws[i : i + 12], ' ') AS k
+  FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 12, least(len(ws), 1)) + 1)) AS i FROM iw)
+), dw AS (SELECT doc_id, {_ITEM_WORDS} AS ws FROM documents),
+g AS (
+  SELECT doc_id, m, i, array_to_string(ws[i : i + m - 1], ' ') AS k
+  FROM (SELECT doc_id, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM dw, (SELECT DISTINCT m FROM win))
+), hit AS (SELECT doc_id, item_id, i, g.m FROM g JOIN win ON g.m = win.m AND g.k = win.k),
+n_hit AS (SELECT doc_id, count(DISTINCT w) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + m)) AS w FROM hit) GROUP BY 1),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY 1)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM dw LEFT JOIN n_hit USING (doc_id) LEFT JOIN it USING (doc_id)
+""",
+    "op8_ngram_jaccard_join": f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, least(len(ws), 1)) + 1)) AS i FROM w)
+), n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id, doc_id AS reach FROM documents UNION SELECT r.doc_id, ways.b FROM r JOIN ways ON r.reach = ways.a)
+SELECT doc_id, coalesce(max(n), 0) AS n_shingles, min(reach) AS component_id FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id
+""",
     "op5_chat_format": f"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
