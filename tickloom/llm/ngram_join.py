@@ -11,9 +11,10 @@ lists leave it:
 2. Documents with equal sets become one class, kept by its smallest doc_id.
 3. Prefixes: of two sets with Jaccard >= t, the first ``n - ceil(t n) + 1`` shingles in the global
    order meet.  Only prefixes are dealt out by shingle.
-4. ``star``: each class is first paired with the most central member of its posting lists, so a
-   large group of near copies joins up without all its pairs.  After that, all pairs of different
-   components whose prefixes meet (with length and position filters) are candidates.
+4. ``star``: in a few rounds, each class is paired with one leader of its posting lists, in another
+   pseudo-random order each round, so a large group of near copies joins up without all its pairs.
+   After that, all pairs of different components whose prefixes meet (with length and position
+   filters) are candidates: the rounds save work, they decide nothing.
 5. Candidates are verified exactly: sets are cut into fragments again, each fragment counts its
    partial overlap, and the counts are summed per pair.
 
@@ -40,36 +41,61 @@ from ._shared import components, grouped, settle, shuffle_partitions
 #: bytes of text whose shingles make one fragment; bounds the memory of a fragment's task
 FRAGMENT_BYTES = 48 << 20
 LOW = U64((1 << 48) - 1)
+#: rounds of leaders at most; a round that adds under a tenth of the links is the last
+STARS = 3
 #: partial overlaps a pair is verified in
-SEGMENTS = 4
+SEGMENTS = 2
 
 _BLOCK = "bucket int, part int, ids binary, total binary, shared binary, tokens binary, levels binary"
 _BLOCK_ARROW = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), *((c, pa.binary()) for c in ("ids", "total", "shared", "tokens", "levels"))])
 
 
-def varint(values: np.ndarray) -> bytes:
-    """Byte-aligned code of ascending integers: gaps, seven bits to a byte."""
-    gap = np.diff(values.astype(np.uint64), prepend=U64(0))
+def varints(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte-aligned code of rows of ascending integers: gaps, seven bits to a byte.
+
+    Returns the bytes of all rows and the number of bytes of each.
+    """
+    values = values.astype(np.uint64)
+    gap = np.diff(values, prepend=U64(0))
+    first = (np.cumsum(counts) - counts)[counts > 0]
+    gap[first] = values[first]
     size = np.ones(len(gap), np.int64)
     for k in range(1, 10):
         size += gap >= U64(1 << 7 * k)
     out = np.empty(int(size.sum()), np.uint8)
-    at = np.cumsum(size) - size
+    upto = np.concatenate(([0], np.cumsum(size)))
     for k in range(int(size.max(initial=0))):
-        live = size > k
-        out[at[live] + k] = ((gap[live] >> U64(7 * k)) & U64(127)).astype(np.uint8) | np.where(size[live] > k + 1, 128, 0).astype(np.uint8)
-    return out.tobytes()
+        live = np.flatnonzero(size > k)
+        out[upto[live] + k] = ((gap[live] >> U64(7 * k)) & U64(127)).astype(np.uint8) | ((size[live] > k + 1) * 128).astype(np.uint8)
+    return out, np.diff(upto[np.concatenate(([0], np.cumsum(counts)))])
 
 
-def unvarint(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8)
+def unvarints(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The integers of ``varints`` and how many each row has."""
+    raw = np.frombuffer(b"".join(blobs), np.uint8)
     last = np.flatnonzero(raw < 128)
     first = np.concatenate(([0], last[:-1] + 1)) if len(last) else last
     gap = np.zeros(len(last), np.uint64)
     for k in range(int((last - first).max(initial=-1)) + 1):
-        live = first + k <= last
+        live = np.flatnonzero(first + k <= last)
         gap[live] |= (raw[first[live] + k] & 127).astype(np.uint64) << U64(7 * k)
-    return np.cumsum(gap, dtype=np.uint64)
+    ends = np.searchsorted(last, np.cumsum([len(b) for b in blobs])) if blobs else np.empty(0, np.int64)
+    counts = np.diff(ends, prepend=0)
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(gap, dtype=np.uint64)))
+    return total[1:] - np.repeat(total[ends - counts], counts), counts
+
+
+def varint(values: np.ndarray) -> bytes:
+    return varints(values, np.array([len(values)]))[0].tobytes()
+
+
+def unvarint(data: bytes) -> np.ndarray:
+    return unvarints([data])[0]
+
+
+def _binaries(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(flat))])
 
 
 def _pack(ids: np.ndarray) -> bytes:
@@ -160,8 +186,8 @@ def _fragment(table: pa.Table, n: int) -> pa.Table:
     return pa.Table.from_batches([_blocks(out)])
 
 
-_SETS = "doc_id long, n long, sig binary, tokens binary, shared long, central float"
-_SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("tokens", pa.binary()), ("shared", pa.int64()), ("central", pa.float32())])
+_SETS = "doc_id long, n long, sig binary, tokens binary, shared long"
+_SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("tokens", pa.binary()), ("shared", pa.int64())])
 
 
 def _assemble(table: pa.Table, percent: int) -> pa.Table:
@@ -190,7 +216,6 @@ def _assemble(table: pa.Table, percent: int) -> pa.Table:
         docs.append(np.repeat(own, count)[keep])
     blobs: list = [None] * len(unique)
     sigs: list = [None] * len(unique)
-    central = np.zeros(len(unique), np.float32)
     if tokens:
         tokens, docs = np.concatenate(tokens), np.concatenate(docs)
         order = np.lexsort((tokens, docs))
@@ -199,30 +224,28 @@ def _assemble(table: pa.Table, percent: int) -> pa.Table:
         for i in np.flatnonzero(alive):
             own = tokens[edges[i] : edges[i + 1]]
             blobs[i] = varint(own)
-            central[i] = (own >> U64(58)).mean()
             sigs[i] = blake2b(blobs[i], digest_size=16).digest() if s[i] == n[i] else int(unique[i]).to_bytes(8, "big", signed=True)
-    return pa.Table.from_arrays([pa.array(unique), pa.array(n), pa.array(sigs, pa.binary()), pa.array(blobs, pa.binary()), pa.array(s), pa.array(central)], schema=_SETS_ARROW)
+    return pa.Table.from_arrays([pa.array(unique), pa.array(n), pa.array(sigs, pa.binary()), pa.array(blobs, pa.binary()), pa.array(s)], schema=_SETS_ARROW)
 
 
-_POST = "bucket int, tokens binary, docs binary, n binary, place binary, central binary, label binary"
-_POST_ARROW = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("tokens", "docs", "n", "place", "central", "label"))])
-_POST_KIND = (np.uint64, np.int64, np.int64, np.int64, np.float32, np.int64)
+_POST = "bucket int, tokens binary, docs binary, n binary, place binary, label binary"
+_POST_ARROW = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("tokens", "docs", "n", "place", "label"))])
+_POST_KIND = (np.uint64, np.int64, np.int64, np.int64, np.int64)
 
 
 def _post(batches: Iterator[pa.RecordBatch], n: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Prefixes of the sets, dealt out by shingle."""
     for batch in batches:
-        rows = batch.to_pydict()
-        parts: list[list[np.ndarray]] = [[] for _ in _POST_KIND]
-        for doc, size, blob, central, label in zip(rows["doc_id"], rows["n"], rows["tokens"], rows["central"], rows["label"]):
-            token = unvarint(blob)
-            alone = size - len(token)  # shingles of no other document come first in the order
-            token = token[: max(0, size - (percent * size + 99) // 100 + 1 - alone)]
-            for to, x in zip(parts, (token, doc, size, np.arange(alone, alone + len(token)), central, label)):
-                to.append(x if isinstance(x, np.ndarray) else np.full(len(token), x))
-        if not parts[0]:
+        token, counts = unvarints(batch.column("tokens").to_pylist())
+        doc, size, label = (batch.column(c).to_numpy() for c in ("doc_id", "n", "label"))
+        alone = size - counts  # shingles of no other document come first in the order
+        most = np.clip(size - (percent * size + 99) // 100 + 1 - alone, 0, counts)
+        at = ragged(np.cumsum(counts) - counts, most)
+        row = row_of(most)
+        if not len(at):
             continue
-        cols = [np.concatenate(p).astype(t) for p, t in zip(parts, _POST_KIND)]
+        place = alone[row] + at - (np.cumsum(counts) - counts)[row]
+        cols = [c.astype(t) for c, t in zip((token[at], doc[row], size[row], place, label[row]), _POST_KIND)]
         own = (mix(cols[0].copy()) % U64(n)).astype(np.int64)
         order = np.argsort(own, kind="stable")
         edges = np.searchsorted(own[order], np.arange(n + 1))
@@ -231,26 +254,28 @@ def _post(batches: Iterator[pa.RecordBatch], n: int, percent: int) -> Iterator[p
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(_POST_ARROW)], schema=_POST_ARROW)
 
 
-def _lists(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+def _lists(table: pa.Table, seed: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Posting lists; their members in the same pseudo-random order everywhere."""
     cols = [np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in zip(_POST_ARROW.names[1:], _POST_KIND)]
-    token, doc, size, _, central, _ = cols
-    order = np.lexsort((doc, -size, -central, token))  # the most central document leads its list
+    token, doc = cols[:2]
+    order = np.lexsort((mix(doc.astype(np.uint64) * U64(2) + U64(1) + (U64(seed) << U64(52))), token))
     cols = [c[order] for c in cols]
     start = np.flatnonzero(np.diff(cols[0], prepend=cols[0][:1] ^ U64(1)) != 0)
     return cols, start, np.diff(start, append=len(token))
 
 
-_STAR = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("c", pa.int64()), ("central", pa.float32())])
+_STAR = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("c", pa.int64())])
 
 
-def _star(table: pa.Table, percent: int) -> pa.Table:
-    (_, doc, size, _, central, _), start, length = _lists(table)
+def _star(table: pa.Table, percent: int, seed: int) -> pa.Table:
+    """Each member of a posting list with the list's leader, if they are not connected yet."""
+    (_, doc, size, _, label), start, length = _lists(table, seed)
     lead = np.repeat(start, length)
     a, b = size[lead], size
-    fits = (doc[lead] != doc) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
+    fits = (label[lead] != label) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
     pair = np.stack((doc[lead][fits], doc[fits]), 1)
-    pair, first, c = np.unique(pair, axis=0, return_index=True, return_counts=True)
-    return pa.Table.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1]), pa.array(c), pa.array(central[lead][fits][first])], schema=_STAR)
+    pair, c = np.unique(pair, axis=0, return_counts=True)
+    return pa.Table.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1]), pa.array(c)], schema=_STAR)
 
 
 _PAIR = pa.schema([("x", pa.int64()), ("y", pa.int64())])
@@ -258,7 +283,7 @@ _PAIR = pa.schema([("x", pa.int64()), ("y", pa.int64())])
 
 def _pairs(table: pa.Table, percent: int) -> pa.Table:
     """Pairs of different components whose prefixes meet here and whose sizes and places allow a link."""
-    (_, doc, size, place, _, label), start, length = _lists(table)
+    (_, doc, size, place, label), start, length = _lists(table, 0)
     found: list[np.ndarray] = []
     held = 0
     for s, m in zip(start[length > 1], length[length > 1]):
@@ -286,12 +311,12 @@ _SEGMENT = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("segment", pa.
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for doc, n, blob in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "tokens"))):
-            token = unvarint(blob)
-            own = (mix(token >> U64(32)) % U64(SEGMENTS)).astype(np.int64)
-            out += [(doc, n, k, varint(token[own == k])) for k in range(SEGMENTS)]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(_SEGMENT)], schema=_SEGMENT)
+        token, counts = unvarints(batch.column("tokens").to_pylist())
+        own = row_of(counts) * SEGMENTS + (mix(token >> U64(32)) % U64(SEGMENTS)).astype(np.int64)
+        order = np.argsort(own, kind="stable")
+        blobs = _binaries(*varints(token[order], np.bincount(own, minlength=len(counts) * SEGMENTS)))
+        each = lambda c: pa.array(np.repeat(batch.column(c).to_numpy(), SEGMENTS))  # noqa: B023, E731
+        yield pa.RecordBatch.from_arrays([each("doc_id"), each("n"), pa.array(np.tile(np.arange(SEGMENTS, dtype=np.int32), len(counts))), blobs], schema=_SEGMENT)
 
 
 _OVERLAP = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("n", pa.int64()), ("common", pa.int64())])
@@ -299,10 +324,17 @@ _OVERLAP = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("n", pa.int64()), (
 
 def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        cols = batch.to_pydict()
-        common = [len(np.intersect1d(unvarint(a), unvarint(b), assume_unique=True)) for a, b in zip(cols["a"], cols["b"])]
-        n = [p + q for p, q in zip(cols["nx"], cols["ny"])]
-        yield pa.RecordBatch.from_arrays([pa.array(cols["x"], pa.int64()), pa.array(cols["y"], pa.int64()), pa.array(n, pa.int64()), pa.array(common, pa.int64())], schema=_OVERLAP)
+        for k in range(0, batch.num_rows, 2048):
+            part = batch.slice(k, 2048)
+            keys = []
+            for c in ("a", "b"):
+                token, counts = unvarints(part.column(c).to_pylist())
+                rows = row_of(counts)
+                keys.append((mix(token + rows.astype(np.uint64) * U64(0x9E3779B97F4A7C15)), rows))
+            both = np.isin(keys[0][0], keys[1][0])
+            common = np.bincount(keys[0][1][both], minlength=part.num_rows)
+            n = part.column("nx").to_numpy() + part.column("ny").to_numpy()
+            yield pa.RecordBatch.from_arrays([part.column("x"), part.column("y"), pa.array(n), pa.array(common.astype(np.int64))], schema=_OVERLAP)
 
 
 def _verify(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
@@ -316,6 +348,15 @@ def _verify(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     return total.where(100 * F.col("common") >= percent * (F.col("n") - F.col("common"))).select("x", "y")
 
 
+def _contract(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after each linked document's label has gone over to its leader's, and on to that one's."""
+    own, lead = labels.select(F.col("doc_id").alias("y"), F.col("label").alias("from")), labels.select(F.col("doc_id").alias("x"), F.col("label").alias("to"))
+    move = links.join(own, "y").join(lead, "x").where("from <> to").groupBy("from").agg(F.min("to").alias("to"))
+    on = move.select(F.col("from").alias("to"), F.col("to").alias("on"))
+    move = move.join(on, "to", "left").select("from", F.coalesce("on", "to").alias("to"))
+    return settle(labels.join(move, labels.label == F.col("from"), "left").select("doc_id", F.coalesce("to", "label").alias("label")))
+
+
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id``.
 
@@ -331,24 +372,30 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     kept = grouped(cut, "bucket", _fragment, _BLOCK, n=n)
     sets = settle(grouped(kept, "bucket", _assemble, _SETS, percent=percent), "lz4")
     able = sets.where(F.col("tokens").isNotNull())
-    classes = able.groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("central").alias("central"))
+    classes = able.groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
     classes = settle(classes, "lz4")
+    segments = settle(classes.select("doc_id", "n", "tokens").mapInArrow(_segments, "doc_id long, n long, segment int, tokens binary"), "lz4")
 
-    def deal(frame: DataFrame, each, schema: str) -> DataFrame:
+    def deal(labels: DataFrame, each, schema: str, **options) -> DataFrame:
+        frame = classes.select("doc_id", "n", "tokens").join(labels, "doc_id")
         posts = frame.mapInArrow(partial(_post, n=n, percent=percent), _POST)
-        return grouped(posts, "bucket", each, schema, percent=percent)
-
-    segments = classes.select("doc_id", "n", "tokens").mapInArrow(_segments, "doc_id long, n long, segment int, tokens binary")
-    plain = classes.select("doc_id", "n", "tokens", "central", F.col("doc_id").alias("label"))
-    stars = deal(plain, _star, "x long, y long, c long, central float")
-    stars = stars.groupBy("x", "y").agg(F.sum("c").alias("c"), F.max("central").alias("central"))
-    stars = stars.groupBy("y").agg(F.max_by("x", F.struct("c", "central", -F.col("x"))).alias("x")).select("x", "y")
-    first = settle(_verify(stars, segments, percent))
-    early = components(first)
-    labelled = classes.join(early, classes.doc_id == early.node, "left").select("doc_id", "n", "tokens", "central", F.coalesce("component", "doc_id").alias("label"))
-    rest = deal(labelled, _pairs, "x long, y long").distinct()
-    second = _verify(rest, segments, percent)
-    late = components(second.unionByName(early.select(F.col("node").alias("x"), F.col("component").alias("y"))))
+        return grouped(posts, "bucket", each, schema, percent=percent, **options)
+
+    # documents with one label are connected; not all that are connected have one
+    labels, links, joined = classes.select("doc_id", F.col("doc_id").alias("label")), None, 0
+    for seed in range(STARS):
+        stars = deal(labels, _star, "x long, y long, c long", seed=seed).groupBy("x", "y").agg(F.sum("c").alias("c"))
+        stars = stars.groupBy("y").agg(F.max_by("x", F.struct("c", -F.col("x"))).alias("x")).select("x", "y")
+        found = settle(_verify(stars, segments, percent))
+        links = found if links is None else links.unionByName(found)
+        new = found.count()
+        if new:
+            labels = _contract(labels, found)
+        joined += new
+        if 10 * new <= joined:
+            break
+    rest = deal(labels, _pairs, "x long, y long").distinct()
+    late = components(links.unionByName(_verify(rest, segments, percent)))
     member = able.select("doc_id", "sig").join(classes.select("sig", F.col("doc_id").alias("node")), "sig")
     member = member.join(late, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))
     return sets.select("doc_id", F.col("n").alias("n_shingles")).join(member, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
