@@ -7,18 +7,49 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def asof(left: DataFrame, right: DataFrame, values: list[str], key: str = "symbol", t: str = "t_ms", order: str = "arrival", strict: bool = False) -> DataFrame:
+#: rows of a key are dealt out by time bucket, so that one busy key is many tasks' work
+BUCKET_MS = 86_400_000
+
+
+def seeded(frame: DataFrame, key: str, order: list[str], t: str = "t_ms", bucket: int = BUCKET_MS) -> DataFrame:
+    """``frame`` with ``_b`` (time bucket) and, first in each bucket of a key, its last row before that.
+
+    Such rows have ``_seed`` true.  Windows by (key, ``_b``) then see the row before their first one.  Only
+    one pre-aggregated row per key and bucket is ordered by key alone.
+    """
+    rows = frame.withColumns({"_b": F.floor(F.col(t) / bucket), "_seed": F.lit(False)})
+    last = rows.groupBy(key, "_b").agg(F.max_by(F.struct(*frame.columns), F.struct(*order)).alias("_r"))
+    seeds = last.withColumn("_n", F.lead("_b").over(Window.partitionBy(key).orderBy("_b"))).where("_n is not null").select("_r.*", F.col("_n").alias("_b"), F.lit(True).alias("_seed"))
+    return rows.unionByName(seeds)
+
+
+def haloed(frame: DataFrame, width: int, t: str = "t_ms") -> DataFrame:
+    """``frame`` dealt into time buckets ``_b`` of sixteen widths; rows of a bucket's last ``width`` are also
+    in the next one, as ``_halo``, so that ranges of up to ``width`` back never leave their bucket."""
+    size = 16 * width
+    own = F.floor(F.col(t) / size)
+    both = F.when(F.col(t) >= (own + 1) * size - width, F.array(own, own + 1)).otherwise(F.array(own))
+    return frame.withColumn("_b", F.explode(both)).withColumn("_halo", F.col("_b") != F.floor(F.col(t) / size))
+
+
+def asof(left: DataFrame, right: DataFrame, values: list[str], key: str = "symbol", t: str = "t_ms", order: str = "arrival", strict: bool = False, bucket: int = BUCKET_MS) -> DataFrame:
     """``left`` with ``values`` of the last ``right`` row of its key at or before its time.
 
-    Both sides are united and ordered once by time, side and ``order``; ``last`` carries values forward.
-    Ties on time take the right row with the largest ``order``.  With ``strict`` only earlier rows count.
+    Both sides are united and ordered once by time, side and ``order`` within (key, time bucket); ``last``
+    carries values forward, from bucket to bucket by one row each.  Ties on time take the right row with
+    the largest ``order``.  With ``strict`` only earlier rows count.
     """
-    marked = left.select(F.col(key).alias("_k"), F.col(t).alias("_t"), F.lit(0 if strict else 1).alias("_s"), F.lit(None).cast("long").alias("_o"), F.struct(*[F.col(c) for c in left.columns]).alias("_l"), F.lit(None).alias("_r"))
+    b = F.floor(F.col(t) / bucket).alias("_b")
+    marked = left.select(F.col(key).alias("_k"), b, F.col(t).alias("_t"), F.lit(0 if strict else 1).alias("_s"), F.lit(None).cast("long").alias("_o"), F.struct(*[F.col(c) for c in left.columns]).alias("_l"), F.lit(None).alias("_r"))
     kind = F.struct(*[F.col(c) for c in values])
-    given = right.select(F.col(key).alias("_k"), F.col(t).alias("_t"), F.lit(1 if strict else 0).alias("_s"), F.col(order).cast("long").alias("_o"), F.lit(None).alias("_l"), kind.alias("_r"))
-    w = Window.partitionBy("_k").orderBy("_t", "_s", "_o").rowsBetween(Window.unboundedPreceding, 0)
-    both = marked.unionByName(given).withColumn("_v", F.last("_r", ignorenulls=True).over(w)).where(F.col("_l").isNotNull())
-    return both.select("_l.*", *[F.col(f"_v.{c}").alias(c) for c in values])
+    given = right.select(F.col(key).alias("_k"), b, F.col(t).alias("_t"), F.lit(1 if strict else 0).alias("_s"), F.col(order).cast("long").alias("_o"), F.lit(None).alias("_l"), kind.alias("_r"))
+    both = marked.unionByName(given)
+    ends = both.groupBy("_k", "_b").agg(F.max_by("_r", F.when(F.col("_l").isNull(), F.struct("_t", "_o"))).alias("_r"))
+    before = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    seeds = ends.select("_k", "_b", F.lit(None).cast("long").alias("_t"), F.lit(-1).alias("_s"), F.lit(None).cast("long").alias("_o"), F.lit(None).cast(both.schema["_l"].dataType).alias("_l"), F.last("_r", ignorenulls=True).over(before).alias("_r"))
+    w = Window.partitionBy("_k", "_b").orderBy(F.asc_nulls_first("_t"), "_s", "_o").rowsBetween(Window.unboundedPreceding, 0)
+    done = both.unionByName(seeds).withColumn("_v", F.last("_r", ignorenulls=True).over(w)).where(F.col("_l").isNotNull())
+    return done.select("_l.*", *[F.col(f"_v.{c}").alias(c) for c in values])
 
 
 def merge_events(trades: DataFrame, books: DataFrame) -> DataFrame:

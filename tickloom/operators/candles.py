@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.scalars import ratio
+from .asof import haloed
 
 
 def ohlcv(order: Column) -> list[Column]:
@@ -53,19 +54,20 @@ def trailing(trades: DataFrame, width_ms: int, in_order: bool = False) -> DataFr
     such predecessors has no row.  With ``in_order`` arrival is known to follow time and the frame
     aggregates suffice.
     """
-    w = Window.partitionBy("symbol").orderBy("t_ms").rangeBetween(-width_ms, -1)
+    trades = haloed(trades, width_ms)
+    w = Window.partitionBy("symbol", "_b").orderBy("t_ms").rangeBetween(-width_ms, -1)
     keys = ["symbol", "t_ms", "arrival"]
     if in_order:
         price, size = F.col("price"), F.col("size")
         by = F.col("arrival")
         out = trades.select(
             *keys, F.min_by(price, by).over(w).alias("open"), F.max(price).over(w).alias("high"), F.min(price).over(w).alias("low"), F.max_by(price, by).over(w).alias("close"),
-            F.sum(size).over(w).alias("volume"), F.count("*").over(w).alias("trades"), F.sum(price * size).over(w).alias("pv"),
+            F.sum(size).over(w).alias("volume"), F.count("*").over(w).alias("trades"), F.sum(price * size).over(w).alias("pv"), "_halo",
         )
         vwap = F.when(F.col("volume") > 0, ratio(F.col("pv"), F.col("volume"))).otherwise(F.col("close"))
-        return out.where("trades > 0").withColumn("vwap", vwap).drop("pv")
+        return out.where("trades > 0 and not _halo").withColumn("vwap", vwap).drop("pv", "_halo")
     seen = F.collect_list(F.struct("arrival", "price", "size")).over(w)
-    own = trades.select(*keys, F.array_sort(F.filter(seen, lambda x: x["arrival"] < F.col("arrival"))).alias("s")).where(F.size("s") > 0)
+    own = trades.select(*keys, F.array_sort(F.filter(seen, lambda x: x["arrival"] < F.col("arrival"))).alias("s"), "_halo").where((F.size("s") > 0) & ~F.col("_halo"))
     prices = F.transform("s", lambda x: x["price"])
     total = lambda f: F.aggregate("s", F.lit(0.0), lambda a, x: a + f(x))
     volume = total(lambda x: x["size"])

@@ -8,19 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .asof import asof
-
-def _w() -> Window:
-    return Window.partitionBy("symbol").orderBy("t_ms", "arrival")
-
+from .asof import asof, seeded
 
 def contributions(quotes: DataFrame) -> DataFrame:
     """``symbol, t_ms, arrival, e``; an unchanged price counts on both sides, a symbol's first row has none."""
-    pb, qb, pa, qa = (F.lag(c).over(_w()) for c in ("bid_px", "bid_sz", "ask_px", "ask_sz"))
+    own = quotes.select("symbol", "t_ms", "arrival", "bid_px", "bid_sz", "ask_px", "ask_sz")
+    w = Window.partitionBy("symbol", "_b").orderBy("t_ms", "arrival")
+    pb, qb, pa, qa = (F.lag(c).over(w) for c in ("bid_px", "bid_sz", "ask_px", "ask_sz"))
     b, a = F.col("bid_px"), F.col("ask_px")
     zero = F.lit(0.0)
     e = F.when(b >= pb, F.col("bid_sz")).otherwise(zero) - F.when(b <= pb, qb).otherwise(zero) - F.when(a <= pa, F.col("ask_sz")).otherwise(zero) + F.when(a >= pa, qa).otherwise(zero)
-    return quotes.select("symbol", "t_ms", "arrival", F.when(pb.isNotNull(), e).alias("e")).where("e is not null")
+    told = seeded(own, "symbol", ["t_ms", "arrival"]).select("symbol", "t_ms", "arrival", "_seed", F.when(pb.isNotNull(), e).alias("e"))
+    return told.where("e is not null and not _seed").drop("_seed")
 
 
 def windows(quotes: DataFrame, width_ms: int) -> DataFrame:

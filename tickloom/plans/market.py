@@ -283,7 +283,7 @@ def asof_mid(spark, d):
 SELECT t.symbol, t.t_ms, t.arrival, g.arrival AS book_arrival, floor((bv - av) / (bv + av) * 1e6 + 0.37) / 1e6 AS imbalance FROM trades t ASOF LEFT JOIN g ON t.symbol = g.symbol AND t.arrival >= g.arrival""")
 def book_at_trade(spark, d):
     m = book.metrics(views.books(spark, d).where("arrival % 3 = 0")).withColumn("book_arrival", F.col("arrival"))
-    met = asof.asof(views.trades(spark, d), m, ["book_arrival", "imbalance"], t="arrival")
+    met = asof.asof(views.trades(spark, d), m, ["book_arrival", "imbalance"], t="arrival", bucket=1_000_000)
     return rounded(met, "imbalance").select("symbol", "t_ms", "arrival", "book_arrival", "imbalance")
 
 
