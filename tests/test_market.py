@@ -235,6 +235,32 @@ def test_through_prints_fill_whole_orders_and_bounds_bracket():
     assert [(f[3], f[4]) for f in q.print_("A", 99.0, 0.1)] == [(2.0, 50.0)] and not q.open
 
 
+def test_exact_queues_settle_prints_once():
+    d = lambda kind, oid, sz=None, new=None: {"side": "B", "px": "100.0", "kind": kind, "oid": oid, "sz": sz, "new_sz": new}
+    q = sim.ExactQueues("exact")
+    q.settle([d("new", 1, 0.5), d("new", 2, 0.3)])
+    q.book({100.0: 0.8}, {})
+    o = q.place("B", 100.0, 1.0)
+    assert math.isclose(q.ahead(o), 0.8)
+    assert q.print_("A", 100.0, 0.6) == []
+    q.settle([d("remove", 1), d("update", 2, new=0.2), d("new", 3, 9.0)])
+    assert math.isclose(q.ahead(o), 0.2)
+    (fill,) = q.print_("A", 100.0, 0.4)
+    assert math.isclose(fill[3], 0.2) and math.isclose(fill[4], 0.2)
+    q.settle([d("remove", 2), d("remove", 77)])
+    assert q.ahead(o) == 0 and q.unknown == 1
+
+
+def test_exact_cell_and_stale_book(spark):
+    diff = lambda t, *ds, stale=False: ("X", "d", t, 1, t, None, None, None, None, None, list(ds), stale)
+    new = lambda oid, side, px: {"oid": oid, "side": side, "px": px, "kind": "new", "sz": 2.0, "new_sz": None}
+    rows = [diff(0, new(1, "B", "100.0"), new(2, "A", "100.2")), diff(1000), ("X", "d", 1500, 0, 1, 100.0, 2.5, "A", None, None, None, False), diff(2000, {**new(1, "B", "100.0"), "kind": "remove"}, new(3, "B", "100.0"), stale=True), ("X", "d", 2100, 0, 2, 99.0, 9.0, "A", None, None, None, False), diff(2200)]
+    tape = spark.createDataFrame(rows, "coin string, day string, t_ms long, rank int, arrival long, price double, size double, side string, bids array<struct<px:double,sz:double>>, asks array<struct<px:double,sz:double>>, diffs array<struct<oid:long,side:string,px:string,kind:string,sz:double,new_sz:double>>, stale boolean")
+    cells = spark.createDataFrame([("join", "X", "d", "exact", 1.0, None, 400.0, 0.0, 0.0)], "param string, coin string, day string, bound string, size double, width double, delay_ms double, fee_bps double, funding_hourly double")
+    fills = sim.simulate(tape, cells).where("kind = 'fill'").collect()
+    assert [(f.t_ms, f.size, f.ahead) for f in fills] == [(2000, 0.5, 2.0)]  # the stale book dropped the rest
+
+
 def test_quotes():
     at = lambda **k: sim.quotes(**{"bid": 100.5, "ask": 100.6, "signal": 0.0, "inventory": 0.0, "limit": 5.0, "tick": 0.1, "width": 2, **k})
     assert at() == {"B": 100.3, "A": 100.8}

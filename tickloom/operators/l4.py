@@ -98,8 +98,9 @@ class Book:
     def apply(self, oid: int, side: str, px: str, kind: str, sz: float | None, new_sz: float | None) -> None:
         held = self.orders.get(oid)
         if kind == "new" and sz is not None and sz == sz:
-            if held:
+            if held:  # replaced: to the back of its queue
                 self._add(held[0], held[1], -held[2], -1)
+                del self.orders[oid]
             self.orders[oid] = [side, px, sz]
             self._add(side, px, sz, 1)
         elif held and kind == "update" and new_sz is not None and new_sz == new_sz and new_sz > 0:

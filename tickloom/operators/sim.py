@@ -9,17 +9,21 @@ buckets, regimes, gate) is relational, in ``sweep``.
 A price level with one of our orders is a queue of parts: other people's size or ours.  Prints at the
 level eat it from the front; prints through it fill ours.  When the visible size grows, the growth
 joins at the back.  When it shrinks without a print, the bound decides what left: the back
-(``pessimistic``), the front (``optimistic``) or a share of everything (``pro_rata``).
+(``pessimistic``), the front (``optimistic``) or a share of everything (``pro_rata``).  With order diffs on the
+tape there is nothing to guess: the bound ``exact`` keeps every order of the level by its id.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .l4 import Book
+
 EPS = 1e-12
 BOUNDS = ("pessimistic", "pro_rata", "optimistic")
 
@@ -37,6 +41,7 @@ def allocate(traded: float, ahead: float, own: list[float]) -> list[float]:
 class Part:
     size: float
     order: int = 0  # 0: somebody else's
+    oid: int | None = None
 
 
 @dataclass
@@ -132,6 +137,60 @@ class Queues:
         return None
 
 
+@dataclass
+class ExactQueues(Queues):
+    """Levels by order id.  Prints only note how far they got; the block's diffs then say what is left."""
+
+    real: Book = field(default_factory=Book)
+    eaten: dict[tuple[str, float], float] = field(default_factory=dict)
+    unknown: int = 0
+
+    def place(self, side: str, px: float, size: float) -> int:
+        if (side, px) not in self.levels and self.real.orders:
+            self.levels[(side, px)] = [Part(z, 0, oid) for oid, (s, p, z) in self.real.orders.items() if s == side and float(p) == px]
+        return super().place(side, px, size)
+
+    def print_(self, aggressor: str, px: float, size: float) -> list[tuple[int, str, float, float, float]]:
+        held = {at: [(p, p.size) for p in parts if not p.order] for at, parts in self.levels.items()}
+        for at, parts in held.items():
+            gone = self.eaten.get(at, 0.0)
+            for p, _ in parts:
+                take = min(p.size, gone)
+                p.size, gone = p.size - take, gone - take
+        order = {at: list(parts) for at, parts in self.levels.items()}
+        fills = super().print_(aggressor, px, size)
+        for at, parts in held.items():
+            self.eaten[at] = sum(was - p.size for p, was in parts)
+            for p, was in parts:
+                p.size = was
+            self._keep(at, order[at])
+        return fills
+
+    def settle(self, diffs: list) -> None:
+        """Apply a block's diffs to the book and to the levels we are in."""
+        self.eaten.clear()
+        for d in diffs:
+            at = (d["side"], float(d["px"]))
+            self.real.apply(d["oid"], d["side"], d["px"], d["kind"], d["sz"], d["new_sz"])
+            parts = self.levels.get(at)
+            if parts is None:
+                continue
+            if d["kind"] == "new":
+                parts.append(Part(d["sz"], 0, d["oid"]))
+                continue
+            mine = next((p for p in parts if p.oid == d["oid"]), None)
+            if mine is None:
+                self.unknown += 1
+            else:
+                mine.size = 0.0 if d["kind"] == "remove" else max(0.0, d["new_sz"])
+                self._keep(at, parts)
+
+    def book(self, bids: dict[float, float], asks: dict[float, float]) -> None:
+        known, self.levels = self.levels, {}
+        super().book(bids, asks)
+        self.levels = known
+
+
 @dataclass
 class Flow:
     """Windowed order-flow imbalance over a slow average of its size, within [-3, 3]."""
@@ -178,17 +237,27 @@ def quotes(bid: float, ask: float, signal: float, inventory: float, limit: float
     return want
 
 
+#: wanted prices from (cell, best bid, best ask, signal, inventory); must pickle
+Policy = Callable[[dict, float, float, float, float], dict[str, float | None]]
+
+
+def touch_or_width(cell: dict, bid: float, ask: float, signal: float, inventory: float) -> dict[str, float | None]:
+    width = None if pd.isna(cell["width"]) else int(cell["width"])
+    return quotes(bid, ask, signal, inventory, 5 * cell["size"], 0.1, width)
+
+
 CELL = ["param", "coin", "day", "bound", "size", "width", "delay_ms", "fee_bps", "funding_hourly"]
 SERIES = "param string, coin string, day string, bound string, t_ms long, kind string, order_id long, side string, px double, size double, ahead double, mid double, inventory double, cash double, fee double, funding double"
 
 
-def run_cell(cell: dict, tape: pd.DataFrame) -> list[tuple]:
+def run_cell(cell: dict, tape: pd.DataFrame, policy: Policy = touch_or_width) -> list[tuple]:
     """One pass: a ``fill`` row per fill and a ``block`` row per book, in order.
 
     Within a block: funding on the inventory held since the last one, then actions whose delay has
-    passed, the block's prints, its book, and last the policy.
+    passed, the block's prints, its book or diffs, and last the policy.  A stale book drops all orders.
     """
-    q, flow = Queues(cell["bound"]), Flow()
+    exact = cell["bound"] == "exact"
+    q, flow = ExactQueues(cell["bound"]) if exact else Queues(cell["bound"]), Flow()
     cash = inventory = fees = funding = 0.0
     last = mid = None
     waiting: list[tuple[float, str, tuple]] = []
@@ -214,15 +283,21 @@ def run_cell(cell: dict, tape: pd.DataFrame) -> list[tuple]:
                 inventory, cash, fees = inventory + way * got, cash - way * price * got - fee, fees + fee
                 out.append((*head, t, "fill", order, side, price, got, ahead, before, inventory, cash, fee, 0.0))
         prints = []
-        bids, asks = ({round(x["px"], 9): x["sz"] for x in levels} for levels in (row.bids, row.asks))
+        if exact:
+            q.settle(row.diffs)
+            bids, asks = ({float(px): level[0] for px, level in q.real.sides[side].items()} for side in "BA")
+        else:
+            bids, asks = ({round(x["px"], 9): x["sz"] for x in levels} for levels in (row.bids, row.asks))
         q.book(bids, asks)
+        if getattr(row, "stale", False) is True:
+            for order in list(q.open):
+                q.cancel(order)
         bid, ask = max(bids, default=None), min(asks, default=None)
         if bid is not None and ask is not None:
             mid = (bid + ask) / 2
         out.append((*head, t, "block", None, None, None, None, None, mid, inventory, cash, fees, funding))
         signal = flow.update(t, None if bid is None else (bid, bids[bid]), None if ask is None else (ask, asks[ask]))
-        width = None if pd.isna(cell["width"]) else int(cell["width"])
-        want = quotes(bid, ask, signal, inventory, 5 * cell["size"], 0.1, width) if bid is not None and ask is not None else {"B": None, "A": None}
+        want = policy(cell, bid, ask, signal, inventory) if bid is not None and ask is not None else {"B": None, "A": None}
         for side, px in want.items():
             kept = False
             for order, at in sorted(q.open.items()):
@@ -237,18 +312,19 @@ def run_cell(cell: dict, tape: pd.DataFrame) -> list[tuple]:
     return out
 
 
-def simulate(tape: DataFrame, cells: DataFrame) -> DataFrame:
+def simulate(tape: DataFrame, cells: DataFrame, policy: Policy = touch_or_width) -> DataFrame:
     """Fills and blocks of every cell (``SERIES``).
 
     ``tape`` has ``coin, day, t_ms, rank, arrival, price, size, side, bids, asks``: trades of rank 0, books
-    of rank 1.  ``cells`` has the columns of ``CELL``.  One cell reads one coin's day.
+    of rank 1, and may have ``stale`` and, for the bound ``exact``, ``diffs`` (array of structs).  ``cells`` has the
+    columns of ``CELL``.  One cell reads one coin's day.
     """
     cells = cells.select(*[F.col(c).alias(f"c_{c}") for c in CELL])
     met = tape.join(cells, (F.col("coin") == F.col("c_coin")) & (F.col("day") == F.col("c_day"))).drop("coin", "day")
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
         cell = {c: rows[f"c_{c}"].iloc[0] for c in CELL}
-        out = run_cell(cell, rows.sort_values(["t_ms", "rank", "arrival"]))
+        out = run_cell(cell, rows.sort_values(["t_ms", "rank", "arrival"]), policy)
         return pd.DataFrame(out, columns=[c.split()[0] for c in SERIES.split(", ")])
 
     return met.groupBy("c_param", "c_coin", "c_day", "c_bound").applyInPandas(one, SERIES)

@@ -88,3 +88,9 @@ def gate(labelled: DataFrame) -> DataFrame:
 def refee(cells: DataFrame, fee_bps: float, other_bps: float) -> DataFrame:
     """Totals had the maker fee been another: linear in the filled notional, nothing is run again."""
     return cells.withColumn("total_pnl_refee", F.col("total_pnl") + F.col("notional") * (fee_bps - other_bps) / 10_000)
+
+
+def first_mid(tape: DataFrame) -> DataFrame:
+    """Per coin the first mid of a book with both sides, to size orders by notional."""
+    mid = (F.get("bids", F.lit(0))["px"] + F.get("asks", F.lit(0))["px"]) / 2
+    return tape.withColumn("_m", mid).where("_m is not null").groupBy("coin").agg(F.min_by("_m", F.struct("t_ms", "arrival")).alias("mid"))

@@ -75,7 +75,8 @@ TOPS = "coin string, height long, bid_px string, bid_sz double, ask_px string, a
 def book_tops(diffs: DataFrame) -> DataFrame:
     """Top of the book after each block, with the open orders as state of a coin.
 
-    A skipped height makes the book stale; it stays so until its state is replaced.
+    A skipped height makes the book stale.  A row of kind ``reset`` empties it and makes it good again: a
+    snapshot is a reset and its orders as new ones, at the snapshot's height.
     """
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -89,6 +90,9 @@ def book_tops(diffs: DataFrame) -> DataFrame:
             stale = stale or (height is not None and h != height + 1)
             height = int(h)
             for r in block.itertuples():
+                if r.kind == "reset":
+                    book, stale = Book(), False
+                    continue
                 book.apply(r.oid, r.side, r.px, r.kind, r.sz, r.new_sz)
             out.append((key[0], height, *(book.best("B") or (None, None)), *(book.best("A") or (None, None)), stale))
         o = book.orders
