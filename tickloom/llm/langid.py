@@ -33,6 +33,8 @@ HIDDEN = 16
 PER_LANGUAGE = 250
 MOST_CHARS = 8000
 MOST_LANGUAGES = 32
+#: bytes of text scored at once: the more, the fewer words run through the network twice
+SCORE_BYTES = 8 << 20
 
 
 @dataclass
@@ -226,19 +228,19 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = ["und"] * batch.num_rows, np.zeros(batch.num_rows)
             data, offsets = buffers(batch.column("text"))
-            if model:
-                for a, b in chunks(offsets, 32 << 20):
+            for a, b in chunks(offsets, SCORE_BYTES):
+                names, scores = ["und"] * (b - a), np.zeros(b - a)
+                if model:
                     mean, count = score_batch(model, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                     best = mean.argmax(1)
                     for i in np.flatnonzero(count):
                         own = data[offsets[a + i] : offsets[a + i + 1]]
                         bare = own | 32
                         if ((bare >= 0x61) & (bare <= 0x7A)).any() or any(c.isalpha() for c in own.tobytes().decode()):
-                            names[a + i], scores[a + i] = model.languages[best[i]], min(1.0, mean[i, best[i]])
-            found = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores)], ["lang", "score"])
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("text"), found], ["row", "text", "lang_id"])
+                            names[i], scores[i] = model.languages[best[i]], min(1.0, mean[i, best[i]])
+                found = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores)], ["lang", "score"])
+                yield pa.RecordBatch.from_arrays([batch.column("row").slice(a, b - a), batch.column("text").slice(a, b - a), found], ["row", "text", "lang_id"])
 
     from pyspark.sql import types as T
 
