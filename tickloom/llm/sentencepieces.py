@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from ._bytes import buffers, chunks, hash_spans, ragged
 
 LONG = 256
+#: bytes of text encoded at once: the more, the fewer units are encoded twice
+ENCODE_BYTES = 4 << 20
 NONE = np.int32(2**31 - 1)
 MARK = "▁"
 
@@ -71,18 +73,15 @@ class Merger:
 
     def run(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Merge every unit as far as it goes; symbols below zero never merge."""
-        out: list = [None] * 2
-        done_units, done_syms = [], []
-        unit = np.arange(len(lengths))
+        pieces: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # units, symbols of each, symbols
+        n, unit = len(lengths), np.arange(len(lengths))
         long = lengths > LONG
         if long.any():
             starts = np.cumsum(lengths) - lengths
             for u in np.flatnonzero(long):
-                done_units.append(np.array([u]))
-                done_syms.append((self._heap(symbols[starts[u] : starts[u] + lengths[u]].tolist()), None))
+                got = np.array(self._heap(symbols[starts[u] : starts[u] + lengths[u]].tolist()), np.int32)
+                pieces.append((np.array([u]), np.array([len(got)]), got))
             symbols, unit, lengths = symbols[np.repeat(~long, lengths)], unit[~long], lengths[~long]
-        total = np.zeros(len(long), np.int64)
-        pieces: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(u, np.array([len(s)]), np.array(s, np.int32)) for u, (s, _) in zip(done_units, done_syms)]
         keep = lengths > 0
         unit, lengths = unit[keep], lengths[keep]
         sym = symbols.astype(np.int32)
@@ -125,10 +124,9 @@ class Merger:
         units = np.concatenate([p[0] for p in pieces]) if pieces else np.empty(0, np.int64)
         sizes = np.concatenate([p[1] for p in pieces]) if pieces else np.empty(0, np.int64)
         flat = np.concatenate([p[2] for p in pieces]) if pieces else np.empty(0, np.int32)
-        del out, total
         order = np.argsort(units, kind="stable")
         from_ = (np.cumsum(sizes) - sizes)[order]
-        final = np.zeros(len(long), np.int64)
+        final = np.zeros(n, np.int64)
         final[units] = sizes
         return flat[ragged(from_, sizes[order])], final
 
@@ -313,7 +311,7 @@ def _encode(path: str, check: bool):
         vocab = vocabulary(path)
         for batch in batches:
             data, offsets = buffers(batch.column(1))
-            for a, b in chunks(offsets, 8 << 20):
+            for a, b in chunks(offsets, ENCODE_BYTES):
                 ids, counts = encode_batch(vocab, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], check)
                 ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))], ["doc_id", "ids"])
@@ -349,7 +347,7 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         vocab = vocabulary(path)
         for batch in batches:
             data, offsets = buffers(batch.column(1))
-            for a, b in chunks(offsets, 8 << 20):
+            for a, b in chunks(offsets, ENCODE_BYTES):
                 ids, counts = encode_batch(vocab, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], check)
                 own = [sha256(x).hexdigest() for x in decimal_batch(vocab, ids, counts)]
                 back = [sha256(x.decode("utf-8", "replace").encode()).hexdigest() for x in decode_batch(vocab, ids, counts)]
