@@ -13,6 +13,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+# batches of many sizes come and go in a worker; give their memory back at once
+pa.set_memory_pool(pa.system_memory_pool())
+
 CHUNK_BYTES = 2 << 20
 U64 = np.uint64
 
@@ -41,9 +44,9 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _TABLE = mix(np.arange(1, 257, dtype=np.uint64) * U64(0x9E3779B97F4A7C15))
-_BASE = 0x2545F4914F6CDD1D
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers = {_BASE: np.ones(1, np.uint64), _INVERSE: np.ones(1, np.uint64)}
+_BASES = (0x2545F4914F6CDD1D, 0x9E3779B97F4A7C15)
+_INVERSES = tuple(pow(b, -1, 1 << 64) for b in _BASES)
+_powers = {b: np.ones(1, np.uint64) for b in (*_BASES, *_INVERSES)}
 
 
 def _power(base: int, n: int) -> np.ndarray:
@@ -96,14 +99,14 @@ def spans(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np
     return starts, ends, np.diff(np.searchsorted(starts, offsets))
 
 
-def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans, from one prefix sum over ``data``."""
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: int = 0) -> np.ndarray:
+    """64-bit hashes of byte spans, from one prefix sum over ``data``; kinds 0 and 1 are independent."""
     n = len(data)
     prefix = np.zeros(n + 1, np.uint64)
-    np.cumsum(_TABLE[data] * _power(_BASE, n), out=prefix[1:])
+    np.cumsum((_TABLE ^ U64(kind << 40))[data] * _power(_BASES[kind], n), out=prefix[1:])
     h = prefix[ends]
     h -= prefix[starts]
-    h *= _power(_INVERSE, n + 1)[starts]
+    h *= _power(_INVERSES[kind], n + 1)[starts]
     h += (ends - starts).astype(np.uint64) * U64(0xD6E8FEB86659FD93)
     return mix(h)
 
@@ -158,3 +161,43 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int = 5) -> tuple[np.
         fresh[1:] = (h[1:] != h[:-1]) | (r[1:] != r[:-1])
         h, r = h[fresh], r[fresh]
     return h, np.bincount(r, minlength=len(counts)).astype(np.int64)
+
+
+def varints(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte-aligned code of rows of ascending integers: gaps, seven bits to a byte.
+
+    Returns the bytes of all rows and the number of bytes of each.
+    """
+    values = values.astype(np.uint64)
+    gap = np.diff(values, prepend=U64(0))
+    first = (np.cumsum(counts) - counts)[counts > 0]
+    gap[first] = values[first]
+    size = np.ones(len(gap), np.int64)
+    for k in range(1, 10):
+        size += gap >= U64(1 << 7 * k)
+    out = np.empty(int(size.sum()), np.uint8)
+    upto = np.concatenate(([0], np.cumsum(size)))
+    for k in range(int(size.max(initial=0))):
+        live = np.flatnonzero(size > k)
+        out[upto[live] + k] = ((gap[live] >> U64(7 * k)) & U64(127)).astype(np.uint8) | ((size[live] > k + 1) * 128).astype(np.uint8)
+    return out, np.diff(upto[np.concatenate(([0], np.cumsum(counts)))])
+
+
+def unvarints(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The integers of ``varints`` and how many each row has."""
+    raw = np.frombuffer(b"".join(blobs), np.uint8)
+    last = np.flatnonzero(raw < 128)
+    first = np.concatenate(([0], last[:-1] + 1)) if len(last) else last
+    gap = np.zeros(len(last), np.uint64)
+    for k in range(int((last - first).max(initial=-1)) + 1):
+        live = np.flatnonzero(first + k <= last)
+        gap[live] |= (raw[first[live] + k] & 127).astype(np.uint64) << U64(7 * k)
+    ends = np.searchsorted(last, np.cumsum([len(b) for b in blobs])) if blobs else np.empty(0, np.int64)
+    counts = np.diff(ends, prepend=0)
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(gap, dtype=np.uint64)))
+    return total[1:] - np.repeat(total[ends - counts], counts), counts
+
+
+def binaries(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(flat))])

@@ -22,34 +22,52 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ._bytes import LOWER, NOT_SPACE, binaries, buffers, chunks, hash_spans, row_of, spans, unvarints, varints
 from ._shared import settle, shuffle_partitions
-from .ngram_join import unvarint, varint
 
-_STRIP = b" \t\n\x0b\x0c\r"
 #: rows of about 40 bytes that one range partition has about
 RANGE_ROWS = 1 << 20
 
 
-def _keys(min_chars: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("body", pa.int64()), ("n_lines", pa.int64()), ("key", pa.binary()), ("lines", pa.binary())])
+_KEYS = pa.schema([("doc_id", pa.int64()), ("body", pa.int64()), ("n_lines", pa.int64()), ("key", pa.binary()), ("lines", pa.binary())])
+
+
+def line_keys(data: np.ndarray, offsets: np.ndarray, min_chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys by row: row, 128-bit hash (as two numbers), how many lines have it, and their numbers."""
+    low = LOWER[data]
+    starts, ends, counts = spans(low, offsets, NOT_SPACE)
+    rows, breaks = row_of(counts), np.flatnonzero(data == 10)
+    before = np.searchsorted(breaks, starts)
+    place = before + rows  # another number for each line of each row
+    first = np.flatnonzero(np.diff(place, prepend=-1))
+    begin, end, row = starts[first], ends[np.append(first[1:], len(ends)) - 1 if len(first) else first], rows[first]
+    line = before[first] - np.searchsorted(breaks, offsets[:-1])[row]
+    points = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
+    long = points[end] - points[begin] >= min_chars
+    begin, end, row, line = begin[long], end[long], row[long], line[long]
+    a, b = hash_spans(low, begin, end), hash_spans(low, begin, end, 1)
+    order = np.lexsort((line, b, a, row))
+    row, a, b, line = row[order], a[order], b[order], line[order]
+    fresh = np.ones(len(row), bool)
+    fresh[1:] = (row[1:] != row[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    at = np.flatnonzero(fresh)
+    return row[at], np.stack((a[at], b[at]), 1), np.diff(at, append=len(row)), line, np.diff(np.searchsorted(breaks, offsets)) + 1
 
+
+def _keys(min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple] = []
-            for doc, body, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "body", "text"))):
-                lines = (text or "").encode().split(b"\n")
-                at: dict[bytes, list[int]] = {}
-                for i, line in enumerate(lines):
-                    line = line.strip(_STRIP)
-                    if len(line) >= min_chars and len(line.decode()) >= min_chars:
-                        at.setdefault(xxhash.xxh3_128_digest(line.lower()), []).append(i)
-                rows += [(doc, body, len(lines), k, varint(np.array(v))) for k, v in at.items()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+            doc, body = batch.column("doc_id").to_numpy(), batch.column("body").to_numpy()
+            data, offsets = buffers(batch.column("text"))
+            for p, q in chunks(offsets):
+                row, key, times, line, n_lines = line_keys(data[offsets[p] : offsets[q]], offsets[p : q + 1] - offsets[p], min_chars)
+                lines = binaries(*varints(line, times))
+                keys = binaries(np.ascontiguousarray(key).view(np.uint8).ravel(), np.full(len(row), 16))
+                yield pa.RecordBatch.from_arrays([pa.array(doc[p + row]), pa.array(body[p + row]), pa.array(n_lines[row].astype(np.int64)), keys, lines], schema=_KEYS)
 
     return run
 
@@ -106,8 +124,7 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maps, dropped = [], []
         for n, lists in zip(batch.column("n_lines").to_pylist(), batch.column("lines").to_pylist()):
             keep = np.ones(n, bool)
-            for x in lists:
-                keep[unvarint(x).astype(np.int64)] = False
+            keep[unvarints(lists)[0].astype(np.int64)] = False
             maps.append(zlib.compress(np.packbits(keep).tobytes()))
             dropped.append(int(n - keep.sum()))
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("body"), batch.column("n_lines"), pa.array(dropped, pa.int64()), pa.array(maps, pa.binary())], ["doc_id", "body", "n_lines", "n_dropped", "keep"])

@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._bytes import U64, buffers, chunks, mix, ragged, row_of, shingle_sets
+from ._bytes import U64, binaries, buffers, chunks, mix, ragged, row_of, shingle_sets, unvarints, varints
 from ._shared import components, grouped, settle, shuffle_partitions
 
 #: bytes of text whose shingles make one fragment; bounds the memory of a fragment's task
@@ -50,54 +50,10 @@ _BLOCK = "bucket int, part int, ids binary, total binary, shared binary, tokens
 _BLOCK_ARROW = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), *((c, pa.binary()) for c in ("ids", "total", "shared", "tokens", "levels"))])
 
 
-def varints(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Byte-aligned code of rows of ascending integers: gaps, seven bits to a byte.
-
-    Returns the bytes of all rows and the number of bytes of each.
-    """
-    values = values.astype(np.uint64)
-    gap = np.diff(values, prepend=U64(0))
-    first = (np.cumsum(counts) - counts)[counts > 0]
-    gap[first] = values[first]
-    size = np.ones(len(gap), np.int64)
-    for k in range(1, 10):
-        size += gap >= U64(1 << 7 * k)
-    out = np.empty(int(size.sum()), np.uint8)
-    upto = np.concatenate(([0], np.cumsum(size)))
-    for k in range(int(size.max(initial=0))):
-        live = np.flatnonzero(size > k)
-        out[upto[live] + k] = ((gap[live] >> U64(7 * k)) & U64(127)).astype(np.uint8) | ((size[live] > k + 1) * 128).astype(np.uint8)
-    return out, np.diff(upto[np.concatenate(([0], np.cumsum(counts)))])
-
-
-def unvarints(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The integers of ``varints`` and how many each row has."""
-    raw = np.frombuffer(b"".join(blobs), np.uint8)
-    last = np.flatnonzero(raw < 128)
-    first = np.concatenate(([0], last[:-1] + 1)) if len(last) else last
-    gap = np.zeros(len(last), np.uint64)
-    for k in range(int((last - first).max(initial=-1)) + 1):
-        live = np.flatnonzero(first + k <= last)
-        gap[live] |= (raw[first[live] + k] & 127).astype(np.uint64) << U64(7 * k)
-    ends = np.searchsorted(last, np.cumsum([len(b) for b in blobs])) if blobs else np.empty(0, np.int64)
-    counts = np.diff(ends, prepend=0)
-    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(gap, dtype=np.uint64)))
-    return total[1:] - np.repeat(total[ends - counts], counts), counts
-
-
 def varint(values: np.ndarray) -> bytes:
     return varints(values, np.array([len(values)]))[0].tobytes()
 
 
-def unvarint(data: bytes) -> np.ndarray:
-    return unvarints([data])[0]
-
-
-def _binaries(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
-    ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(flat))])
-
-
 def _pack(ids: np.ndarray) -> bytes:
     return np.diff(ids, prepend=0).astype(np.int64).tobytes()
 
@@ -314,7 +270,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, counts = unvarints(batch.column("tokens").to_pylist())
         own = row_of(counts) * SEGMENTS + (mix(token >> U64(32)) % U64(SEGMENTS)).astype(np.int64)
         order = np.argsort(own, kind="stable")
-        blobs = _binaries(*varints(token[order], np.bincount(own, minlength=len(counts) * SEGMENTS)))
+        blobs = binaries(*varints(token[order], np.bincount(own, minlength=len(counts) * SEGMENTS)))
         each = lambda c: pa.array(np.repeat(batch.column(c).to_numpy(), SEGMENTS))  # noqa: B023, E731
         yield pa.RecordBatch.from_arrays([each("doc_id"), each("n"), pa.array(np.tile(np.arange(SEGMENTS, dtype=np.int32), len(counts))), blobs], schema=_SEGMENT)
 
