@@ -26,6 +26,13 @@ def settle(df: DataFrame, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Spark hand texts to Python in batches of at most ``rows`` rows: a few MB, on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > rows:
+        spark.conf.set(name, str(rows))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
