@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .asof import asof, seeded
+from .asof import BUCKET_MS, asof, haloed, seeded
 
 def contributions(quotes: DataFrame) -> DataFrame:
     """``symbol, t_ms, arrival, e``; an unchanged price counts on both sides, a symbol's first row has none."""
@@ -105,17 +106,47 @@ def analyze(quotes: DataFrame, widths_ms: list[int], horizons_ms: list[int]) ->
     return out
 
 
-def rolling_signal(quotes: DataFrame, window_ms: int = 1000, halflife: int = 300, warmup: int = 30, history: int = 2000) -> DataFrame:
+def _folded(table: pa.Table, alpha: float) -> pa.Table:
+    """Rows of one bucket in order with their place and the slow average folded from zero."""
+    table = table.sort_by([("t_ms", "ascending"), ("arrival", "ascending")])
+    norm, out = 0.0, []
+    for v in table.column("ofi").to_pylist():
+        norm += alpha * (abs(v) - norm)
+        out.append(norm)
+    return table.append_column("k", pa.array(range(1, len(out) + 1), pa.int64())).append_column("norm", pa.array(out, pa.float64()))
+
+
+def _carried(table: pa.Table, alpha: float) -> pa.Table:
+    """A symbol's buckets, one row each, with the rows and the average before each."""
+    table = table.sort_by("_b")
+    seen, norm, before, start = 0, 0.0, [], []
+    for n, own in zip(table.column("n").to_pylist(), table.column("own").to_pylist()):
+        before.append(seen)
+        start.append(norm)
+        seen, norm = seen + n, norm * (1 - alpha) ** n + own
+    return table.select(["symbol", "_b"]).append_column("before", pa.array(before, pa.int64())).append_column("start", pa.array(start, pa.float64()))
+
+
+def rolling_signal(quotes: DataFrame, window_ms: int = 1000, halflife: int = 300, warmup: int = 30) -> DataFrame:
     """Rolling OFI over ``[t - window, t]`` over a slow average of its size, within [-3, 3].
 
-    The average folds over the last ``history`` quotes; with a half-life of 300 what lies before
-    weighs under a hundredth.
+    The average folds over all quotes of the symbol so far.  A quote sees those of its millisecond that
+    arrived before it.  Within a time bucket the average is ``start * (1 - alpha) ** k`` plus a fold from
+    zero; ``start`` is carried over one row per bucket.
     """
     alpha = 1 - 0.5 ** (1 / halflife)
-    w = Window.partitionBy("symbol").orderBy("t_ms").rangeBetween(-window_ms, 0)
-    flow = contributions(quotes).withColumn("ofi", F.sum("e").over(w))
-    order = Window.partitionBy("symbol").orderBy("t_ms", "arrival")
-    seen = F.collect_list(F.abs("ofi")).over(order.rowsBetween(-(history - 1), 0))
-    norm = F.aggregate(seen, F.lit(0.0), lambda a, v: a + alpha * (v - a))
-    ready = F.row_number().over(order) + 1 >= warmup
+    dealt = haloed(contributions(quotes), window_ms)
+    earlier = F.sum("e").over(Window.partitionBy("symbol", "_b").orderBy("t_ms").rangeBetween(-window_ms, -1))
+    same = F.sum("e").over(Window.partitionBy("symbol", "_b", "t_ms").orderBy("arrival").rowsBetween(Window.unboundedPreceding, 0))
+    flow = dealt.withColumn("ofi", F.coalesce(earlier, F.lit(0.0)) + same).where("not _halo")
+    flow = flow.select("symbol", "t_ms", "arrival", F.col("ofi").cast("double").alias("ofi"), F.floor(F.col("t_ms") / BUCKET_MS).alias("_b"))
+    ddl = ", ".join(f"{c} {t}" for c, t in flow.dtypes)
+    flow = flow.groupBy("symbol", "_b").applyInArrow(lambda t: _folded(t, alpha), f"{ddl}, k long, norm double")
+    ends = flow.groupBy("symbol", "_b").agg(F.count("*").alias("n"), F.max_by("norm", "k").alias("own"))
+    kinds = dict(ends.dtypes)
+    carry = ends.groupBy("symbol").applyInArrow(lambda t: _carried(t, alpha), f"symbol {kinds['symbol']}, _b {kinds['_b']}, before long, start double")
+    flow = flow.join(carry, ["symbol", "_b"])
+    norm = F.col("norm") + F.col("start") * F.pow(F.lit(1 - alpha), F.col("k"))
+    # the first quote, which has no flow, is an update too
+    ready = F.col("before") + F.col("k") + 1 >= warmup
     return flow.select("symbol", "t_ms", "arrival", F.when(ready & (norm > 0), F.greatest(F.lit(-3.0), F.least(F.lit(3.0), F.try_divide(F.col("ofi"), norm)))).otherwise(0.0).alias("signal"))

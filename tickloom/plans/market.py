@@ -268,7 +268,7 @@ def ofi_analysis(spark, d):
 
 @query("ofi_rolling")
 def ofi_rolling(spark, d):
-    return ofi.rolling_signal(views.quotes(spark, d), window_ms=HOUR, halflife=30, history=300)
+    return ofi.rolling_signal(views.quotes(spark, d), window_ms=HOUR, halflife=30)
 
 
 @query("asof_mid", f"""WITH {_QUOTES}, q AS (SELECT symbol, t_ms, arg_max((bid_px + ask_px) / 2, arrival) AS mid FROM quotes GROUP BY 1, 2), p AS (SELECT symbol, arrival, t_ms + {HOUR} AS at FROM trades)
