@@ -123,6 +123,26 @@ def grams(h: np.ndarray, k: int) -> np.ndarray:
     return mix(g)
 
 
+def run_prefix(h: np.ndarray) -> np.ndarray:
+    """What ``run_hashes`` needs to know of the sequence ``h``."""
+    out = np.zeros(len(h) + 1, np.uint64)
+    np.cumsum(h * _power(_BASES[0], len(h)), out=out[1:])
+    return out
+
+
+def run_hashes(prefix: np.ndarray, start: np.ndarray, k: int, whole: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of the runs of ``k`` items from ``start`` on; 0 where not ``whole``, and only there."""
+    if whole is not None:
+        start = np.where(whole, start, 0)
+    if len(prefix) <= k:
+        return np.zeros(len(start), np.uint64)
+    out = prefix[start + k]
+    out -= prefix[start]
+    out *= _power(_INVERSES[0], len(prefix))[start]
+    out = np.maximum(mix(out ^ mix(np.array([k], np.uint64))), U64(1))
+    return out if whole is None else np.where(whole, out, U64(0))
+
+
 def row_of(counts: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(counts)), counts)
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import pyarrow as pa
@@ -11,11 +10,12 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
+    """The folder of ``spark.checkpoint.dir``, which driver and executors share."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
-        where = tempfile.mkdtemp(prefix="tickloom-")
-        spark.conf.set("spark.checkpoint.dir", where)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        where = f"{spark.conf.get('spark.sql.warehouse.dir')}/.tickloom"
     return where.rstrip("/")
 
 
@@ -26,13 +26,6 @@ def settle(df: DataFrame, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def short_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Let Spark hand texts to Python in batches of at most ``rows`` rows: a few MB, on both sides."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(name)) > rows:
-        spark.conf.set(name, str(rows))
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
