@@ -73,22 +73,66 @@ def test_perplexity(spark, odd):
     assert perplexity.quality(none(spark)).count() == 0
 
 
-def test_kneser_ney_is_a_distribution():
+def brute_perplexity(known, texts, order=perplexity.ORDER):
+    """Mean negative log-probability of each text under that of ``known``: interpolated modified Kneser-Ney, from dictionaries."""
+    from collections import Counter, defaultdict
+    from math import log
+
+    padded, own = (["\0" * (order - 1) + (t or "") for t in x] for x in (texts, known))
+    counts = {order: Counter(t[i - order + 1 : i + 1] for t in own for i in range(order - 1, len(t)))}
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    cut, total, spare = {}, defaultdict(float), defaultdict(float)
+    for k, c in counts.items():
+        n = [max(1, sum(v == i for v in c.values())) for i in range(1, 5)]
+        y = n[0] / (n[0] + 2 * n[1])
+        cut[k] = [min(max(i + 1 - (i + 2) * y * n[i + 1] / n[i], 0.1), 0.9 * (i + 1)) for i in range(3)]
+        for g, v in c.items():
+            total[k, g[:-1]] += v
+            spare[k, g[:-1]] += min(v, cut[k][min(v, 3) - 1])
+
+    def p(k, g):
+        if not k:
+            return 1 / (len(counts[1]) + 1)
+        if (k, g[:-1]) not in total:
+            return p(k - 1, g[1:])
+        v = counts[k].get(g, 0)
+        own = max(0, v - cut[k][min(v, 3) - 1]) if v else 0
+        return own / total[k, g[:-1]] + spare[k, g[:-1]] / total[k, g[:-1]] * p(k - 1, g[1:])
+
+    return [-sum(log(p(order, t[i - order + 1 : i + 1])) for i in range(order - 1, len(t))) / (len(t) - order + 1) if len(t) >= order else None for t in padded]
+
+
+def test_perplexity_is_that_of_brute_force(spark):
     rng = np.random.default_rng(3)
-    data = rng.integers(97, 105, 4000).astype(np.uint8)
-    code = perplexity.codes(data, np.array([0, 1000, 4000]))
-    own, n = np.unique(code, return_counts=True)
-    p = np.exp(perplexity.KneserNey(own, n).log_probs().astype(float)).reshape(-1, 32).sum(1)
-    assert np.allclose(p, 1, atol=1e-3)
-    # brute force 4-grams: fold, and three blanks before each text
-    text = [0, 0, 0] + [c - 96 for c in data[:1000].tolist()]
-    assert code[:1000].tolist() == [text[i] << 15 | text[i + 1] << 10 | text[i + 2] << 5 | text[i + 3] for i in range(1000)]
+    texts = ["".join(rng.choice(list("abcdé 日😀\n"), int(n))) for n in rng.integers(1, 200, 60)] + ["", None, "a\0b" * 9, "abcd" * 50]
+    half = [i % 2 for i in range(len(texts))]
+    own = spark.createDataFrame([(i, "x", h, t) for i, (h, t) in enumerate(zip(half, texts))], "doc_id long, lang string, half int, text string")
+    by = [brute_perplexity([t for t, h in zip(texts, half) if h != own_half], texts) for own_half in (0, 1)]
+    want = {i: by[half[i]][i] for i in range(len(texts))}
+    shards = perplexity.SHARD_ENTRIES
+    try:
+        for size in (shards, 100):
+            perplexity.SHARD_ENTRIES = size
+            model = perplexity.fit(own.select("half", "text"))
+            assert model.shards.count() == model.n > (1 if size == 100 else 0)
+            for most in (1 << 30, 0):  # broadcast, and sent for by blocks
+                got = {r.doc_id: r.nats for r in perplexity.score(own, model, most).collect()}
+                assert set(got) == set(want) and got[60] is None and got[61] is None
+                assert all(abs(got[i] - want[i]) < 1e-4 for i in want if want[i] is not None), (size, most)
+    finally:
+        perplexity.SHARD_ENTRIES = shards
 
 
-def test_short_texts_keep_their_neighbours_symbols():
-    data = np.frombuffer(b"abcdexy", np.uint8)
-    split = np.concatenate([perplexity.codes(data[a:b], np.array([0, b - a])) for a, b in ((0, 1), (1, 3), (3, 7))])
-    assert perplexity.codes(data, np.array([0, 1, 3, 3, 7])).tolist() == split.tolist()
+def test_bands_reject_text_unlike_its_language(spark):
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("aeiounrst"), int(n))) for n in rng.integers(2, 8, 300)]
+    prose = [" ".join(rng.choice(words, 120)) for _ in range(200)]
+    noise = [" ".join("".join(rng.choice(list("QXZJKWVYUPLMNBGHFD0123456789@^~"), 6)) for _ in range(100)) for _ in range(3)]
+    rows = [(i, t, "xx") for i, t in enumerate(prose + noise)] + [(900 + i, t, None) for i, t in enumerate(prose[:9])]
+    got = {r.doc_id: r for r in perplexity.quality(docs(spark, rows)).collect()}
+    assert all(got[i].kept for i in range(200)) and all(got[900 + i].kept for i in range(9))
+    assert all(not got[200 + i].kept and got[200 + i].log_perplexity > got[200 + i].upper for i in range(3))
 
 
 def test_passages(spark, odd):
@@ -96,9 +140,7 @@ def test_passages(spark, odd):
     fill = lambda k, n: [f"f{k}_{i}" for i in range(n)]
     rows = [(k, " ".join(fill(k, 80) + shared + fill(-k, 70)), "en") for k in (101, 102, 103)]
     rows += [(104, " ".join(fill(104, 90) + other), "en"), (105, " ".join(other + fill(105, 90)), "en")]  # too short
-    near = [*shared[:30], "edit", *shared[31:]]
     rows += [(106, " ".join(fill(106, 200)), "en"), (107, " ".join(fill(107, 30) + [f"n{w}" for w in WORDS[:120]]), "en"), (108, " ".join([f"n{w}" for w in WORDS[:60]] + ["edit"] + [f"n{w}" for w in WORDS[61:120]] + fill(108, 9)), "en")]
-    del near
     got = passages.near_passages(docs(spark, rows)).collect()
     assert {r.doc_id for r in got} == {101, 102, 103, 107, 108}
     assert all((r.end_word - r.start_word) >= 50 and r.similarity >= 0.75 and r.doc_id != r.partner_id for r in got)
@@ -107,6 +149,67 @@ def test_passages(spark, odd):
     assert passages.near_passages(none(spark)).count() == 0
 
 
+def words_of(prefix, n):
+    return [f"{prefix}{i}" for i in range(n)]
+
+
+@pytest.mark.parametrize("rivals", [0, 2, 6, 40])
+def test_a_passage_is_found_however_many_others_hold_parts_of_it(spark, rivals):
+    rng = np.random.default_rng(rivals)
+    rows = []
+    for p in range(20):
+        whole = words_of(f"p{p}_", 60)
+        for c in range(2):
+            k = 2 * p + c
+            rows.append((k, " ".join(words_of(f"a{k}_", int(rng.integers(20, 90))) + whole + words_of(f"b{k}_", int(rng.integers(20, 90)))), "en"))
+        for c in range(rivals):  # forty words of it, too few for a passage
+            at = int(rng.integers(0, 21))
+            rows.append((1000 + 100 * p + c, " ".join(words_of(f"c{p}_{c}_", 30) + whole[at : at + 40] + words_of(f"d{p}_{c}_", 30)), "en"))
+    found = {frozenset((r.doc_id, r.partner_id)) for r in passages.near_passages(docs(spark, rows)).collect()}
+    assert found == {frozenset((2 * p, 2 * p + 1)) for p in range(20)}
+
+
+def test_short_edited_copies_are_found(spark):
+    """Passages near the least length with one word changed: recall is a matter of hash functions."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for p in range(150):
+        whole = words_of(f"p{p}_", 56)
+        edited = list(whole)
+        edited[int(rng.integers(6, 50))] = "edit"
+        for k, own in ((2 * p, whole), (2 * p + 1, edited)):
+            rows.append((k, " ".join(words_of(f"a{k}_", int(rng.integers(20, 60))) + own + words_of(f"b{k}_", int(rng.integers(20, 60)))), "en"))
+    found = {frozenset((r.doc_id, r.partner_id)) for r in passages.near_passages(docs(spark, rows)).collect()}
+    assert found <= {frozenset((2 * p, 2 * p + 1)) for p in range(150)} and len(found) >= 0.96 * 150
+
+
+def test_passages_against_brute_force(spark):
+    """All pairs of the smallest table: every document with a passage, and the links between documents."""
+    from itertools import combinations
+
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect() if r.text]
+    import pyarrow as pa
+    from tickloom.llm._bytes import buffers
+
+    seq = {}
+    for i, t in rows:
+        seq[i] = passages.shingles(*buffers(pa.array([t])))[0] & np.uint64((1 << 40) - 1)
+    pairs = [(a, b) for a, b in combinations(seq, 2) if np.isin(seq[a], seq[b]).sum() >= 39 and passages.stretches(seq[b], seq[a], 46, 75)]
+    assert len(pairs) > 20
+    found = {(r.doc_id, r.partner_id) for r in passages.near_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    top = {i: i for i in seq}
+
+    def root(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for a, b in found:
+        top[root(a)] = root(b)
+    assert sum(root(a) == root(b) for a, b in pairs) >= 0.9 * len(pairs)
+    assert len({i for p in pairs for i in p} - {a for a, _ in found}) <= 0.1 * len({i for p in pairs for i in p})
+
+
 def test_compact_windows_cover_each_range_once():
     rng = np.random.default_rng(5)
     value = rng.integers(0, 1 << 60, 90).astype(np.uint64)
@@ -161,6 +264,34 @@ def test_layouts(spark):
     assert len({got[i].fingerprint for i in range(6)}) == 6
 
 
+def test_no_record_breaks_formatting(spark):
+    records = {
+        1: '{"messages":[{"role":"user"},{"content":"x"}]}', 2: '{"messages":[{"role":1,"content":2}]}', 3: '{"prompt":5,"completion":"x"}', 4: '{"prompt":"\\ud800","completion":"\\ud83d\\ude00"}',
+        5: '{"id":7,"messages":[{"role":"user","content":"q","name":"n"}],"meta":{"a":1}}', 6: "[" * 100000, 7: '{"messages":[[{"role":"a","content":"b"}]]}', 8: '{"messages":[{"role":"a","content":"b"},"c"]}', 9: "17", 10: '{"messages":{}}',
+        11: '{"messages":[]}', 12: '{"\\ud800":1}', 13: '"x"', 14: '{"messages":[{"role":["a"],"content":null}]}', 15: "1" * 9999, 16: '{"prompt":null,"completion":false}',
+    }
+    df = spark.createDataFrame(list(records.items()), "id int, record string")
+    got = {r.id: r for r in chat.format_records(df, "id", "record").collect()}
+    turns = {i: None if r.turns is None else [tuple(t) for t in r.turns] for i, r in got.items()}
+    assert turns[1] == [("user", ""), ("", "x")] and turns[2] == [("1", "2")] and turns[3] == [("user", "5"), ("assistant", "x")]
+    assert turns[4] == [("user", "\ufffd"), ("assistant", "\U0001f600")] and turns[5] == [("user", "q")] and turns[11] == []
+    assert all(turns[i] is None for i in (6, 7, 8, 9, 10, 12, 13, 14, 15)) and turns[16] == [("user", ""), ("assistant", "false")]
+    assert all(chat.parse(r.formatted) == turns[i] for i, r in got.items() if r.formatted is not None)
+    own = chat.mapping(chat.Layout("talk", "who", "says"))
+    talk = spark.createDataFrame([(1, '{"talk":[{"who":"a","says":"b"}]}'), (2, '{"prompt":"q","completion":"a"}')], "id int, record string")
+    assert {r.id: r.turns for r in chat.format_records(talk, "id", "record", own).collect()} == {1: [("a", "b")], 2: None}
+
+
+def test_conversations_pass_through_several_layouts(spark):
+    roles = ["user", "assistant", "system", "human", "gpt", None]
+    rows = [(i, t, roles[(i // 9 + t) % 6] if i % 9 == 0 else roles[t % 2], f"{i} {t}") for i in range(90) for t in range(3)]
+    records = chat.conversation_records(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = chat.format_records(records, "conv_id", "record")
+    assert got.select("fingerprint").distinct().count() == len(chat.LISTS)
+    want = {i: [(r or "", t) for j, _, r, t in rows if j == i] for i in range(90)}
+    assert {r.id: [tuple(t) for t in r.turns] for r in got.collect()} == want
+
+
 def test_sentencepiece(spark, odd):
     sp = sentencepieces.vocabulary(PIECES).library
     got = sentencepieces.encode(odd, PIECES)
@@ -290,10 +421,46 @@ def test_mined_rules_block(spark):
     labels = spark.createDataFrame([(i, 0 if 0 <= i < 40 and i % 2 else 1, None) for i, _ in rows], "doc_id long, quality int, toxic int")
     got = {r.page_id: r.verdict for r in url_rules.filter_urls(pages, labels, rules=()).collect()}
     assert got[900] == "block" and got[901] == "allow" and got[902] == "allow"
-    # brute force over all token sets of up to three tokens that reach the thresholds
     assert all(got[i] == ("block" if i < 40 and i % 2 else "allow") for i, _ in rows)
 
 
+def test_mined_rules_are_those_of_brute_force(spark):
+    from itertools import combinations
+
+    rng = np.random.default_rng(6)
+    names = ["a", "b", "c", "d", "e", "f"]
+    sets = [sorted({names[int(j)] for j in rng.integers(0, 6, 4)}) for _ in range(300)]
+    bad = [bool(("a" in s and "b" in s and rng.random() < 0.9) or ("c" in s and rng.random() < 0.5) or rng.random() < 0.05) for s in sets]
+    urls = spark.createDataFrame(list(enumerate(sets)), "id int, tokens array<string>")
+    options = {"min_support": 0.01, "min_confidence": 0.5, "min_rows": 5, "min_lift": 1.2}
+    got = {tuple(sorted(r.tokens)): (r.confidence, r.support, r.lift, r.head) for r in url_rules.mine(urls, spark.createDataFrame(list(enumerate(bad)), "id int, bad boolean"), **options).collect()}
+    base, found = sum(bad) / 300, {}
+    for k in range(1, 7):
+        for need in combinations(names, k):
+            own = [b for s, b in zip(sets, bad) if set(need) <= set(s)]
+            both, m = sum(own), len(own)
+            if both < 5 or both / 300 < 0.01:
+                continue
+            c, z = both / m, 1.96
+            low = (c + z * z / (2 * m) - z * (c * (1 - c) / m + z * z / (4 * m * m)) ** 0.5) / (1 + z * z / m)
+            if low > base and c >= 0.5 and c / base >= 1.2:
+                found[need] = (c, both / 300, c / base)
+    held = {t: sum(t in s for s in sets) for t in names}
+    want = {n: f for n, f in found.items() if not any(found.get(tuple(x for x in n if x != out), (0,))[0] >= f[0] for out in n)}
+    assert set(got) == set(want) and len(want) > 2
+    for need, (c, support, lift, head) in got.items():
+        assert np.allclose((c, support, lift), want[need]) and head == min(need, key=lambda t: (held[t], t))
+
+
+def test_the_deciding_rule_is_told(spark):
+    rows = [(i, f"http://spam.example/{'win' if i % 2 else 'read'}/prize/{i}") for i in range(60)]
+    pages = spark.createDataFrame([*rows, (900, "http://x.net/win/prize"), (901, "http://spam.example/" + "win/" * 30_000)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, 0 if i % 2 else 1, None) for i, _ in rows] + [(5000, 0, 1)], "doc_id long, quality int, toxic int")
+    got = {r.page_id: r for r in url_rules.filter_urls(pages, labels).collect()}
+    assert (got[1].learned, got[1].verdict, got[1].confidence) == ("p:win", "block", 1.0) and abs(got[1].lift - 2) < 1e-9 and got[0].learned is None
+    assert (got[900].rule, got[900].verdict, got[900].learned) == ("net/", "block", None) and got[901].learned == "p:win"
+
+
 def test_token_file(spark, odd, tmp_path):
     lib = token_file.units(BYTES).library
     path = str(tmp_path / "blocks")
