@@ -2,13 +2,17 @@
 
 Labelled urls become baskets of host and path tokens plus the item ``label:bad`` where the label says
 so.  Spark's FP-growth mines frequent token combinations; rules that conclude ``label:bad`` are kept
-if their confidence and support reach the thresholds and no shorter rule among their own tokens is
-as confident.  An inverted index holds each rule under its rarest token, so a url meets only rules
+if their confidence, support and lift (confidence by the share of bad urls) reach the thresholds, the
+lower end of the confidence's 95 % interval (Wilson) is above that share, and no shorter rule among
+their own tokens is as confident.  An inverted index holds each rule under its rarest token, so a url meets only rules
 whose rarest token it has; what meets is checked for all tokens of the rule.
 
 Explicit (host, path) rules come first: a rule fits its host and all subdomains where the path starts
-with the rule's, and the longest fitting rule decides.  Null urls and urls without ``://`` have an
-empty host and path, fit no rule and are allowed.  Repeated rows give a row each.
+with the rule's, and the longest fitting rule decides.  Else the most confident mined rule that meets
+decides (fewer tokens, then the first by its tokens, on ties) and is told as ``learned``.  Null urls and
+urls without ``://`` have an empty host and path, fit no rule and are allowed.  Urls are read whole,
+however long.  Repeated rows give a row each; a label without a page and a page without a label count
+nowhere.  Empty tables give no rules or no rows.  Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -51,8 +55,8 @@ def explicit_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colu
     return name, verdict
 
 
-def mine(urls: DataFrame, bad: DataFrame, min_support: float = 0.002, min_confidence: float = 0.6, min_rows: int = 5) -> DataFrame:
-    """``tokens, head, confidence, support`` of the rules.
+def mine(urls: DataFrame, bad: DataFrame, min_support: float = 0.002, min_confidence: float = 0.6, min_rows: int = 5, min_lift: float = 1.5) -> DataFrame:
+    """``tokens, head, confidence, support, lift`` of the rules.
 
     ``urls`` has ``id, tokens``, ``bad`` has ``id, bad``; ``head`` is the rule's rarest token.
     """
@@ -60,7 +64,7 @@ def mine(urls: DataFrame, bad: DataFrame, min_support: float = 0.002, min_confid
     baskets = urls.join(bad, "id").select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens")).alias("items"))
     baskets = settle(baskets)
     n, hits = baskets.agg(F.count("*"), F.count_if(F.array_contains("items", BAD))).first()
-    schema = T.StructType.fromDDL("tokens array<string>, head string, confidence double, support double")
+    schema = T.StructType.fromDDL("tokens array<string>, head string, confidence double, support double, lift double")
     if not hits:
         return spark.createDataFrame([], schema)
     support = min(1.0, max(min_support, min_rows / n))
@@ -68,7 +72,11 @@ def mine(urls: DataFrame, bad: DataFrame, min_support: float = 0.002, min_confid
     sets = settle(model.freqItemsets)
     good = sets.where(F.array_contains("items", BAD) & (F.size("items") > 1)).select(F.array_sort(F.array_remove("items", BAD)).alias("tokens"), F.col("freq").alias("both"))
     whole = sets.where(~F.array_contains("items", BAD)).select(F.array_sort("items").alias("tokens"), "freq")
-    rules = good.join(whole, "tokens").select("tokens", (F.col("both") / F.col("freq")).alias("confidence"), (F.col("both") / n).alias("support")).where(F.col("confidence") >= min_confidence)
+    share, z = hits / n, 1.96
+    c, m = F.col("both") / F.col("freq"), F.col("freq")
+    least = (c + z * z / (2 * m) - z * F.sqrt(c * (1 - c) / m + z * z / (4 * m * m))) / (1 + z * z / m)
+    rules = good.join(whole, "tokens").where(least > share).select("tokens", c.alias("confidence"), (F.col("both") / n).alias("support"), (c / share).alias("lift"))
+    rules = rules.where((F.col("confidence") >= min_confidence) & (F.col("lift") >= min_lift))
     rules = rules.withColumn("rule", F.monotonically_increasing_id())
     rules = settle(rules)
     # a longer rule must be more confident than each rule on one token less
@@ -77,11 +85,11 @@ def mine(urls: DataFrame, bad: DataFrame, min_support: float = 0.002, min_confid
     rules = rules.join(beaten, "rule", "left_anti")
     single = whole.where(F.size("tokens") == 1).select(F.col("tokens")[0].alias("token"), "freq")
     heads = rules.select("rule", F.explode("tokens").alias("token")).join(single, "token").groupBy("rule").agg(F.min_by("token", F.struct("freq", "token")).alias("head"))
-    return settle(rules.join(heads, "rule").select("tokens", "head", "confidence", "support"))
+    return settle(rules.join(heads, "rule").select("tokens", "head", "confidence", "support", "lift"))
 
 
 def filter_urls(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, **options) -> DataFrame:
-    """``page_id, host, path, rule, verdict, confidence`` of every page.
+    """``page_id, host, path, rule, verdict, learned, confidence, lift`` of every page.
 
     ``labels`` has ``doc_id`` (the page's id), ``quality`` and ``toxic``; a url is bad where quality is
     0 or toxic is 1 in any of its labels.
@@ -95,10 +103,12 @@ def filter_urls(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", ur
     small = index.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES
     # equal hosts and paths get one decision
     met = own.select("host", "path", "tokens").distinct().withColumn("head", F.explode("tokens"))
-    listed = index.select("head", F.col("tokens").alias("need"), "confidence")
+    listed = index.select("head", F.col("tokens").alias("need"), "confidence", "lift")
     met = met.join(F.broadcast(listed) if small else listed, "head").where(F.size(F.array_except("need", "tokens")) == 0)
-    hits = met.groupBy("host", "path").agg(F.max("confidence").alias("confidence"))
+    best = F.struct(-F.col("confidence"), F.size("need"), "need")
+    hits = met.groupBy("host", "path").agg(F.min_by(F.struct("need", "confidence", "lift"), best).alias("by"))
     name, verdict = explicit_rule(F.col("host"), F.col("path"), rules)
     out = own.drop("tokens").join(hits, ["host", "path"], "left")
-    learned = F.when(F.col("confidence").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))
-    return out.select(F.col("id").alias("page_id"), "host", "path", name.alias("rule"), F.coalesce(verdict, learned).alias("verdict"), "confidence")
+    learned = F.when(F.col("by").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))
+    out = out.withColumn("by", F.when(verdict.isNull(), F.col("by")))
+    return out.select(F.col("id").alias("page_id"), "host", "path", name.alias("rule"), F.coalesce(verdict, learned).alias("verdict"), F.array_join("by.need", " ").alias("learned"), "by.confidence", "by.lift")
