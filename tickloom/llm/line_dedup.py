@@ -31,7 +31,8 @@ from ._shared import settle, shuffle_partitions
 
 #: rows of about 40 bytes that one range partition has about
 RANGE_ROWS = 1 << 20
-
+#: rows of about 40 bytes
+BROADCAST_KEYS = 200_000
 
 _KEYS = pa.schema([("doc_id", pa.int64()), ("body", pa.int64()), ("n_lines", pa.int64()), ("key", pa.binary()), ("lines", pa.binary())])
 
@@ -141,9 +142,10 @@ def line_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     dealt = keys.repartitionByRange(parts, "key", F.desc("doc_id")).sortWithinPartitions("key", F.desc("doc_id"), "body")
     told = settle(dealt.mapInArrow(_decide(min_docs), keys.schema))
     open_ = told.where("key is not null")
-    totals = open_.groupBy("key").agg(F.countDistinct("doc_id").alias("docs"), F.max("doc_id").alias("keeper")).where(F.col("docs") >= min_docs)
     # at most two keys per partition
-    late = open_.join(F.broadcast(totals), "key").where("doc_id <> keeper").select("doc_id", "body", "n_lines", "lines")
+    totals = settle(open_.groupBy("key").agg(F.countDistinct("doc_id").alias("docs"), F.max("doc_id").alias("keeper")).where(F.col("docs") >= min_docs))
+    small = totals.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    late = open_.join(F.broadcast(totals) if small else totals, "key").where("doc_id <> keeper").select("doc_id", "body", "n_lines", "lines")
     drops = told.where("key is null").select("doc_id", "body", "n_lines", "lines").unionByName(late).distinct()
     per = drops.groupBy("doc_id", "body", "n_lines").agg(F.collect_list("lines").alias("lines"))
     return per.mapInArrow(_bitmaps, "doc_id long, body long, n_lines long, n_dropped long, keep binary")
