@@ -11,8 +11,9 @@ A document's fingerprints are looked up in a bit table of fixed size (2^22 bits,
 benchmark's size) before they leave the task; what passes is joined exactly.  The join is a
 broadcast only while the benchmark has at most ``BROADCAST_ROWS`` fingerprints.
 
-Null or empty texts have no words and are clean.  Rows equal in doc_id and text give one result
-row.  Items with a null id or without words are ignored.  Other columns are ignored.
+Null or empty texts have no words and are clean.  Texts are scanned whole, however long.  Rows equal in doc_id and text give one result
+row.  Items with a null id or without words are ignored; equal items all count.  An empty benchmark hits
+nothing.  A null doc_id is an id like any other.  Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -113,10 +114,10 @@ def _extend(batches: Iterator[pa.RecordBatch], width: int, k: int) -> Iterator[p
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = 13, k: int = 5, share: int = 20) -> DataFrame:
-    """One row per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items``.
+    """One row per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items, body``.
 
     A word is hit if a window of ``width`` item words (or a whole shorter item) occurs over it; a
-    document is contaminated if ``n_hit > 0 and share * n_hit >= n_words``.
+    document is contaminated if ``n_hit > 0 and share * n_hit >= n_words``.  ``body`` is ``xxhash64`` of the text.
     """
     spark = docs.sparkSession
     of = items.select(F.col(item_col).alias("id"), F.col(item_text_col).alias("text"), F.lit(0).cast("long").alias("key")).where(F.col(item_col).isNotNull())
@@ -143,9 +144,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     per = per.select("id", "key", covered.alias("n_hit"), "items")
     everyone = base.select("id", "key", "n_words").distinct()
     n_hit, names = F.coalesce("n_hit", F.lit(0)).cast("long"), F.coalesce("items", F.array().cast("array<string>"))
-    joined = everyone.join(per, everyone.id.eqNullSafe(per.id) & (everyone.key == per.key), "left").select(everyone.id, "n_words", n_hit.alias("n_hit"), names.alias("items"))
+    joined = everyone.join(per, everyone.id.eqNullSafe(per.id) & (everyone.key == per.key), "left").select(everyone.id, everyone.key, "n_words", n_hit.alias("n_hit"), names.alias("items"))
     return joined.select(
         F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), "items",
+        ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), "items", F.col("key").alias("body"),
     )

@@ -25,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items", "body")
 
 
 def op2_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
