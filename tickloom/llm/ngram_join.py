@@ -11,16 +11,23 @@ lists leave it:
 2. Documents with equal sets become one class, kept by its smallest doc_id.
 3. Prefixes: of two sets with Jaccard >= t, the first ``n - ceil(t n) + 1`` shingles in the global
    order meet.  Only prefixes are dealt out by shingle.
-4. ``star``: in a few rounds, each class is paired with one leader of its posting lists, in another
-   pseudo-random order each round, so a large group of near copies joins up without all its pairs.
-   After that, all pairs of different components whose prefixes meet (with length and position
-   filters) are candidates: the rounds save work, they decide nothing.
-5. Candidates are verified exactly: sets are cut into fragments again, each fragment counts its
+4. Rounds find links by as many candidates as there are classes: first each class is paired with one
+   leader of its posting lists, then with its nearest neighbour of another component, by a bound on
+   the symmetric difference (lengths, places, and parity bitmaps of the sets).  Linked components
+   become one after each round, so a large group of near copies joins up without its pairs, and a
+   class that the bounds let link with no other component is done.
+5. Then all pairs of still different components whose prefixes meet, and which the bounds do not
+   exclude, are candidates: the rounds save work, they decide nothing.
+6. Candidates are verified exactly: sets are cut into fragments again, each fragment counts its
    partial overlap, and the counts are summed per pair.
 
+A posting list is compared inside one task, the members outside its largest component with all: no
+pair leaves the task that the bounds exclude.
+
 Null, empty or blank texts have the empty set and no links.  Rows that share a doc_id are one
-document with the union of their shingles; rows with a null doc_id are left out.  Columns other
-than the two named are ignored.  Shingles are compared by 48 hash bits beside their fragment.
+document with the union of their shingles; rows with a null doc_id are left out.  Texts count whole,
+however long.  An empty table gives an empty one.  Columns other than the two named are ignored,
+whatever their names.  Shingles are compared by 48 hash bits beside their fragment.
 """
 
 from __future__ import annotations
@@ -41,10 +48,10 @@ from ._shared import components, grouped, settle, shuffle_partitions
 #: bytes of text whose shingles make one fragment; bounds the memory of a fragment's task
 FRAGMENT_BYTES = 48 << 20
 LOW = U64((1 << 48) - 1)
-#: rounds of leaders at most; a round that adds under a tenth of the links is the last
-STARS = 3
+#: rounds at most; one that finds no link is the last
+ROUNDS = 8
 #: partial overlaps a pair is verified in
-SEGMENTS = 2
+SEGMENTS = 4
 
 _BLOCK = "bucket int, part int, ids binary, total binary, shared binary, tokens binary, levels binary"
 _BLOCK_ARROW = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), *((c, pa.binary()) for c in ("ids", "total", "shared", "tokens", "levels"))])
@@ -80,7 +87,7 @@ def _cut(batches: Iterator[pa.RecordBatch], n: int, k: int) -> Iterator[pa.Recor
         data, offsets = buffers(batch.column(1))
         parts = [shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], k) for a, b in chunks(offsets)]
         h, sizes = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        fragment = ((h >> U64(48)) * U64(n) >> U64(16)).astype(np.uint16)
+        fragment = ((h >> U64(40)) * U64(n) >> U64(24)).astype(np.int32)
         order = np.argsort(fragment, kind="stable")
         rows, low = row_of(sizes)[order].astype(np.int32), (h & LOW)[order]
         edges = np.searchsorted(fragment[order], np.arange(n + 1))
@@ -184,13 +191,29 @@ def _assemble(table: pa.Table, percent: int) -> pa.Table:
     return pa.Table.from_arrays([pa.array(unique), pa.array(n), pa.array(sigs, pa.binary()), pa.array(blobs, pa.binary()), pa.array(s)], schema=_SETS_ARROW)
 
 
-_POST = "bucket int, tokens binary, docs binary, n binary, place binary, label binary"
-_POST_ARROW = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("tokens", "docs", "n", "place", "label"))])
-_POST_KIND = (np.uint64, np.int64, np.int64, np.int64, np.int64)
+_POST = "bucket int, tokens binary, code binary, place binary, doc binary, n binary, alone binary, label binary, maps binary"
+_POST_KIND = {"tokens": np.uint64, "code": np.uint32, "place": np.uint32, "doc": np.int64, "n": np.uint32, "alone": np.uint32, "label": np.int64, "maps": np.uint64}
+_POST_ARROW = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in _POST_KIND)])
+#: words of the smallest and largest parity bitmap
+NARROW, WIDE = 2, 64
+
+
+def _width(n: np.ndarray) -> np.ndarray:
+    """Words of a set's parity bitmap: two bits to a shingle or more, within bounds, a power of two."""
+    return np.clip(1 << np.maximum(0, np.ceil(np.log2(np.maximum(n, 1) / 32))).astype(np.int64), NARROW, WIDE)
 
 
-def _post(batches: Iterator[pa.RecordBatch], n: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Prefixes of the sets, dealt out by shingle."""
+def parity_maps(token: np.ndarray, counts: np.ndarray, width: np.ndarray) -> np.ndarray:
+    """Bit b of a row says whether an odd number of its tokens fall on b; rows stand one after the other."""
+    out = np.zeros(int(width.sum()), np.uint64)
+    row = row_of(counts)
+    bit = mix(token ^ U64(0x51ED270B7A3F9C15)) & (width[row].astype(np.uint64) * U64(64) - U64(1))
+    np.bitwise_xor.at(out, (np.cumsum(width) - width)[row] + (bit >> U64(6)).astype(np.int64), U64(1) << (bit & U64(63)))
+    return out
+
+
+def _post(batches: Iterator[pa.RecordBatch], n: int, percent: int, maps: bool) -> Iterator[pa.RecordBatch]:
+    """Prefixes of the sets, dealt out by shingle, beside the classes that have them."""
     for batch in batches:
         token, counts = unvarints(batch.column("tokens").to_pylist())
         doc, size, label = (batch.column(c).to_numpy() for c in ("doc_id", "n", "label"))
@@ -200,65 +223,125 @@ def _post(batches: Iterator[pa.RecordBatch], n: int, percent: int) -> Iterator[p
         row = row_of(most)
         if not len(at):
             continue
+        width = _width(size)
+        flat, start = (parity_maps(token, counts, width), np.cumsum(width) - width) if maps else (np.empty(0, np.uint64), width)
         place = alone[row] + at - (np.cumsum(counts) - counts)[row]
-        cols = [c.astype(t) for c, t in zip((token[at], doc[row], size[row], place, label[row]), _POST_KIND)]
-        own = (mix(cols[0].copy()) % U64(n)).astype(np.int64)
+        token = token[at]
+        own = (mix(token.copy()) % U64(n)).astype(np.int64)
         order = np.argsort(own, kind="stable")
         edges = np.searchsorted(own[order], np.arange(n + 1))
-        cols = [c[order] for c in cols]
-        out = [(int(b), *(c[edges[b] : edges[b + 1]].tobytes() for c in cols)) for b in np.flatnonzero(np.diff(edges))]
+        out = []
+        for b in np.flatnonzero(np.diff(edges)):
+            take = order[edges[b] : edges[b + 1]]
+            have, code = np.unique(row[take], return_inverse=True)
+            cols = {"tokens": token[take], "code": code, "place": place[take], "doc": doc[have], "n": size[have], "alone": alone[have], "label": label[have]}
+            cols["maps"] = flat[ragged(start[have], width[have])] if maps else flat
+            out.append((int(b), *(cols[c].astype(kind).tobytes() for c, kind in _POST_KIND.items())))
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(_POST_ARROW)], schema=_POST_ARROW)
 
 
-def _lists(table: pa.Table, seed: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Posting lists; their members in the same pseudo-random order everywhere."""
-    cols = [np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in zip(_POST_ARROW.names[1:], _POST_KIND)]
-    token, doc = cols[:2]
-    order = np.lexsort((mix(doc.astype(np.uint64) * U64(2) + U64(1) + (U64(seed) << U64(52))), token))
-    cols = [c[order] for c in cols]
-    start = np.flatnonzero(np.diff(cols[0], prepend=cols[0][:1] ^ U64(1)) != 0)
-    return cols, start, np.diff(start, append=len(token))
-
-
-_STAR = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("c", pa.int64())])
-
-
-def _star(table: pa.Table, percent: int, seed: int) -> pa.Table:
+class Postings:
+    """The posting lists of one bucket, and the classes in them."""
+
+    def __init__(self, table: pa.Table, seed: int = 0):
+        cols = {c: [np.frombuffer(x, kind) for x in table.column(c).to_pylist()] for c, kind in _POST_KIND.items()}
+        upto = np.cumsum([0] + [len(d) for d in cols["doc"]])
+        code = np.concatenate([c.astype(np.int64) + u for c, u in zip(cols["code"], upto)])
+        self.doc, self.n, self.alone, self.label, self.maps = (np.concatenate(cols[c]) for c in ("doc", "n", "alone", "label", "maps"))
+        self.n, self.alone = self.n.astype(np.int64), self.alone.astype(np.int64)
+        token, place = np.concatenate(cols["tokens"]), np.concatenate(cols["place"]).astype(np.int64)
+        # members in the same pseudo-random order everywhere
+        rank = mix(self.doc.astype(np.uint64) * U64(2) + U64(1) + (U64(seed) << U64(52)))
+        order = np.lexsort((rank[code], token))
+        token, self.code, self.place = token[order], code[order], place[order]
+        self.start = np.flatnonzero(np.diff(token, prepend=token[:1] ^ U64(1)) != 0)
+        self.length = np.diff(self.start, append=len(token))
+
+    def tables(self) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """By width: bitmaps of the classes of that width or twice as wide, folded, and each class's row."""
+        width = _width(self.n)
+        first = np.cumsum(width) - width
+        out = {}
+        for w in (1 << k for k in range(NARROW.bit_length() - 1, WIDE.bit_length())):
+            own, twice = np.flatnonzero(width == w), np.flatnonzero(width == 2 * w)
+            maps = self.maps[first[own][:, None] + np.arange(w)]
+            folded = self.maps[first[twice][:, None] + np.arange(w)] ^ self.maps[first[twice][:, None] + np.arange(w, 2 * w)]
+            row = np.full(len(width), -1, np.int32)
+            row[own], row[twice] = np.arange(len(own)), len(own) + np.arange(len(twice))
+            out[w] = (np.concatenate((maps, folded)), row)
+        self.width = width
+        return out
+
+    def possible(self, percent: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Classes i and others j of other components that meet in a list and may link, with the least difference of each."""
+        tables = self.tables()
+        for s, m in zip(self.start[self.length > 1], self.length[self.length > 1]):
+            code, place = self.code[s : s + m], self.place[s : s + m]
+            label, n, alone, width = self.label[code], self.n[code], self.alone[code], self.width[code]
+            names, times = np.unique(label, return_counts=True)
+            if len(names) == 1:
+                continue
+            largest = label == names[times.argmax()]
+            minor = np.flatnonzero(~largest)
+            for i in minor:
+                j = np.flatnonzero((label != label[i]) & (largest | (np.arange(m) > i)))
+                both = n[j] + n[i]
+                # the lists before this place are different, and what follows has to be enough
+                fits = (100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i])) & ((100 + percent) * np.minimum(n[j] - place[j], n[i] - place[i]) >= percent * both)
+                j, both = j[fits], both[fits]
+                if not len(j):
+                    continue
+                differ = alone[j] + alone[i]
+                for narrow in (False, True):
+                    w = int(width[i]) >> narrow
+                    take = np.flatnonzero((width[j] < width[i]) == narrow)
+                    if len(take):
+                        maps, row = tables[w]
+                        differ[take] += np.bitwise_count(maps[row[code[j[take]]]] ^ maps[row[code[i]]]).sum(1, dtype=np.int64)
+                fits = (100 + percent) * differ <= (100 - percent) * both
+                if fits.any():
+                    yield int(code[i]), code[j[fits]], differ[fits] / both[fits]
+
+
+_STAR = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("c", pa.float64())])
+
+
+def _star(table: pa.Table, percent: int) -> pa.Table:
     """Each member of a posting list with the list's leader, if they are not connected yet."""
-    (_, doc, size, _, label), start, length = _lists(table, seed)
-    lead = np.repeat(start, length)
-    a, b = size[lead], size
-    fits = (label[lead] != label) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
-    pair = np.stack((doc[lead][fits], doc[fits]), 1)
-    pair, c = np.unique(pair, axis=0, return_counts=True)
-    return pa.Table.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1]), pa.array(c)], schema=_STAR)
+    p = Postings(table)
+    lead, own = np.repeat(p.code[p.start], p.length), p.code
+    fits = (p.label[lead] != p.label[own]) & (100 * np.minimum(p.n[lead], p.n[own]) >= percent * np.maximum(p.n[lead], p.n[own]))
+    pair, c = np.unique(np.stack((p.doc[lead][fits], p.doc[own][fits]), 1), axis=0, return_counts=True)
+    return pa.Table.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1]), pa.array(c.astype(float))], schema=_STAR)
+
+
+def _nearest(table: pa.Table, percent: int) -> pa.Table:
+    """Each class with the one of another component that its lists and the bounds put nearest."""
+    p = Postings(table)
+    near, far = np.full(len(p.doc), -1, np.int64), np.full(len(p.doc), np.inf)
+    for i, j, differ in p.possible(percent):
+        best = int(differ.argmin())
+        if differ[best] < far[i]:
+            far[i], near[i] = differ[best], j[best]
+        less = differ < far[j]
+        far[j[less]], near[j[less]] = differ[less], i
+    have = np.flatnonzero(near >= 0)
+    return pa.Table.from_arrays([pa.array(p.doc[near[have]]), pa.array(p.doc[have]), pa.array(-far[have])], schema=_STAR)
 
 
 _PAIR = pa.schema([("x", pa.int64()), ("y", pa.int64())])
 
 
 def _pairs(table: pa.Table, percent: int) -> pa.Table:
-    """Pairs of different components whose prefixes meet here and whose sizes and places allow a link."""
-    (_, doc, size, place, label), start, length = _lists(table, 0)
-    found: list[np.ndarray] = []
-    held = 0
-    for s, m in zip(start[length > 1], length[length > 1]):
-        e = s + m
-        if (label[s:e] == label[s]).all():
-            continue
-        for i in range(s, e - 1):
-            j = np.arange(i + 1, e)
-            j = j[(label[j] != label[i]) & (doc[j] != doc[i])]
-            small, large = np.minimum(size[j], size[i]), np.maximum(size[j], size[i])
-            most = 1 + np.minimum(size[j] - place[j], size[i] - place[i]) - 1
-            j = j[(100 * small >= percent * large) & ((100 + percent) * most >= percent * (size[j] + size[i]))]
-            if len(j):
-                found.append(np.stack((np.minimum(doc[j], doc[i]), np.maximum(doc[j], doc[i])), 1))
-                held += len(j)
+    """Pairs of different components that meet here and may link."""
+    p = Postings(table)
+    found, held = [np.empty((0, 2), np.int64)], 0
+    for i, j, _ in p.possible(percent):
+        found.append(np.stack((np.minimum(p.doc[j], p.doc[i]), np.maximum(p.doc[j], p.doc[i])), 1))
+        held += len(j)
         if held > 1 << 20:
-            found = [np.unique(np.concatenate(found), axis=0)]
-            held = 0
-    pair = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
+            found, held = [np.unique(np.concatenate(found), axis=0)], 0
+    pair = np.unique(np.concatenate(found), axis=0)
     return pa.Table.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], schema=_PAIR)
 
 
@@ -297,20 +380,17 @@ def _verify(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """Exact links among ``pairs``: partial overlaps of the fragments, summed per pair."""
     ys = segments.select(F.col("doc_id").alias("y"), F.col("n").alias("ny"), "segment", F.col("tokens").alias("b"))
     xs = segments.select(F.col("doc_id").alias("x"), F.col("n").alias("nx"), "segment", F.col("tokens").alias("a"))
-    wide = pairs.withColumn("segment", F.explode(F.sequence(F.lit(0), F.lit(SEGMENTS - 1))))
-    met = wide.join(ys, ["y", "segment"]).join(xs, ["x", "segment"])
+    met = pairs.join(ys, "y").join(xs, ["x", "segment"])
     part = met.select("x", "y", "nx", "ny", "a", "b").mapInArrow(_overlap, "x long, y long, n long, common long")
     total = part.groupBy("x", "y", "n").agg(F.sum("common").alias("common"))
     return total.where(100 * F.col("common") >= percent * (F.col("n") - F.col("common"))).select("x", "y")
 
 
 def _contract(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Labels after each linked document's label has gone over to its leader's, and on to that one's."""
-    own, lead = labels.select(F.col("doc_id").alias("y"), F.col("label").alias("from")), labels.select(F.col("doc_id").alias("x"), F.col("label").alias("to"))
-    move = links.join(own, "y").join(lead, "x").where("from <> to").groupBy("from").agg(F.min("to").alias("to"))
-    on = move.select(F.col("from").alias("to"), F.col("to").alias("on"))
-    move = move.join(on, "to", "left").select("from", F.coalesce("on", "to").alias("to"))
-    return settle(labels.join(move, labels.label == F.col("from"), "left").select("doc_id", F.coalesce("to", "label").alias("label")))
+    """Labels after linked documents' labels have become one."""
+    edges = links.join(labels.select(F.col("doc_id").alias("x"), F.col("label").alias("a")), "x").join(labels.select(F.col("doc_id").alias("y"), F.col("label").alias("b")), "y").select("a", "b")
+    merged = components(edges).withColumnRenamed("node", "label")
+    return settle(labels.join(merged, "label", "left").select("doc_id", F.coalesce("component", "label").alias("label")))
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75) -> DataFrame:
@@ -323,7 +403,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # one range of hashes each; a lower bound keeps all cores busy
-    n = min(1 << 16, max(shuffle_partitions(spark), size // FRAGMENT_BYTES, 1))
+    n = max(shuffle_partitions(spark), size // FRAGMENT_BYTES, 1)
     cut = own.mapInArrow(partial(_cut, n=n, k=k), _BLOCK)
     kept = grouped(cut, "bucket", _fragment, _BLOCK, n=n)
     sets = settle(grouped(kept, "bucket", _assemble, _SETS, percent=percent), "lz4")
@@ -332,26 +412,26 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     classes = settle(classes, "lz4")
     segments = settle(classes.select("doc_id", "n", "tokens").mapInArrow(_segments, "doc_id long, n long, segment int, tokens binary"), "lz4")
 
-    def deal(labels: DataFrame, each, schema: str, **options) -> DataFrame:
-        frame = classes.select("doc_id", "n", "tokens").join(labels, "doc_id")
-        posts = frame.mapInArrow(partial(_post, n=n, percent=percent), _POST)
-        return grouped(posts, "bucket", each, schema, percent=percent, **options)
-
-    # documents with one label are connected; not all that are connected have one
-    labels, links, joined = classes.select("doc_id", F.col("doc_id").alias("label")), None, 0
-    for seed in range(STARS):
-        stars = deal(labels, _star, "x long, y long, c long", seed=seed).groupBy("x", "y").agg(F.sum("c").alias("c"))
-        stars = stars.groupBy("y").agg(F.max_by("x", F.struct("c", -F.col("x"))).alias("x")).select("x", "y")
-        found = settle(_verify(stars, segments, percent))
-        links = found if links is None else links.unionByName(found)
-        new = found.count()
-        if new:
+    def deal(open_: DataFrame, labels: DataFrame, each, schema: str, maps: bool) -> DataFrame:
+        posts = open_.join(labels, "doc_id").mapInArrow(partial(_post, n=n, percent=percent, maps=maps), _POST)
+        return grouped(posts, "bucket", each, schema, percent=percent)
+
+    # documents with one label are connected; the rounds leave some connected ones with two
+    open_, labels = classes.select("doc_id", "n", "tokens"), classes.select("doc_id", F.col("doc_id").alias("label"))
+    for k in range(ROUNDS):
+        c = F.max("c") if k else F.sum("c")
+        best = deal(open_, labels, _nearest if k else _star, "x long, y long, c double", maps=k > 0).groupBy("x", "y").agg(c.alias("c"))
+        best = settle(best.groupBy("y").agg(F.max_by("x", F.struct("c", -F.col("x"))).alias("x")))
+        if k:  # who can link with no other component now never will
+            open_ = open_.join(best.select(F.col("y").alias("doc_id")), "doc_id", "left_semi")
+        found = settle(_verify(best.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), segments, percent))
+        if not found.isEmpty():
             labels = _contract(labels, found)
-        joined += new
-        if 10 * new <= joined:
+        elif k:
             break
-    rest = deal(labels, _pairs, "x long, y long").distinct()
-    late = components(links.unionByName(_verify(rest, segments, percent)))
+    rest = deal(open_, labels, _pairs, "x long, y long", maps=True).distinct()
+    labels = _contract(labels, _verify(rest, segments, percent))
     member = able.select("doc_id", "sig").join(classes.select("sig", F.col("doc_id").alias("node")), "sig")
-    member = member.join(late, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))
+    # a label is the smallest class of its component, and a class has the smallest doc_id of its copies
+    member = member.join(labels.withColumnRenamed("doc_id", "node"), "node").select("doc_id", F.col("label").alias("component_id"))
     return sets.select("doc_id", F.col("n").alias("n_shingles")).join(member, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
