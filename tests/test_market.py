@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.functions import scalars
-from tickloom.operators import asof, backtest, book, candles, indicators, l4, latency, ofi, sim, sweep, validate
+from tickloom.operators import asof, backtest, book, candles, indicators, l4, latency, ofi, validate
 
 TRADES = "symbol string, t_ms long, price double, size double, side string, arrival long"
 
@@ -35,7 +35,9 @@ def test_candle_without_volume_takes_the_close(spark):
 
 def test_anchored_candles_start_at_the_first_trade(spark):
     got = candles.anchored(trades(spark, [(7, 1.0, 1.0), (16, 2.0, 1.0), (17, 3.0, 1.0)]), 10).orderBy("end_ms").collect()
-    assert [(r.end_ms, r.close) for r in got] == [(17, 2.0), (27, 3.0)]
+    assert [(r.end_ms, r.close) for r in got] == [(17, 2.0)]  # no bucket starts at the last trade
+    got = candles.anchored(trades(spark, [(7, 1.0, 1.0), (17, 3.0, 1.0), (18, 4.0, 1.0)]), 10).orderBy("end_ms").collect()
+    assert [(r.end_ms, r.close) for r in got] == [(17, 1.0), (27, 4.0)]
 
 
 def closes(spark, values):
@@ -70,10 +72,10 @@ BOOKS = "symbol string, t_ms long, arrival long, bids array<struct<px:double,sz:
 
 def test_book_metrics(spark):
     rows = [("x", 0, 0, [(100.0, 6.0)], [(101.0, 2.0)]), ("x", 1, 1, [(100.0 - i, 500.0 if i == 9 else 1.0) for i in range(10)], [(101.0 + i, 1.0) for i in range(10)]), ("x", 2, 2, [(102.0, 1.0)], [(101.0, 1.0)]), ("x", 3, 3, [], [(1.0, 1.0)])]
-    a, b, c, d = book.metrics(spark.createDataFrame(rows, BOOKS)).orderBy("arrival").collect()
-    assert (a.mid, a.spread, a.imbalance) == (100.5, 1, 0.5)
-    assert b.imbalance > 0.9 and b.imbalance_5 == 0
-    assert c.crossed and d.mid is None and not d.crossed
+    a, b, c = book.metrics(spark.createDataFrame(rows, BOOKS)).orderBy("arrival").collect()  # a one-sided book has no row
+    assert (a.mid, a.spread, a.imbalance, a.bid_depth_5, a.ask_depth_5) == (100.5, 1, 0.5, 6, 2)
+    assert b.imbalance > 0.9 and b.imbalance_5 == 0 and (b.bid_volume, b.bid_depth_5) == (509, 5)
+    assert c.crossed
     assert book.sanitize(spark.createDataFrame(rows, BOOKS)).count() == 2
 
 
@@ -82,9 +84,50 @@ def test_findings(spark):
     assert sorted(r.code for r in validate.trade_findings(t).collect()) == ["price_change", "price_change", "price_not_positive", "size_not_positive"]
     spike = trades(spark, [(i, 1.0, 1.0) for i in range(10)] + [(11, 1.0, 20.0)])
     assert [r.code for r in validate.trade_findings(spike).collect()] == ["volume_spike"]
+    still = spark.createDataFrame([("x", i, 1.0, 0.0, "B", i) for i in range(3)] + [("x", 9, 1.0, 0.5, "B", 9)], TRADES)
+    assert sorted((r.arrival, r.code) for r in validate.trade_findings(still).collect()) == [(0, "size_not_positive"), (1, "size_not_positive"), (2, "size_not_positive"), (9, "volume_spike")]
     books = spark.createDataFrame([("x", 0, 0, [(102.0, 1.0)], [(101.0, 1.0)]), ("x", 1, 1, [(100.0, 1.0)], [(106.0, 1.0)]), ("x", 2, 2, [(1.0, 1.0), (2.0, 1.0)], [])], BOOKS)
     assert sorted((r.arrival, r.code, r.level) for r in validate.book_findings(books).collect()) == [(0, "crossed", "CRITICAL"), (1, "wide_spread", "WARNING"), (2, "bids_unsorted", "ERROR"), (2, "empty_asks", "ERROR")]
     assert validate.drop_critical(books, validate.book_findings(books)).count() == 2
+    assert [r.arrival for r in validate.checked_books(books).collect()] == [1]
+    assert validate.checked_trades(t.withColumn("recv_ts_ms", F.lit(5))).select("arrival", "side", "recv_ts_ms").collect() == [(0, "buy", 5), (1, "buy", 5)]
+
+
+def test_payloads(spark):
+    rows = [(0, "trade", None), (1, "trade", " {} "), (2, "trade", '{"price":"1.5","size":2}'), (3, "trade", '{"price":[1]}'), (4, "bbo", "nonsense"), (5, None, '{"a":1}')]
+    points = spark.createDataFrame([("x", i, i, k, d) for i, k, d in rows], "symbol string, t_ms long, arrival long, data_type string, data string")
+    got = sorted((r.arrival, r.code, r.level) for r in validate.structure_findings(points).collect())
+    assert got == [(0, "missing_data", "ERROR"), (1, "missing_data", "ERROR"), (3, "validation_error", "CRITICAL"), (4, "validation_error", "CRITICAL"), (5, "missing_data_type", "ERROR")]
+
+
+def test_quality_figures(spark):
+    levels = ["ERROR"] * 2 + ["WARNING"] * 3 + ["CRITICAL"] * 5
+    found = spark.createDataFrame([("x", "volume_spike" if v == "WARNING" else "e", v) for v in levels] + [("y", "duplicate", "WARNING")], "symbol string, code string, level string")
+    x, y, total = validate.report(found).orderBy(F.col("symbol").asc_nulls_last()).collect()
+    assert (x.findings, x.errors, x.warnings, x.criticals, x.spikes) == (10, 2, 3, 5, 3)
+    assert math.isclose(x.completeness, 0.8) and math.isclose(x.accuracy, 0.65)
+    assert (y.completeness, y.accuracy, y.duplicates) == (1, 0.5, 1) and (total.symbol, total.findings) == (None, 11)
+
+
+def test_rows_windows_do_not_depend_on_how_a_symbol_is_cut(spark):
+    t = trades(spark, [(i * 1000, 100.0 + i % 13, 1.0 + i % 5) for i in range(700)])
+    key = lambda rows: sorted((r.arrival, r.x) for r in rows)
+    from pyspark.sql.window import Window
+
+    whole = Window.partitionBy("symbol").orderBy("arrival").rowsBetween(-9, 0)
+    want = key(t.withColumn("x", F.sum("price").over(whole)).collect())
+    cut = asof.chunked(t, ["symbol"], ["arrival"], 9, 40)
+    got = cut.withColumn("x", F.sum("price").over(Window.partitionBy("symbol", "_b").orderBy("_pos").rowsBetween(-9, 0))).where("not _halo")
+    assert key(got.collect()) == want and cut.select("_b").distinct().count() > 9
+    assert sorted(r._pos for r in asof.numbered(t, ["symbol"], ["t_ms", "arrival"], 7000).collect()) == list(range(700))
+    assert [r.arrival for r in asof.newest(t, ["symbol"], ["t_ms", "arrival"], 5).orderBy("_rank").collect()] == [699, 698, 697, 696, 695]
+
+
+def test_tape_is_in_order(spark):
+    t = trades(spark, [(5, 1.0, 1.0), (3, 1.0, 1.0)])
+    books = spark.createDataFrame([("x", 3, 0, [(1.0, 1.0)], [(2.0, 1.0)]), ("x", 5, 1, [(1.0, 1.0)], [(2.0, 1.0)])], BOOKS)
+    got = [(r.t_ms, r.rank, r.place) for r in asof.merge_events(t, books).collect()]
+    assert got == [(3, 0, 0), (3, 1, 1), (5, 0, 2), (5, 1, 3)]
 
 
 def test_times(spark):
@@ -144,8 +187,14 @@ def test_latency(spark):
     d = spark.createDataFrame([("x", float(v)) for v in [50] * 98 + [500, 2000]], "symbol string, delta_ms double")
     got = {r.q: r.value_ms for r in latency.percentiles(latency.histogram(d, (10, 100, 1000)), (0.5, 0.99, 1.0)).collect()}
     assert got == {0.5: 100, 0.99: 1000, 1.0: 2000}
+    assert latency.BOUNDS == (1, 2, 5, 10, 20, 50, 100, 200, 500, 1000, 2000, 5000, 10000)
     row = latency.summary(spark.createDataFrame([("x", 100.0), ("x", 200.0)], d.schema), 50).first()
-    assert (row.p50, row.adjusted_p50, row.adjusted_most) == (100, 150, 250)
+    assert (row.raw.p50_ms, row.adjusted.p50_ms, row.adjusted.max_ms) == (100, 150, 250)
+    row = latency.summary(spark.createDataFrame([("x", float(v)) for v in range(-3, 97)] + [("x", 1 / 3)], d.schema)).first()
+    assert (row["count"], row.negative_count, row.raw.p1_ms, row.raw.p90_ms, row.adjusted) == (101, 3, -2, 86, None)
+    assert row.raw.mean_ms == round((sum(range(-3, 97)) + 1 / 3) / 101, 3)
+    shot = latency.snapshot(latency.histogram(d)).first()
+    assert (shot["count"], shot.mean_ms, shot.p50_ms, shot.p99_ms, shot.max_ms, shot.negative_count) == (100, 74, 50, 500, 2000, 0)
     low = latency.histogram(spark.createDataFrame([("x", -5.0)], d.schema)).first()
     assert (low.negatives, low.total_ms, low.bucket) == (1, 0, 0)
 
@@ -187,14 +236,56 @@ def test_l4_final_state_and_queue(spark):
     orders = l4.final_orders(d)
     assert {(r.oid, r.size) for r in orders.collect()} == {(1, 0.2), (2, 0.1)}
     assert {r.oid: (r.orders_ahead, r.size_ahead) for r in l4.queue_positions(orders).collect()} == {2: (0, 0.0), 1: (1, 0.1)}
-    a = l4.anomalies(d).first()
-    assert (a.duplicate_new, a.unknown_oid, a.height_gaps) == (1, 2, 0)
+    assert {r.type: r.n for r in l4.anomalies(d).collect()} == {"duplicate_new": 1, "unknown_oid_update": 2, "update_to_zero": 1}
     tops = {r.height: r for r in l4.block_tops(d).collect()}
     assert (tops[1].bid_px, tops[1].bid_sz, tops[1].ask_px) == ("100.0", 0.8, None)
     assert (tops[4].mid, tops[5].ask_px, tops[6].ask_px) == (100.5, None, None)
-    # any cut into epochs gives the same tops
-    key = lambda rows: sorted((r.height, r.bid_px, round(r.bid_sz, 9), r.ask_px, r.mid) for r in rows)
-    assert key(l4.block_tops(d, 2).collect()) == key(tops.values())
+    # blocks without diffs are told too, from before the first one to after the last
+    blocks = spark.createDataFrame([("X", h) for h in range(-2, 12)], "coin string, height long")
+    all_ = {r.height: r for r in l4.block_tops(d, blocks).collect()}
+    assert set(all_) == set(range(-2, 12)) and (all_[0].bid_px, all_[0].n_diffs) == (None, 0)
+    assert all(all_[h].bid_sz == tops[h].bid_sz and all_[h].ask_px == tops[h].ask_px for h in tops) and all_[11].bid_sz == tops[6].bid_sz
+    assert l4.block_tops(d.limit(0)).count() == 0
+
+
+def test_block_tops_are_those_of_a_replayed_book(spark):
+    import random
+
+    rng = random.Random(3)
+    rows, book_, want = [], l4.Book(), {}
+    for h in range(0, 400, 2):
+        for _ in range(rng.randint(1, 4)):
+            oid, kind = rng.randint(1, 30), rng.choice(["new", "new", "update", "remove"])
+            row = (h, oid, "B" if oid % 2 else "A", str(rng.randint(90, 99) if oid % 2 else rng.randint(98, 107)), kind, float(rng.randint(1, 9)) if kind == "new" else None, float(rng.randint(0, 5)) if kind == "update" else None)
+            rows.append(row)
+            book_.apply(*row[1:])
+        bid, ask = book_.best("B"), book_.best("A")
+        want[h] = (bid and bid[0], bid and bid[1], ask and ask[0], ask and ask[1], bool(bid and ask and float(bid[0]) >= float(ask[0])))
+    got = {r.height: (r.bid_px, r.bid_sz, r.ask_px, r.ask_sz, r.crossed) for r in l4.block_tops(diff_rows(spark, rows)).collect()}
+    assert got == want and any(w[4] for w in want.values())
+
+
+def test_anomalies_by_type(spark):
+    rows = [
+        (1, 1, "B", "1", "new", 2.0, None, None), (2, 1, "B", "1", "update", None, 1.0, 2.0), (3, 1, "B", "1", "update", None, 0.5, 9.0), (4, 1, "B", "1", "update", None, None, None), (5, 2, "B", "x", "new", 1.0, None, None),
+        (6, 3, "B", "1", "new", None, None, None), (7, 1, "B", "1", "odd", None, None, None), (8, 1, "B", "1", "update", None, 0.0, 0.5), (9, 1, "B", "1", "remove", None, None, None), (11, 1, "B", "1", "new", 1.0, None, None),
+    ]
+    d = spark.createDataFrame([("X", h, i, *r) for i, (h, *r) in enumerate(rows)], DIFFS + ", orig_sz double")
+    got = sorted((r.height, r.type) for r in l4.anomaly_rows(d).collect())
+    assert got == [(3, "orig_sz_mismatch"), (4, "bad_decimal"), (5, "bad_decimal"), (6, "new_without_sz"), (7, "unknown_kind"), (8, "update_to_zero"), (9, "unknown_oid_remove")]
+    assert {r.type: r.n for r in l4.anomalies(d).collect()}["height_gap"] == 1
+    assert {r.type for r in l4.anomaly_rows(d, "Y").collect()} == {"coin_mismatch"}
+    assert sorted(r.height for r in l4.newest_anomalies(d, n=3).collect()) == [7, 8, 9]
+
+
+def test_checksum_covers_queue_order(spark):
+    import hashlib
+
+    rows = [(1, 1, "B", "100.0", "new", 0.5, None), (1, 2, "B", "100.0", "new", 3.0, None), (2, 3, "B", "101.0", "new", 1.0, None), (2, 4, "A", "102.5", "new", 1e-7, None)]
+    digest = lambda d: l4.checksum(l4.final_orders(d), d).first().checksum
+    text = "coin=X;height=2;B|101.0|3:1;B|100.0|1:0.5,2:3;A|102.5|4:0.0000001;"
+    assert digest(diff_rows(spark, rows)) == hashlib.sha256(text.encode()).hexdigest()
+    assert digest(diff_rows(spark, [rows[1], rows[0], *rows[2:]])) != digest(diff_rows(spark, rows))
 
 
 def test_l4_snapshot_replaces_what_came_before(spark):
@@ -203,94 +294,10 @@ def test_l4_snapshot_replaces_what_came_before(spark):
     assert [(r.oid, r.size) for r in l4.final_orders(l4.with_snapshot(snap, d)).collect()] == [(2, 3.0)]
 
 
-def test_fifo_allocation():
-    assert sim.allocate(5.5, 5, [1.0, 0.5]) == [0.5, 0.0]
-    assert [round(x, 9) for x in sim.allocate(6.4, 5, [1.0, 0.5])] == [1.0, 0.4]
-
-
-@pytest.mark.parametrize(("bound", "ahead"), [("pessimistic", 5.0), ("optimistic", 1.0), ("pro_rata", 25 / 9)])
-def test_queue_bounds(bound, ahead):
-    q = sim.Queues(bound)
-    q.book({100.0: 5.0}, {101.0: 1.0})
-    o = q.place("B", 100.0, 1.0)
-    q.book({100.0: 9.0}, {101.0: 1.0})
-    for left in (8.0, 5.0):
-        q.book({100.0: left}, {101.0: 1.0})
-    assert math.isclose(q.ahead(o), ahead)
-
-
-def test_through_prints_fill_whole_orders_and_bounds_bracket():
-    got = {}
-    for bound in sim.BOUNDS:
-        q = sim.Queues(bound)
-        q.book({100.0: 4.0}, {101.0: 1.0})
-        q.place("B", 100.0, 1.0)
-        q.book({100.0: 6.0}, {101.0: 1.0})
-        q.book({100.0: 4.0}, {101.0: 1.0})
-        got[bound] = sum(f[3] for f in q.print_("A", 100.0, 3.0))
-    assert got["pessimistic"] <= got["pro_rata"] <= got["optimistic"]
-    q = sim.Queues("pessimistic")
-    q.book({100.0: 50.0}, {101.0: 1.0})
-    q.place("B", 100.0, 2.0)
-    assert [(f[3], f[4]) for f in q.print_("A", 99.0, 0.1)] == [(2.0, 50.0)] and not q.open
-
-
-def test_exact_queues_settle_prints_once():
-    d = lambda kind, oid, sz=None, new=None: {"side": "B", "px": "100.0", "kind": kind, "oid": oid, "sz": sz, "new_sz": new}
-    q = sim.ExactQueues("exact")
-    q.settle([d("new", 1, 0.5), d("new", 2, 0.3)])
-    q.book({100.0: 0.8}, {})
-    o = q.place("B", 100.0, 1.0)
-    assert math.isclose(q.ahead(o), 0.8)
-    assert q.print_("A", 100.0, 0.6) == []
-    q.settle([d("remove", 1), d("update", 2, new=0.2), d("new", 3, 9.0)])
-    assert math.isclose(q.ahead(o), 0.2)
-    (fill,) = q.print_("A", 100.0, 0.4)
-    assert math.isclose(fill[3], 0.2) and math.isclose(fill[4], 0.2)
-    q.settle([d("remove", 2), d("remove", 77)])
-    assert q.ahead(o) == 0 and q.unknown == 1
-
-
-def test_exact_cell_and_stale_book(spark):
-    diff = lambda t, *ds, stale=False: ("X", "d", t, 1, t, None, None, None, None, None, list(ds), stale)
-    new = lambda oid, side, px: {"oid": oid, "side": side, "px": px, "kind": "new", "sz": 2.0, "new_sz": None}
-    rows = [diff(0, new(1, "B", "100.0"), new(2, "A", "100.2")), diff(1000), ("X", "d", 1500, 0, 1, 100.0, 2.5, "A", None, None, None, False), diff(2000, {**new(1, "B", "100.0"), "kind": "remove"}, new(3, "B", "100.0"), stale=True), ("X", "d", 2100, 0, 2, 99.0, 9.0, "A", None, None, None, False), diff(2200)]
-    tape = spark.createDataFrame(rows, "coin string, day string, t_ms long, rank int, arrival long, price double, size double, side string, bids array<struct<px:double,sz:double>>, asks array<struct<px:double,sz:double>>, diffs array<struct<oid:long,side:string,px:string,kind:string,sz:double,new_sz:double>>, stale boolean")
-    cells = spark.createDataFrame([("join", "X", "d", "exact", 1.0, None, 400.0, 0.0, 0.0)], "param string, coin string, day string, bound string, size double, width double, delay_ms double, fee_bps double, funding_hourly double")
-    fills = sim.simulate(tape, cells).where("kind = 'fill'").collect()
-    assert [(f.t_ms, f.size, f.ahead) for f in fills] == [(2000, 0.5, 2.0)]  # the stale book dropped the rest
-
-
-def test_quotes():
-    at = lambda **k: sim.quotes(**{"bid": 100.5, "ask": 100.6, "signal": 0.0, "inventory": 0.0, "limit": 5.0, "tick": 0.1, "width": 2, **k})
-    assert at() == {"B": 100.3, "A": 100.8}
-    assert at(width=0) == {"B": 100.5, "A": 100.6}
-    assert at(signal=3.0) == {"B": 100.5, "A": 101.1}
-    assert at(tilt=1.0) == {"B": 100.2, "A": 100.7}
-    assert at(inventory=5.0)["B"] is None and at(bid=101.0) == {"B": None, "A": None}
-    assert at(width=None, signal=2.0) == {"B": 100.5, "A": None}
-
-
-def test_simulated_cell_and_decomposition(spark):
-    book_ = lambda t, b: ("X", "d", t, 1, t, None, None, None, [(b, 2.0)], [(round(b + 0.2, 1), 2.0)])
-    rows = [book_(0, 100.0), book_(1000, 100.0), ("X", "d", 1500, 0, 1, 100.0, 2.5, "A", None, None), book_(2000, 100.0), book_(9000, 101.0)]
-    tape = spark.createDataFrame(rows, "coin string, day string, t_ms long, rank int, arrival long, price double, size double, side string, bids array<struct<px:double,sz:double>>, asks array<struct<px:double,sz:double>>")
-    cells = spark.createDataFrame([("join", "X", "d", b, 1.0, None, 400.0, 1.5, 0.0) for b in sim.BOUNDS], "param string, coin string, day string, bound string, size double, width double, delay_ms double, fee_bps double, funding_hourly double")
-    series = sim.simulate(tape, cells).cache()
-    fills = {r.bound: (r.size, r.inventory) for r in series.where("kind = 'fill'").collect()}
-    assert fills == {b: (0.5, 0.5) for b in sim.BOUNDS}
-    for r in sweep.decompose(series).collect():
-        assert math.isclose(r.fees, -0.0075) and math.isclose(r.spread_capture, 0.05)
-        assert math.isclose(r.total_pnl, r.spread_capture + r.drift + r.fees + r.funding + r.residual)
-    total = {r.bound: r.total_pnl for r in sweep.decompose(series).collect()}
-    for r in sweep.buckets(series, 1000).groupBy("bound").agg(F.sum("pnl").alias("p")).collect():
-        assert math.isclose(r.p, total[r.bound])  # buckets telescope
-
-
-def test_gate_needs_every_day(spark):
-    rows = [("X", "p", d, b, r, v) for b in sim.BOUNDS for d, r, v in (("1", "low", 5.0), ("2", "high", -1.0))]
-    row = sweep.gate(spark.createDataFrame(rows, "coin string, param string, day string, bound string, regime string, pnl double")).first()
-    assert (row.passes, row.min_day, row.advisory, row.day_pnls) == (False, -1.0, True, {"1": 5.0, "2": -1.0})
+def test_fifo_allocation(spark):
+    orders = spark.createDataFrame([("L", 1, 1.0), ("L", 2, 0.5)], "level string, arrival long, size double")
+    fills = lambda printed: [round(r.filled, 9) for r in l4.allocate(orders, F.lit(printed), F.lit(5.0), ["level"], ["arrival"]).orderBy("arrival").collect()]
+    assert fills(5.5) == [0.5, 0.0] and fills(6.4) == [1.0, 0.4] and fills(4.0) == [0.0, 0.0]
 
 
 def test_scalars(spark):
@@ -300,3 +307,5 @@ def test_scalars(spark):
     assert scalars.timeframe_ms("5m") == 300_000 and scalars.timeframe_ms("1d") == 86_400_000
     with pytest.raises(Exception, match="not a side"):
         df.select(scalars.side(F.col("side"), strict=True)).collect()
+    texts = spark.createDataFrame([('{"a":null,"b":"2"}',), ('{"b":"2"}',), ('{"c":{"b":1}}',), ("x",)], "j string")
+    assert [r[0] for r in texts.select(scalars.first_path(F.col("j"), "$.a", "$.b", "$.c.b")).collect()] == [None, "2", "1", None]

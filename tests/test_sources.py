@@ -54,21 +54,30 @@ def test_capture_loader_skips_junk(spark):
     assert frames.capture_trades(raw(spark, trade(0), trade(3))).count() == 1
 
 
-def event(**k):
-    return {"user": "u", "oid": 1, "coin": "BTC", "side": "B", "px": "100.0", "raw_book_diff": {"new": {"sz": "0.5"}}, **k}
+#: name: what the line says of order 1, and what is read: kind, size, new size, reason
+CHANGES = {
+    "placed": ({"raw_book_diff": {"new": {"sz": "0.5"}}}, ("new", 0.5, None, None)), "gone": ({"raw_book_diff": "remove"}, ("remove", None, None, None)),
+    "resized": ({"rawBookDiff": {"update": {"origSz": "1", "newSz": "2"}}}, ("update", None, 2.0, None)), "snake": ({"raw_book_diff": {"update": {"new_sz": "3"}}}, ("update", None, 3.0, None)),
+    "named": ({"raw_book_diff": {"new": {"sz": "0.5"}}, "memo": 1}, ("new", 0.5, None, None)), "strange": ({"raw_book_diff": {"odd": 1}}, (None, None, None, "unsupported diff")),
+    "nulled": ({"raw_book_diff": None, "rawBookDiff": "remove"}, (None, None, None, "unsupported diff")),
+}
+
+
+def line(name):
+    return {"oid": 1, "coin": "BTC", "side": "B", "px": "100.0", **CHANGES[name][0]}
 
 
 def test_diff_lines(spark):
-    f = raw(
-        spark, event(), {"time": 9, "height": 5, "data": {"order_statuses": [], "book_diffs": [event(raw_book_diff="remove"), event(raw_book_diff={"update": {"origSz": "1", "newSz": "2"}}), {"oid": 3}]}}, {"time": 9, "height": 6, "data": {"book_diffs": []}},
-        event(raw_book_diff={"odd": 1}), event(extra=1),
-    )
+    blocks = [{"time": 9, "height": 5, "data": {"order_statuses": [], "book_diffs": [line("gone"), line("resized"), {"oid": 3}]}}, {"time": 9, "height": 6, "data": {"book_diffs": []}}, {"time": 9, "height": 7, "book_diffs": [line("snake")]}, {"time": 9, "height": 8}]
+    bare = ["placed", "strange", "named", "nulled"]
+    f = raw(spark, *(line(n) for n in bare), *blocks, "no json")
     got = [(r.height, r.kind, r.sz, r.new_sz, r.reason) for r in diffs.events(f).orderBy("ordinal", "pos").collect()]
-    assert got == [(None, "new", 0.5, None, None), (5, "remove", None, None, None), (5, "update", None, 2.0, None), (5, None, None, None, "missing coin,side,px"), (None, None, None, None, "unsupported diff"), (None, "new", 0.5, None, None)]
-    for bad in (event(extra=1), {"oid": 3}, event(raw_book_diff={"odd": 1})):
+    want = [(None, *CHANGES[n][1]) for n in bare] + [(5, *CHANGES["gone"][1]), (5, *CHANGES["resized"][1]), (5, None, None, None, "missing coin,side,px"), (7, *CHANGES["snake"][1]), (None, None, None, None, "not an object")]
+    assert got == want
+    for bad in (line("named"), {"oid": 3}, line("strange")):
         with pytest.raises(Exception, match="unknown|missing|unsupported"):
             diffs.events(raw(spark, bad), strict=True).collect()
-    assert {r.coin: (r.diffs, r.rejected) for r in diffs.counters(diffs.events(f)).collect()} == {"BTC": (4, 0), "": (0, 2)}
+    assert {r.coin: (r.diffs, r.rejected) for r in diffs.counters(diffs.events(f)).collect()} == {"BTC": (5, 0), "": (0, 4)}
 
 
 def test_snapshot_keeps_queue_order(spark):
@@ -82,6 +91,7 @@ def test_requests(spark):
     spans = spark.sql("select 'BTC' symbol, date'2024-01-31' first_day, date'2024-02-01' last_day")
     assert archive.requests(spans, ["trades", "asset_ctxs"]).count() == 2 * 24 + 2
     assert archive.requests(spans, ["asset_ctxs"]).orderBy("path").first().path == "asset_ctxs/20240131.csv.lz4"
+    assert sorted(r.path for r in archive.requests(spans, ["node_fills"]).collect()) == ["node_fills_by_block/20240131/", "node_fills_by_block/20240201/"]
     with pytest.raises(ValueError, match="unknown data type"):
         archive.requests(spans, ["nope"])
 

@@ -69,12 +69,13 @@ def frame(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.command == "replay":
         lines = diffs.lines(spark, args.paths if len(args.paths) > 1 else args.paths[0])
         events = diffs.events(lines, args.strict).where("reason is null")
-        events = events.withColumns({"height": F.coalesce("height", "ordinal"), "pos": F.col("pos").cast("bigint")}).drop("ordinal", "time_ms", "reason", "orig_sz")
+        events = events.withColumns({"height": F.coalesce("height", "ordinal"), "pos": F.col("pos").cast("bigint")}).drop("ordinal", "time_ms", "reason")
         if args.snapshot:
             whole = spark.read.text(args.snapshot, wholetext=True).select(F.col("value").alias("raw"))
             events = l4.with_snapshot(diffs.snapshots(whole), events)
         tops = l4.top(l4.levels(l4.final_orders(events))).groupBy("coin").pivot("side", ["B", "A"]).agg(F.first("px").alias("px"), F.first("size").alias("size"))
-        return l4.anomalies(events).join(tops, "coin", "left").join(l4.checksum(l4.levels(l4.final_orders(events))), "coin", "left")
+        odd = l4.anomalies(events).groupBy("coin").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("type", "n")))).alias("anomalies"))
+        return l4.checksum(l4.final_orders(events), events).join(tops, "coin", "left").join(odd, "coin", "left")
     if args.command == "candles":
         return candles.tumbling(spark.read.parquet(args.path), timeframe_ms(args.timeframe))
     if args.command == "backtest":

@@ -31,8 +31,13 @@ def side(raw: Column, strict: bool = False) -> Column:
 
 
 def first_path(json: Column, *paths: str) -> Column:
-    """Value of the first path that is present; aliases of one field."""
-    return F.coalesce(*[F.get_json_object(json, p) for p in paths])
+    """Value of the first path whose key is present, even if its value is null; aliases of one field."""
+    out = F.lit(None).cast("string")
+    for path in reversed(paths):
+        parent, _, key = path.rpartition(".")
+        keys = F.json_object_keys(json if parent == "$" else F.get_json_object(json, parent))
+        out = F.when(F.coalesce(F.array_contains(keys, key), F.lit(False)), F.get_json_object(json, path)).otherwise(out)
+    return out
 
 
 def number(raw: Column) -> Column:

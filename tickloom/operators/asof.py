@@ -32,6 +32,49 @@ def haloed(frame: DataFrame, width: int, t: str = "t_ms") -> DataFrame:
     return frame.withColumn("_b", F.explode(both)).withColumn("_halo", F.col("_b") != F.floor(F.col(t) / size))
 
 
+#: numbers of an ordering column that make one bucket of ``numbered``, rows that make one chunk of ``chunked``
+SPAN, CHUNK = 1_000_000, 100_000
+
+
+def numbered(frame: DataFrame, keys: list[str], order: list[str], span: int = SPAN) -> DataFrame:
+    """``frame`` with ``_pos``, the place of a row in its key from 0 on.
+
+    Rows are ordered inside (keys, bucket of the first ordering column); one count per bucket is summed
+    by key alone.
+    """
+    rows = frame.withColumn("_b", F.floor(F.col(order[0]) / span))
+    counts = rows.groupBy(*keys, "_b").agg(F.count("*").alias("_c"))
+    before = F.coalesce(F.sum("_c").over(Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b").alias("_ob"), before.alias("_before"))
+    same = F.col("_b").eqNullSafe(F.col("_ob"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    own = F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*order)) - 1
+    placed = rows.withColumn("_own", own).join(offsets, same)
+    return placed.withColumn("_pos", F.col("_own") + F.col("_before")).select(*frame.columns, "_pos")
+
+
+def chunked(frame: DataFrame, keys: list[str], order: list[str], back: int, chunk: int = CHUNK) -> DataFrame:
+    """``frame`` numbered and cut into chunks ``_b`` of rows; the last ``back`` rows of a chunk are also in the
+    next one, as ``_halo``, so that windows of up to ``back`` rows never leave their chunk."""
+    size = max(chunk, 4 * back)
+    own = F.floor(F.col("_pos") / size)
+    both = F.when(F.col("_pos") >= (own + 1) * size - back, F.array(own, own + 1)).otherwise(F.array(own))
+    return numbered(frame, keys, order).withColumn("_b", F.explode(both)).withColumn("_halo", F.col("_b") != F.floor(F.col("_pos") / size))
+
+
+def newest(frame: DataFrame, keys: list[str], order: list[str], n: int, shares: int = 64) -> DataFrame:
+    """The last ``n`` rows of each key by ``order``, with their rank from 1 on as ``_rank``.
+
+    Each of ``shares`` shares of a key keeps its own last ``n`` first, so a busy key is never ordered whole.
+    """
+    down = [F.desc(c) for c in order]
+    share = F.pmod(F.xxhash64(*order), F.lit(shares)).alias("_share")
+    rows = frame.select("*", share)
+    first = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys, "_share").orderBy(*down))).where(F.col("_rank") <= n).drop("_rank", "_share")
+    return first.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*down))).where(F.col("_rank") <= n)
+
+
 def asof(left: DataFrame, right: DataFrame, values: list[str], key: str = "symbol", t: str = "t_ms", order: str = "arrival", strict: bool = False, bucket: int = BUCKET_MS) -> DataFrame:
     """``left`` with ``values`` of the last ``right`` row of its key at or before its time.
 
@@ -55,8 +98,10 @@ def asof(left: DataFrame, right: DataFrame, values: list[str], key: str = "symbo
 def merge_events(trades: DataFrame, books: DataFrame) -> DataFrame:
     """One ordered tape: trades before books of the same millisecond, then input order.
 
-    ``rank`` is 0 for trades and 1 for books; sorting is per symbol, inside partitions.
+    ``rank`` is 0 for trades and 1 for books, ``place`` numbers a symbol's events from 0 on.  Rows are range
+    partitioned by symbol, time, rank and input order, so a busy symbol is many tasks' work.
     """
     t = trades.select("symbol", "t_ms", F.lit(0).alias("rank"), "arrival", F.struct("price", "size", "side").alias("trade"), F.lit(None).alias("book"))
     b = books.select("symbol", "t_ms", F.lit(1).alias("rank"), "arrival", F.lit(None).alias("trade"), F.struct("bids", "asks").alias("book"))
-    return t.unionByName(b).repartition("symbol").sortWithinPartitions("symbol", "t_ms", "rank", "arrival")
+    tape = numbered(t.unionByName(b), ["symbol"], ["t_ms", "rank", "arrival"], BUCKET_MS).withColumnRenamed("_pos", "place")
+    return tape.repartitionByRange("symbol", "t_ms", "rank", "arrival").sortWithinPartitions("symbol", "t_ms", "rank", "arrival")

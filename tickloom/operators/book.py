@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.scalars import imbalance, mid, spread_bps
 
@@ -43,18 +44,39 @@ def is_sorted(levels: Column, bids: bool) -> Column:
 
 
 def metrics(books: DataFrame) -> DataFrame:
-    """Best prices, mid, spread, depth volumes and imbalances; null prices where a side is empty."""
+    """Best prices, mid, spread, depth volumes and imbalances; a book with an empty side has no row."""
     bid, ask = F.get("bids", F.lit(0)), F.get("asks", F.lit(0))
     bp, ap = bid["px"], ask["px"]
     bv, av = volume(F.col("bids")), volume(F.col("asks"))
     b5, a5 = volume(F.col("bids"), 5), volume(F.col("asks"), 5)
-    return books.select(
+    return books.where((F.size("bids") > 0) & (F.size("asks") > 0)).select(
         "symbol", "t_ms", "arrival", bp.alias("best_bid"), ap.alias("best_ask"), bid["sz"].alias("bid_size"), ask["sz"].alias("ask_size"), mid(bp, ap).alias("mid"), (ap - bp).alias("spread"),
-        F.when(bp.isNotNull() & ap.isNotNull(), spread_bps(bp, ap)).alias("spread_bps"), bv.alias("bid_volume"), av.alias("ask_volume"), imbalance(bv, av).alias("imbalance"), imbalance(b5, a5).alias("imbalance_5"),
+        spread_bps(bp, ap).alias("spread_bps"), bv.alias("bid_volume"), av.alias("ask_volume"), b5.alias("bid_depth_5"), a5.alias("ask_depth_5"), imbalance(bv, av).alias("imbalance"), imbalance(b5, a5).alias("imbalance_5"),
         F.size("bids").cast("long").alias("bid_levels"), F.size("asks").cast("long").alias("ask_levels"), F.coalesce(bp >= ap, F.lit(False)).alias("crossed"),
     )
 
 
+def capture_summary(quotes: DataFrame, places: int = 9) -> DataFrame:
+    """Median and interpolated 95th percentile of the spread, mean imbalance, first and last bid of each symbol.
+
+    Spreads are counted by value (to ``places``) before they are ordered.
+    """
+    order = F.struct("t_ms", "arrival")
+    spread = F.round(F.col("ask_px") - F.col("bid_px"), places)
+    counts = quotes.groupBy("symbol", spread.alias("x")).agg(F.count("*").alias("c"))
+    w = Window.partitionBy("symbol")
+    run = counts.withColumns({"upto": F.sum("c").over(w.orderBy("x")), "n": F.sum("c").over(w)})
+    at = lambda place: F.min(F.when(F.col("upto") > place, F.col("x")))
+    out = []
+    for name, q in (("spread_median", 0.5), ("spread_p95", 0.95)):
+        place = (F.col("n") - 1) * q
+        low, high = at(F.floor(place)), at(F.ceil(place))
+        out.append((low + (high - low) * F.max(place - F.floor(place))).alias(name))
+    spreads = run.groupBy("symbol").agg(*out)
+    rest = quotes.groupBy("symbol").agg(F.avg(F.abs(imbalance(F.col("bid_sz"), F.col("ask_sz")))).alias("imbalance_abs"), F.min_by("bid_px", order).alias("first_bid"), F.max_by("bid_px", order).alias("last_bid"))
+    return spreads.join(rest, "symbol")
+
+
 def sanitize(books: DataFrame) -> DataFrame:
     """Cleaned and sorted books; empty or crossed ones go."""
     bids, asks = best_first(clean_levels(F.col("bids")), True), best_first(clean_levels(F.col("asks")), False)

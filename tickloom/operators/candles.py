@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.scalars import ratio
-from .asof import haloed
+from .asof import haloed, newest
 
 
 def ohlcv(order: Column) -> list[Column]:
@@ -32,15 +32,21 @@ def tumbling_without_size(trades: DataFrame, width_ms: int) -> DataFrame:
     return tumbling(trades.withColumn("size", F.lit(1.0)), width_ms)
 
 
+def resampled(frame: DataFrame, width_ms: int, value: str = "price") -> DataFrame:
+    """``symbol, start_ms, mean, last`` of a value in epoch-aligned buckets."""
+    start = (F.floor(F.col("t_ms") / width_ms) * width_ms).alias("start_ms")
+    return frame.groupBy("symbol", start).agg(F.avg(value).alias("mean"), F.max_by(value, F.struct("t_ms", "arrival")).alias("last"))
+
+
 def anchored(trades: DataFrame, width_ms: int) -> DataFrame:
     """Buckets that start at each symbol's first trade, labelled by their end.
 
-    The first time is a pre-aggregated minimum joined back, so a hot symbol is not sorted in one task.
+    A bucket that would start at the last trade is not made, as buckets start before it.  The first time is a pre-aggregated minimum joined back, so a hot symbol is not sorted in one task.
     """
-    first = trades.groupBy("symbol").agg(F.min("t_ms").alias("t0"))
+    first = trades.groupBy("symbol").agg(F.min("t_ms").alias("t0"), F.max("t_ms").alias("t1"))
     placed = trades.join(F.broadcast(first) if _few(first) else first, "symbol")
     end = F.col("t0") + (F.floor((F.col("t_ms") - F.col("t0")) / width_ms) + 1) * width_ms
-    return placed.withColumn("end_ms", end).groupBy("symbol", "end_ms").agg(*ohlcv(F.struct("t_ms", "arrival")))
+    return placed.withColumn("end_ms", end).where(F.col("end_ms") - width_ms < F.col("t1")).groupBy("symbol", "end_ms").agg(*ohlcv(F.struct("t_ms", "arrival")))
 
 
 def _few(frame: DataFrame, most: int = 100_000) -> bool:
@@ -51,35 +57,28 @@ def trailing(trades: DataFrame, width_ms: int, in_order: bool = False) -> DataFr
     """One candle per trade over ``[t - width, t)``, without the trade itself.
 
     Only trades that have arrived earlier count, and open and close follow arrival.  A trade without
-    such predecessors has no row.  With ``in_order`` arrival is known to follow time and the frame
-    aggregates suffice.
+    such predecessors has no row.  Frame aggregates serve every trade whose window holds none that arrived
+    later; only the others are joined with their window's trades.  With ``in_order`` arrival is known to
+    follow time, and there are no others.
     """
     trades = haloed(trades, width_ms)
     w = Window.partitionBy("symbol", "_b").orderBy("t_ms").rangeBetween(-width_ms, -1)
     keys = ["symbol", "t_ms", "arrival"]
-    if in_order:
-        price, size = F.col("price"), F.col("size")
-        by = F.col("arrival")
-        out = trades.select(
-            *keys, F.min_by(price, by).over(w).alias("open"), F.max(price).over(w).alias("high"), F.min(price).over(w).alias("low"), F.max_by(price, by).over(w).alias("close"),
-            F.sum(size).over(w).alias("volume"), F.count("*").over(w).alias("trades"), F.sum(price * size).over(w).alias("pv"), "_halo",
-        )
-        vwap = F.when(F.col("volume") > 0, ratio(F.col("pv"), F.col("volume"))).otherwise(F.col("close"))
-        return out.where("trades > 0 and not _halo").withColumn("vwap", vwap).drop("pv", "_halo")
-    seen = F.collect_list(F.struct("arrival", "price", "size")).over(w)
-    own = trades.select(*keys, F.array_sort(F.filter(seen, lambda x: x["arrival"] < F.col("arrival"))).alias("s"), "_halo").where((F.size("s") > 0) & ~F.col("_halo"))
-    prices = F.transform("s", lambda x: x["price"])
-    total = lambda f: F.aggregate("s", F.lit(0.0), lambda a, x: a + f(x))
-    volume = total(lambda x: x["size"])
-    close = F.element_at("s", -1)["price"]
-    return own.select(
-        *keys, F.element_at("s", 1)["price"].alias("open"), F.array_max(prices).alias("high"), F.array_min(prices).alias("low"), close.alias("close"), volume.alias("volume"),
-        F.size("s").cast("long").alias("trades"), F.when(volume > 0, ratio(total(lambda x: x["price"] * x["size"]), volume)).otherwise(close).alias("vwap"),
+    price, size, by = F.col("price"), F.col("size"), F.col("arrival")
+    out = trades.select(
+        *keys, F.min_by(price, by).over(w).alias("open"), F.max(price).over(w).alias("high"), F.min(price).over(w).alias("low"), F.max_by(price, by).over(w).alias("close"),
+        F.sum(size).over(w).alias("volume"), F.count("*").over(w).alias("trades"), F.sum(price * size).over(w).alias("pv"), F.max(by).over(w).alias("_latest"), "_halo", "_b",
     )
+    out = out.where("trades > 0 and not _halo").withColumn("vwap", F.when(F.col("volume") > 0, ratio(F.col("pv"), F.col("volume"))).otherwise(F.col("close"))).drop("pv", "_halo")
+    if in_order:
+        return out.drop("_latest", "_b")
+    late = out.where("_latest > arrival").select("symbol", "_b", F.col("t_ms").alias("_t"), F.col("arrival").alias("_a"))
+    seen = trades.join(late, ["symbol", "_b"]).where((F.col("t_ms") >= F.col("_t") - width_ms) & (F.col("t_ms") < F.col("_t")) & (by < F.col("_a")))
+    mended = seen.groupBy("symbol", F.col("_t").alias("t_ms"), F.col("_a").alias("arrival")).agg(*ohlcv(by))
+    return out.where("_latest < arrival").drop("_latest", "_b").unionByName(mended)
 
 
 def retained(trades: DataFrame, as_of_ms: int, age_ms: int = 3_600_000, most: int = 200_000) -> DataFrame:
     """What a live buffer still holds: not older than ``age_ms``, newest ``most`` per symbol."""
     recent = trades.where(F.col("t_ms") >= as_of_ms - age_ms)
-    rank = F.row_number().over(Window.partitionBy("symbol").orderBy(F.desc("arrival")))
-    return recent.withColumn("_n", rank).where(F.col("_n") <= most).drop("_n")
+    return newest(recent, ["symbol"], ["arrival"], most).drop("_rank")

@@ -1,4 +1,4 @@
-"""Order-level books from diffs: final state as a query, per-block tops as a grouped kernel.
+"""Order-level books from diffs: final state, queues, anomalies and tops of all blocks, as queries.
 
 An order's life: its last valid ``new`` gives side, price and place in the queue; later valid updates
 resize it in place; a removal, or an update to zero or less, ends it.  Diffs of a coin are ordered by
@@ -7,11 +7,12 @@ resize it in place; a removal, or an update to zero or less, ends it.  Diffs of
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .asof import newest
+
 
 def final_orders(diffs: DataFrame) -> DataFrame:
     """``coin, oid, side, px, size, height, pos`` of the orders alive after all diffs.
@@ -49,28 +50,84 @@ def top(levels_: DataFrame, n: int = 1) -> DataFrame:
     return levels_.withColumn("rank", rank).where(F.col("rank") <= n)
 
 
-def checksum(levels_: DataFrame) -> DataFrame:
-    """``coin, checksum``: SHA-256 over side, price, size and count of all levels in text order."""
-    line = F.concat_ws("|", "side", "px", F.col("size").cast("decimal(38,6)").cast("string"), F.col("orders").cast("string"))
-    return levels_.groupBy("coin").agg(F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("checksum"))
+def allocate(orders: DataFrame, printed: Column, ahead: Column, keys: list[str], order: list[str]) -> DataFrame:
+    """``orders`` with ``filled``: what a print leaves for each order of a queue, first come first served.
 
+    ``printed`` is the size traded at the level of ``keys``, ``ahead`` what stood before all of its orders.
+    """
+    prior = F.coalesce(F.sum("size").over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    return orders.withColumn("filled", F.greatest(F.lit(0.0), F.least(F.col("size"), printed - ahead - prior)))
 
-def anomalies(diffs: DataFrame) -> DataFrame:
-    """``coin, duplicate_new, unknown_oid, size_mismatch, height_gaps``.
 
-    A duplicate is a ``new`` of an order that is alive; unknown is an update or removal of one that is
-    not; a gap is a height that is not the next one.
+def _plain(x: Column) -> Column:
+    """A number as text without an exponent or trailing zeros."""
+    return F.regexp_replace(x.cast("decimal(38,12)").cast("string"), r"\.?0+$", "")
+
+
+def checksum(orders: DataFrame, diffs: DataFrame) -> DataFrame:
+    """``coin, checksum``: SHA-256 over a coin's whole book.
+
+    The text is ``coin=C;height=H;``, then ``B|px|oid:size,...;`` for each bid level from the best, then
+    ``A|...`` for each ask level, orders in queue order; the height is that of the coin's last diff.  A coin's
+    resting orders are one group here: they don't grow with the history.
+    """
+    px = F.col("px").cast("decimal(38,18)")
+    queue = F.array_sort(F.collect_list(F.struct("height", "pos", "oid", _plain(F.col("size")).alias("size"))))
+    line = F.concat(F.col("side"), F.lit("|"), F.col("px"), F.lit("|"), F.array_join(F.transform("q", lambda o: F.concat(o["oid"].cast("string"), F.lit(":"), o["size"])), ","), F.lit(";"))
+    by_level = orders.groupBy("coin", "side", "px").agg(queue.alias("q")).select("coin", F.struct((F.col("side") != "B").alias("asks"), F.when(F.col("side") == "B", -px).otherwise(px).alias("away"), line.alias("line")).alias("level"))
+    text = by_level.groupBy("coin").agg(F.array_join(F.transform(F.array_sort(F.collect_list("level")), lambda x: x["line"]), "").alias("text"))
+    heads = diffs.groupBy("coin").agg(F.max("height").alias("height"))
+    whole = F.concat(F.lit("coin="), F.col("coin"), F.lit(";height="), F.col("height").cast("string"), F.lit(";"), F.coalesce("text", F.lit("")))
+    return heads.join(text, "coin", "left").select("coin", F.sha2(whole, 256).alias("checksum"))
+
+
+def anomaly_rows(diffs: DataFrame, coin: str | None = None) -> DataFrame:
+    """``coin, height, pos, oid, type`` of every diff that does not fit the book it meets.
+
+    ``new_without_sz``, ``bad_decimal`` (a price or size that is no number), ``duplicate_new`` (the order is
+    alive), ``unknown_oid_update`` and ``unknown_oid_remove`` (it is not), ``orig_sz_mismatch``,
+    ``update_to_zero``, ``unknown_kind``, and, for the book of one ``coin``, ``coin_mismatch`` of all others.
     """
+    if "orig_sz" not in diffs.columns:
+        diffs = diffs.withColumn("orig_sz", F.lit(None).cast("double"))
     w = Window.partitionBy("coin", "oid").orderBy("height", "pos")
-    ended = (F.col("kind") == "remove") | ((F.col("kind") == "update") & (F.col("new_sz") <= 0))
-    state = F.when(F.col("kind") == "new", 1).when(ended, 0)
-    alive = F.coalesce(F.last(state, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    marked = diffs.withColumn("_alive", alive)
-    per = marked.groupBy("coin").agg(F.count_if((F.col("kind") == "new") & (F.col("_alive") == 1)).alias("duplicate_new"), F.count_if((F.col("kind") != "new") & (F.col("_alive") == 0)).alias("unknown_oid"))
+    past = w.rowsBetween(Window.unboundedPreceding, -1)
+    kind, zero = F.col("kind"), F.lit(0)
+    sz, px, new_sz = F.col("sz").try_cast("double"), F.col("px").try_cast("decimal(38,18)"), F.col("new_sz").try_cast("double")
+    good = (kind == "new") & sz.isNotNull() & px.isNotNull()
+    ended = (kind == "remove") | ((kind == "update") & (new_sz <= 0))
+    alive = F.coalesce(F.last(F.when(good, 1).when(ended, 0), ignorenulls=True).over(past), zero) == 1
+    stands = F.last(F.when(good, sz).when(kind == "update", new_sz), ignorenulls=True).over(past)
+    rows = diffs.withColumns({"_alive": alive, "_stands": stands})
+    alive, stands = F.col("_alive"), F.col("_stands")
+    types = {
+        "new_without_sz": (kind == "new") & F.col("sz").isNull(),
+        "bad_decimal": ((kind == "new") & F.col("sz").isNotNull() & ~good) | ((kind == "update") & alive & new_sz.isNull()),
+        "duplicate_new": good & alive,
+        "unknown_oid_update": (kind == "update") & ~alive,
+        "unknown_oid_remove": (kind == "remove") & ~alive,
+        "orig_sz_mismatch": (kind == "update") & alive & new_sz.isNotNull() & F.col("orig_sz").isNotNull() & (F.col("orig_sz") != stands),
+        "update_to_zero": (kind == "update") & alive & (new_sz <= 0),
+        "unknown_kind": F.coalesce(~kind.isin("new", "update", "remove"), F.lit(True)),
+    }
+    found = F.array_compact(F.array(*[F.when(F.coalesce(when, F.lit(False)), name) for name, when in types.items()]))
+    if coin is not None:
+        found = F.when(F.col("coin") == coin, found).otherwise(F.array(F.lit("coin_mismatch")))
+    return rows.select("coin", "height", "pos", "oid", F.explode(found).alias("type"))
+
+
+def newest_anomalies(diffs: DataFrame, coin: str | None = None, n: int = 1000) -> DataFrame:
+    """The newest ``n`` rows of ``anomaly_rows`` of each coin."""
+    return newest(anomaly_rows(diffs, coin), ["coin"], ["height", "pos", "type"], n).drop("_rank")
+
+
+def anomalies(diffs: DataFrame) -> DataFrame:
+    """``coin, type, n``: anomalies by type, and ``height_gap``, heights of a coin that don't follow the one before."""
+    per = anomaly_rows(diffs).groupBy("coin", "type").agg(F.count("*").alias("n"))
     heights = diffs.select("coin", "height").distinct()
     step = F.col("height") - F.lag("height").over(Window.partitionBy("coin").orderBy("height"))
-    gaps = heights.withColumn("s", step).groupBy("coin").agg(F.count_if(F.col("s") != 1).alias("height_gaps"))
-    return per.join(gaps, "coin")
+    gaps = heights.withColumn("s", step).where("s <> 1").groupBy("coin").agg(F.count("*").alias("n"))
+    return per.unionByName(gaps.select("coin", F.lit("height_gap").alias("type"), "n"))
 
 
 def with_snapshot(snapshot: DataFrame, diffs: DataFrame) -> DataFrame:
@@ -78,7 +135,7 @@ def with_snapshot(snapshot: DataFrame, diffs: DataFrame) -> DataFrame:
     news = snapshot.select("coin", "height", (F.col("ordinal") - (1 << 40)).alias("pos"), "oid", "side", "px", F.lit("new").alias("kind"), "sz", F.lit(None).cast("double").alias("new_sz"))
     since = snapshot.groupBy("coin").agg(F.max("height").alias("_h"))
     later = diffs.join(since, "coin", "left").where(F.col("_h").isNull() | (F.col("height") > F.col("_h"))).drop("_h")
-    return news.unionByName(later)
+    return news.unionByName(later, allowMissingColumns=True)
 
 
 class Book:
@@ -117,9 +174,6 @@ class Book:
         return px, self.sides[side][px][0]
 
 
-BLOCKS = "coin string, height long, n_diffs long, bid_px string, bid_sz double, ask_px string, ask_sz double, mid double, crossed boolean"
-
-
 def sizes_over_time(diffs: DataFrame) -> DataFrame:
     """``coin, oid, side, px, size, height, pos, end``: each size an order has had, until the next change.
 
@@ -138,36 +192,48 @@ def sizes_over_time(diffs: DataFrame) -> DataFrame:
     return frame.select("coin", "oid", "_of.side", "_of.px", F.col("_size").alias("size"), "height", "pos", F.lead("height").over(w).alias("end"))
 
 
-def block_tops(diffs: DataFrame, epoch: int = 10_000) -> DataFrame:
-    """The top of the book after each block of a coin.
+def level_spans(diffs: DataFrame) -> DataFrame:
+    """``coin, side, px, size, height, end``: what stands at a level from a height on, until before ``end`` (null: still)."""
+    each = sizes_over_time(diffs).where("size > 0").withColumn("size", F.col("size").cast("decimal(28,12)"))
+    moves = each.select("coin", "side", "px", "height", "size", F.lit(1).alias("orders"))
+    moves = moves.unionByName(each.where("end is not null").select("coin", "side", "px", F.col("end").alias("height"), (-F.col("size")).alias("size"), F.lit(-1).alias("orders")))
+    moves = moves.groupBy("coin", "side", "px", "height").agg(F.sum("size").cast("decimal(38,12)").alias("size"), F.sum("orders").alias("orders"))
+    w = Window.partitionBy("coin", "side", "px").orderBy("height")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    told = moves.select("coin", "side", "px", F.sum("size").over(upto).cast("double").alias("size"), F.sum("orders").over(upto).alias("orders"), "height", F.lead("height").over(w).alias("end"))
+    return told.where("orders > 0").drop("orders")
+
+
+def block_tops(diffs: DataFrame, blocks: DataFrame | None = None) -> DataFrame:
+    """``coin, height, n_diffs, bid_px, bid_sz, ask_px, ask_sz, mid, crossed`` after each block.
 
-    The heights are cut into epochs.  What stands at an epoch's start comes from ``sizes_over_time``,
-    so each (coin, epoch) replays by itself: a task holds one epoch's diffs and one book.
+    ``blocks`` has the ``coin, height`` to tell; without it every coin is told at every height that has
+    diffs of its own.  A level stands over a span of heights.  Spans are cut into dyadic nodes, the best
+    level of a node is one aggregate, and a block takes the best of the nodes above it: no book is
+    replayed, and neither a busy coin nor a long history is one task's work.
     """
-    last = diffs.groupBy("coin").agg(F.floor(F.max("height") / epoch).alias("_last"))
-    stood = sizes_over_time(diffs).where("size > 0").join(last, "coin")
-    until = F.coalesce(F.floor((F.col("end") - 1) / epoch), F.col("_last"))
-    first = F.floor(F.col("height") / epoch) + 1
-    stood = stood.where(first <= until).withColumn("epoch", F.explode(F.sequence(first, until)))
-    none = F.lit(None).cast("double")
-    opening = stood.select("coin", "epoch", F.lit(None).cast("long").alias("height"), F.col("oid").alias("pos"), "oid", "side", "px", F.lit("new").alias("kind"), F.col("size").alias("sz"), none.alias("new_sz"))
-    own = diffs.select("coin", F.floor(F.col("height") / epoch).alias("epoch"), "height", "pos", "oid", "side", "px", "kind", "sz", "new_sz")
-
-    def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        book, out, n = Book(), [], 0
-        rows = rows.sort_values(["height", "pos"], na_position="first")
-        heights = rows["height"].tolist()
-        each = zip(heights, [*heights[1:], None], *(rows[c].tolist() for c in ("oid", "side", "px", "kind", "sz", "new_sz")))
-        for height, after, *diff in each:
-            book.apply(*diff)
-            n += 1
-            if height != height:  # what stood at the start has no height
-                n = 0
-            elif height != after:
-                bid, ask = book.best("B"), book.best("A")
-                both = bid and ask
-                out.append((key[0], int(height), n, *(bid or (None, None)), *(ask or (None, None)), (float(bid[0]) + float(ask[0])) / 2 if both else None, bool(both and float(bid[0]) >= float(ask[0]))))
-                n = 0
-        return pd.DataFrame(out, columns=[c.split()[0] for c in BLOCKS.split(", ")])
-
-    return own.unionByName(opening).groupBy("coin", "epoch").applyInPandas(one, BLOCKS)
+    counts = diffs.groupBy("coin", "height").agg(F.count("*").alias("n_diffs"))
+    wanted = counts if blocks is None else blocks.select("coin", "height").distinct().join(counts, ["coin", "height"], "left").fillna(0, ["n_diffs"])
+    low, high = wanted.agg(F.min("height"), F.max("height")).first()
+    if low is None:
+        return wanted.select("coin", "height", "n_diffs", *[F.lit(None).cast(t).alias(c) for c, t in (("bid_px", "string"), ("bid_sz", "double"), ("ask_px", "string"), ("ask_sz", "double"), ("mid", "double"), ("crossed", "boolean"))])
+    bits = (high - low + 1).bit_length()
+    spans = level_spans(diffs).select("coin", "side", "px", "size", F.greatest(F.col("height") - low, F.lit(0)).alias("a"), (F.least(F.coalesce("end", F.lit(high + 1)), F.lit(high + 1)) - low).alias("b")).where("a < b")
+    up = F.sequence(F.lit(0), F.lit(bits))
+    first = lambda k: F.call_function("shiftright", F.col("a") + F.call_function("shiftleft", F.lit(1).cast("long"), k) - 1, k)
+    last = lambda k: F.call_function("shiftright", F.col("b"), k)
+    # an odd left end and an odd right end are nodes of their own
+    parts = F.flatten(F.transform(up, lambda k: F.when(first(k) < last(k), F.filter(F.array(
+        F.struct(k.alias("k"), F.when(first(k) % 2 == 1, first(k)).alias("node")), F.struct(k.alias("k"), F.when(last(k) % 2 == 1, last(k) - 1).alias("node")),
+    ), lambda x: x["node"].isNotNull())).otherwise(F.array().cast("array<struct<k:int,node:bigint>>"))))
+    away = F.col("px").cast("decimal(38,18)")
+    level = F.struct(F.when(F.col("side") == "B", away).otherwise(-away).alias("key"), "px", "size")
+    nodes = spans.select("coin", "side", level.alias("level"), F.explode(parts).alias("n")).groupBy("coin", "side", "n.k", "n.node").agg(F.max("level").alias("level"))
+    above = wanted.select("coin", "height", F.explode(F.transform(up, lambda k: F.struct(k.alias("k"), F.call_function("shiftright", F.col("height") - low, k).alias("node")))).alias("n")).select("coin", "height", "n.k", "n.node")
+    best = lambda side: F.max(F.when(F.col("side") == side, F.col("level")))
+    tops = above.join(nodes, ["coin", "k", "node"]).groupBy("coin", "height").agg(best("B").alias("bid"), best("A").alias("ask"))
+    bid, ask = F.col("bid.px").cast("double"), F.col("ask.px").cast("double")
+    return wanted.join(tops, ["coin", "height"], "left").select(
+        "coin", "height", "n_diffs", F.col("bid.px").alias("bid_px"), F.col("bid.size").alias("bid_sz"), F.col("ask.px").alias("ask_px"), F.col("ask.size").alias("ask_sz"),
+        ((bid + ask) / 2).alias("mid"), F.coalesce(F.col("bid.key") >= -F.col("ask.key"), F.lit(False)).alias("crossed"),
+    )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 #: fixed values: upper bounds of the histogram in milliseconds
-BOUNDS = (1, 2, 5, 10, 25, 50, 100, 250, 500, 1000, 2500, 5000, 10000)
+BOUNDS = (1, 2, 5, 10, 20, 50, 100, 200, 500, 1000, 2000, 5000, 10000)
 
 
 def histogram(deltas: DataFrame, bounds=BOUNDS, by: str = "symbol") -> DataFrame:
@@ -35,15 +35,36 @@ def percentiles(hist: DataFrame, qs=(0.5, 0.95, 0.99), by: str = "symbol") -> Da
     return each.groupBy(by, "q").agg(F.min_by(F.coalesce("bound_ms", "top"), "bucket").alias("value_ms"))
 
 
-def summary(deltas: DataFrame, offset_ms: float = 0.0, by: str = "symbol") -> DataFrame:
-    """Exact nearest-rank p50, p95, p99, mean, least and most, raw and with a clock offset added."""
+#: nearest-rank percentiles of the exact summary
+EXACT = (1, 50, 90, 95, 99)
+
+
+def summary(deltas: DataFrame, offset_ms: float | None = None, by: str = "symbol") -> DataFrame:
+    """``by, count, negative_count, raw, adjusted``: exact figures, rounded to three places.
+
+    ``raw`` and ``adjusted`` are structs of least, most, mean and nearest-rank percentiles; ``adjusted`` has
+    the clock offset added and is null without one.  Rows are counted by value before they are ordered.
+    """
     d = F.col("delta_ms").cast("double")
-    out = []
-    for name, x in (("", d), ("adjusted_", d + offset_ms)):
-        expr = "cast(delta_ms as double)" + (f" + {float(offset_ms)}D" if name else "")
-        out += [F.expr(f"percentile_disc({q / 100}) within group (order by {expr})").alias(f"{name}p{q}") for q in (50, 95, 99)]
-        out += [F.avg(x).alias(f"{name}mean"), F.min(x).alias(f"{name}least"), F.max(x).alias(f"{name}most")]
-    return deltas.where("delta_ms is not null").groupBy(by).agg(F.count("*").alias("n"), *out)
+    counts = deltas.where("delta_ms is not null").groupBy(by, d.alias("_d")).agg(F.count("*").alias("_c"))
+    w = Window.partitionBy(by)
+    run = counts.withColumns({"_upto": F.sum("_c").over(w.orderBy("_d")), "_n": F.sum("_c").over(w)})
+    reached = lambda q: F.min(F.when(F.col("_upto") >= F.greatest(F.lit(1), F.ceil(F.col("_n") * q / 100)), F.col("_d"))).alias(f"p{q}_ms")
+    per = run.groupBy(by).agg(
+        F.sum("_c").alias("count"), F.coalesce(F.sum(F.when(F.col("_d") < 0, F.col("_c"))), F.lit(0)).alias("negative_count"),
+        F.min("_d").alias("min_ms"), F.max("_d").alias("max_ms"), (F.sum(F.col("_d") * F.col("_c")) / F.sum("_c")).alias("mean_ms"), *[reached(q) for q in EXACT],
+    )
+    names = ["min_ms", *[f"p{q}_ms" for q in EXACT], "max_ms", "mean_ms"]
+    raw = F.struct(*[F.round(c, 3).alias(c) for c in names])
+    moved = F.struct(*[F.round(F.col(c) + (offset_ms or 0.0), 3).alias(c) for c in names])
+    return per.select(by, "count", "negative_count", raw.alias("raw"), (moved if offset_ms is not None else F.lit(None)).cast(f"struct<{', '.join(f'{c}:double' for c in names)}>").alias("adjusted"))
+
+
+def snapshot(hist: DataFrame, by: str = "symbol") -> DataFrame:
+    """``by, count, mean_ms, p50_ms, p95_ms, p99_ms, min_ms, max_ms, negative_count`` of a histogram."""
+    per = hist.groupBy(by).agg(F.sum("n").alias("count"), F.round(F.sum("total_ms") / F.sum("n"), 3).alias("mean_ms"), F.min("least_ms").alias("min_ms"), F.max("most_ms").alias("max_ms"), F.sum("negatives").alias("negative_count"))
+    at = percentiles(hist, by=by).groupBy(by).agg(*[F.max(F.when(F.col("q") == q, F.col("value_ms"))).alias(f"p{round(q * 100)}_ms") for q in (0.5, 0.95, 0.99)])
+    return per.join(at, by)
 
 
 def skip_first_frames(frames: DataFrame) -> DataFrame:

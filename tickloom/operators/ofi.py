@@ -38,28 +38,30 @@ def forward(quotes: DataFrame, width_ms: int, horizon_ms: int) -> DataFrame:
     last = mids.groupBy("symbol").agg(F.max("t_ms").alias("last_ms"))
     open_ = windows(quotes, width_ms).join(last, "symbol").withColumn("t_ms", F.col("start_ms") + width_ms)
     open_ = open_.where(F.col("t_ms") + horizon_ms <= F.col("last_ms"))
-    now = asof(open_, mids, ["mid"])
-    later = asof(now.withColumn("t_ms", F.col("t_ms") + horizon_ms).withColumnRenamed("mid", "mid_now"), mids, ["mid"])
-    return later.select("symbol", "start_ms", "ofi", (F.col("mid") - F.col("mid_now")).alias("change"), F.col("mid_now").alias("mid")).where("change is not null")
+    # both times of a window are probes of one as-of join
+    probes = open_.select("symbol", "start_ms", "ofi", F.explode(F.array(F.lit(0), F.lit(horizon_ms))).alias("ahead"), F.col("t_ms").alias("end_ms")).withColumn("t_ms", F.col("end_ms") + F.col("ahead"))
+    met = asof(probes, mids, ["mid"]).groupBy("symbol", "start_ms", "ofi").agg(F.min_by("mid", "ahead").alias("now"), F.max_by("mid", "ahead").alias("then"))
+    return met.select("symbol", "start_ms", "ofi", (F.col("then") - F.col("now")).alias("change"), F.col("now").alias("mid")).where("change is not null")
 
 
 def regression(triples: DataFrame, lag: int = 1) -> DataFrame:
     """Per symbol ``n, slope, r, t_stat, t_hac`` of change on ofi.
 
-    Sums are centred in a second pass.  Fewer than three rows or no variance of ofi: all null.  No
+    Moments are pre-aggregated in one pass.  Fewer than three rows or no variance of ofi: all null.  No
     variance of change: slope 0, r and t null.  A perfect fit has an infinite t.  ``t_hac`` uses Bartlett
     weights with ``lag`` lags over windows in time order.
     """
-    g = Window.partitionBy("symbol")
-    x, y = F.col("ofi") - F.avg("ofi").over(g), F.col("change") - F.avg("change").over(g)
-    centred = triples.select("symbol", "start_ms", x.alias("x"), y.alias("y"))
-    sums = centred.groupBy("symbol").agg(F.count("*").alias("n"), F.sum(F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("y") * F.col("y")).alias("syy"), F.sum(F.col("x") * F.col("y")).alias("sxy"))
+    n = F.count("*")
+    sums = triples.groupBy("symbol").agg(
+        n.alias("n"), F.avg("ofi").alias("mx"), F.avg("change").alias("my"), (F.var_pop("ofi") * n).alias("sxx"), (F.var_pop("change") * n).alias("syy"), (F.covar_pop("ofi", "change") * n).alias("sxy")
+    )
     able = (F.col("n") >= 3) & (F.col("sxx") > 0)
     slope = F.when(able, F.try_divide("sxy", "sxx"))
     r = F.when(able & (F.col("syy") > 0), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.try_divide(F.col("sxy"), F.sqrt(F.col("sxx") * F.col("syy"))))))
-    sums = sums.select("symbol", "n", "sxx", slope.alias("slope"), r.alias("r"))
+    sums = sums.select("symbol", "n", "mx", "my", "sxx", slope.alias("slope"), r.alias("r"))
     t = Window.partitionBy("symbol").orderBy("start_ms")
-    scored = centred.join(sums.select("symbol", "slope"), "symbol").withColumn("g", F.col("x") * (F.col("y") - F.col("slope") * F.col("x")))
+    x, y = F.col("ofi") - F.col("mx"), F.col("change") - F.col("my")
+    scored = triples.join(sums.select("symbol", "mx", "my", "slope"), "symbol").select("symbol", "start_ms", (x * (y - F.col("slope") * x)).alias("g"))
     parts = [F.sum(F.col("g") * F.col("g"))] + [2 * (1 - k / (lag + 1)) * F.coalesce(F.sum(F.col("g") * F.col(f"g{k}")), F.lit(0.0)) for k in range(1, lag + 1)]
     scored = scored.withColumns({f"g{k}": F.lag("g", k).over(t) for k in range(1, lag + 1)})
     hac = scored.groupBy("symbol").agg(sum(parts[1:], parts[0]).alias("s"))

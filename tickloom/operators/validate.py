@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.scalars import ratio
-from .book import is_sorted
+from .asof import chunked, seeded
+from .book import is_sorted, sanitize
 
 ERROR, WARNING, CRITICAL = "ERROR", "WARNING", "CRITICAL"
 
@@ -31,21 +32,23 @@ def sanitize_trades(trades: DataFrame, venue_sides: bool = True) -> DataFrame:
     known = F.when(low.isin("buy", "sell", "bid", "ask"), low)
     if venue_sides:
         known = F.coalesce(known, F.when(low == "b", "buy").when(low == "a", "sell"))
-    return trades.where((F.col("price") > 0) & (F.col("size") > 0)).select(
-        "symbol", "t_ms", "arrival", F.round("price", 8).alias("price"), F.round("size", 8).alias("size"), F.coalesce(known, F.lit("unknown")).alias("side")
-    )
+    clean = {"price": F.round("price", 8), "size": F.round("size", 8), "side": F.coalesce(known, F.lit("unknown"))}
+    return trades.where((F.col("price") > 0) & (F.col("size") > 0)).withColumns(clean)
 
 
 def trade_findings(trades: DataFrame, jump: float = 0.10, spike: float = 10.0) -> DataFrame:
-    """Bad price or size, price jumps against the previous trade, volume spikes against the last ten."""
-    w = Window.partitionBy("symbol").orderBy("arrival")
+    """Bad price or size, price jumps against the previous trade, volume spikes against the last ten.
+
+    After sizes of zero any size is a spike.
+    """
+    w = Window.partitionBy("symbol", "_b").orderBy("_pos")
     before = F.lag("price").over(w)
     usual = F.avg("size").over(w.rowsBetween(-10, -1))
-    frame = trades.withColumns({"_before": before, "_usual": usual})
+    frame = chunked(trades, ["symbol"], ["arrival"], 10).withColumns({"_before": before, "_usual": usual}).where("not _halo")
     return _explode(frame, "trade", [
         _finding(F.col("price") <= 0, "price_not_positive", ERROR), _finding(F.col("size") <= 0, "size_not_positive", ERROR),
         _finding((F.col("_before") > 0) & (F.abs(F.col("price") - F.col("_before")) > jump * F.col("_before")), "price_change", WARNING),
-        _finding((F.col("_usual") > 0) & (F.col("size") > spike * F.col("_usual")), "volume_spike", WARNING),
+        _finding(F.col("size") > spike * F.col("_usual"), "volume_spike", WARNING),
     ])
 
 
@@ -61,8 +64,8 @@ def book_findings(books: DataFrame, wide: float = 0.05) -> DataFrame:
 
 def time_findings(points: DataFrame, as_of_ms: int, future_ms: int = 10_000, stale_ms: int = 300_000, near_ms: int = 100, back: int = 100) -> DataFrame:
     """Timestamps in the future, stale ones, and ones within ``near_ms`` of any of the last ``back`` points."""
-    w = Window.partitionBy("symbol", "data_type").orderBy("arrival").rowsBetween(-back, -1)
-    frame = points.withColumn("_last", F.collect_list("t_ms").over(w))
+    w = Window.partitionBy("symbol", "data_type", "_b").orderBy("_pos").rowsBetween(-back, -1)
+    frame = chunked(points, ["symbol", "data_type"], ["arrival"], back).withColumn("_last", F.collect_list("t_ms").over(w)).where("not _halo")
     close = F.exists("_last", lambda t: F.abs(t - F.col("t_ms")) < near_ms)
     found = F.filter(F.array(
         _finding(F.col("t_ms") > as_of_ms + future_ms, "future", ERROR), _finding(F.col("t_ms") < as_of_ms - stale_ms, "stale", WARNING), _finding(close, "duplicate", WARNING),
@@ -71,9 +74,17 @@ def time_findings(points: DataFrame, as_of_ms: int, future_ms: int = 10_000, sta
 
 
 def structure_findings(points: DataFrame) -> DataFrame:
-    """Missing symbol, data type or payload."""
+    """Missing symbol, data type or payload (an empty object is none); a payload that can't be read is CRITICAL.
+
+    ``data`` is JSON text.  Trades need numbers for price and size where they have these keys.
+    """
+    bare = F.regexp_replace(F.coalesce("data", F.lit("")), r"\s", "")
+    empty = bare.isin("", "{}", "[]", "null")
+    number = lambda k: F.get_json_object("data", f"$.{k}").isNotNull() & F.get_json_object("data", f"$.{k}").try_cast("double").isNull()
+    broken = ~empty & (F.json_object_keys("data").isNull() | ((F.col("data_type") == "trade") & (number("price") | number("size"))))
     return _explode(points.withColumn("symbol", F.coalesce("symbol", F.lit(""))), "any", [
-        _finding(F.col("symbol") == "", "missing_symbol", ERROR), _finding(F.coalesce(F.col("data_type") == "", F.lit(True)), "missing_data_type", ERROR), _finding(F.coalesce(F.col("data") == "", F.lit(True)), "missing_data", ERROR),
+        _finding(F.col("symbol") == "", "missing_symbol", ERROR), _finding(F.coalesce(F.col("data_type") == "", F.lit(True)), "missing_data_type", ERROR), _finding(empty, "missing_data", ERROR),
+        _finding(broken, "validation_error", CRITICAL),
     ])
 
 
@@ -83,30 +94,50 @@ def drop_critical(frame: DataFrame, findings: DataFrame) -> DataFrame:
     return frame.join(bad, ["symbol", "arrival"], "left_anti")
 
 
+def checked_books(books: DataFrame) -> DataFrame:
+    """The whole chain for level books: sanitised, validated, and without those that have a CRITICAL finding."""
+    clean = sanitize(books)
+    return drop_critical(clean, book_findings(clean))
+
+
+def checked_trades(trades: DataFrame, venue_sides: bool = True) -> DataFrame:
+    """The whole chain for trades; what is sanitised can't have a CRITICAL finding."""
+    clean = sanitize_trades(trades, venue_sides)
+    return drop_critical(clean, trade_findings(clean))
+
+
 def quality(findings: DataFrame, points: DataFrame | None = None) -> DataFrame:
     """Per symbol counts and shares.
 
-    Completeness and accuracy are shares of findings, as consumers of these figures expect;
-    CRITICAL findings are no errors in them.  ``points`` adds how many rows were looked at.
+    Completeness is 1 less the share of errors among findings; accuracy counts a warning as half an
+    error; CRITICAL findings are findings, but no errors.  ``points`` adds how many rows were looked at.
     """
     n = F.count("*")
-    errors = F.count_if(F.col("level") == ERROR)
+    errors, warnings = F.count_if(F.col("level") == ERROR), F.count_if(F.col("level") == WARNING)
     out = findings.groupBy("symbol").agg(
-        n.alias("findings"), errors.alias("errors"), F.count_if(F.col("level") == WARNING).alias("warnings"), F.count_if(F.col("level") == CRITICAL).alias("criticals"),
+        n.alias("findings"), errors.alias("errors"), warnings.alias("warnings"), F.count_if(F.col("level") == CRITICAL).alias("criticals"),
         F.count_if(F.col("code") == "duplicate").alias("duplicates"), F.count_if(F.col("code") == "volume_spike").alias("spikes"), F.count_if(F.col("code") == "price_change").alias("price_changes"),
-        (1 - ratio(F.count_if(F.col("code").startswith("missing")), n)).alias("completeness"), (1 - ratio(errors, n)).alias("accuracy"),
+        (1 - ratio(errors, n)).alias("completeness"), (1 - ratio(errors + warnings * 0.5, n)).alias("accuracy"),
     )
     return out if points is None else out.join(points.groupBy("symbol").agg(F.count("*").alias("points")), "symbol", "left")
 
 
+def report(findings: DataFrame, points: DataFrame | None = None) -> DataFrame:
+    """``quality`` of every symbol, and one row of totals whose symbol is null."""
+    each = quality(findings, points)
+    total = quality(findings.withColumn("symbol", F.lit("")), None if points is None else points.withColumn("symbol", F.lit("")))
+    return each.unionByName(total.withColumn("symbol", F.lit(None).cast("string")))
+
+
 def recent(findings: DataFrame, as_of_ms: int, age_ms: int = 86_400_000) -> DataFrame:
     return findings.where(F.col("t_ms") >= as_of_ms - age_ms)
 
 
 def gaps(frames: DataFrame, least_ms: int) -> DataFrame:
     """``symbol, start_ms, end_ms, seconds`` of silences of at least ``least_ms``."""
-    before = F.lag("t_ms").over(Window.partitionBy("symbol").orderBy("t_ms", "arrival"))
-    own = frames.select("symbol", before.alias("start_ms"), F.col("t_ms").alias("end_ms"))
+    before = F.lag("t_ms").over(Window.partitionBy("symbol", "_b").orderBy("t_ms", "arrival"))
+    rows = seeded(frames.select("symbol", "t_ms", "arrival"), "symbol", ["t_ms", "arrival"])
+    own = rows.select("symbol", before.alias("start_ms"), F.col("t_ms").alias("end_ms"), "_seed").where("not _seed").drop("_seed")
     return own.where(F.col("end_ms") - F.col("start_ms") >= least_ms).withColumn("seconds", (F.col("end_ms") - F.col("start_ms")) / 1000)
 
 
@@ -133,6 +164,7 @@ def recovered(gap: DataFrame, archive: DataFrame) -> DataFrame:
 
 def monitor(trades: DataFrame, rows: int = 100) -> DataFrame:
     """Range volatility in percent, volume and mean size over the last ``rows`` trades."""
-    w = Window.partitionBy("symbol").orderBy("arrival").rowsBetween(-(rows - 1), 0)
+    w = Window.partitionBy("symbol", "_b").orderBy("_pos").rowsBetween(-(rows - 1), 0)
     low = F.min("price").over(w)
-    return trades.select("symbol", "t_ms", "arrival", (ratio(F.max("price").over(w) - low, low) * 100).alias("range_pct"), F.sum("size").over(w).alias("volume"), F.avg("size").over(w).alias("mean_size"))
+    out = chunked(trades, ["symbol"], ["arrival"], rows - 1).select("_halo", "symbol", "t_ms", "arrival", (ratio(F.max("price").over(w) - low, low) * 100).alias("range_pct"), F.sum("size").over(w).alias("volume"), F.avg("size").over(w).alias("mean_size"))
+    return out.where("not _halo").drop("_halo")

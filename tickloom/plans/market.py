@@ -6,11 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import scalars
 from ..functions.scalars import round6
-from ..operators import asof, backtest, book, candles, indicators, l4, latency, ofi, sim, sweep, validate
+from ..operators import asof, backtest, book, candles, indicators, l4, latency, ofi, validate
 from ..sources import archive, diffs, frames, sinks, views
 
 HOUR, DAY = 3_600_000, 86_400_000
@@ -65,8 +64,8 @@ def candles_without_size(spark, d):
     return candles.tumbling_without_size(views.trades(spark, d).drop("size"), DAY).select("symbol", "start_ms", "volume", "high")
 
 
-@query("candles_anchored", f"""WITH {_TRADES}, f AS (SELECT symbol AS s, min(t_ms) AS t0 FROM trades GROUP BY 1),
-c AS (SELECT symbol, CAST(t0 + ((t_ms - t0) // {4 * HOUR} + 1) * {4 * HOUR} AS BIGINT) AS end_ms, {_BY_TIME} FROM trades JOIN f ON symbol = s GROUP BY 1, 2)
+@query("candles_anchored", f"""WITH {_TRADES}, f AS (SELECT symbol AS s, min(t_ms) AS t0, max(t_ms) AS t1 FROM trades GROUP BY 1),
+c AS (SELECT symbol, CAST(t0 + ((t_ms - t0) // {4 * HOUR} + 1) * {4 * HOUR} AS BIGINT) AS end_ms, {_BY_TIME} FROM trades JOIN f ON symbol = s WHERE t0 + (t_ms - t0) // {4 * HOUR} * {4 * HOUR} < t1 GROUP BY 1, 2)
 SELECT symbol, end_ms, open, high, low, close, volume, trades, {_r('vwap')} FROM c""")
 def candles_anchored(spark, d):
     return rounded(candles.anchored(views.trades(spark, d), 4 * HOUR), "vwap")
@@ -113,13 +112,11 @@ def indicators_hourly(spark, d):
 _METRICS = ["best_bid", "best_ask", "mid", "spread", "spread_bps", "imbalance", "imbalance_5"]
 
 
-@query("book_metrics", f"""WITH {_LEVELS}, g AS (SELECT symbol, t_ms, arrival, bare, max(bp) FILTER (WHERE i = 0) AS b, max(ap) FILTER (WHERE i = 0) AS a, max(bs) FILTER (WHERE i = 0) AS bz, max(sz) FILTER (WHERE i = 0) AS az,
-  sum(bs) AS bv, sum(sz) AS av, sum(bs) FILTER (WHERE i < 5) AS b5, sum(sz) FILTER (WHERE i < 5) AS a5 FROM lv GROUP BY 1, 2, 3, 4),
-m AS (SELECT symbol, t_ms, arrival, b AS best_bid, CASE WHEN NOT bare THEN a END AS best_ask, bz AS bid_size, CASE WHEN NOT bare THEN az END AS ask_size, CASE WHEN NOT bare THEN (b + a) / 2 END AS mid, CASE WHEN NOT bare THEN a - b END AS spread,
-  CASE WHEN bare THEN NULL WHEN (b + a) / 2 > 0 THEN (a - b) / ((b + a) / 2) * 10000 ELSE 0.0 END AS spread_bps, bv AS bid_volume, CASE WHEN bare THEN 0.0 ELSE av END AS ask_volume,
-  CASE WHEN bare THEN 1.0 ELSE (bv - av) / (bv + av) END AS imbalance, CASE WHEN bare THEN 1.0 ELSE (b5 - a5) / (b5 + a5) END AS imbalance_5,
-  CAST(10 AS BIGINT) AS bid_levels, CAST(CASE WHEN bare THEN 0 ELSE 10 END AS BIGINT) AS ask_levels, NOT bare AND b >= a AS crossed FROM g)
-SELECT symbol, t_ms, arrival, bid_size, ask_size, bid_volume, ask_volume, bid_levels, ask_levels, crossed, {_r(*_METRICS)} FROM m""")
+@query("book_metrics", f"""WITH {_LEVELS}, g AS (SELECT symbol, t_ms, arrival, max(bp) FILTER (WHERE i = 0) AS b, max(ap) FILTER (WHERE i = 0) AS a, max(bs) FILTER (WHERE i = 0) AS bid_size, max(sz) FILTER (WHERE i = 0) AS ask_size,
+  sum(bs) AS bv, sum(sz) AS av, sum(bs) FILTER (WHERE i < 5) AS b5, sum(sz) FILTER (WHERE i < 5) AS a5 FROM lv WHERE NOT bare GROUP BY 1, 2, 3),
+m AS (SELECT symbol, t_ms, arrival, b AS best_bid, a AS best_ask, bid_size, ask_size, (b + a) / 2 AS mid, a - b AS spread, CASE WHEN (b + a) / 2 > 0 THEN (a - b) / ((b + a) / 2) * 10000 ELSE 0.0 END AS spread_bps, bv AS bid_volume, av AS ask_volume, b5 AS bid_depth_5, a5 AS ask_depth_5,
+  CASE WHEN bv + av > 0 THEN (bv - av) / (bv + av) ELSE 0.0 END AS imbalance, CASE WHEN b5 + a5 > 0 THEN (b5 - a5) / (b5 + a5) ELSE 0.0 END AS imbalance_5, CAST(10 AS BIGINT) AS bid_levels, CAST(10 AS BIGINT) AS ask_levels, b >= a AS crossed FROM g)
+SELECT symbol, t_ms, arrival, bid_size, ask_size, bid_volume, ask_volume, bid_depth_5, ask_depth_5, bid_levels, ask_levels, crossed, {_r(*_METRICS)} FROM m""")
 def book_metrics(spark, d):
     return rounded(book.metrics(views.books(spark, d)), *_METRICS)
 
@@ -133,14 +130,14 @@ def book_sanitized(spark, d):
 
 @query("trades_sanitized", f"WITH {_TRADES} SELECT symbol, t_ms, arrival, round(price, 8) AS price, round(size, 8) AS size, CASE WHEN side = 'B' THEN 'buy' ELSE 'sell' END AS side FROM trades WHERE price > 0 AND size > 0")
 def trades_sanitized(spark, d):
-    return validate.sanitize_trades(views.trades(spark, d))
+    return validate.sanitize_trades(views.trades(spark, d)).select("symbol", "t_ms", "arrival", "price", "size", "side")
 
 
 @query("trade_findings", f"""WITH {_TRADES}, x AS (SELECT *, lag(price) OVER w AS before, avg(size) OVER (w ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS usual FROM trades WINDOW w AS (PARTITION BY symbol ORDER BY arrival))
 SELECT symbol, t_ms, arrival, 'trade' AS data_type, 'price_not_positive' AS code, 'ERROR' AS level FROM x WHERE price <= 0
 UNION ALL SELECT symbol, t_ms, arrival, 'trade', 'size_not_positive', 'ERROR' FROM x WHERE size <= 0
 UNION ALL SELECT symbol, t_ms, arrival, 'trade', 'price_change', 'WARNING' FROM x WHERE before > 0 AND abs(price - before) > 0.1 * before
-UNION ALL SELECT symbol, t_ms, arrival, 'trade', 'volume_spike', 'WARNING' FROM x WHERE usual > 0 AND size > 10.0 * usual""")
+UNION ALL SELECT symbol, t_ms, arrival, 'trade', 'volume_spike', 'WARNING' FROM x WHERE size > 10.0 * usual""")
 def trade_findings(spark, d):
     return validate.trade_findings(views.trades(spark, d))
 
@@ -164,19 +161,27 @@ def time_findings(spark, d):
     return validate.time_findings(views.trades(spark, d).withColumn("data_type", F.lit("trade")), _ASOF_MS, near_ms=60_000)
 
 
-@query("structure_findings", "SELECT event_type AS symbol, CAST(epoch_us(ts) // 1000 AS BIGINT) AS t_ms, event_id AS arrival, 'any' AS data_type, 'missing_data' AS code, 'ERROR' AS level FROM events WHERE event_id % 100 = 0")
+@query("structure_findings", """WITH t AS (SELECT event_type AS symbol, CAST(epoch_us(ts) // 1000 AS BIGINT) AS t_ms, event_id AS arrival, event_id % 100 AS k FROM events)
+SELECT symbol, t_ms, arrival, 'any' AS data_type, 'missing_data' AS code, 'ERROR' AS level FROM t WHERE k < 3
+UNION ALL SELECT symbol, t_ms, arrival, 'any', 'validation_error', 'CRITICAL' FROM t WHERE k IN (3, 4)
+UNION ALL SELECT symbol, t_ms, arrival, 'any', 'missing_data_type', 'ERROR' FROM t WHERE k IN (5, 6)
+UNION ALL SELECT '', t_ms, arrival, 'any', 'missing_symbol', 'ERROR' FROM t WHERE k = 7""")
 def structure_findings(spark, d):
-    points = views.trades(spark, d).withColumns({"data_type": F.lit("trade"), "data": F.when(F.col("arrival") % 100 != 0, F.lit("{}"))})
+    """Events with payloads of which some are absent, empty, broken or of the wrong type."""
+    k = F.col("arrival") % 100
+    data = F.when(k == 0, F.lit(None)).when(k == 1, "").when(k == 2, "{ }").when(k == 3, "{broken").when(k == 4, '{"price":"high"}').otherwise(F.to_json(F.struct("price", "size")))
+    points = views.trades(spark, d).withColumns({"data": data, "data_type": F.when(k == 5, "").when(k != 6, "trade"), "symbol": F.when(k != 7, F.col("symbol"))})
     return validate.structure_findings(points)
 
 
 @query("quality", f"""WITH {_TRADES}, x AS (SELECT *, lag(price) OVER w AS before, avg(size) OVER (w ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS usual FROM trades WINDOW w AS (PARTITION BY symbol ORDER BY arrival)),
-f AS (SELECT symbol, 'E' AS l, 'p' AS c FROM x WHERE price <= 0 UNION ALL SELECT symbol, 'E', 's' FROM x WHERE size <= 0 UNION ALL SELECT symbol, 'W', 'change' FROM x WHERE before > 0 AND abs(price - before) > 0.1 * before UNION ALL SELECT symbol, 'W', 'spike' FROM x WHERE usual > 0 AND size > 10.0 * usual)
-SELECT symbol, count(*) AS findings, count(*) FILTER (WHERE l = 'E') AS errors, count(*) FILTER (WHERE c = 'spike') AS spikes, count(*) FILTER (WHERE c = 'change') AS price_changes, floor((1 - count(*) FILTER (WHERE l = 'E') * 1.0 / count(*)) * 1e6 + 0.37) / 1e6 AS accuracy,
-  (SELECT count(*) FROM trades t WHERE t.symbol = f.symbol) AS points FROM f GROUP BY symbol""")
+f AS (SELECT symbol, 'E' AS l, 'p' AS c FROM x WHERE price <= 0 UNION ALL SELECT symbol, 'E', 's' FROM x WHERE size <= 0 UNION ALL SELECT symbol, 'W', 'change' FROM x WHERE before > 0 AND abs(price - before) > 0.1 * before UNION ALL SELECT symbol, 'W', 'spike' FROM x WHERE size > 10.0 * usual),
+n AS (SELECT symbol, count(*) AS points FROM trades GROUP BY 1), both_ AS (SELECT f.*, points FROM f JOIN n USING (symbol) UNION ALL SELECT NULL, l, c, (SELECT count(*) FROM trades) FROM f)
+SELECT symbol, count(*) AS findings, count(*) FILTER (WHERE l = 'E') AS errors, count(*) FILTER (WHERE l = 'W') AS warnings, CAST(0 AS BIGINT) AS criticals, CAST(0 AS BIGINT) AS duplicates, count(*) FILTER (WHERE c = 'spike') AS spikes, count(*) FILTER (WHERE c = 'change') AS price_changes,
+  floor((1 - count(*) FILTER (WHERE l = 'E') * 1.0 / count(*)) * 1e6 + 0.37) / 1e6 AS completeness, floor((1 - (count(*) FILTER (WHERE l = 'E') + count(*) FILTER (WHERE l = 'W') * 0.5) / count(*)) * 1e6 + 0.37) / 1e6 AS accuracy, max(points) AS points FROM both_ GROUP BY symbol""")
 def quality(spark, d):
     t = views.trades(spark, d)
-    return rounded(validate.quality(validate.trade_findings(t), t), "accuracy").select("symbol", "findings", "errors", "spikes", "price_changes", "accuracy", "points")
+    return rounded(validate.report(validate.trade_findings(t), t), "completeness", "accuracy")
 
 
 @query("critical_dropped", f"""WITH {_LEVELS}, g AS (SELECT symbol, t_ms, arrival, bare, max(bp) FILTER (WHERE i = 0) AS b, max(ap) FILTER (WHERE i = 0) AS a FROM lv GROUP BY 1, 2, 3, 4) SELECT symbol, t_ms, arrival FROM g WHERE bare OR b < a""")
@@ -185,6 +190,13 @@ def critical_dropped(spark, d):
     return validate.drop_critical(b, validate.book_findings(b)).select("symbol", "t_ms", "arrival")
 
 
+@query("checked_books", f"""WITH {_LEVELS}, g AS (SELECT symbol, t_ms, arrival, max(CASE WHEN bp > 0 THEN round(bp, 8) END) AS b, min(CASE WHEN ap > 0 THEN round(ap, 8) END) AS a FROM lv WHERE NOT bare GROUP BY 1, 2, 3) SELECT symbol, t_ms, arrival, {_r('b', 'a')} FROM g WHERE b < a""")
+def checked_books(spark, d):
+    """Sanitised, validated, and without those that have a critical finding."""
+    kept = validate.checked_books(views.books(spark, d))
+    return rounded(kept.select("symbol", "t_ms", "arrival", F.get("bids", F.lit(0))["px"].alias("b"), F.get("asks", F.lit(0))["px"].alias("a")), "b", "a")
+
+
 _GAP = f"g AS (SELECT symbol, lag(t_ms) OVER (PARTITION BY symbol ORDER BY t_ms, arrival) AS start_ms, t_ms AS end_ms FROM trades)"
 
 
@@ -216,11 +228,32 @@ def monitor(spark, d):
 _E = """e AS (SELECT symbol, t_ms, arrival, CASE WHEN pb IS NULL THEN NULL ELSE CASE WHEN bid_px >= pb THEN bid_sz ELSE 0 END - CASE WHEN bid_px <= pb THEN qb ELSE 0 END - CASE WHEN ask_px <= pa THEN ask_sz ELSE 0 END + CASE WHEN ask_px >= pa THEN qa ELSE 0 END END AS e
   FROM (SELECT *, lag(bid_px) OVER w AS pb, lag(bid_sz) OVER w AS qb, lag(ask_px) OVER w AS pa, lag(ask_sz) OVER w AS qa FROM quotes WINDOW w AS (PARTITION BY symbol ORDER BY t_ms, arrival)))"""
 _W, _H = 4 * HOUR, 2 * HOUR
-_OFI = f"{_QUOTES}, {_E}, w AS (SELECT symbol, CAST(t_ms // {_W} * {_W} AS BIGINT) AS start_ms, sum(e) AS ofi FROM e WHERE e IS NOT NULL GROUP BY 1, 2)"
-_TRIPLES = f"""{_OFI}, mids AS (SELECT symbol, t_ms, arg_max((bid_px + ask_px) / 2, arrival) AS mid FROM quotes GROUP BY 1, 2), lastq AS (SELECT symbol, max(t_ms) AS last_ms FROM quotes GROUP BY 1),
-o AS (SELECT w.*, start_ms + {_W} AS e_ms, start_ms + {_W} + {_H} AS f_ms FROM w JOIN lastq USING (symbol) WHERE start_ms + {_W} + {_H} <= last_ms),
-n AS (SELECT o.symbol, start_ms, ofi, f_ms, m.mid FROM o ASOF JOIN mids m ON o.symbol = m.symbol AND o.e_ms >= m.t_ms),
-tr AS (SELECT n.symbol, start_ms, ofi, m.mid - n.mid AS change, n.mid FROM n ASOF JOIN mids m ON n.symbol = m.symbol AND n.f_ms >= m.t_ms)"""
+
+
+def _triples(w: int, h: int, k: str = "") -> str:
+    """Common table expressions that end in ``tr{k}``, the triples of windows of ``w`` and a horizon of ``h``."""
+    return f"""w{k} AS (SELECT symbol, CAST(t_ms // {w} * {w} AS BIGINT) AS start_ms, sum(e) AS ofi FROM e WHERE e IS NOT NULL GROUP BY 1, 2),
+mids{k} AS (SELECT symbol, t_ms, arg_max((bid_px + ask_px) / 2, arrival) AS mid FROM quotes GROUP BY 1, 2), lastq{k} AS (SELECT symbol, max(t_ms) AS last_ms FROM quotes GROUP BY 1),
+o{k} AS (SELECT w{k}.*, start_ms + {w} AS e_ms, start_ms + {w} + {h} AS f_ms FROM w{k} JOIN lastq{k} USING (symbol) WHERE start_ms + {w} + {h} <= last_ms),
+n{k} AS (SELECT o{k}.symbol, start_ms, ofi, f_ms, m.mid FROM o{k} ASOF JOIN mids{k} m ON o{k}.symbol = m.symbol AND o{k}.e_ms >= m.t_ms),
+tr{k} AS (SELECT n{k}.symbol, start_ms, ofi, m.mid - n{k}.mid AS change, n{k}.mid FROM n{k} ASOF JOIN mids{k} m ON n{k}.symbol = m.symbol AND n{k}.f_ms >= m.t_ms)"""
+
+
+def _fit(k: str = "") -> str:
+    """Common table expressions that end in ``s{k}`` and ``h{k}``: centred sums, and the HAC variance with one lag."""
+    return f"""c{k} AS (SELECT symbol, start_ms, ofi - avg(ofi) OVER (PARTITION BY symbol) AS x, change - avg(change) OVER (PARTITION BY symbol) AS y FROM tr{k}),
+s{k} AS (SELECT symbol, count(*) AS n, sum(x * x) AS sxx, sum(y * y) AS syy, sum(x * y) AS sxy FROM c{k} GROUP BY 1),
+g{k} AS (SELECT c{k}.symbol, start_ms, x * (y - sxy / sxx * x) AS g FROM c{k} JOIN s{k} USING (symbol)), gl{k} AS (SELECT symbol, g, lag(g) OVER (PARTITION BY symbol ORDER BY start_ms) AS g1 FROM g{k}),
+h{k} AS (SELECT symbol, sum(g * g) + coalesce(sum(g * g1), 0) AS v FROM gl{k} GROUP BY 1)"""
+
+
+def _tenths(k: str = "") -> str:
+    return f"""k{k} AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ofi, start_ms) - 1 AS rk, count(*) OVER (PARTITION BY symbol) AS n FROM tr{k}),
+dt{k} AS (SELECT symbol, CAST(((rk + 1) * least(10, n) - 1) // n + 1 AS BIGINT) AS decile, count(*) AS n, avg(ofi) AS mean_ofi, avg(change / mid * 10000) AS mean_fwd_bps FROM k{k} GROUP BY 1, 2)"""
+
+
+_FITTED = "floor(sxy / sxx * 1e6 + 0.37) / 1e6 AS slope, floor(sxy / sqrt(sxx * syy) * 1e6 + 0.37) / 1e6 AS r, floor(sxy / sqrt(sxx * syy) * sqrt((n - 2) / (1 - sxy * sxy / (sxx * syy))) * 1e6 + 0.37) / 1e6 AS t_stat, floor(sxy / sqrt(v) * 1e6 + 0.37) / 1e6 AS t_hac"
+_TRIPLES = f"{_QUOTES}, {_E}, {_triples(_W, _H)}"
 
 
 @query("ofi_contributions", f"WITH {_QUOTES}, {_E} SELECT symbol, t_ms, arrival, e FROM e WHERE e IS NOT NULL")
@@ -228,7 +261,7 @@ def ofi_contributions(spark, d):
     return ofi.contributions(views.quotes(spark, d))
 
 
-@query("ofi_windows", f"WITH {_OFI} SELECT symbol, start_ms, ofi FROM w")
+@query("ofi_windows", f"WITH {_TRIPLES} SELECT symbol, start_ms, ofi FROM w")
 def ofi_windows(spark, d):
     return ofi.windows(views.quotes(spark, d), _W)
 
@@ -238,17 +271,12 @@ def ofi_forward(spark, d):
     return rounded(ofi.forward(views.quotes(spark, d), _W, _H), "change", "mid")
 
 
-@query("ofi_regression", f"""WITH {_TRIPLES}, c AS (SELECT symbol, start_ms, ofi - avg(ofi) OVER (PARTITION BY symbol) AS x, change - avg(change) OVER (PARTITION BY symbol) AS y FROM tr),
-s AS (SELECT symbol, count(*) AS n, sum(x * x) AS sxx, sum(y * y) AS syy, sum(x * y) AS sxy FROM c GROUP BY 1),
-g AS (SELECT c.symbol, start_ms, x * (y - sxy / sxx * x) AS g FROM c JOIN s USING (symbol)), gl AS (SELECT symbol, g, lag(g) OVER (PARTITION BY symbol ORDER BY start_ms) AS g1 FROM g),
-h AS (SELECT symbol, sum(g * g) + coalesce(sum(g * g1), 0) AS v FROM gl GROUP BY 1)
-SELECT symbol, n, floor(sxy / sxx * 1e6 + 0.37) / 1e6 AS slope, floor(sxy / sqrt(sxx * syy) * 1e6 + 0.37) / 1e6 AS r, floor(sxy / sqrt(sxx * syy) * sqrt((n - 2) / (1 - sxy * sxy / (sxx * syy))) * 1e6 + 0.37) / 1e6 AS t_stat, floor(sxy / sqrt(v) * 1e6 + 0.37) / 1e6 AS t_hac FROM s JOIN h USING (symbol)""")
+@query("ofi_regression", f"WITH {_TRIPLES}, {_fit()} SELECT symbol, n, {_FITTED} FROM s JOIN h USING (symbol)")
 def ofi_regression(spark, d):
     return rounded(ofi.regression(ofi.forward(views.quotes(spark, d), _W, _H), ofi.hac_lag(_W, _H)), "slope", "r", "t_stat", "t_hac")
 
 
-_DEC = f"""{_TRIPLES}, k AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ofi, start_ms) - 1 AS rk, count(*) OVER (PARTITION BY symbol) AS n FROM tr),
-dt AS (SELECT symbol, CAST(((rk + 1) * least(10, n) - 1) // n + 1 AS BIGINT) AS decile, count(*) AS n, avg(ofi) AS mean_ofi, avg(change / mid * 10000) AS mean_fwd_bps FROM k GROUP BY 1, 2)"""
+_DEC = f"{_TRIPLES}, {_tenths()}"
 
 
 @query("ofi_deciles", f"WITH {_DEC} SELECT symbol, decile, n, {_r('mean_ofi', 'mean_fwd_bps')} FROM dt")
@@ -261,14 +289,24 @@ def ofi_monotone(spark, d):
     return rounded(ofi.monotone(ofi.deciles(ofi.forward(views.quotes(spark, d), _W, _H))), "monotone_fraction")
 
 
-@query("ofi_analysis")
+_READS = (("0", _W, _H, "7200s"), ("1", _W, _W, "next(14400s)"), ("2", DAY, _H, "7200s"), ("3", DAY, DAY, "next(86400s)"))
+_MONOTONE = "(SELECT symbol, avg(CASE WHEN step >= 0 THEN 1.0 ELSE 0.0 END) AS m FROM (SELECT symbol, mean_fwd_bps - lag(mean_fwd_bps) OVER (PARTITION BY symbol ORDER BY decile) AS step FROM dt{k}) WHERE step IS NOT NULL GROUP BY 1)"
+
+
+@query("ofi_analysis", f"WITH {_QUOTES}, {_E}, " + ", ".join(f"{_triples(w, h, k)}, {_fit(k)}, {_tenths(k)}" for k, w, h, _ in _READS) + " " + " UNION ALL ".join(
+    f"SELECT CAST({w} AS INTEGER) AS window_ms, '{label}' AS horizon, CAST(1 AS INTEGER) AS hac_lag, symbol, n, {_FITTED}, floor(m * 1e6 + 0.37) / 1e6 AS monotone_fraction FROM s{k} JOIN h{k} USING (symbol) JOIN {_MONOTONE.format(k=k)} USING (symbol)" for k, w, h, label in _READS
+))
 def ofi_analysis(spark, d):
-    return ofi.analyze(views.quotes(spark, d), [_W, DAY], [_H])
+    return rounded(ofi.analyze(views.quotes(spark, d), [_W, DAY], [_H]), "slope", "r", "t_stat", "t_hac", "monotone_fraction")
 
 
-@query("ofi_rolling")
+@query("ofi_rolling", f"""WITH {_QUOTES}, {_E}, f AS (SELECT * FROM e WHERE e IS NOT NULL),
+v AS (SELECT a.symbol, a.t_ms, a.arrival, sum(b.e) AS v FROM f a JOIN f b ON a.symbol = b.symbol AND b.t_ms >= a.t_ms - {HOUR} AND (b.t_ms < a.t_ms OR (b.t_ms = a.t_ms AND b.arrival <= a.arrival)) GROUP BY 1, 2, 3),
+k AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY t_ms, arrival) AS k FROM v),
+m AS (SELECT a.symbol, a.t_ms, a.arrival, a.v, a.k, sum((1 - pow(0.5, 1 / 30.0)) * pow(0.5, (a.k - b.k) / 30.0) * abs(b.v)) AS norm FROM k a JOIN k b ON a.symbol = b.symbol AND b.k <= a.k GROUP BY 1, 2, 3, 4, 5)
+SELECT symbol, t_ms, arrival, floor(CASE WHEN k + 1 >= 30 AND norm > 0 THEN greatest(-3.0, least(3.0, v / norm)) ELSE 0.0 END * 1e6 + 0.37) / 1e6 AS signal FROM m""")
 def ofi_rolling(spark, d):
-    return ofi.rolling_signal(views.quotes(spark, d), window_ms=HOUR, halflife=30)
+    return rounded(ofi.rolling_signal(views.quotes(spark, d), window_ms=HOUR, halflife=30), "signal")
 
 
 @query("asof_mid", f"""WITH {_QUOTES}, q AS (SELECT symbol, t_ms, arg_max((bid_px + ask_px) / 2, arrival) AS mid FROM quotes GROUP BY 1, 2), p AS (SELECT symbol, arrival, t_ms + {HOUR} AS at FROM trades)
@@ -279,17 +317,17 @@ def asof_mid(spark, d):
     return rounded(asof.asof(probe, q, ["mid"]), "mid")
 
 
-@query("book_at_trade", f"""WITH {_LEVELS}, g AS (SELECT symbol, arrival, sum(bs) AS bv, CASE WHEN bare THEN 0.0 ELSE sum(sz) END AS av FROM lv WHERE arrival % 3 = 0 GROUP BY 1, 2, bare)
-SELECT t.symbol, t.t_ms, t.arrival, g.arrival AS book_arrival, floor((bv - av) / (bv + av) * 1e6 + 0.37) / 1e6 AS imbalance FROM trades t ASOF LEFT JOIN g ON t.symbol = g.symbol AND t.arrival >= g.arrival""")
+@query("book_at_trade", f"""WITH {_LEVELS}, g AS (SELECT symbol, arrival, (sum(bs) - sum(sz)) / (sum(bs) + sum(sz)) AS imbalance FROM lv WHERE NOT bare GROUP BY 1, 2)
+SELECT t.symbol, t.t_ms, t.arrival, g.arrival AS book_arrival, floor(imbalance * 1e6 + 0.37) / 1e6 AS imbalance FROM trades t ASOF LEFT JOIN g ON t.symbol = g.symbol AND t.arrival >= g.arrival""")
 def book_at_trade(spark, d):
-    m = book.metrics(views.books(spark, d).where("arrival % 3 = 0")).withColumn("book_arrival", F.col("arrival"))
+    m = book.metrics(views.books(spark, d)).withColumn("book_arrival", F.col("arrival"))
     met = asof.asof(views.trades(spark, d), m, ["book_arrival", "imbalance"], t="arrival", bucket=1_000_000)
     return rounded(met, "imbalance").select("symbol", "t_ms", "arrival", "book_arrival", "imbalance")
 
 
-@query("merged_tape", f"WITH {_TRADES} SELECT symbol, t_ms, 0 AS rank, arrival FROM trades UNION ALL SELECT symbol, t_ms, 1 AS rank, arrival FROM trades")
+@query("merged_tape", f"WITH {_TRADES}, u AS (SELECT symbol, t_ms, 0 AS rank, arrival FROM trades UNION ALL SELECT symbol, t_ms, 1, arrival FROM trades) SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY t_ms, rank, arrival) - 1 AS place FROM u")
 def merged_tape(spark, d):
-    return asof.merge_events(views.trades(spark, d), views.books(spark, d)).select("symbol", "t_ms", "rank", "arrival")
+    return asof.merge_events(views.trades(spark, d), views.books(spark, d)).select("symbol", "t_ms", "rank", "arrival", "place")
 
 
 _LAT = f"{_TRADES}, l AS (SELECT symbol, CAST(arrival % 12007 - 20 AS DOUBLE) AS delta_ms FROM trades)"
@@ -299,7 +337,11 @@ def _deltas(spark, d):
     return views.trades(spark, d).select("symbol", (F.col("arrival") % 12007 - 20).cast("double").alias("delta_ms"), "arrival")
 
 
-_BUCKET = "CASE " + " ".join(f"WHEN greatest(delta_ms, 0) <= {b} THEN {i}" for i, b in enumerate(latency.BOUNDS)) + f" ELSE {len(latency.BOUNDS)} END"
+_BUCKET = """CASE WHEN greatest(delta_ms, 0) <= 1 THEN 0 WHEN delta_ms <= 2 THEN 1 WHEN delta_ms <= 5 THEN 2 WHEN delta_ms <= 10 THEN 3 WHEN delta_ms <= 20 THEN 4 WHEN delta_ms <= 50 THEN 5 WHEN delta_ms <= 100 THEN 6 WHEN delta_ms <= 200 THEN 7
+  WHEN delta_ms <= 500 THEN 8 WHEN delta_ms <= 1000 THEN 9 WHEN delta_ms <= 2000 THEN 10 WHEN delta_ms <= 5000 THEN 11 WHEN delta_ms <= 10000 THEN 12 ELSE 13 END"""
+_BOUND = "CASE bucket WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 5 WHEN 3 THEN 10 WHEN 4 THEN 20 WHEN 5 THEN 50 WHEN 6 THEN 100 WHEN 7 THEN 200 WHEN 8 THEN 500 WHEN 9 THEN 1000 WHEN 10 THEN 2000 WHEN 11 THEN 5000 WHEN 12 THEN 10000 ELSE top END"
+_HIST = f"""{_LAT}, h AS (SELECT symbol, {_BUCKET} AS bucket, count(*) AS n, max(delta_ms) AS most FROM l GROUP BY 1, 2), r AS (SELECT *, sum(n) OVER (PARTITION BY symbol ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY symbol) AS total, max(most) OVER (PARTITION BY symbol) AS top FROM h),
+q AS (SELECT unnest([0.5, 0.95, 0.99]) AS q), pc AS (SELECT symbol, CAST(q AS DOUBLE) AS q, CAST(arg_min({_BOUND}, bucket) AS DOUBLE) AS value_ms FROM r, q WHERE upto >= q * total GROUP BY 1, 2)"""
 
 
 @query("latency_histogram", f"WITH {_LAT} SELECT symbol, {_BUCKET} AS bucket, count(*) AS n, sum(greatest(delta_ms, 0)) AS total_ms, count(*) FILTER (WHERE delta_ms < 0) AS negatives FROM l GROUP BY 1, 2")
@@ -307,15 +349,26 @@ def latency_histogram(spark, d):
     return latency.histogram(_deltas(spark, d)).select("symbol", "bucket", "n", "total_ms", "negatives")
 
 
-@query("latency_percentiles", f"""WITH {_LAT}, h AS (SELECT symbol, {_BUCKET} AS bucket, count(*) AS n, max(delta_ms) AS most FROM l GROUP BY 1, 2), r AS (SELECT *, sum(n) OVER (PARTITION BY symbol ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY symbol) AS total, max(most) OVER (PARTITION BY symbol) AS top FROM h),
-q AS (SELECT unnest([0.5, 0.95, 0.99]) AS q) SELECT symbol, CAST(q AS DOUBLE) AS q, CAST(arg_min(CASE bucket {' '.join(f'WHEN {i} THEN {b}' for i, b in enumerate(latency.BOUNDS))} ELSE top END, bucket) AS DOUBLE) AS value_ms FROM r, q WHERE upto >= q * total GROUP BY 1, 2""")
+@query("latency_percentiles", f"WITH {_HIST} SELECT * FROM pc")
 def latency_percentiles(spark, d):
     return latency.percentiles(latency.histogram(_deltas(spark, d)))
 
 
-@query("latency_summary", f"""WITH {_LAT} SELECT symbol, count(*) AS n, quantile_disc(delta_ms, 0.5) AS p50, quantile_disc(delta_ms, 0.95) AS p95, quantile_disc(delta_ms, 0.99) AS p99, floor(avg(delta_ms) * 1e6 + 0.37) / 1e6 AS mean, min(delta_ms) AS least, max(delta_ms) AS most, quantile_disc(delta_ms + 50, 0.5) AS adjusted_p50 FROM l GROUP BY 1""")
+@query("latency_snapshot", f"""WITH {_HIST} SELECT symbol, count(*) AS count, round(avg(greatest(delta_ms, 0)), 3) AS mean_ms, min(greatest(delta_ms, 0)) AS min_ms, max(greatest(delta_ms, 0)) AS max_ms, count(*) FILTER (WHERE delta_ms < 0) AS negative_count,
+  max((SELECT value_ms FROM pc WHERE pc.symbol = l.symbol AND q = 0.5)) AS p50_ms, max((SELECT value_ms FROM pc WHERE pc.symbol = l.symbol AND q = 0.95)) AS p95_ms, max((SELECT value_ms FROM pc WHERE pc.symbol = l.symbol AND q = 0.99)) AS p99_ms FROM l GROUP BY symbol""")
+def latency_snapshot(spark, d):
+    return latency.snapshot(latency.histogram(_deltas(spark, d)))
+
+
+_EXACT = ", ".join(f"quantile_disc(delta_ms, {q}) AS p{p}_ms, quantile_disc(delta_ms, {q}) + 50.5 AS adjusted_p{p}_ms" for p, q in ((1, "0.01"), (50, "0.5"), (90, "0.9"), (95, "0.95"), (99, "0.99")))
+
+
+@query("latency_summary", f"""WITH {_LAT} SELECT symbol, count(*) AS count, count(*) FILTER (WHERE delta_ms < 0) AS negative_count, min(delta_ms) AS min_ms, max(delta_ms) AS max_ms, round(avg(delta_ms), 3) AS mean_ms,
+  min(delta_ms) + 50.5 AS adjusted_min_ms, max(delta_ms) + 50.5 AS adjusted_max_ms, round(avg(delta_ms) + 50.5, 3) AS adjusted_mean_ms, {_EXACT} FROM l GROUP BY 1""")
 def latency_summary(spark, d):
-    return rounded(latency.summary(_deltas(spark, d), 50), "mean").select("symbol", "n", "p50", "p95", "p99", "mean", "least", "most", "adjusted_p50")
+    s = latency.summary(_deltas(spark, d), 50.5)
+    names = s.schema["raw"].dataType.names
+    return s.select("symbol", "count", "negative_count", *[F.col(f"raw.{c}") for c in names], *[F.col(f"adjusted.{c}").alias(f"adjusted_{c}") for c in names])
 
 
 @query("latency_skip_first", f"WITH {_TRADES}, n AS (SELECT symbol, arrival, user_id % 7 AS conn_id, row_number() OVER (PARTITION BY symbol, user_id % 7 ORDER BY arrival) AS i FROM trades) SELECT symbol, conn_id, arrival FROM n WHERE i > 1")
@@ -334,30 +387,51 @@ def _result(spark, d):
     return backtest.run(views.bars(spark, d), backtest.crossover())
 
 
-@query("backtest_bars", f"WITH {_BT} SELECT symbol, t_ms, close, position, {_r('ret', 'net')} FROM b")
+@query("backtest_bars", f"WITH {_BT}, q AS (SELECT *, 10000 * product(1 + net) OVER (PARTITION BY symbol ORDER BY t_ms) AS equity FROM b) SELECT symbol, t_ms, close, position, {_r('ret', 'net')}, floor(equity * 1e3 + 0.37) / 1e3 AS equity FROM q")
 def backtest_bars(spark, d):
-    return rounded(_result(spark, d), "ret", "net").drop("equity")
+    return rounded(_result(spark, d), "ret", "net").withColumn("equity", F.floor(F.col("equity") * 1e3 + 0.37) / 1e3)
+
 
+_RUNS = """x AS (SELECT *, sign(position) AS s, lag(close) OVER w AS before, lag(sign(position), 1, 0) OVER w AS ps, max(t_ms) OVER (PARTITION BY symbol) AS last_ms FROM b WINDOW w AS (PARTITION BY symbol ORDER BY t_ms)),
+y AS (SELECT *, sum(CASE WHEN s <> ps THEN 1 ELSE 0 END) OVER (PARTITION BY symbol ORDER BY t_ms) AS run FROM x),
+tr AS (SELECT symbol, min(t_ms) AS entry_ms, max(t_ms) AS exit_ms, CAST(min(s) AS INTEGER) AS direction, arg_min(before, t_ms) AS entry_price, arg_max(close, t_ms) AS exit_price, count(*) AS bars, product(1 + net) - 1 AS ret, max(t_ms) = max(last_ms) AS is_open FROM y WHERE s <> 0 GROUP BY symbol, run)"""
 
-@query("backtest_trades", f"""WITH {_BT}, x AS (SELECT *, sign(position) AS s, lag(close) OVER w AS before, lag(sign(position), 1, 0) OVER w AS ps, max(t_ms) OVER (PARTITION BY symbol) AS last_ms FROM b WINDOW w AS (PARTITION BY symbol ORDER BY t_ms)),
-y AS (SELECT *, sum(CASE WHEN s <> ps THEN 1 ELSE 0 END) OVER (PARTITION BY symbol ORDER BY t_ms) AS run FROM x)
-SELECT symbol, min(t_ms) AS entry_ms, max(t_ms) AS exit_ms, CAST(min(s) AS INTEGER) AS direction, arg_min(before, t_ms) AS entry_price, arg_max(close, t_ms) AS exit_price, count(*) AS bars, max(t_ms) = max(last_ms) AS is_open FROM y WHERE s <> 0 GROUP BY symbol, run""")
+
+@query("backtest_trades", f"WITH {_BT}, {_RUNS} SELECT symbol, entry_ms, exit_ms, direction, entry_price, exit_price, bars, is_open, {_r('ret')} FROM tr")
 def backtest_trades(spark, d):
-    return backtest.trades(_result(spark, d)).drop("ret")
+    return rounded(backtest.trades(_result(spark, d)), "ret")
+
 
+_KEYS = ["total_return", "cagr", "sharpe", "sortino", "max_drawdown", "win_rate", "profit_factor", "expectancy", "exposure", "final_equity"]
+_FIGURES = f"""{_RUNS}, n AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY t_ms) AS i, 10000 * product(1 + net) OVER (PARTITION BY symbol ORDER BY t_ms) AS equity, t_ms - lag(t_ms) OVER (PARTITION BY symbol ORDER BY t_ms) AS gap FROM b),
+pk AS (SELECT *, max(equity) OVER (PARTITION BY symbol ORDER BY t_ms) AS peak FROM n),
+m AS (SELECT symbol, arg_min(equity, t_ms) AS e0, arg_max(equity, t_ms) AS final_equity, (max(t_ms) - min(t_ms)) / (365.25 * 86400000) AS years, 365.25 * 86400000 / median(gap) AS ppy, avg(net) FILTER (WHERE i > 1) AS mean, stddev_pop(net) FILTER (WHERE i > 1) AS sd, stddev_pop(net) FILTER (WHERE i > 1 AND net < 0) AS down,
+  min(equity / peak - 1) AS max_drawdown, avg(CASE WHEN position <> 0 THEN 1.0 ELSE 0.0 END) AS exposure FROM pk GROUP BY 1),
+st AS (SELECT symbol, count(*) AS num_trades, avg(CASE WHEN ret > 0 THEN 1.0 ELSE 0.0 END) AS win_rate, avg(ret) AS expectancy, CASE WHEN sum(greatest(-ret, 0)) > 0 THEN sum(greatest(ret, 0)) / sum(greatest(-ret, 0)) WHEN sum(greatest(ret, 0)) > 0 THEN 'inf'::DOUBLE ELSE 0 END AS profit_factor FROM tr WHERE NOT is_open GROUP BY 1),
+fg AS (SELECT symbol, final_equity / e0 - 1 AS total_return, pow(final_equity / e0, 1 / years) - 1 AS cagr, CASE WHEN sd > 0 THEN mean / sd * sqrt(ppy) ELSE 0.0 END AS sharpe, CASE WHEN coalesce(down, 0) > 0 THEN mean / down * sqrt(ppy) WHEN mean > 0 THEN 'inf'::DOUBLE ELSE 0.0 END AS sortino, max_drawdown, coalesce(win_rate, 0.0) AS win_rate, coalesce(profit_factor, 0.0) AS profit_factor, coalesce(expectancy, 0.0) AS expectancy, exposure, final_equity, coalesce(num_trades, 0) AS num_trades FROM m LEFT JOIN st USING (symbol))
+SELECT symbol, num_trades, {_r(*_KEYS)}"""
 
-@query("backtest_metrics", f"""WITH {_BT}, n AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY t_ms) AS i FROM b)
-SELECT symbol, floor(avg(CASE WHEN position <> 0 THEN 1.0 ELSE 0.0 END) * 1e6 + 0.37) / 1e6 AS exposure, floor(avg(net) FILTER (WHERE i > 1) / stddev_pop(net) FILTER (WHERE i > 1) * sqrt(365.25) * 1e6 + 0.37) / 1e6 AS sharpe,
-  floor(avg(net) FILTER (WHERE i > 1) / stddev_pop(net) FILTER (WHERE i > 1 AND net < 0) * sqrt(365.25) * 1e6 + 0.37) / 1e6 AS sortino FROM n GROUP BY 1""")
+
+@query("backtest_metrics", f"WITH {_BT}, {_FIGURES} FROM fg")
 def backtest_metrics(spark, d):
-    return rounded(backtest.metrics(_result(spark, d)).select("symbol", "exposure", "sharpe", "sortino"), "exposure", "sharpe", "sortino")
+    return rounded(backtest.metrics(_result(spark, d)), *_KEYS)
+
 
+def _held(signal: str, name: str) -> str:
+    """Figures of a strategy whose signals are the expression ``signal`` over the window ``w`` of bars with moves."""
+    return f"""SELECT *, '{name}' AS strategy FROM (WITH {_BARS}, d AS (SELECT *, close - lag(close) OVER (PARTITION BY symbol ORDER BY t_ms) AS chg FROM bars),
+u AS (SELECT *, sum(greatest(chg, 0)) OVER v AS up, sum(greatest(-chg, 0)) OVER v AS down, count(chg) OVER v AS moves FROM d WINDOW v AS (PARTITION BY symbol ORDER BY t_ms ROWS 13 PRECEDING)),
+z AS (SELECT *, CASE WHEN moves = 14 AND up + down > 0 THEN CASE WHEN 100 * up / (up + down) < 30 THEN 1.0 WHEN 100 * up / (up + down) > 70 THEN 0.0 END END AS said FROM u),
+s AS (SELECT symbol, t_ms, close, {signal} AS signal FROM z WINDOW w AS (PARTITION BY symbol ORDER BY t_ms)),
+p AS (SELECT *, CAST(coalesce(lag(signal) OVER w, 0) AS DOUBLE) AS position, coalesce(close / lag(close) OVER w - 1, 0) AS ret FROM s WINDOW w AS (PARTITION BY symbol ORDER BY t_ms)),
+b AS (SELECT *, greatest(position * ret - abs(position - coalesce(lag(position) OVER w, 0)) * 0.001, -1) AS net FROM p WINDOW w AS (PARTITION BY symbol ORDER BY t_ms)), {_FIGURES} FROM fg)"""
 
-@query("backtest_report_figures")
+
+@query("backtest_report_figures", _held("1.0", "buy_and_hold") + " UNION ALL " + _held("coalesce(last_value(said IGNORE NULLS) OVER w, 0.0)", "rsi_bands"))
 def backtest_report_figures(spark, d):
     held = backtest.metrics(backtest.run(views.bars(spark, d), backtest.buy_and_hold)).withColumn("strategy", F.lit("buy_and_hold"))
     bands = backtest.metrics(backtest.run(views.bars(spark, d), backtest.rsi_bands())).withColumn("strategy", F.lit("rsi_bands"))
-    return held.unionByName(bands)
+    return rounded(held.unionByName(bands), *_KEYS)
 
 
 _ITEMS = "items AS (SELECT l_orderkey, l_linenumber, max(l_returnflag) AS l_returnflag, max(l_linestatus) AS l_linestatus, max(l_partkey) AS l_partkey, max(l_quantity) AS l_quantity FROM lineitem GROUP BY 1, 2)"
@@ -386,17 +460,53 @@ def l4_top(spark, d):
     return l4.top(l4.levels(l4.final_orders(views.diffs(spark, d))), 5)
 
 
-@query("l4_checksum", f"""WITH {_DIFFS}, lv AS (SELECT coin, side, px, sum(size) AS size, count(*) AS orders FROM alive GROUP BY 1, 2, 3), t AS (SELECT coin, side || '|' || px || '|' || CAST(CAST(size AS DECIMAL(38, 6)) AS VARCHAR) || '|' || CAST(orders AS VARCHAR) AS line FROM lv) SELECT coin, sha256(string_agg(line, chr(10) ORDER BY line)) AS checksum FROM t GROUP BY 1""")
+@query("l4_checksum", f"""WITH {_DIFFS}, tip AS (SELECT coin, max(height + CASE WHEN oid % 5 = 0 THEN 2 WHEN oid % 3 = 0 THEN 1 ELSE 0 END) AS height FROM base GROUP BY 1),
+lv AS (SELECT coin, side, px, string_agg(CAST(oid AS VARCHAR) || ':' || CAST(CAST(size AS BIGINT) AS VARCHAR), ',' ORDER BY height, pos) AS q FROM alive GROUP BY 1, 2, 3),
+tx AS (SELECT coin, string_agg(side || '|' || px || '|' || q || ';', '' ORDER BY CASE WHEN side = 'B' THEN 0 ELSE 1 END, CASE WHEN side = 'B' THEN -CAST(px AS INTEGER) ELSE CAST(px AS INTEGER) END) AS t FROM lv GROUP BY 1)
+SELECT coin, sha256('coin=' || coin || ';height=' || CAST(height AS VARCHAR) || ';' || coalesce(t, '')) AS checksum FROM tip LEFT JOIN tx USING (coin)""")
 def l4_checksum(spark, d):
-    return l4.checksum(l4.levels(l4.final_orders(views.diffs(spark, d))))
+    own = views.diffs(spark, d)
+    return l4.checksum(l4.final_orders(own), own)
+
 
+_ODD = f"""WITH {_DIFFS}, o AS (SELECT coin, oid, height, oid % 11 = 0 AS bad, oid % 3 = 0 AND oid % 17 <> 0 AS upd, oid % 3 = 0 AND oid % 17 = 0 AS odd, oid % 5 = 0 AS gone, oid % 13 = 0 AS twice, floor(sz / 2) AS half FROM base),
+f AS (SELECT coin, oid, 'bad_decimal' AS type FROM o WHERE bad UNION ALL SELECT coin, oid, 'bad_decimal' FROM o WHERE bad AND twice UNION ALL SELECT coin, oid, 'duplicate_new' FROM o WHERE twice AND NOT bad
+UNION ALL SELECT coin, oid, 'unknown_oid_update' FROM o WHERE upd AND bad UNION ALL SELECT coin, oid, 'unknown_kind' FROM o WHERE odd
+UNION ALL SELECT coin, oid, 'orig_sz_mismatch' FROM o WHERE upd AND NOT bad AND oid % 7 = 0 UNION ALL SELECT coin, oid, 'update_to_zero' FROM o WHERE upd AND NOT bad AND half <= 0
+UNION ALL SELECT coin, oid, 'unknown_oid_remove' FROM o WHERE gone AND (bad OR (upd AND half <= 0)))"""
 
-@query("l4_anomalies")
+
+def _odd_diffs(spark, d):
+    """The diffs with prices that are none, orders announced twice, sizes that don't fit, and kinds nobody knows."""
+    base = views.diffs(spark, d)
+    oid, kind = F.col("oid"), F.col("kind")
+    px = F.when((kind == "new") & (oid % 11 == 0), "high").otherwise(F.col("px"))
+    orig = F.col("orig_sz") + F.when(oid % 7 == 0, 1.0).otherwise(0.0)
+    base = base.withColumns({"px": px, "orig_sz": orig, "kind": F.when((kind == "update") & (oid % 17 == 0), "odd").otherwise(kind)})
+    twice = base.where("kind = 'new' and oid % 13 = 0").withColumn("pos", F.col("pos") + 7)
+    return base.unionByName(twice)
+
+
+@query("l4_anomalies", f"""{_ODD}, hs AS (SELECT coin, height AS h FROM o UNION SELECT coin, height + 1 FROM o WHERE upd OR odd UNION SELECT coin, height + 2 FROM o WHERE gone),
+st AS (SELECT coin, h - lag(h) OVER (PARTITION BY coin ORDER BY h) AS s FROM hs) SELECT coin, type, count(*) AS n FROM f GROUP BY 1, 2 UNION ALL SELECT coin, 'height_gap', count(*) FROM st WHERE s <> 1 GROUP BY 1""")
 def l4_anomalies(spark, d):
-    return l4.anomalies(views.diffs(spark, d))
+    return l4.anomalies(_odd_diffs(spark, d))
+
 
+@query("l4_anomaly_rows", f"{_ODD} SELECT coin, oid, type FROM f")
+def l4_anomaly_rows(spark, d):
+    return l4.anomaly_rows(_odd_diffs(spark, d)).select("coin", "oid", "type")
 
-@query("l4_block_tops")
+
+@query("l4_block_tops", f"""WITH {_DIFFS}, mv AS (SELECT coin, side, px, height AS h, sz AS s, 1 AS c FROM base
+UNION ALL SELECT coin, side, px, height + 1, floor(sz / 2) - sz, CASE WHEN floor(sz / 2) <= 0 THEN -1 ELSE 0 END FROM base WHERE oid % 3 = 0
+UNION ALL SELECT coin, side, px, height + 2, CASE WHEN oid % 3 = 0 THEN -floor(sz / 2) ELSE -sz END, -1 FROM base WHERE oid % 5 = 0 AND NOT (oid % 3 = 0 AND floor(sz / 2) <= 0)),
+lv AS (SELECT coin, side, px, h, sum(sum(s)) OVER w AS size, sum(sum(c)) OVER w AS orders FROM mv GROUP BY 1, 2, 3, 4 WINDOW w AS (PARTITION BY coin, side, px ORDER BY h)),
+ev AS (SELECT coin, height AS h FROM base UNION ALL SELECT coin, height + 1 FROM base WHERE oid % 3 = 0 UNION ALL SELECT coin, height + 2 FROM base WHERE oid % 5 = 0), bl AS (SELECT coin, h, count(*) AS n_diffs FROM ev GROUP BY 1, 2),
+grid AS (SELECT bl.coin, bl.h, k.side, k.px FROM bl JOIN (SELECT DISTINCT coin, side, px FROM lv) k USING (coin)),
+stood AS (SELECT grid.coin, grid.h, grid.side, grid.px, lv.size, lv.orders FROM grid ASOF JOIN lv ON grid.coin = lv.coin AND grid.side = lv.side AND grid.px = lv.px AND grid.h >= lv.h),
+tp AS (SELECT coin, h, max(CAST(px AS INTEGER)) FILTER (WHERE side = 'B') AS b, arg_max(size, CAST(px AS INTEGER)) FILTER (WHERE side = 'B') AS bz, min(CAST(px AS INTEGER)) FILTER (WHERE side = 'A') AS a, arg_min(size, CAST(px AS INTEGER)) FILTER (WHERE side = 'A') AS az FROM stood WHERE orders > 0 GROUP BY 1, 2)
+SELECT coin, h AS height, n_diffs, CAST(b AS VARCHAR) AS bid_px, CAST(bz AS DOUBLE) AS bid_sz, CAST(a AS VARCHAR) AS ask_px, CAST(az AS DOUBLE) AS ask_sz, (b + a) / 2.0 AS mid, coalesce(b >= a, false) AS crossed FROM bl LEFT JOIN tp USING (coin, h)""")
 def l4_block_tops(spark, d):
     return l4.block_tops(views.diffs(spark, d))
 
@@ -417,7 +527,7 @@ def _frames(spark, d):
     t = views.trades(spark, d)
     text = lambda c: F.col(c).cast("string")
     trade = F.to_json(F.struct(F.lit("trades").alias("channel"), F.array(F.struct(F.col("symbol").alias("coin"), text("price").alias("px"), text("size").alias("sz"), F.col("side"), F.col("t_ms").alias("time"), F.col("tid"))).alias("data")))
-    ctx = F.to_json(F.struct(F.lit("activeAssetCtx").alias("channel"), F.struct(F.col("symbol").alias("coin"), F.struct(text("price").alias("markPx"), F.when(F.col("arrival") % 5 > 0, (F.col("price") + 1).cast("string")).alias("oraclePx"), F.lit(True).alias("funding")).alias("ctx")).alias("data")))
+    ctx = F.to_json(F.struct(F.lit("activeAssetCtx").alias("channel"), F.struct(F.col("symbol").alias("coin"), F.struct(text("price").alias("markPx"), F.when(F.col("arrival") % 5 > 0, (F.col("price") - F.col("arrival") % 3 * F.col("price")).cast("string")).alias("oraclePx"), F.lit(True).alias("funding")).alias("ctx")).alias("data")))
     quote = F.to_json(F.struct(F.lit("bbo").alias("channel"), F.struct(F.col("symbol").alias("coin"), F.col("t_ms").alias("time"), F.array(F.struct(text("price").alias("px"), text("size").alias("sz"), F.lit(1).alias("n")), F.lit(None).cast("struct<px:string,sz:string,n:int>")).alias("bbo")).alias("data")))
     return t.select("arrival", F.explode(F.array(trade, ctx, quote, F.lit("no json"))).alias("raw"))
 
@@ -431,9 +541,9 @@ def frames_trades(spark, d):
     return frames.trades(_frames(spark, d), _SYMBOLS)
 
 
-@query("frames_contexts", f"SELECT event_id AS arrival, event_type AS symbol, value AS mark, CASE WHEN event_id % 5 > 0 THEN value + 1 END AS oracle, CAST(NULL AS DOUBLE) AS funding, CASE WHEN event_id % 5 > 0 AND value + 1 > 0 THEN floor((value - (value + 1)) / (value + 1) * 10000 * 1e6 + 0.37) / 1e6 END AS basis_bps FROM events WHERE {_IN}")
+@query("frames_contexts", f"SELECT event_id AS arrival, event_type AS symbol, value AS mark, CASE WHEN event_id % 5 > 0 THEN value - event_id % 3 * value END AS oracle, CAST(NULL AS DOUBLE) AS funding, CASE WHEN event_id % 5 > 0 THEN floor((value - (value - event_id % 3 * value)) * 1e6 + 0.37) / 1e6 END AS basis, CASE WHEN event_id % 5 > 0 AND value - event_id % 3 * value > 0 THEN floor((value - (value - event_id % 3 * value)) / (value - event_id % 3 * value) * 10000 * 1e6 + 0.37) / 1e6 END AS basis_bps FROM events WHERE {_IN}")
 def frames_contexts(spark, d):
-    return rounded(frames.contexts(_frames(spark, d), _SYMBOLS, 0), "basis_bps").select("arrival", "symbol", "mark", "oracle", "funding", "basis_bps")
+    return rounded(frames.contexts(_frames(spark, d), _SYMBOLS, 0), "basis", "basis_bps").select("arrival", "symbol", "mark", "oracle", "funding", "basis", "basis_bps")
 
 
 @query("frames_bbo", f"SELECT event_id AS arrival, event_type AS symbol, CAST(epoch_us(ts) // 1000 AS BIGINT) AS t_ms, value AS bid_px, true AS no_ask FROM events WHERE {_IN}")
@@ -478,10 +588,10 @@ def diff_counters(spark, d):
 
 @query("archive_requests", f"""WITH s AS (SELECT event_type AS symbol, CAST(min(ts) AS DATE) AS a, CAST(max(ts) AS DATE) AS b FROM events GROUP BY 1), dd AS (SELECT symbol, strftime(CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP), INTERVAL 1 DAY)) AS TIMESTAMP), '%Y%m%d') AS day FROM s)
 SELECT symbol, day, CAST(h AS INTEGER) AS hour, 'l2Book' AS data_type, 'market_data/' || day || '/' || CAST(h AS VARCHAR) || '/l2Book/' || symbol || '.lz4' AS path FROM dd, (SELECT unnest(range(24)) AS h)
-UNION ALL SELECT symbol, day, 0, 'asset_ctxs', 'asset_ctxs/' || day || '.csv.lz4' FROM dd""")
+UNION ALL SELECT symbol, day, 0, 'asset_ctxs', 'asset_ctxs/' || day || '.csv.lz4' FROM dd UNION ALL SELECT symbol, day, 0, 'node_fills', 'node_fills_by_block/' || day || '/' FROM dd""")
 def archive_requests(spark, d):
     spans = views.table(spark, d, "events").groupBy(F.col("event_type").alias("symbol")).agg(F.min("ts").cast("date").alias("first_day"), F.max("ts").cast("date").alias("last_day"))
-    return archive.requests(spans, ["l2Book", "asset_ctxs"])
+    return archive.requests(spans, ["l2Book", "asset_ctxs", "node_fills"])
 
 
 @query("latest_rows", f"WITH {_TRADES}, r AS (SELECT symbol, t_ms, arrival, price, row_number() OVER (PARTITION BY symbol ORDER BY t_ms DESC, arrival DESC) AS rank FROM trades) SELECT symbol, t_ms, arrival, price, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 20")
@@ -512,17 +622,12 @@ def dated_partitions(spark, d):
 
 @query("capture_summary", f"""WITH {_QUOTES} SELECT symbol, floor(median(ask_px - bid_px) * 1e6 + 0.37) / 1e6 AS spread_median, floor(quantile_cont(ask_px - bid_px, 0.95) * 1e6 + 0.37) / 1e6 AS spread_p95, floor(avg(abs((bid_sz - ask_sz) / (bid_sz + ask_sz))) * 1e6 + 0.37) / 1e6 AS imbalance_abs, arg_min(bid_px, t_ms * 1000000 + arrival) AS first_bid, arg_max(bid_px, t_ms * 1000000 + arrival) AS last_bid FROM quotes GROUP BY 1""")
 def capture_summary(spark, d):
-    """Figures of a capture: median and interpolated p95 of the spread, mean imbalance, first and last."""
-    q = views.quotes(spark, d)
-    spread, order = F.col("ask_px") - F.col("bid_px"), F.struct("t_ms", "arrival")
-    out = q.groupBy("symbol").agg(F.median(spread).alias("spread_median"), F.percentile(spread, 0.95).alias("spread_p95"), F.avg(F.abs(scalars.imbalance(F.col("bid_sz"), F.col("ask_sz")))).alias("imbalance_abs"), F.min_by("bid_px", order).alias("first_bid"), F.max_by("bid_px", order).alias("last_bid"))
-    return rounded(out, "spread_median", "spread_p95", "imbalance_abs")
+    return rounded(book.capture_summary(views.quotes(spark, d)), "spread_median", "spread_p95", "imbalance_abs")
 
 
 @query("resampled", f"WITH {_TRADES} SELECT symbol, CAST(t_ms // {HOUR} * {HOUR} AS BIGINT) AS start_ms, floor(avg(price) * 1e6 + 0.37) / 1e6 AS mean, arg_max(price, t_ms * 1000000 + arrival) AS last FROM trades GROUP BY 1, 2")
 def resampled(spark, d):
-    start = (F.floor(F.col("t_ms") / HOUR) * HOUR).alias("start_ms")
-    return rounded(views.trades(spark, d).groupBy("symbol", start).agg(F.avg("price").alias("mean"), F.max_by("price", F.struct("t_ms", "arrival")).alias("last")), "mean")
+    return rounded(candles.resampled(views.trades(spark, d), HOUR), "mean")
 
 
 @query("ticks", "SELECT event_id AS arrival, CAST(value AS VARCHAR) AS px, CASE WHEN strpos(CAST(value AS VARCHAR), '.') > 0 THEN pow(10.0, -(length(CAST(value AS VARCHAR)) - strpos(CAST(value AS VARCHAR), '.'))) ELSE 1.0 END AS tick FROM events")
@@ -534,27 +639,5 @@ def ticks(spark, d):
 @query("fifo_allocation", f"""WITH {_TRADES}, o AS (SELECT symbol, arrival, size, coalesce(sum(size) OVER (PARTITION BY symbol, t_ms // {HOUR} ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior FROM trades) SELECT symbol, arrival, greatest(0, least(size, 150 - 25 - prior)) AS filled FROM o""")
 def fifo_allocation(spark, d):
     """A print of 150 at a level with 25 ahead, over the orders of each hour in arrival order."""
-    t = views.trades(spark, d)
-    w = Window.partitionBy("symbol", F.floor(F.col("t_ms") / HOUR)).orderBy("arrival").rowsBetween(Window.unboundedPreceding, -1)
-    prior = F.coalesce(F.sum("size").over(w), F.lit(0.0))
-    return t.select("symbol", "arrival", F.greatest(F.lit(0.0), F.least(F.col("size"), F.lit(150.0) - 25 - prior)).alias("filled"))
-
-
-def _sim(spark, d):
-    day = lambda f: f.withColumns({"coin": F.col("symbol"), "day": F.floor(F.col("t_ms") / (7 * DAY)).cast("string")})
-    tape = asof.merge_events(views.trades(spark, d), views.books(spark, d)).select("symbol", "t_ms", "rank", "arrival", "trade.*", "book.*")
-    tape = day(tape).drop("symbol")
-    cells = tape.select("coin", "day").distinct()
-    grid = F.array(*[F.struct(F.lit(p).alias("param"), F.lit(b).alias("bound"), F.lit(w).alias("width")) for p, w in (("join", None), ("w2", 2.0)) for b in sim.BOUNDS])
-    cells = cells.select("coin", "day", F.explode(grid).alias("g")).select("g.param", "coin", "day", "g.bound", F.lit(5.0).alias("size"), F.col("g.width").cast("double").alias("width"), F.lit(400.0).alias("delay_ms"), F.lit(1.5).alias("fee_bps"), F.lit(1e-6).alias("funding_hourly"))
-    return sim.simulate(tape, cells)
-
-
-@query("sim_decomposition")
-def sim_decomposition(spark, d):
-    return sweep.decompose(_sim(spark, d), HOUR)
-
-
-@query("sim_gate")
-def sim_gate(spark, d):
-    return sweep.gate(sweep.regimes(sweep.buckets(_sim(spark, d), DAY)))
+    t = views.trades(spark, d).withColumn("hour", F.floor(F.col("t_ms") / HOUR))
+    return l4.allocate(t, F.lit(150.0), F.lit(25.0), ["symbol", "hour"], ["arrival"]).select("symbol", "arrival", "filled")

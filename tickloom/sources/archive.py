@@ -5,23 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from ..functions.scalars import millis
+from ..operators.asof import newest
 
+#: fixed values: where the archive keeps each kind of data
 TEMPLATES = {
     "l2Book": "market_data/{day}/{hour}/l2Book/{symbol}.lz4",
     "trades": "market_data/{day}/{hour}/trades/{symbol}.lz4",
     "asset_ctxs": "asset_ctxs/{day}.csv.lz4",
-    "node_fills": "node_fills/hourly/{day}/{hour}.lz4",
+    "node_fills": "node_fills_by_block/{day}/",
 }
-HOURLY = ("l2Book", "trades", "node_fills")
+HOURLY = ("l2Book", "trades")
 
 
 def requests(spans: DataFrame, kinds: list[str]) -> DataFrame:
     """``symbol, day, hour, data_type, path`` of spans ``symbol, first_day, last_day`` (inclusive days).
 
-    Daily kinds have one row per day with hour 0.
+    Daily kinds have one row per day with hour 0; the path of node fills is a prefix.
     """
     unknown = set(kinds) - set(TEMPLATES)
     if unknown:
@@ -58,8 +59,7 @@ def between(stored: DataFrame, symbol: str, data_type: str, start_ms: int, end_m
 
 def latest(stored: DataFrame, n: int) -> DataFrame:
     """Newest ``n`` rows of each symbol."""
-    rank = F.row_number().over(Window.partitionBy("symbol").orderBy(F.desc("t_ms"), F.desc("arrival")))
-    return stored.withColumn("rank", rank).where(F.col("rank") <= n)
+    return newest(stored, ["symbol"], ["t_ms", "arrival"], n).withColumnRenamed("_rank", "rank")
 
 
 def days(spark: SparkSession, root: str) -> list[str]:

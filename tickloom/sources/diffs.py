@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import first_path, side
+from ..functions.scalars import side
 
 REQUIRED = ("oid", "coin", "side", "px")
 KNOWN = (*REQUIRED, "user", "raw_book_diff", "rawBookDiff")
@@ -32,22 +32,32 @@ def events(frame: DataFrame, strict: bool = False) -> DataFrame:
 
     Events of a block have its height and time; bare events have null.  Quiet blocks have no rows.
     """
-    at = lambda p: F.get_json_object("raw", p)
-    nested = F.coalesce(at("$.data.book_diffs"), at("$.book_diffs"))
-    listed = F.when(nested.isNotNull(), nested).when(at("$.height").isNull(), F.concat(F.lit("["), F.col("raw"), F.lit("]"))).otherwise("[]")
-    each = frame.select(at("$.height").try_cast("bigint").alias("height"), at("$.time").try_cast("bigint").alias("time_ms"), "ordinal", F.posexplode(F.coalesce(F.from_json(listed, "array<string>"), F.array(F.lit("")))).alias("pos", "e"))
+    shape = "height string, time string, data struct<book_diffs:array<string>>, book_diffs array<string>"
+    read = frame.select("raw", "ordinal", F.from_json("raw", shape).alias("p"))
+    nested = F.coalesce("p.data.book_diffs", "p.book_diffs")
+    listed = F.when(nested.isNotNull(), nested).when(F.col("p.height").isNull(), F.array("raw")).otherwise(F.array().cast("array<string>"))
+    each = read.select(F.col("p.height").try_cast("bigint").alias("height"), F.col("p.time").try_cast("bigint").alias("time_ms"), "ordinal", F.posexplode(listed).alias("pos", "e"))
     return parse_event(each, strict)
 
 
+def _first(of: str, *names: str) -> Column:
+    """Value of the first of ``names`` that the map ``of`` has, even if it is null."""
+    out = F.lit(None).cast("string")
+    for name in reversed(names):
+        out = F.when(F.coalesce(F.map_contains_key(of, name), F.lit(False)), F.col(of)[name]).otherwise(out)
+    return out
+
+
 def parse_event(each: DataFrame, strict: bool = False) -> DataFrame:
-    e = F.col("e")
-    field = lambda *names: first_path(e, *[f"$.{n}" for n in names])
-    diff = field("raw_book_diff", "rawBookDiff")
-    where = lambda *p: first_path(diff, *[f"$.{x}" for x in p])
-    new, new_sz, orig = where("new.sz"), where("update.newSz", "update.new_sz"), where("update.origSz", "update.orig_sz")
-    kind = F.when(diff == "remove", "remove").when(new.isNotNull(), "new").when(new_sz.isNotNull(), "update")
+    kinds = "map<string,string>"
+    each = each.withColumn("_e", F.from_json("e", kinds))
+    each = each.withColumn("_diff", _first("_e", "raw_book_diff", "rawBookDiff")).withColumn("_d", F.from_json("_diff", kinds))
+    each = each.withColumns({"_new": F.from_json(F.col("_d")["new"], kinds), "_update": F.from_json(F.col("_d")["update"], kinds)})
+    new, new_sz, orig = F.col("_new")["sz"], _first("_update", "newSz", "new_sz"), _first("_update", "origSz", "orig_sz")
+    kind = F.when(F.col("_diff") == "remove", "remove").when(new.isNotNull(), "new").when(new_sz.isNotNull(), "update")
+    field = lambda name: F.col("_e")[name]
     way = side(field("side"))
-    keys = F.json_object_keys(e)
+    keys = F.map_keys("_e")
     unknown = F.array_except(keys, F.array(*[F.lit(k) for k in KNOWN]))
     missing = F.array_except(F.array(*[F.lit(k) for k in REQUIRED]), keys)
     reason = (

@@ -61,13 +61,13 @@ def bbo(frames: DataFrame, symbols: list[str]) -> DataFrame:
 
 
 def contexts(frames: DataFrame, symbols: list[str], now_ms: int) -> DataFrame:
-    """Asset contexts: numbers or null (booleans are no numbers), all-null rows go, basis where the oracle is above zero."""
+    """Asset contexts: numbers or null (booleans are no numbers), all-null rows go; the basis in points needs an oracle above zero."""
     at = lambda f: number(F.get_json_object("raw", f"$.data.ctx.{f}"))
     fields = {"mark": "markPx", "oracle": "oraclePx", "mid": "midPx", "open_interest": "openInterest", "funding": "funding", "premium": "premium"}
     own = frames.where(F.get_json_object("raw", "$.channel") == "activeAssetCtx").withColumn("symbol", F.get_json_object("raw", "$.data.coin"))
     own = own.where(F.col("symbol").isin(symbols)).select(*_rest(frames), "symbol", F.lit(now_ms).alias("t_ms"), *[at(p).alias(n) for n, p in fields.items()])
     mark, oracle = F.col("mark"), F.col("oracle")
-    return own.where(F.coalesce(*fields).isNotNull()).withColumns({"basis": F.when(oracle > 0, mark - oracle), "basis_bps": basis_bps(mark, oracle)})
+    return own.where(F.coalesce(*fields).isNotNull()).withColumns({"basis": mark - oracle, "basis_bps": basis_bps(mark, oracle)})
 
 
 def user_events(frames: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from ..operators.asof import newest
 
 Sink = Callable[[DataFrame], None]
 
@@ -49,8 +50,7 @@ def book_points(books: DataFrame) -> DataFrame:
 
 def capped(points: DataFrame, n: int = 1000) -> DataFrame:
     """The newest ``n`` rows per symbol and type."""
-    rank = F.row_number().over(Window.partitionBy("symbol", "data_type").orderBy(F.desc("t_ms"), F.desc("arrival")))
-    return points.withColumn("_n", rank).where(F.col("_n") <= n).drop("_n")
+    return newest(points, ["symbol", "data_type"], ["t_ms", "arrival"], n).drop("_rank")
 
 
 def fan_out(*sinks: Sink) -> Sink:

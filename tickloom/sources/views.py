@@ -54,7 +54,7 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def diffs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order diffs: ``coin, height, pos, oid, side, px, kind, sz, new_sz``.
+    """Order diffs: ``coin, height, pos, oid, side, px, kind, sz, new_sz, orig_sz``.
 
     Each line item is an order placed at its order's height; some are resized or removed later.
     """
@@ -66,7 +66,7 @@ def diffs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linestatus") == "O", "A").otherwise("B").alias("side"), (F.lit(1000) + F.col("l_partkey") % 40).cast("string").alias("px"), F.col("l_quantity").alias("sz"),
     )
     none = F.lit(None).cast("double")
-    new = base.select("coin", "height", "pos", "oid", "side", "px", F.lit("new").alias("kind"), "sz", none.alias("new_sz"))
-    later = base.where(F.col("oid") % 3 == 0).select("coin", (F.col("height") + 1).alias("height"), (F.col("pos") + 8).alias("pos"), "oid", "side", "px", F.lit("update").alias("kind"), none.alias("sz"), F.floor(F.col("sz") / 2).cast("double").alias("new_sz"))
-    gone = base.where(F.col("oid") % 5 == 0).select("coin", (F.col("height") + 2).alias("height"), (F.col("pos") + 16).alias("pos"), "oid", "side", "px", F.lit("remove").alias("kind"), none.alias("sz"), none.alias("new_sz"))
+    new = base.select("coin", "height", "pos", "oid", "side", "px", F.lit("new").alias("kind"), "sz", none.alias("new_sz"), none.alias("orig_sz"))
+    later = base.where(F.col("oid") % 3 == 0).select("coin", (F.col("height") + 1).alias("height"), (F.col("pos") + 8).alias("pos"), "oid", "side", "px", F.lit("update").alias("kind"), none.alias("sz"), F.floor(F.col("sz") / 2).cast("double").alias("new_sz"), F.col("sz").alias("orig_sz"))
+    gone = base.where(F.col("oid") % 5 == 0).select("coin", (F.col("height") + 2).alias("height"), (F.col("pos") + 16).alias("pos"), "oid", "side", "px", F.lit("remove").alias("kind"), none.alias("sz"), none.alias("new_sz"), none.alias("orig_sz"))
     return new.unionByName(later).unionByName(gone)
