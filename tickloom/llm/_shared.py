@@ -19,11 +19,33 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def settle(df: DataFrame, codec: str = "zstd") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/tickloom/{uuid.uuid4().hex}"
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    The table goes with the application, or before that with ``release``.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/tickloom/{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    where, files = _file_system(spark, path)
+    files.deleteOnExit(where)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._settled = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete settled tables that nothing reads any more; other frames are passed over."""
+    for df in frames:
+        path = getattr(df, "_settled", None)
+        if path:
+            where, files = _file_system(df.sparkSession, path)
+            files.delete(where, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -57,8 +79,11 @@ def components(edges: DataFrame) -> DataFrame:
         large = large.where("u < v").distinct()
         low = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(low, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).unionByName(low.select("v", F.col("m").alias("u")))
-        now = settle(small.where("u < v").distinct())
+        before, now = now, settle(small.where("u < v").distinct())
+        release(before)
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == seen:
-            return now.select(F.col("v").alias("node"), F.col("u").alias("component")).unionByName(now.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct())
+            told = now.select(F.col("v").alias("node"), F.col("u").alias("component")).unionByName(now.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct())
+            told._settled = now._settled  # reads that table
+            return told
         seen = mark

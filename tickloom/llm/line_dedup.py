@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._bytes import LOWER, NOT_SPACE, binaries, buffers, chunks, hash_spans, row_of, spans, unvarints, varints
-from ._shared import settle, shuffle_partitions
+from ._shared import release, settle, shuffle_partitions
 
 #: rows of about 40 bytes that one range partition has about
 RANGE_ROWS = 1 << 20
@@ -141,6 +141,7 @@ def line_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     parts = max(shuffle_partitions(docs.sparkSession), keys.count() // RANGE_ROWS)
     dealt = keys.repartitionByRange(parts, "key", F.desc("doc_id")).sortWithinPartitions("key", F.desc("doc_id"), "body")
     told = settle(dealt.mapInArrow(_decide(min_docs), keys.schema))
+    release(keys)
     open_ = told.where("key is not null")
     # at most two keys per partition
     totals = settle(open_.groupBy("key").agg(F.countDistinct("doc_id").alias("docs"), F.max("doc_id").alias("keeper")).where(F.col("docs") >= min_docs))

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._bytes import U64, binaries, buffers, chunks, mix, ragged, row_of, shingle_sets, unvarints, varints
-from ._shared import components, grouped, settle, shuffle_partitions
+from ._shared import components, grouped, release, settle, shuffle_partitions
 
 #: bytes of text whose shingles make one fragment; bounds the memory of a fragment's task
 FRAGMENT_BYTES = 48 << 20
@@ -389,8 +389,11 @@ def _verify(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
 def _contract(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels after linked documents' labels have become one."""
     edges = links.join(labels.select(F.col("doc_id").alias("x"), F.col("label").alias("a")), "x").join(labels.select(F.col("doc_id").alias("y"), F.col("label").alias("b")), "y").select("a", "b")
-    merged = components(edges).withColumnRenamed("node", "label")
-    return settle(labels.join(merged, "label", "left").select("doc_id", F.coalesce("component", "label").alias("label")))
+    edges = settle(edges)
+    merged = components(edges)
+    out = settle(labels.join(merged.withColumnRenamed("node", "label"), "label", "left").select("doc_id", F.coalesce("component", "label").alias("label")))
+    release(edges, merged, labels)
+    return out
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75) -> DataFrame:
@@ -417,20 +420,23 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         return grouped(posts, "bucket", each, schema, percent=percent)
 
     # documents with one label are connected; the rounds leave some connected ones with two
+    spent: list[DataFrame] = []
     open_, labels = classes.select("doc_id", "n", "tokens"), classes.select("doc_id", F.col("doc_id").alias("label"))
     for k in range(ROUNDS):
         c = F.max("c") if k else F.sum("c")
         best = deal(open_, labels, _nearest if k else _star, "x long, y long, c double", maps=k > 0).groupBy("x", "y").agg(c.alias("c"))
         best = settle(best.groupBy("y").agg(F.max_by("x", F.struct("c", -F.col("x"))).alias("x")))
         if k:  # who can link with no other component now never will
-            open_ = open_.join(best.select(F.col("y").alias("doc_id")), "doc_id", "left_semi")
+            open_ = classes.select("doc_id", "n", "tokens").join(best.select(F.col("y").alias("doc_id")), "doc_id", "left_semi")
         found = settle(_verify(best.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), segments, percent))
+        spent += [best, found]
         if not found.isEmpty():
             labels = _contract(labels, found)
         elif k:
             break
     rest = deal(open_, labels, _pairs, "x long, y long", maps=True).distinct()
     labels = _contract(labels, _verify(rest, segments, percent))
+    release(segments, *spent)
     member = able.select("doc_id", "sig").join(classes.select("sig", F.col("doc_id").alias("node")), "sig")
     # a label is the smallest class of its component, and a class has the smallest doc_id of its copies
     member = member.join(labels.withColumnRenamed("doc_id", "node"), "node").select("doc_id", F.col("label").alias("component_id"))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ._bytes import NOT_SPACE, U64, buffers, chunks, grams, hash_spans, mix, row_of, run_hashes, run_prefix, spans
-from ._shared import grouped, settle, shuffle_partitions
+from ._shared import grouped, release, settle, shuffle_partitions
 
 ORDER = 5
 #: width of a language's band in robust standard deviations, and the least deviation, in nats
@@ -47,8 +47,8 @@ BROADCAST_LANGUAGES = 10_000
 BROADCAST_ENTRIES = 3_000_000
 #: entries of a shard, and bytes of text that a block of documents has, where the model is not broadcast
 SHARD_ENTRIES, BLOCK_BYTES = 1 << 21, 8 << 20
-#: distinct n-grams that a counting task holds
-HELD = 1 << 19
+#: distinct n-grams that a counting task holds, and bytes of text that one pass has
+HELD, PASS_BYTES = 1 << 17, 1 << 20
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -85,31 +85,32 @@ def _distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _texts(rows: np.ndarray) -> list[str]:
     """Rows of code points as strings."""
-    flat, k = (rows & U64(0xFFFFFFFF)).astype("<u4").tobytes().decode("utf-32-le", "replace"), rows.shape[1]
+    flat, k = rows.astype("<u4").tobytes().decode("utf-32-le", "replace"), rows.shape[1]
     return [flat[i : i + k] for i in range(0, len(flat), k)]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    held: list[tuple[np.ndarray, ...]] = []
 
-    def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        h, n, rows = (np.concatenate(c) for c in zip(*held))
+    def merged() -> tuple[np.ndarray, ...]:
+        h, n, half, rows = (np.concatenate(c) for c in zip(*held))
         code, first = _distinct(h)
-        return h[first], np.bincount(code, n, len(first)).astype(np.int64), rows[first]
+        return h[first], np.bincount(code, n, len(first)).astype(np.int64), half[first], rows[first]
 
     def out() -> pa.RecordBatch:
-        _, n, rows = merged()
-        return pa.RecordBatch.from_arrays([pa.array((rows[:, 0] >> U64(32)).astype(np.int32)), pa.array(_texts(rows), pa.string()), pa.array(n)], ["half", "gram", "n"])
+        _, n, half, rows = merged()
+        return pa.RecordBatch.from_arrays([pa.array(half), pa.array(_texts(rows), pa.string()), pa.array(n)], ["half", "gram", "n"])
 
     for batch in batches:
         (data, offsets), half = buffers(batch.column("text")), batch.column("half").to_numpy()
-        for a, b in chunks(offsets):
+        for a, b in chunks(offsets, PASS_BYTES):
             padded, at, _ = symbols(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], half[a:b])
             if not len(at):
                 continue
             h = run_hashes(_prefix(padded), at - ORDER + 1, ORDER)
             code, first = _distinct(h)
-            held.append((h[first], np.bincount(code), padded[at[first][:, None] + np.arange(1 - ORDER, 1)]))
+            end = at[first][:, None]
+            held.append((h[first], np.bincount(code), (padded[end[:, 0]] >> U64(32)).astype(np.int32), padded[end + np.arange(1 - ORDER, 1)].astype(np.uint32)))
             if sum(len(x[0]) for x in held) > 2 * HELD:
                 held = [merged()]
                 if len(held[0][0]) > HELD:
@@ -126,7 +127,9 @@ def count_grams(own: DataFrame) -> DataFrame:
     for k in range(ORDER - 1, 0, -1):
         below = below.groupBy("half", F.substring("gram", 2, k).alias("gram")).agg(F.count("*").alias("c"))
         levels = levels.unionByName(below.select("half", F.lit(k).alias("k"), "gram", "c"))
-    return settle(levels)
+    levels = settle(levels)
+    release(top)
+    return levels
 
 
 def discounts(levels: DataFrame) -> dict[tuple[int, int], list[float]]:
@@ -209,14 +212,17 @@ class Model:
 
 def fit(own: DataFrame) -> Model:
     """A model of each half of ``half, text``."""
-    known, unseen = probabilities(count_grams(own))
+    levels = count_grams(own)
+    known, unseen = probabilities(levels)
     entries = settle(known.mapInArrow(_hashed, "h long, logp float, logw float"))
     size = entries.count()
     n = max(1, size // SHARD_ENTRIES)
     # the shard by the upper 24 bits of the hash, as in _shard
     shard = F.shiftright(F.shiftrightunsigned("h", 40) * n, 24).cast("int")
     shards = grouped(entries.withColumn("shard", shard), "shard", _arrays, "shard int, h binary, logp binary, logw binary")
-    return Model(settle(shards), n, size, unseen)
+    shards = settle(shards)
+    release(levels, entries)
+    return Model(shards, n, size, unseen)
 
 
 def _stack(rows: list[tuple[bytes, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -301,7 +307,7 @@ _NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 def _scored(batch: pa.RecordBatch, look: Callable, unseen: np.ndarray) -> Iterator[pa.RecordBatch]:
     (data, offsets), other = buffers(batch.column("text")), 1 - batch.column("half").to_numpy()
-    for a, b in chunks(offsets):
+    for a, b in chunks(offsets, PASS_BYTES):
         x, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
         got = [pa.array(v.astype(np.int64)) for v in _features(x, own)]
         padded, at, counts = symbols(x, own, other[a:b])
@@ -315,8 +321,7 @@ def score(own: DataFrame, model: Model, most: int = BROADCAST_ENTRIES) -> DataFr
     spark, unseen = own.sparkSession, model.unseen
     schema = f"doc_id {dict(own.dtypes)['doc_id']}, lang string, {', '.join(f'{c} long' for c in _NAMES)}, nats double"
     if model.entries <= most:
-        shards = [tuple(r) for r in model.shards.orderBy("shard").select("h", "logp", "logw").collect()]
-        shared = spark.sparkContext.broadcast(_stack(shards))
+        shared = spark.sparkContext.broadcast(_stack([tuple(r) for r in model.shards.orderBy("shard").select("h", "logp", "logw").collect()]))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -333,7 +338,7 @@ def score(own: DataFrame, model: Model, most: int = BROADCAST_ENTRIES) -> DataFr
         rows = []
         for batch in table.combine_chunks().to_batches():
             (data, offsets), other = buffers(batch.column("text")), 1 - batch.column("half").to_numpy()
-            found = [_needed(*symbols(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], other[a:b])[:2]) for a, b in chunks(offsets)]
+            found = [_needed(*symbols(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], other[a:b])[:2]) for a, b in chunks(offsets, PASS_BYTES)]
             h = np.unique(np.concatenate(found))
             edges = np.searchsorted(_shard(h, n), np.arange(n + 1))
             rows += [(batch.column("block")[0].as_py(), int(k), h[edges[k] : edges[k + 1]].tobytes()) for k in np.flatnonzero(np.diff(edges))]
