@@ -3,8 +3,11 @@
 Each stage works on all documents its predecessor kept and returns the columns of ``documents``; the
 last returns the digests of the encoded texts.  Between stages documents are written as Parquet.
 
-Null texts have no letter and go in the first stage; so do texts without one.  Rows with a null
-doc_id have no partner to be a copy of and stay.  An empty table passes through.
+Null texts have no letter and go in the first stage; so do texts without one.  Very long texts are
+worked on whole in every stage.  Of repeated rows of one doc_id all stay or all go; of ties and copies
+under several ids the smallest doc_id stays.  Rows with a null doc_id have no partner to be a copy of
+and stay, unless they are contaminated.  An empty table passes through; null values in other columns
+and extra columns, whatever their names, pass through all stages but the last.
 """
 
 from __future__ import annotations
@@ -20,14 +23,16 @@ from tickloom.llm.line_dedup import drop_repeated_lines
 from tickloom.llm.ngram_join import ngram_components
 from tickloom.llm.sentencepieces import digests
 
-#: a document whose languages are mixed or unknown to this degree is rejected
-LEAST_SCORE = 0.35
+#: a document is rejected whose best language has less than so many times the mean share of a language
+LEAST_LIFT = 1.4
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents with a language; the model learns from this stage's labelled rows."""
-    done = predict(docs, fit(docs))
-    return done.where((F.col("lang_id.lang") != "und") & (F.col("lang_id.score") >= LEAST_SCORE)).drop("lang_id")
+    model = fit(docs)
+    done = predict(docs, model)
+    least = LEAST_LIFT / len(model.languages) if model and len(model.languages) > 1 else 0.0
+    return done.where((F.col("lang_id.lang") != "und") & (F.col("lang_id.score") >= least)).drop("lang_id")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,9 +47,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents contaminated by the benchmark."""
-    bad = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("contaminated").select("doc_id")
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    """Drops documents contaminated by the benchmark; a document is its doc_id, null or not, and its text."""
+    bad = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("contaminated").select(F.col("doc_id").alias("_id"), F.col("body").alias("_body"))
+    return docs.join(bad, docs.doc_id.eqNullSafe(bad["_id"]) & (F.xxhash64(docs.text) == bad["_body"]), "left_anti").select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
