@@ -143,6 +143,12 @@ def run_hashes(prefix: np.ndarray, start: np.ndarray, k: int, whole: np.ndarray
     return out if whole is None else np.where(whole, out, U64(0))
 
 
+def in_table(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which hashes have their low bits in the bit table ``table`` of 32-bit words."""
+    low = h.astype(np.uint64) & U64(32 * len(table) - 1)
+    return (table[(low >> U64(5)).astype(np.int64)] >> (low & U64(31)).astype(np.uint32) & np.uint32(1)).astype(bool)
+
+
 def row_of(counts: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(counts)), counts)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,20 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def bit_table(hashes: DataFrame, column: str, n: int) -> np.ndarray:
+    """A table, for ``in_table``, of the low bits of the hashes in ``column``, of which there are about ``n``.
+
+    It has 16 to 32 bits to a hash, 2^16 at least and 2^28 (32 MB) at most; Spark sets the bits.
+    """
+    bits = min(28, max(16, (16 * n).bit_length()))
+    low = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
+    words = hashes.select(F.shiftright(low, 5).alias("word"), low.alias("low")).select("word", F.expr("shiftleft(1L, int(low & 31))").alias("mask"))
+    table = np.zeros(1 << bits - 5, np.uint32)
+    got = words.groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
+    table[got["word"].to_numpy()] = got["mask"].to_numpy().astype(np.uint32)
+    return table
+
+
 def grouped(df: DataFrame, key: str, kernel, schema: str, **options) -> DataFrame:
     """``kernel(table, **options)`` on each group of ``df`` by ``key``, as Arrow tables."""
 

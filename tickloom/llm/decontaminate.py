@@ -7,8 +7,8 @@ fingerprint carries the word hashes around it, so a joined pair is extended word
 going back to the text.  Items shorter than ``width`` words are one window each; they meet the
 documents by the hash of their whole word sequence.
 
-A document's fingerprints are looked up in a bit table of fixed size (2^22 bits, whatever the
-benchmark's size) before they leave the task; what passes is joined exactly.  The join is a
+A document's fingerprints are looked up in a bit table of the benchmark's (sized by their number, 32 MB
+at most) before they leave the task; what passes is joined exactly.  The join is a
 broadcast only while the benchmark has at most ``BROADCAST_ROWS`` fingerprints.
 
 Null or empty texts have no words and are clean.  Texts are scanned whole, however long.  Rows equal in doc_id and text give one result
@@ -26,10 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._bytes import ALNUM, LOWER, U64, buffers, chunks, grams, hash_spans, row_of, spans
-from ._shared import settle
+from ._bytes import ALNUM, LOWER, U64, buffers, chunks, grams, hash_spans, in_table, row_of, spans
+from ._shared import bit_table, settle
 
-BITS = 22
 #: rows of about 250 bytes
 BROADCAST_ROWS = 100_000
 
@@ -47,10 +46,10 @@ def winnow(g: np.ndarray, valid: np.ndarray, window: int) -> np.ndarray:
     return valid & (np.lib.stride_tricks.sliding_window_view(high, window).max(1) == g)
 
 
-def _fingerprints(data: np.ndarray, offsets: np.ndarray, width: int, k: int, short: list[int], bits: np.ndarray | None):
+def _fingerprints(data: np.ndarray, offsets: np.ndarray, width: int, k: int, short: list[int], table: np.ndarray | None):
     """Word counts of the rows; and row, position, kind, hash and surroundings of the fingerprints.
 
-    Kind 0 is a winnowed hash, kind m the hash of m words.  Without ``bits`` this is the benchmark
+    Kind 0 is a winnowed hash, kind m the hash of m words.  Without ``table`` this is the benchmark
     side, where kind m comes only from texts of m words.
     """
     low = LOWER[data]
@@ -64,10 +63,10 @@ def _fingerprints(data: np.ndarray, offsets: np.ndarray, width: int, k: int, sho
             continue
         valid = rows[: len(g)] == rows[m - 1 :]
         take = winnow(g, valid, width - k + 1) if not kind else valid
-        if bits is None:
+        if table is None:
             take &= (counts[rows[: len(g)]] == m) if kind else (counts[rows[: len(g)]] >= width)
         else:
-            take &= bits[(g & U64((1 << BITS) - 1)).astype(np.int64)]
+            take &= in_table(table, g)
         at = np.flatnonzero(take)
         found.append((rows[at], at, np.full(len(at), kind), g[at]))
     row, at, kind, g = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),)
@@ -76,7 +75,7 @@ def _fingerprints(data: np.ndarray, offsets: np.ndarray, width: int, k: int, sho
     near = at[:, None] + np.arange(k - width, width)
     inside = (near >= 0) & (near < len(words))
     near = np.clip(near, 0, max(0, len(words) - 1))
-    around = np.where(inside & (rows[near] == row[:, None]), words[near], U64(bits is None)) if len(at) else np.empty((0, 2 * width - k), np.uint64)
+    around = np.where(inside & (rows[near] == row[:, None]), words[near], U64(table is None)) if len(at) else np.empty((0, 2 * width - k), np.uint64)
     first = np.concatenate(([0], np.cumsum(counts)))[:-1]
     return counts, row, at - first[row], kind, g, around
 
@@ -85,12 +84,12 @@ _CAND = pa.struct([("pos", pa.int32()), ("kind", pa.int32()), ("fp", pa.int64())
 _CAND_DDL = "array<struct<pos int, kind int, fp long, around binary>>"
 
 
-def _scan(batches: Iterator[pa.RecordBatch], width: int, k: int, short: list[int], packed: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    bits = None if packed is None else np.unpackbits(packed).astype(bool)
+def _scan(batches: Iterator[pa.RecordBatch], width: int, k: int, short: list[int], table) -> Iterator[pa.RecordBatch]:
+    table = table and table.value
     for batch in batches:
         data, offsets = buffers(batch.column(1))
         for a, b in chunks(offsets):
-            counts, row, pos, kind, g, around = _fingerprints(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], width, k, short, bits)
+            counts, row, pos, kind, g, around = _fingerprints(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], width, k, short, table)
             size = around.shape[1] * 8
             blob = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer((np.arange(len(row) + 1) * size).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(around))])
             flat = pa.StructArray.from_arrays([pa.array(pos, pa.int32()), pa.array(kind, pa.int32()), pa.array(g.view(np.int64)), blob], fields=list(_CAND))
@@ -122,16 +121,15 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     spark = docs.sparkSession
     of = items.select(F.col(item_col).alias("id"), F.col(item_text_col).alias("text"), F.lit(0).cast("long").alias("key")).where(F.col(item_col).isNotNull())
     kinds = f"key long, n_words long, cands {_CAND_DDL}"
-    scanned = settle(of.mapInArrow(partial(_scan, width=width, k=k, short=list(range(1, width)), packed=None), f"id {dict(of.dtypes)['id']}, {kinds}"))
+    scanned = settle(of.mapInArrow(partial(_scan, width=width, k=k, short=list(range(1, width)), table=None), f"id {dict(of.dtypes)['id']}, {kinds}"))
     marks = scanned.select("id", F.explode("cands").alias("c")).select(F.col("id").alias("item_id"), "c.kind", "c.fp", F.col("c.around").alias("item_around"))
     short = sorted(r[0] for r in marks.where("kind > 0").select("kind").distinct().collect())
-    low = marks.select(F.col("fp").bitwiseAND((1 << BITS) - 1).alias("b")).distinct().toPandas()["b"].to_numpy()
-    bits = np.zeros(1 << BITS, bool)
-    bits[low] = True
+    n = marks.count()
+    table = spark.sparkContext.broadcast(bit_table(marks, "fp", n))
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("key"))
-    base = settle(own.mapInArrow(partial(_scan, width=width, k=k, short=short, packed=np.packbits(bits)), f"id {dict(own.dtypes)['id']}, {kinds}"))
+    base = settle(own.mapInArrow(partial(_scan, width=width, k=k, short=short, table=table), f"id {dict(own.dtypes)['id']}, {kinds}"))
     cands = base.select("id", "key", F.explode("cands").alias("c")).select("id", "key", "c.*")
-    small = marks.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    small = n <= BROADCAST_ROWS
     met = cands.join(F.broadcast(marks) if small else marks, ["kind", "fp"])
     hits = met.select("id", "key", "item_id", "kind", "pos", "around", "item_around").mapInArrow(partial(_extend, width=width, k=k), f"id {dict(own.dtypes)['id']}, key long, item_id {dict(of.dtypes)['id']}, start long, end long").distinct()
     per = hits.groupBy("id", "key").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"), F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
