@@ -7,6 +7,7 @@ shed under pressure: ``maxFilesPerTrigger`` limits a batch instead.  Event time
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
@@ -52,7 +53,8 @@ def trailing(trades: DataFrame, width_ms: int = 60_000) -> DataFrame:
     """
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = [tuple(x) for x in zip(*state.get)] if state.exists else []
+        held = deque(zip(*state.get)) if state.exists else deque()
+        newest = max((h[0] for h in held), default=0)
         rows = pd.concat(list(batches)).sort_values("arrival")
         out = []
         for r in rows.itertuples():
@@ -61,8 +63,9 @@ def trailing(trades: DataFrame, width_ms: int = 60_000) -> DataFrame:
                 px, vol = [h[1] for h in own], sum(h[2] for h in own)
                 out.append((key[0], r.t_ms, r.arrival, px[0], max(px), min(px), px[-1], vol, len(own), sum(h[1] * h[2] for h in own) / vol if vol > 0 else px[-1]))
             held.append((r.t_ms, r.price, r.size))
-            newest = max(h[0] for h in held)
-            held = [h for h in held if h[0] >= newest - 2 * width_ms]
+            newest = max(newest, r.t_ms)
+            while held[0][0] < newest - 2 * width_ms:
+                held.popleft()
         state.update(tuple(list(c) for c in zip(*held)))
         yield pd.DataFrame(out, columns=[c.split()[0] for c in TRAILING.split(", ")])
 
