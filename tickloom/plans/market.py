@@ -556,6 +556,98 @@ def frames_channels(spark, d):
     return frames.channel(_frames(spark, d)).groupBy(F.coalesce("channel", F.lit("none")).alias("channel")).agg(F.count("*").alias("n"))
 
 
+_BEST = f"WITH {_LEVELS}, g AS (SELECT symbol, t_ms, arrival, count(*) AS bid_levels, count(*) FILTER (WHERE NOT bare) AS ask_levels, floor(max(bp) * 1e6 + 0.37) / 1e6 AS best_bid FROM lv GROUP BY 1, 2, 3)"
+
+
+def _text_levels(name: str):
+    return F.transform(name, lambda x: F.struct(x["px"].cast("string").alias("px"), x["sz"].cast("string").alias("sz"), F.lit(1).alias("n")))
+
+
+def _read_back(books: DataFrame) -> DataFrame:
+    best = round6(F.get("bids", F.lit(0))["px"].cast("double")).alias("best_bid")
+    return books.select("symbol", "t_ms", F.size("bids").cast("long").alias("bid_levels"), F.size("asks").cast("long").alias("ask_levels"), best)
+
+
+@query("frames_books", f"{_BEST} SELECT symbol, t_ms, bid_levels, ask_levels, best_bid FROM g WHERE symbol IN ('click', 'view', 'purchase')")
+def frames_books(spark, d):
+    """Level books written as feed frames and read back."""
+    data = F.struct(F.col("symbol").alias("coin"), F.array(_text_levels("bids"), _text_levels("asks")).alias("levels"), F.col("t_ms").alias("time"))
+    raw = views.books(spark, d).select(F.to_json(F.struct(F.lit("l2Book").alias("channel"), data.alias("data"))).alias("raw"))
+    return _read_back(frames.level_books(raw, _SYMBOLS, 0))
+
+
+@query("archive_books", f"{_BEST} SELECT symbol, t_ms, bid_levels, ask_levels, best_bid FROM g WHERE arrival % 5 < 4")
+def archive_books(spark, d):
+    """Level books as wrapped and as bare archive lines, and junk."""
+    bare = F.struct(F.col("symbol").alias("coin"), F.col("t_ms").alias("time"), F.array(_text_levels("bids"), _text_levels("asks")).alias("levels"))
+    wrapped = F.struct(F.lit("x").alias("time"), F.lit(1).alias("ver_num"), F.struct(F.lit("l2Book").alias("channel"), bare.alias("data")).alias("raw"))
+    kind = F.col("arrival") % 5
+    return _read_back(frames.archive_books(views.books(spark, d).select(F.when(kind < 2, F.to_json(bare)).when(kind < 4, F.to_json(wrapped)).otherwise("[]").alias("raw"))))
+
+
+@query("archive_trade_lines", f"WITH {_TRADES} SELECT symbol, t_ms, price, size, side, arrival AS tid FROM trades UNION ALL SELECT symbol, t_ms, price, size, side, arrival FROM trades WHERE arrival % 3 > 0")
+def archive_trade_lines(spark, d):
+    """Trades as single, listed and wrapped archive lines."""
+    t = views.trades(spark, d)
+    one = F.struct(F.col("symbol").alias("coin"), F.col("price").cast("string").alias("px"), F.col("size").cast("string").alias("sz"), "side", F.col("t_ms").alias("time"), "tid")
+    kind, two = F.col("arrival") % 3, F.array(one, one)
+    raw = F.when(kind == 0, F.to_json(one)).when(kind == 1, F.to_json(two)).otherwise(F.to_json(F.struct(F.struct(two.alias("data")).alias("raw"))))
+    return frames.archive_trades(t.select(raw.alias("raw"))).drop("ts")
+
+
+@query("frames_mids", f"SELECT event_id AS arrival, event_type AS symbol, CAST(7 AS BIGINT) AS t_ms, value AS mid FROM events WHERE {_IN}")
+def frames_mids(spark, d):
+    mids = F.create_map(F.col("symbol"), F.col("price").cast("string"), F.lit("OTHER"), F.lit("1"))
+    raw = F.to_json(F.struct(F.lit("allMids").alias("channel"), F.struct(mids.alias("mids")).alias("data"))).alias("raw")
+    return frames.mids(views.trades(spark, d).select("arrival", raw), _SYMBOLS, 7).withColumn("t_ms", F.col("t_ms").cast("long"))
+
+
+@query("frames_user_events", "SELECT event_id AS arrival, 'USER_EVENT' AS symbol, value AS px, event_id % 7 AS fills FROM events WHERE event_id % 2 = 0")
+def frames_user_events(spark, d):
+    fills = F.transform(F.sequence(F.lit(1), (F.col("arrival") % 7).cast("int") + 1), lambda i: F.struct(F.col("price").alias("px"), i.alias("n")))
+    kind = F.when(F.col("arrival") % 2 > 0, "trades").when(F.col("arrival") % 4 > 0, "user").otherwise("userEvents")
+    raw = F.to_json(F.struct(kind.alias("channel"), F.struct(fills.alias("fills")).alias("data"))).alias("raw")
+    got = frames.user_events(views.trades(spark, d).select("arrival", raw))
+    return got.select("arrival", "symbol", F.try_variant_get("data", "$.fills[0].px", "double").alias("px"), (F.size(F.try_variant_get("data", "$.fills", "array<variant>")) - 1).cast("long").alias("fills"))
+
+
+@query("capture_trades", f"WITH {_TRADES} SELECT symbol, t_ms, arrival, price, size, side FROM trades WHERE arrival % 10 > 1")
+def capture_trades(spark, d):
+    """Trades as capture lines, of which some have no time and some are of another type."""
+    k = F.col("arrival") % 10
+    data = F.struct(F.col("price").cast("string").alias("price"), "size", "side", F.when(k > 0, F.col("t_ms")).otherwise(0).alias("timestamp_ms"))
+    raw = F.to_json(F.struct("symbol", F.when(k == 1, "bbo").otherwise("trade").alias("data_type"), data.alias("data")))
+    return frames.capture_trades(views.trades(spark, d).select(raw.alias("raw"), F.col("arrival").alias("ordinal")))
+
+
+@query("book_points", f"""{_BEST}, t AS (SELECT symbol, t_ms, arrival, max(bs) FILTER (WHERE i = 0) AS best_bid_size, CASE WHEN bare THEN NULL ELSE floor(min(ap) * 1e6 + 0.37) / 1e6 END AS best_ask FROM lv GROUP BY symbol, t_ms, arrival, bare)
+SELECT symbol, t_ms, best_bid, best_bid_size, best_ask, CAST(bid_levels AS INTEGER) AS bid_levels, CAST(ask_levels AS INTEGER) AS ask_levels, false AS empty_book FROM g JOIN t USING (symbol, t_ms, arrival)""")
+def book_points(spark, d):
+    return rounded(sinks.book_points(views.books(spark, d)).drop("best_ask_size"), "best_bid", "best_ask")
+
+
+@query("candles_retained", f"WITH {_TRADES}, k AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY arrival DESC) AS n FROM trades WHERE t_ms >= 1706000000000 - {10 * DAY}) SELECT symbol, t_ms, arrival FROM k WHERE n <= 300")
+def candles_retained(spark, d):
+    return candles.retained(views.trades(spark, d), 1706000000000, 10 * DAY, 300).select("symbol", "t_ms", "arrival")
+
+
+@query("recent_findings", f"""WITH {_LEVELS}, g AS (SELECT symbol, t_ms, arrival, bare, max(bp) FILTER (WHERE i = 0) AS b, max(ap) FILTER (WHERE i = 0) AS a FROM lv GROUP BY 1, 2, 3, 4) SELECT symbol, t_ms, arrival, 'crossed' AS code FROM g WHERE NOT bare AND b >= a AND t_ms >= 1706000000000 - {20 * DAY} UNION ALL SELECT symbol, t_ms, arrival, 'empty_asks' FROM g WHERE bare AND t_ms >= 1706000000000 - {20 * DAY}""")
+def recent_findings(spark, d):
+    found = validate.recent(validate.book_findings(views.books(spark, d)), 1706000000000, 20 * DAY)
+    return found.where("code in ('crossed', 'empty_asks')").select("symbol", "t_ms", "arrival", "code")
+
+
+@query("l4_snapshots", f"WITH {_DIFFS} SELECT coin, side, count(*) AS orders, sum(size) AS size, CAST(5 AS BIGINT) AS height, CAST(sum(CASE WHEN side = 'B' THEN 1 ELSE 0 END) AS BIGINT) AS bids FROM alive GROUP BY 1, 2")
+def l4_snapshots(spark, d):
+    """Open orders written as one snapshot of each coin and read back; bids have the first ordinals."""
+    order = F.struct("oid", "side", F.col("px").alias("limit_px"), F.col("size").cast("string").alias("sz"))
+    own = lambda side: F.array_sort(F.collect_list(F.when(F.col("side") == side, order))).alias("bids" if side == "B" else "asks")
+    books = l4.final_orders(views.diffs(spark, d)).groupBy("coin").agg(own("B"), own("A"))
+    told = diffs.snapshots(books.select(F.to_json(F.struct("coin", F.lit(5).alias("height"), "bids", "asks")).alias("raw")))
+    count = told.where("side = 'B'").groupBy("coin").agg(F.count("*").alias("n"))
+    return told.join(count, "coin").groupBy("coin", "side").agg(F.count("*").alias("orders"), F.sum("sz").alias("size"), F.max("height").alias("height"), F.count_if((F.col("side") == "B") & (F.col("ordinal") < F.col("n"))).alias("bids"))
+
+
 @query("capture_quotes", f"WITH {_QUOTES} SELECT symbol, t_ms, arrival, bid_sz, ask_sz, {_r('bid_px', 'ask_px')} FROM quotes WHERE arrival % 3 < 2")
 def capture_quotes(spark, d):
     """Quotes written as two shapes of capture lines, and junk, read back."""
