@@ -11,7 +11,8 @@ bitmap per document, and no text is shuffled until the bitmaps are applied.
 A key is a line stripped of ``[\\x20\\x09-\\x0D]`` at both ends with A-Z lower-cased; keys of fewer
 than ``min_chars`` code points are never dropped.  A null or empty text is one empty line and comes
 back empty.  Rows with a null doc_id keep their lines and count nowhere.  Rows with the same doc_id
-are one holder; equal rows get equal results.  All other columns pass through unchanged.
+are one holder; equal rows get equal results.  Very long texts and lines count whole.  An empty table
+gives an empty one.  All other columns pass through unchanged, whatever their names.
 """
 
 from __future__ import annotations

@@ -225,9 +225,13 @@ def fit(own: DataFrame) -> Model:
     return Model(shards, n, size, unseen)
 
 
-def _stack(rows: list[tuple[bytes, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted arrays of the shards, in order, as one."""
-    return tuple(np.frombuffer(b"".join(r[i] for r in rows), k) for i, k in enumerate((np.uint64, np.float32, np.float32)))
+def _stack(shards: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted arrays ``h, logp, logw`` of the shards, in order, as one; those of a single one are not copied."""
+    out = []
+    for c, kind in (("h", np.uint64), ("logp", np.float32), ("logw", np.float32)):
+        parts = [np.frombuffer(x.as_buffer(), kind) for x in shards.column(c)]
+        out.append(parts[0] if len(parts) == 1 else np.concatenate([np.empty(0, kind), *parts]))
+    return tuple(out)
 
 
 def look(arrays: tuple[np.ndarray, np.ndarray, np.ndarray], h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -321,7 +325,7 @@ def score(own: DataFrame, model: Model, most: int = BROADCAST_ENTRIES) -> DataFr
     spark, unseen = own.sparkSession, model.unseen
     schema = f"doc_id {dict(own.dtypes)['doc_id']}, lang string, {', '.join(f'{c} long' for c in _NAMES)}, nats double"
     if model.entries <= most:
-        shared = spark.sparkContext.broadcast(_stack([tuple(r) for r in model.shards.orderBy("shard").select("h", "logp", "logw").collect()]))
+        shared = spark.sparkContext.broadcast(_stack(model.shards.orderBy("shard").select("h", "logp", "logw").toArrow()))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -345,13 +349,12 @@ def score(own: DataFrame, model: Model, most: int = BROADCAST_ENTRIES) -> DataFr
         return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.binary()))], ["block", "shard", "h"])
 
     def answer(asked: pa.Table, shard: pa.Table) -> pa.Table:
-        arrays = _stack([tuple(shard.column(c)[i].as_py() for c in ("h", "logp", "logw")) for i in range(len(shard))])
+        arrays = _stack(shard)
         told = [look(arrays, np.frombuffer(h.as_py(), np.uint64)) for h in asked.column("h")]
         return pa.table({"block": asked.column("block"), "shard": asked.column("shard"), "h": asked.column("h"), **{c: pa.array([t[i].tobytes() for t in told], pa.binary()) for i, c in enumerate(("logp", "logw"))}})
 
     def finish(docs: pa.Table, told: pa.Table) -> pa.Table:
-        told = told.sort_by("shard")
-        arrays = _stack(list(zip(*(told.column(c).to_pylist() for c in ("h", "logp", "logw")))))
+        arrays = _stack(told.sort_by("shard"))
         return pa.Table.from_batches([out for batch in docs.combine_chunks().to_batches() for out in _scored(batch, lambda h: look(arrays, h), unseen)])
 
     asked = dealt.groupBy("block").applyInArrow(ask, "block long, shard int, h binary")

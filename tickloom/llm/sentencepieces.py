@@ -11,8 +11,9 @@ Every Arrow batch is checked: its distinct units are also given to the sentencep
 difference raises.  Decoding is a table lookup of piece bytes; bytes that are no UTF-8 become
 U+FFFD and the first space goes, as in the library.
 
-Null and empty texts have no ids and decode to the empty text.  Rows are independent: repeated
-doc_ids give a row each, and other columns are ignored.
+Null and empty texts have no ids and decode to the empty text.  Texts are encoded whole, however long;
+ties of scores go to the left.  Rows are independent: repeated doc_ids give a row each, a null doc_id
+stays null, an empty table gives an empty one, and other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -10,8 +10,10 @@ Parquet table, committed by Spark: a lost executor leaves no half-written block.
 A block: ``TLB1``, then little-endian u32 documents, ids and table size; i64 doc_ids, u8 null marks,
 u32 lengths; the u32 table; control bytes; data bytes.
 
-Null and empty texts have the end id only.  Repeated doc_ids are a document each, in the order of
-their texts' hashes; null doc_ids come first.  Other columns are ignored.
+Null and empty texts have the end id only.  A very long text is one document of one block, which may
+then be longer.  Repeated doc_ids are a document each, in the order of their texts' hashes; null
+doc_ids come first; ids of equal frequency rank by their number.  An empty table gives an empty one.
+Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
