@@ -219,17 +219,16 @@ def block_tops(diffs: DataFrame, blocks: DataFrame | None = None) -> DataFrame:
         return wanted.select("coin", "height", "n_diffs", *[F.lit(None).cast(t).alias(c) for c, t in (("bid_px", "string"), ("bid_sz", "double"), ("ask_px", "string"), ("ask_sz", "double"), ("mid", "double"), ("crossed", "boolean"))])
     bits = (high - low + 1).bit_length()
     spans = level_spans(diffs).select("coin", "side", "px", "size", F.greatest(F.col("height") - low, F.lit(0)).alias("a"), (F.least(F.coalesce("end", F.lit(high + 1)), F.lit(high + 1)) - low).alias("b")).where("a < b")
-    up = F.sequence(F.lit(0), F.lit(bits))
-    first = lambda k: F.call_function("shiftright", F.col("a") + F.call_function("shiftleft", F.lit(1).cast("long"), k) - 1, k)
-    last = lambda k: F.call_function("shiftright", F.col("b"), k)
-    # an odd left end and an odd right end are nodes of their own
-    parts = F.flatten(F.transform(up, lambda k: F.when(first(k) < last(k), F.filter(F.array(
-        F.struct(k.alias("k"), F.when(first(k) % 2 == 1, first(k)).alias("node")), F.struct(k.alias("k"), F.when(last(k) % 2 == 1, last(k) - 1).alias("node")),
-    ), lambda x: x["node"].isNotNull())).otherwise(F.array().cast("array<struct<k:int,node:bigint>>"))))
+    # an odd left end and an odd right end of a span are nodes of their own, level by level
+    shift = lambda x, k: F.call_function("shiftright", x, k)
+    k = F.col("k")
+    levels_ = F.sequence(F.lit(0), F.least(F.lit(bits), F.ceil(F.log2(F.col("b") - F.col("a"))).cast("int") + 1))
+    cut = spans.select("*", F.explode(levels_).alias("k")).withColumns({"first": shift(F.col("a") + F.call_function("shiftleft", F.lit(1).cast("long"), k) - 1, k), "last": shift(F.col("b"), k)}).where("first < last")
+    ends = F.array(F.when(F.col("first") % 2 == 1, F.col("first")), F.when(F.col("last") % 2 == 1, F.col("last") - 1))
     away = F.col("px").cast("decimal(38,18)")
     level = F.struct(F.when(F.col("side") == "B", away).otherwise(-away).alias("key"), "px", "size")
-    nodes = spans.select("coin", "side", level.alias("level"), F.explode(parts).alias("n")).groupBy("coin", "side", "n.k", "n.node").agg(F.max("level").alias("level"))
-    above = wanted.select("coin", "height", F.explode(F.transform(up, lambda k: F.struct(k.alias("k"), F.call_function("shiftright", F.col("height") - low, k).alias("node")))).alias("n")).select("coin", "height", "n.k", "n.node")
+    nodes = cut.select("coin", "side", "k", level.alias("level"), F.explode(ends).alias("node")).where("node is not null").groupBy("coin", "side", "k", "node").agg(F.max("level").alias("level"))
+    above = wanted.select("coin", "height", F.explode(F.sequence(F.lit(0), F.lit(bits))).alias("k")).withColumn("node", shift(F.col("height") - low, k))
     best = lambda side: F.max(F.when(F.col("side") == side, F.col("level")))
     tops = above.join(nodes, ["coin", "k", "node"]).groupBy("coin", "height").agg(best("B").alias("bid"), best("A").alias("ask"))
     bid, ask = F.col("bid.px").cast("double"), F.col("ask.px").cast("double")
