@@ -33,7 +33,7 @@ whatever their names.  Shingles are compared by 48 hash bits beside their fragme
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -386,13 +386,22 @@ def _verify(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     return total.where(100 * F.col("common") >= percent * (F.col("n") - F.col("common"))).select("x", "y")
 
 
-def _contract(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Labels after linked documents' labels have become one."""
-    edges = links.join(labels.select(F.col("doc_id").alias("x"), F.col("label").alias("a")), "x").join(labels.select(F.col("doc_id").alias("y"), F.col("label").alias("b")), "y").select("a", "b")
-    edges = settle(edges)
-    merged = components(edges)
-    out = settle(labels.join(merged.withColumnRenamed("node", "label"), "label", "left").select("doc_id", F.coalesce("component", "label").alias("label")))
-    release(edges, merged, labels)
+def _contract(labels: DataFrame, links: DataFrame, k: int) -> DataFrame:
+    """Labels after those of linked classes have moved, two hops at most.
+
+    In the round of leaders (0) a class's label goes over to its leader's, and leaders come first in
+    one order; in later rounds the later one in a pseudo-random order goes over to the earlier one.
+    """
+    of = lambda c, label: labels.select(F.col("doc_id").alias(c), F.col("label").alias(label))
+    pairs = links.join(of("x", "to"), "x").join(of("y", "from"), "y").where("from <> to")
+    if k:
+        place = lambda c: F.struct(F.xxhash64(c, F.lit(k)), F.col(c).alias("label"))
+        pairs = pairs.select(F.greatest(place("from"), place("to"))["label"].alias("from"), F.least(place("from"), place("to"))["label"].alias("to"))
+    move = pairs.groupBy("from").agg(F.min("to").alias("to"))
+    on = move.select(F.col("from").alias("to"), F.col("to").alias("on"))
+    move = move.join(on, "to", "left").select(F.col("from").alias("label"), F.coalesce("on", "to").alias("to"))
+    out = settle(labels.join(move, "label", "left").select("doc_id", F.coalesce("to", "label").alias("label")))
+    release(labels)
     return out
 
 
@@ -421,6 +430,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     # documents with one label are connected; the rounds leave some connected ones with two
     spent: list[DataFrame] = []
+    found: list[DataFrame] = []
     open_, labels = classes.select("doc_id", "n", "tokens"), classes.select("doc_id", F.col("doc_id").alias("label"))
     for k in range(ROUNDS):
         c = F.max("c") if k else F.sum("c")
@@ -428,16 +438,16 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         best = settle(best.groupBy("y").agg(F.max_by("x", F.struct("c", -F.col("x"))).alias("x")))
         if k:  # who can link with no other component now never will
             open_ = classes.select("doc_id", "n", "tokens").join(best.select(F.col("y").alias("doc_id")), "doc_id", "left_semi")
-        found = settle(_verify(best.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), segments, percent))
-        spent += [best, found]
-        if not found.isEmpty():
-            labels = _contract(labels, found)
-        elif k:
+        pairs = best.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct() if k else best
+        found.append(settle(_verify(pairs, segments, percent)))
+        spent.append(best)
+        if k and found[-1].isEmpty():
             break
+        labels = _contract(labels, found[-1], k)
     rest = deal(open_, labels, _pairs, "x long, y long", maps=True).distinct()
-    labels = _contract(labels, _verify(rest, segments, percent))
-    release(segments, *spent)
+    late = components(reduce(DataFrame.unionByName, [*found, _verify(rest, segments, percent)]))
+    release(segments, labels, *spent, *found)
+    # a component is named after its smallest class, and a class after the smallest doc_id of its copies
     member = able.select("doc_id", "sig").join(classes.select("sig", F.col("doc_id").alias("node")), "sig")
-    # a label is the smallest class of its component, and a class has the smallest doc_id of its copies
-    member = member.join(labels.withColumnRenamed("doc_id", "node"), "node").select("doc_id", F.col("label").alias("component_id"))
+    member = member.join(late, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))
     return sets.select("doc_id", F.col("n").alias("n_shingles")).join(member, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
