@@ -53,6 +53,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_BLOCK_BITS = 12
+
+
 def bit_table(hashes: DataFrame, column: str, n: int) -> np.ndarray:
     """A table, for ``in_table``, of the low bits of the hashes in ``column``, of which there are about ``n``.
 
@@ -61,12 +64,22 @@ def bit_table(hashes: DataFrame, column: str, n: int) -> np.ndarray:
     bits = min(28, max(16, (16 * n).bit_length()))
     low = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
     words = hashes.select(F.shiftright(low, 5).alias("word"), low.alias("low")).select("word", F.expr("shiftleft(1L, int(low & 31))").alias("mask"))
+    words = words.groupBy("word").agg(F.bit_or("mask").alias("mask")).withColumn("block", F.shiftright("word", _BLOCK_BITS))
     table = np.zeros(1 << bits - 5, np.uint32)
-    got = words.groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
-    table[got["word"].to_numpy()] = got["mask"].to_numpy().astype(np.uint32)
+    # a row has 16 KB of the table
+    for block, part in grouped(words, "block", _block, "block long, words binary").collect():
+        own = np.frombuffer(part, np.uint32)
+        table[block << _BLOCK_BITS : (block << _BLOCK_BITS) + len(own)] = own[: len(table)]
     return table
 
 
+def _block(table: pa.Table) -> pa.Table:
+    word, mask = table.column("word").to_numpy(), table.column("mask").to_numpy()
+    out = np.zeros(1 << _BLOCK_BITS, np.uint32)
+    out[word & (1 << _BLOCK_BITS) - 1] = mask
+    return pa.table({"block": pa.array(word[:1] >> _BLOCK_BITS), "words": pa.array([out.tobytes()], pa.binary())})
+
+
 def grouped(df: DataFrame, key: str, kernel, schema: str, **options) -> DataFrame:
     """``kernel(table, **options)`` on each group of ``df`` by ``key``, as Arrow tables."""
 

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from .chat import chat_digest
 from .decontaminate import decontaminate
+from .exact_dedup import exact_groups
+from .fill_middle import fill_in_middle, restored
+from .importance import resample
 from .langid import identify
 from .line_dedup import drop_repeated_lines
 from .ngram_join import ngram_components
@@ -71,6 +74,21 @@ def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = exact_groups(table(spark, sf_dir, "documents"), digests=True)
+    return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = fill_in_middle(table(spark, sf_dir, "documents")).select("doc_id", "text", "fim.*")
+    digests = F.sha2("text", 256).alias("output_sha256"), F.sha2(restored(F.col("text"), F.col("form")), 256).alias("restored_sha256")
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_perplexity": op2_perplexity,
@@ -82,6 +100,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_url_rules": op9_url_rules,
     "op10_token_file": op10_token_file,
+    "op11_importance": op11_importance,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_fill_middle": op13_fill_middle,
 }
 _ESCAPED = r"replace(replace(replace({0}, '\', '\\'), '</turn>', '\l/turn>'), '### ', '\h## ')"
 
@@ -90,6 +111,47 @@ _ITEM_WORDS = f"list_filter(regexp_split_to_array({_LOW}, '[\\x00-\\x2F\\x3A-\\x
 _WORDS = f"list_filter(regexp_split_to_array({_LOW}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 
 ORACLES: dict[str, str] = {
+    "op11_importance": f"""
+WITH crc AS (  -- the table of the polynomial, one byte at a time
+  SELECT list(c ORDER BY b) AS t FROM (SELECT b, list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) AS c FROM range(256) x(b))
+), texts AS (
+  SELECT 's' AS side, doc_id, {_ITEM_WORDS} AS ws FROM documents UNION ALL SELECT 't', item_id, {_ITEM_WORDS} FROM benchmark
+), runs AS (
+  SELECT side, doc_id, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) AS f FROM texts
+), hashed AS (
+  SELECT f, xor(list_reduce(list_transform(range(octet_length(encode(f))), lambda i: CAST('0x' || substr(hex(encode(f)), 2 * i + 1, 2) AS BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT f FROM runs), crc
+), counts AS (SELECT bucket, count(*) FILTER (side = 's') AS s, count(*) FILTER (side = 't') AS t FROM runs JOIN hashed USING (f) GROUP BY 1),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * CAST((SELECT sum(s) FROM counts) + 10000 AS DOUBLE) / (CAST(s + 1 AS DOUBLE) * CAST((SELECT sum(t) FROM counts) + 10000 AS DOUBLE)))) AS BIGINT) AS gain FROM counts
+), sums AS (SELECT doc_id, sum(gain) AS total FROM runs JOIN hashed USING (f) JOIN gains USING (bucket) WHERE side = 's' GROUP BY 1),
+weighed AS (
+  SELECT doc_id, len(ws) AS n_words, len(ws) + greatest(0, len(ws) - 1) AS n_features,
+    CAST(coalesce((total - ((total % (len(ws) + len(ws) - 1)) + (len(ws) + len(ws) - 1)) % (len(ws) + len(ws) - 1)) // (len(ws) + len(ws) - 1), 0) AS BIGINT) AS weight,
+    CAST('0x' || substr(sha256('7:' || doc_id), 1, 8) AS BIGINT) AS h
+  FROM texts LEFT JOIN sums USING (doc_id) WHERE side = 's'
+), scored AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM weighed),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score, CASE WHEN place <= n * 25 // 100 THEN place END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
+""",
+    "op12_exact_dedup": r"""
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS s FROM documents),
+g AS (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY s) AS keep_id, count(*) OVER (PARTITION BY s) AS group_size FROM t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(s) AS text_sha256 FROM g
+""",
+    "op13_fill_middle": r"""
+WITH h AS (SELECT doc_id, coalesce(text, '') AS s, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || doc_id) AS d FROM documents),
+c AS (
+  SELECT doc_id, s, u, len(u) AS n, CAST('0x' || substr(d, 1, 8) AS BIGINT) % (len(u) + 1) AS x, CAST('0x' || substr(d, 9, 8) AS BIGINT) % (len(u) + 1) AS y,
+    CAST('0x' || substr(d, 17, 8) AS BIGINT) % 100 AS p, CAST('0x' || substr(d, 25, 8) AS BIGINT) % 100 AS q FROM h
+), f AS (
+  SELECT *, CASE WHEN s = '' OR contains(s, '<P>') OR contains(s, '<S>') OR contains(s, '<M>') OR p >= 90 THEN 'plain' WHEN q < 20 THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(u[1 : least(x, y)], '') AS a, array_to_string(u[least(x, y) + 1 : greatest(x, y)], '') AS m, array_to_string(u[greatest(x, y) + 1 :], '') AS z FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(a) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN s WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || m ELSE '<S>' || z || '<P>' || a || '<M>' || m END) AS output_sha256, sha256(s) AS restored_sha256 FROM f
+""",
     "op1_decontaminate": f"""
 WITH iw AS (SELECT item_id, {_ITEM_WORDS} AS ws FROM benchmark WHERE item_id IS NOT NULL),
 win AS (
