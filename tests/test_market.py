@@ -1,12 +1,16 @@
 """Hand-computed cases of the market operators."""
 
+import hashlib
 import math
+import random
+from decimal import Decimal
+from itertools import groupby
 
 import pytest
 from pyspark.sql import functions as F
 
 from tickloom.functions import scalars
-from tickloom.operators import asof, backtest, book, candles, indicators, l4, latency, ofi, validate
+from tickloom.operators import asof, backtest, blocks, book, candles, indicators, l4, latency, ofi, validate
 
 TRADES = "symbol string, t_ms long, price double, size double, side string, arrival long"
 
@@ -224,74 +228,190 @@ def test_clean_signal(spark):
     assert [r[0] for r in df.select(backtest.clean_signal(F.col("s"))).collect()] == [0, 1, -1, 0, 0, 0.5]
 
 
-DIFFS = "coin string, height long, pos long, oid long, side string, px string, kind string, sz double, new_sz double"
+DIFFS = "coin string, height long, pos long, oid long, side string, px string, kind string, sz string, new_sz string, orig_sz string"
 
 
-def diff_rows(spark, rows):
-    return spark.createDataFrame([("X", h, i, *r) for i, (h, *r) in enumerate(rows)], DIFFS)
+def diff_rows(spark, rows, coin="X"):
+    return spark.createDataFrame([(coin, h, i, *r, *[None] * (7 - len(r))) for i, (h, *r) in enumerate(rows)], DIFFS)
+
+
+class PlainBook:
+    """A book kept by hand, one diff at a time."""
+
+    def __init__(self):
+        self.orders, self.levels = {}, {"B": {}, "A": {}}
+
+    def leave(self, oid):
+        side, px, _ = self.orders.pop(oid)
+        self.levels[side][px][1].remove(oid)
+        if not self.levels[side][px][1]:
+            del self.levels[side][px]
+
+    def apply(self, oid, side, px, kind, sz=None, new_sz=None, orig_sz=None):
+        if kind == "new":
+            if oid in self.orders:
+                self.leave(oid)
+            self.orders[oid] = [side, Decimal(px), sz]
+            self.levels[side].setdefault(Decimal(px), (px, []))[1].append(oid)
+        elif oid in self.orders and kind == "update" and Decimal(new_sz) > 0:
+            self.orders[oid][2] = new_sz
+        elif oid in self.orders:
+            self.leave(oid)
+
+    def total(self, side, px):
+        return float(sum(Decimal(self.orders[o][2]) for o in self.levels[side][px][1]))
+
+    def best(self, side):
+        if not self.levels[side]:
+            return None, None
+        px = (max if side == "B" else min)(self.levels[side])
+        return self.levels[side][px][0], self.total(side, px)
+
+    def text(self, coin, height):
+        out = f"coin={coin};height={height};"
+        for side, down in (("B", True), ("A", False)):
+            for px in sorted(self.levels[side], reverse=down):
+                name, ids = self.levels[side][px]
+                out += f"{side}|{name}|" + ",".join(f"{o}:{Decimal(self.orders[o][2]):f}" for o in ids) + ";"
+        return out
+
+
+def random_diffs(seed, blocks=400):
+    rng = random.Random(seed)
+    sizes = ["1", "1.0", "2.50", "3e0", "1e1", "0.125", "7", " 4.0 "]
+    for h in range(0, blocks, 2):
+        for _ in range(rng.randint(1, 4)):
+            oid, kind = rng.randint(1, 30), rng.choice(["new", "new", "update", "remove"])
+            px = f"{rng.randint(90, 99) if oid % 2 else rng.randint(98, 107)}{rng.choice(['', '.0', '.00'])}"
+            yield h, oid, "B" if oid % 2 else "A", px, kind, rng.choice(sizes) if kind == "new" else None, rng.choice([*sizes, "0", "0.0"]) if kind == "update" else None, None
 
 
 def test_l4_final_state_and_queue(spark):
-    d = diff_rows(spark, [(1, 1, "B", "100.0", "new", 0.5, None), (1, 2, "B", "100.0", "new", 0.3, None), (2, 1, "B", "100.0", "new", 0.2, None), (3, 2, "B", "100.0", "update", None, 0.1), (3, 9, "A", "101.0", "update", None, 4.0), (4, 3, "A", "101.0", "new", 1.0, None), (5, 3, "A", "101.0", "update", None, 0.0), (6, 3, "A", "101.0", "update", None, 7.0)])
+    d = diff_rows(spark, [(1, 1, "B", "100.0", "new", "0.5"), (1, 2, "B", "100", "new", "0.3"), (2, 1, "B", "100.00", "new", "0.2"), (3, 2, "B", "100.0", "update", None, "0.1"), (3, 9, "A", "101.0", "update", None, "4"), (4, 3, "A", "101.0", "new", "1"), (5, 3, "A", "101.0", "update", None, "0.0"), (6, 3, "A", "101.0", "update", None, "7")])
     orders = l4.final_orders(d)
-    assert {(r.oid, r.size) for r in orders.collect()} == {(1, 0.2), (2, 0.1)}
-    assert {r.oid: (r.orders_ahead, r.size_ahead) for r in l4.queue_positions(orders).collect()} == {2: (0, 0.0), 1: (1, 0.1)}
+    assert {(r.oid, float(r.size), r.size_text) for r in orders.collect()} == {(1, 0.2, "0.2"), (2, 0.1, "0.1")}
+    assert {r.oid: (r.orders_ahead, float(r.size_ahead)) for r in l4.queue_positions(orders).collect()} == {2: (0, 0.0), 1: (1, 0.1)}
     assert {r.type: r.n for r in l4.anomalies(d).collect()} == {"duplicate_new": 1, "unknown_oid_update": 2, "update_to_zero": 1}
+    (level,) = l4.levels(orders, l4.level_texts(d)).collect()
+    assert (level.px, float(level.size), level.orders) == ("100.0", 0.3, 2)  # called as order 1 said first, who left and came back
     tops = {r.height: r for r in l4.block_tops(d).collect()}
     assert (tops[1].bid_px, tops[1].bid_sz, tops[1].ask_px) == ("100.0", 0.8, None)
     assert (tops[4].mid, tops[5].ask_px, tops[6].ask_px) == (100.5, None, None)
     # blocks without diffs are told too, from before the first one to after the last
-    blocks = spark.createDataFrame([("X", h) for h in range(-2, 12)], "coin string, height long")
-    all_ = {r.height: r for r in l4.block_tops(d, blocks).collect()}
+    every = spark.createDataFrame([("X", h) for h in range(-2, 12)], "coin string, height long")
+    all_ = {r.height: r for r in l4.block_tops(d, every).collect()}
     assert set(all_) == set(range(-2, 12)) and (all_[0].bid_px, all_[0].n_diffs) == (None, 0)
     assert all(all_[h].bid_sz == tops[h].bid_sz and all_[h].ask_px == tops[h].ask_px for h in tops) and all_[11].bid_sz == tops[6].bid_sz
     assert l4.block_tops(d.limit(0)).count() == 0
 
 
-def test_block_tops_are_those_of_a_replayed_book(spark):
-    import random
-
-    rng = random.Random(3)
-    rows, book_, want = [], l4.Book(), {}
-    for h in range(0, 400, 2):
-        for _ in range(rng.randint(1, 4)):
-            oid, kind = rng.randint(1, 30), rng.choice(["new", "new", "update", "remove"])
-            row = (h, oid, "B" if oid % 2 else "A", str(rng.randint(90, 99) if oid % 2 else rng.randint(98, 107)), kind, float(rng.randint(1, 9)) if kind == "new" else None, float(rng.randint(0, 5)) if kind == "update" else None)
-            rows.append(row)
-            book_.apply(*row[1:])
+def test_equal_prices_of_any_text_are_one_level(spark):
+    d = diff_rows(spark, [(1, 1, "B", "100.0", "new", "1"), (2, 2, "B", "100", "new", "2"), (3, 3, "B", "1e2", "new", "0.1"), (4, 1, "B", "100.0", "remove"), (5, 4, "B", "99.9", "new", "4"), (6, 5, "A", "101", "new", "1"), (7, 5, "A", "101", "remove"), (8, 6, "A", "101.00", "new", "3")])
+    orders = l4.final_orders(d)
+    got = {(r.side, r.px): (float(r.size), r.orders) for r in l4.levels(orders, l4.level_texts(d)).collect()}
+    # the level keeps the first text while it stands, and gets another when it is opened again
+    assert got == {("B", "100.0"): (2.1, 2), ("B", "99.9"): (4.0, 1), ("A", "101.00"): (3.0, 1)}
+    assert {r.oid: r.orders_ahead for r in l4.queue_positions(orders).collect()} == {2: 0, 3: 1, 4: 0, 6: 0}
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_block_tops_and_checksum_are_those_of_a_replayed_book(spark, seed):
+    rows, book_, want = list(random_diffs(seed)), PlainBook(), {}
+    for h, own in groupby(rows, lambda r: r[0]):
+        for r in own:
+            book_.apply(*r[1:])
         bid, ask = book_.best("B"), book_.best("A")
-        want[h] = (bid and bid[0], bid and bid[1], ask and ask[0], ask and ask[1], bool(bid and ask and float(bid[0]) >= float(ask[0])))
-    got = {r.height: (r.bid_px, r.bid_sz, r.ask_px, r.ask_sz, r.crossed) for r in l4.block_tops(diff_rows(spark, rows)).collect()}
+        want[h] = (*bid, *ask, bool(bid[0] and ask[0] and Decimal(bid[0]) >= Decimal(ask[0])))
+    d = diff_rows(spark, rows).cache()
+    got = {r.height: (r.bid_px, r.bid_sz, r.ask_px, r.ask_sz, r.crossed) for r in l4.block_tops(d).collect()}
     assert got == want and any(w[4] for w in want.values())
+    assert l4.checksum(l4.final_orders(d), d).first().checksum == hashlib.sha256(book_.text("X", rows[-1][0]).encode()).hexdigest()
 
 
 def test_anomalies_by_type(spark):
     rows = [
-        (1, 1, "B", "1", "new", 2.0, None, None), (2, 1, "B", "1", "update", None, 1.0, 2.0), (3, 1, "B", "1", "update", None, 0.5, 9.0), (4, 1, "B", "1", "update", None, None, None), (5, 2, "B", "x", "new", 1.0, None, None),
-        (6, 3, "B", "1", "new", None, None, None), (7, 1, "B", "1", "odd", None, None, None), (8, 1, "B", "1", "update", None, 0.0, 0.5), (9, 1, "B", "1", "remove", None, None, None), (11, 1, "B", "1", "new", 1.0, None, None),
+        (1, 1, "B", "1", "new", "2"), (2, 1, "B", "1", "update", None, "1.0", "2.00"), (3, 1, "B", "1", "update", None, "0.5", "9"), (4, 1, "B", "1", "update", None, "many"), (5, 2, "B", "x", "new", "1"), (5, 4, "B", "1", "new", "abc"),
+        (6, 3, "B", "1", "new"), (7, 1, "B", "1", "odd"), (8, 1, "B", "1", "update", None, "0.4", "half"), (9, 1, "B", "1", "update", None, "0.0", "0.4"), (10, 1, "B", "1", "remove"), (12, 1, "B", "1", "new", "1"),
     ]
-    d = spark.createDataFrame([("X", h, i, *r) for i, (h, *r) in enumerate(rows)], DIFFS + ", orig_sz double")
+    d = diff_rows(spark, rows)
     got = sorted((r.height, r.type) for r in l4.anomaly_rows(d).collect())
-    assert got == [(3, "orig_sz_mismatch"), (4, "bad_decimal"), (5, "bad_decimal"), (6, "new_without_sz"), (7, "unknown_kind"), (8, "update_to_zero"), (9, "unknown_oid_remove")]
+    assert got == [(3, "orig_sz_mismatch"), (4, "bad_decimal"), (5, "bad_decimal"), (5, "bad_decimal"), (6, "new_without_sz"), (7, "unknown_kind"), (8, "bad_decimal"), (9, "update_to_zero"), (10, "unknown_oid_remove")]
     assert {r.type: r.n for r in l4.anomalies(d).collect()}["height_gap"] == 1
     assert {r.type for r in l4.anomaly_rows(d, "Y").collect()} == {"coin_mismatch"}
-    assert sorted(r.height for r in l4.newest_anomalies(d, n=3).collect()) == [7, 8, 9]
-
+    assert sorted(r.height for r in l4.newest_anomalies(d, n=3).collect()) == [8, 9, 10]
+    snap = spark.createDataFrame([("X", 4), ("X", 4), ("Y", 5)], "coin string, height long")
+    assert [tuple(r) for r in l4.snapshot_mismatches(snap, "Y").collect()] == [("X", 4, "snapshot_coin_mismatch")]
 
-def test_checksum_covers_queue_order(spark):
-    import hashlib
 
-    rows = [(1, 1, "B", "100.0", "new", 0.5, None), (1, 2, "B", "100.0", "new", 3.0, None), (2, 3, "B", "101.0", "new", 1.0, None), (2, 4, "A", "102.5", "new", 1e-7, None)]
+def test_checksum_covers_queue_order_and_the_decimals_as_they_came(spark):
+    rows = [(1, 1, "B", "100.0", "new", "0.50"), (1, 2, "B", "100.0", "new", "3"), (2, 3, "B", "101.0", "new", "1e1"), (2, 4, "A", "102.5", "new", "1.0E-7"), (2, 5, "A", "103", "new", "+.5")]
     digest = lambda d: l4.checksum(l4.final_orders(d), d).first().checksum
-    text = "coin=X;height=2;B|101.0|3:1;B|100.0|1:0.5,2:3;A|102.5|4:0.0000001;"
+    text = "coin=X;height=2;B|101.0|3:10;B|100.0|1:0.50,2:3;A|102.5|4:0.00000010;A|103|5:0.5;"
     assert digest(diff_rows(spark, rows)) == hashlib.sha256(text.encode()).hexdigest()
     assert digest(diff_rows(spark, [rows[1], rows[0], *rows[2:]])) != digest(diff_rows(spark, rows))
 
 
 def test_l4_snapshot_replaces_what_came_before(spark):
-    d = diff_rows(spark, [(1, 1, "B", "1", "new", 1.0, None), (5, 2, "B", "1", "update", None, 3.0)])
-    snap = spark.createDataFrame([("X", 4, 0, 2, "B", "1", 2.0)], "coin string, height long, ordinal long, oid long, side string, px string, sz double")
-    assert [(r.oid, r.size) for r in l4.final_orders(l4.with_snapshot(snap, d)).collect()] == [(2, 3.0)]
+    d = diff_rows(spark, [(1, 1, "B", "1", "new", "1"), (5, 2, "B", "1", "update", None, "3.0")])
+    snap = spark.createDataFrame([("X", 4, 0, 2, "B", "1", "2")], "coin string, height long, ordinal long, oid long, side string, px string, sz string")
+    assert [(r.oid, float(r.size)) for r in l4.final_orders(l4.with_snapshot(snap, d)).collect()] == [(2, 3.0)]
+
+
+def followed(heights, coins, loads):
+    """Books that see every block: (coin, place of the block) -> stale, and each one's gaps since it was loaded."""
+    books, stale = {}, {}
+    for i, h in enumerate(heights):
+        for c in coins[i]:
+            books.setdefault(c, [None, False, 0])
+        for c, book_ in books.items():
+            if book_[0] is not None and h != book_[0] + 1:
+                book_[1], book_[2] = True, book_[2] + 1
+            book_[0] = h
+            if c in coins[i]:
+                stale[c, i] = book_[1]
+        for c, at, height in loads:
+            if at == i:
+                books[c] = [height, False, 0]
+    return stale, {c: b[2] for c, b in books.items()}
+
+
+def test_only_the_chain_makes_books_stale(spark):
+    feed = [("X", 1), ("Y", 2), ("X", 3)]  # silent coins don't miss anything
+    d = spark.createDataFrame([(c, h, h, 0) for c, h in feed], "coin string, arrival long, height long, pos long")
+    calendar = blocks.calendar(d.select("arrival", "height"))
+    assert blocks.gaps(calendar).count() == 0
+    assert not any(r.stale for r in blocks.staleness(d, blocks.epochs(d, calendar), calendar).collect())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_staleness_is_that_of_books_that_see_every_block(spark, seed):
+    rng = random.Random(seed)
+    heights = [100]
+    for _ in range(120):
+        heights.append(heights[-1] + rng.choice([1] * 12 + [0, -2, 3]))
+    coins = [[c for c in "XYZ" if rng.random() < 0.5 and not (c == "Z" and i < 40)] for i in range(len(heights))]
+    loads = [("X", 30, heights[30]), ("X", 60, heights[60] - 1), ("Y", 61, heights[61]), ("W", 70, heights[70])]
+    want, counts = followed(heights, coins, loads)
+    b = spark.createDataFrame([(i, h) for i, h in enumerate(heights)], "arrival long, height long")
+    d = spark.createDataFrame([(c, i, heights[i], k) for i, own in enumerate(coins) for c in own for k in range(2)], "coin string, arrival long, height long, pos long")
+    s = spark.createDataFrame(loads, "coin string, arrival long, height long")
+    calendar = blocks.calendar(b, span=16).cache()  # more than one bucket
+    epochs = blocks.epochs(d, calendar, s)
+    got = blocks.staleness(d.select("coin", "arrival").distinct(), epochs, calendar).collect()
+    assert {(r.coin, r.arrival): r.stale for r in got} == want and set(want.values()) == {True, False}
+    assert {r.coin: r.n for r in blocks.gap_counts(epochs, calendar).collect()} == counts
+    kinds = {(r.arrival, r.kind) for r in blocks.gaps(calendar).collect()}
+    assert kinds == {(i, {0: "repeat", -2: "rewind", 3: "missing"}[b - a]) for i, (a, b) in enumerate(zip(heights, heights[1:]), 1) if b - a != 1}
+
+
+def test_block_tops_tell_staleness_by_arrival(spark):
+    rows = [("X", 0, 7, 0, 1, "B", "1.0", "new", "2"), ("Y", 1, 8, 0, 2, "B", "3", "new", "2"), ("X", 2, 8, 0, 3, "B", "1", "new", "1"), ("X", 3, 9, 0, 1, "B", "1.0", "remove", None)]
+    d = spark.createDataFrame([(*r, None) for r in rows], "coin string, arrival long, height long, pos long, oid long, side string, px string, kind string, sz string, new_sz string")
+    calendar = blocks.calendar(d.select("arrival", "height").distinct())
+    got = {(r.coin, r.arrival): (r.bid_px, r.bid_sz, r.stale) for r in l4.block_tops(d, calendar=calendar, clock="arrival").collect()}
+    assert got == {("X", 0): ("1.0", 2.0, False), ("Y", 1): ("3", 2.0, False), ("X", 2): ("1.0", 3.0, True), ("X", 3): ("1.0", 1.0, True)}
+    told = l4.feed_stats(d.withColumn("reason", F.when(F.col("oid") == 3, "bad side")), d.select("arrival", "height").distinct()).first()
+    assert tuple(told) == (4, 3, 1, 2, ["X", "Y"])
 
 
 def test_fifo_allocation(spark):

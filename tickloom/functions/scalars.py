@@ -63,6 +63,21 @@ def basis_bps(mark: Column, oracle: Column) -> Column:
     return F.when(oracle > 0, (mark - oracle) / oracle * 10_000)
 
 
+def exact(text: Column | str) -> Column:
+    """A number's text as DECIMAL(38,18); null where it is none or does not fit."""
+    return (F.col(text) if isinstance(text, str) else text).cast("string").try_cast(DECIMAL)
+
+
+def plain(value: Column, text: Column) -> Column:
+    """``value``, which came as ``text``, without an exponent and with as many decimals as ``text`` has."""
+    shape = r"^[+-]?\d*\.?(\d*)(?:[eE]([+-]?\d+))?$"
+    clean = F.trim(text)
+    places = F.length(F.regexp_extract(clean, shape, 1)) - F.coalesce(F.regexp_extract(clean, shape, 2).try_cast("int"), F.lit(0))
+    whole = value.cast(DECIMAL).cast("string")
+    dot = F.instr(whole, ".")
+    return F.when(places > 0, F.substring(whole, F.lit(1), dot + F.least(places, F.lit(18)))).otherwise(F.substring(whole, F.lit(1), dot - 1))
+
+
 def tick(px: Column) -> Column:
     """The unit of the last decimal place of a price text."""
     places = F.length(F.regexp_extract(px, r"\.(\d+)$", 1))

@@ -2,51 +2,93 @@
 
 An order's life: its last valid ``new`` gives side, price and place in the queue; later valid updates
 resize it in place; a removal, or an update to zero or less, ends it.  Diffs of a coin are ordered by
-(height, pos).  Diffs of other coins never matter: everything is keyed by coin.
+(``clock``, pos), where ``clock`` is the height or, for feeds that repeat or rewind heights, the arrival of
+the block.  Diffs of other coins never matter: everything is keyed by coin.
+
+Prices and sizes are texts (``px, sz, new_sz, orig_sz``; numbers are taken by their text) and stay exact:
+``key`` is the price as DECIMAL(38,18), so "100.0" and "100" are one level, and sizes are DECIMAL(38,18) with the text
+they came as beside them.  A text that is no number of at most 20 digits before and 18 after the point is bad.
+A level is called by the price text of the order that opened it.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.scalars import DECIMAL, exact, plain
+from . import blocks as chain
 from .asof import newest
 
+LEVEL = ["coin", "side", "key"]
+
+
+def _rules() -> tuple[Column, Column, Column]:
+    """Which diffs place an order, which resize it, and which end it if it is there."""
+    new = (F.col("kind") == "new") & exact("sz").isNotNull() & exact("px").isNotNull()
+    update = (F.col("kind") == "update") & exact("new_sz").isNotNull()
+    return F.coalesce(new, F.lit(False)), F.coalesce(update, F.lit(False)), F.coalesce((F.col("kind") == "remove") | (update & (exact("new_sz") <= 0)), F.lit(False))
+
 
-def final_orders(diffs: DataFrame) -> DataFrame:
-    """``coin, oid, side, px, size, height, pos`` of the orders alive after all diffs.
+def final_orders(diffs: DataFrame, clock: str = "height") -> DataFrame:
+    """``coin, oid, side, px, key, size, size_text``, ``clock`` and ``pos`` of the orders alive after all diffs.
 
     One pre-aggregated group per order: no diff history is collected.
     """
-    at = F.struct("height", "pos")
-    good_new = (F.col("kind") == "new") & F.col("sz").isNotNull() & F.col("px").try_cast("decimal(38,18)").isNotNull()
-    good_update = (F.col("kind") == "update") & F.col("new_sz").isNotNull()
-    ends = (F.col("kind") == "remove") | (good_update & (F.col("new_sz") <= 0))
-    life = diffs.groupBy("coin", "oid").agg(
-        F.max(F.when(good_new, F.struct("height", "pos", "side", "px", "sz"))).alias("n"), F.max(F.when(ends, at)).alias("r"), F.max(F.when(good_update, F.struct("height", "pos", "new_sz"))).alias("u")
-    )
-    born = F.struct(F.col("n.height"), F.col("n.pos"))
+    new, update, ends = _rules()
+    at, sized = ["pos"], lambda c: [exact(c).alias("size"), F.col(c).cast("string").alias("size_text")]
+    placed = F.struct(clock, *at, "side", F.col("px").cast("string").alias("px"), exact("px").alias("key"), *sized("sz"))
+    life = diffs.groupBy("coin", "oid").agg(F.max(F.when(new, placed)).alias("n"), F.max(F.when(ends, F.struct(clock, *at))).alias("r"), F.max(F.when(update, F.struct(clock, *at, *sized("new_sz")))).alias("u"))
+    born = F.struct(F.col(f"n.{clock}"), F.col("n.pos"))
     life = life.where(F.col("n").isNotNull() & (F.col("r").isNull() | (F.col("r") < born)))
-    resized = F.col("u").isNotNull() & (F.struct(F.col("u.height"), F.col("u.pos")) > born)
-    return life.select("coin", "oid", "n.side", "n.px", F.when(resized, F.col("u.new_sz")).otherwise(F.col("n.sz")).alias("size"), "n.height", "n.pos")
+    resized = F.col("u").isNotNull() & (F.struct(F.col(f"u.{clock}"), F.col("u.pos")) > born)
+    now = lambda c: F.when(resized, F.col(f"u.{c}")).otherwise(F.col(f"n.{c}")).alias(c)
+    return life.select("coin", "oid", "n.side", "n.px", "n.key", now("size"), now("size_text"), f"n.{clock}", "n.pos")
 
 
-def queue_positions(orders: DataFrame) -> DataFrame:
+def level_texts(diffs: DataFrame, clock: str = "height") -> DataFrame:
+    """``coin, side, key, px``, ``clock`` and ``pos``: what each price level is called from when on.
+
+    Levels whose orders all say their price alike have one row.  Only those of several texts are followed
+    through time, to find the orders that met them empty.
+    """
+    new, _, ends = _rules()
+    w = Window.partitionBy("coin", "oid").orderBy(clock, "pos")
+    turns = diffs.select("coin", "oid", "side", F.col("px").cast("string").alias("px"), exact("px").alias("key"), clock, "pos", new.alias("new"), ends.alias("ends")).where("new or ends")
+    lives = turns.withColumn("died", F.lead(F.struct(clock, "pos")).over(w)).where("new")
+    called = lives.groupBy(*LEVEL).agg(F.min("px").alias("px"), (F.min("px") != F.max("px")).alias("mixed"), F.min(F.struct(clock, "pos")).alias("at"))
+    mixed = lives.join(called.where("mixed").select(*LEVEL), LEVEL, "left_semi")
+    # at one moment the order that goes goes first
+    moves = mixed.select(*LEVEL, F.struct(clock, "pos").alias("at"), F.lit(1).alias("by"), "px").unionByName(mixed.where("died is not null").select(*LEVEL, F.col("died").alias("at"), F.lit(-1).alias("by"), "px"))
+    before = F.coalesce(F.sum("by").over(Window.partitionBy(*LEVEL).orderBy("at", "by").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    opened = moves.withColumn("before", before).where("by = 1 and before = 0").select(*LEVEL, "px", f"at.{clock}", "at.pos")
+    return called.where("not mixed").select(*LEVEL, "px", f"at.{clock}", "at.pos").unionByName(opened)
+
+
+def queue_positions(orders: DataFrame, clock: str = "height") -> DataFrame:
     """``orders`` with ``orders_ahead, size_ahead`` in their price level."""
-    w = Window.partitionBy("coin", "side", "px").orderBy("height", "pos").rowsBetween(Window.unboundedPreceding, -1)
-    return orders.withColumns({"orders_ahead": F.count("*").over(w), "size_ahead": F.coalesce(F.sum("size").over(w), F.lit(0.0))})
+    w = Window.partitionBy(*LEVEL).orderBy(clock, "pos").rowsBetween(Window.unboundedPreceding, -1)
+    return orders.withColumns({"orders_ahead": F.count("*").over(w), "size_ahead": F.coalesce(F.sum("size").over(w), F.lit(0).cast(DECIMAL))})
 
 
-def levels(orders: DataFrame) -> DataFrame:
-    """``coin, side, px, size, orders`` per price level."""
-    return orders.groupBy("coin", "side", "px").agg(F.sum("size").alias("size"), F.count("*").alias("orders"))
+def levels(orders: DataFrame, texts: DataFrame | None = None, clock: str = "height") -> DataFrame:
+    """``coin, side, key, px, size, orders`` per price level.
+
+    Levels are called as ``texts`` of ``level_texts`` has it, without it as their oldest order says.
+    """
+    per = orders.groupBy(*LEVEL).agg(F.min_by("px", F.struct(clock, "pos")).alias("px"), F.sum("size").cast(DECIMAL).alias("size"), F.count("*").alias("orders"))
+    if texts is None:
+        return per
+    last = texts.groupBy(*LEVEL).agg(F.max_by("px", F.struct(clock, "pos")).alias("px"))
+    return per.drop("px").join(last, LEVEL).select(*LEVEL, "px", "size", "orders")
 
 
 def top(levels_: DataFrame, n: int = 1) -> DataFrame:
     """The best ``n`` levels of each side, with their rank."""
-    px = F.col("px").cast("decimal(38,18)")
-    rank = F.row_number().over(Window.partitionBy("coin", "side").orderBy(F.when(F.col("side") == "B", -px).otherwise(px)))
+    rank = F.row_number().over(Window.partitionBy("coin", "side").orderBy(F.when(F.col("side") == "B", -F.col("key")).otherwise(F.col("key"))))
     return levels_.withColumn("rank", rank).where(F.col("rank") <= n)
 
 
@@ -55,184 +97,192 @@ def allocate(orders: DataFrame, printed: Column, ahead: Column, keys: list[str],
 
     ``printed`` is the size traded at the level of ``keys``, ``ahead`` what stood before all of its orders.
     """
-    prior = F.coalesce(F.sum("size").over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    return orders.withColumn("filled", F.greatest(F.lit(0.0), F.least(F.col("size"), printed - ahead - prior)))
-
+    size = F.col("size")
+    prior = F.coalesce(F.sum(size).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return orders.withColumn("filled", F.greatest(F.lit(0), F.least(size, printed - ahead - prior)))
 
-def _plain(x: Column) -> Column:
-    """A number as text without an exponent or trailing zeros."""
-    return F.regexp_replace(x.cast("decimal(38,12)").cast("string"), r"\.?0+$", "")
 
-
-def checksum(orders: DataFrame, diffs: DataFrame) -> DataFrame:
+def checksum(orders: DataFrame, diffs: DataFrame, heights: DataFrame | None = None, clock: str = "height") -> DataFrame:
     """``coin, checksum``: SHA-256 over a coin's whole book.
 
     The text is ``coin=C;height=H;``, then ``B|px|oid:size,...;`` for each bid level from the best, then
-    ``A|...`` for each ask level, orders in queue order; the height is that of the coin's last diff.  A coin's
+    ``A|...`` for each ask level, orders in queue order, sizes with the decimals they came with.  The height is that of the last
+    block: of ``heights`` (``coin, height``; None where there was no block), or the largest in the diffs of any coin.  A coin's
     resting orders are one group here: they don't grow with the history.
     """
-    px = F.col("px").cast("decimal(38,18)")
-    queue = F.array_sort(F.collect_list(F.struct("height", "pos", "oid", _plain(F.col("size")).alias("size"))))
-    line = F.concat(F.col("side"), F.lit("|"), F.col("px"), F.lit("|"), F.array_join(F.transform("q", lambda o: F.concat(o["oid"].cast("string"), F.lit(":"), o["size"])), ","), F.lit(";"))
-    by_level = orders.groupBy("coin", "side", "px").agg(queue.alias("q")).select("coin", F.struct((F.col("side") != "B").alias("asks"), F.when(F.col("side") == "B", -px).otherwise(px).alias("away"), line.alias("line")).alias("level"))
+    queue = F.array_sort(F.collect_list(F.struct(clock, "pos", "oid", plain(F.col("size"), F.col("size_text")).alias("size"))))
+    rows = F.array_join(F.transform("q", lambda o: F.concat(o["oid"].cast("string"), F.lit(":"), o["size"])), ",")
+    queues = orders.groupBy(*LEVEL).agg(queue.alias("q")).select(*LEVEL, rows.alias("q"))
+    called = level_texts(diffs, clock).groupBy(*LEVEL).agg(F.max_by("px", F.struct(clock, "pos")).alias("px"))
+    line = F.concat(F.col("side"), F.lit("|"), F.col("px"), F.lit("|"), F.col("q"), F.lit(";"))
+    away = F.when(F.col("side") == "B", -F.col("key")).otherwise(F.col("key"))
+    by_level = queues.join(called, LEVEL).select("coin", F.struct((F.col("side") != "B").alias("asks"), away.alias("away"), line.alias("line")).alias("level"))
     text = by_level.groupBy("coin").agg(F.array_join(F.transform(F.array_sort(F.collect_list("level")), lambda x: x["line"]), "").alias("text"))
-    heads = diffs.groupBy("coin").agg(F.max("height").alias("height"))
-    whole = F.concat(F.lit("coin="), F.col("coin"), F.lit(";height="), F.col("height").cast("string"), F.lit(";"), F.coalesce("text", F.lit("")))
-    return heads.join(text, "coin", "left").select("coin", F.sha2(whole, 256).alias("checksum"))
+    if heights is None:
+        last = diffs.agg(F.max("height").alias("height")).withColumn("_k", F.lit(0))
+        heights = diffs.select("coin", F.lit(0).alias("_k")).distinct().join(F.broadcast(last), "_k")
+    whole = F.concat(F.lit("coin="), F.col("coin"), F.lit(";height="), F.coalesce(F.col("height").cast("string"), F.lit("None")), F.lit(";"), F.coalesce("text", F.lit("")))
+    return heights.join(text, "coin", "left").select("coin", F.sha2(whole, 256).alias("checksum"))
 
 
-def anomaly_rows(diffs: DataFrame, coin: str | None = None) -> DataFrame:
-    """``coin, height, pos, oid, type`` of every diff that does not fit the book it meets.
+def anomaly_rows(diffs: DataFrame, coin: str | None = None, clock: str = "height") -> DataFrame:
+    """``coin``, ``clock``, ``pos, oid, type`` of every diff that does not fit the book it meets.
 
     ``new_without_sz``, ``bad_decimal`` (a price or size that is no number), ``duplicate_new`` (the order is
     alive), ``unknown_oid_update`` and ``unknown_oid_remove`` (it is not), ``orig_sz_mismatch``,
     ``update_to_zero``, ``unknown_kind``, and, for the book of one ``coin``, ``coin_mismatch`` of all others.
     """
     if "orig_sz" not in diffs.columns:
-        diffs = diffs.withColumn("orig_sz", F.lit(None).cast("double"))
-    w = Window.partitionBy("coin", "oid").orderBy("height", "pos")
-    past = w.rowsBetween(Window.unboundedPreceding, -1)
+        diffs = diffs.withColumn("orig_sz", F.lit(None).cast("string"))
+    past = Window.partitionBy("coin", "oid").orderBy(clock, "pos").rowsBetween(Window.unboundedPreceding, -1)
     kind, zero = F.col("kind"), F.lit(0)
-    sz, px, new_sz = F.col("sz").try_cast("double"), F.col("px").try_cast("decimal(38,18)"), F.col("new_sz").try_cast("double")
-    good = (kind == "new") & sz.isNotNull() & px.isNotNull()
-    ended = (kind == "remove") | ((kind == "update") & (new_sz <= 0))
+    good, update, ended = _rules()
     alive = F.coalesce(F.last(F.when(good, 1).when(ended, 0), ignorenulls=True).over(past), zero) == 1
-    stands = F.last(F.when(good, sz).when(kind == "update", new_sz), ignorenulls=True).over(past)
-    rows = diffs.withColumns({"_alive": alive, "_stands": stands})
-    alive, stands = F.col("_alive"), F.col("_stands")
+    stands = F.last(F.when(good, exact("sz")).when(kind == "update", exact("new_sz")), ignorenulls=True).over(past)
+    rows = diffs.withColumns({"_alive": alive, "_stands": stands, "_good": good, "_update": update})
+    alive, stands, good, update = (F.col(c) for c in ("_alive", "_stands", "_good", "_update"))
+    resized, orig = alive & update, exact("orig_sz")
     types = {
         "new_without_sz": (kind == "new") & F.col("sz").isNull(),
-        "bad_decimal": ((kind == "new") & F.col("sz").isNotNull() & ~good) | ((kind == "update") & alive & new_sz.isNull()),
+        "bad_decimal": ((kind == "new") & F.col("sz").isNotNull() & ~good) | ((kind == "update") & alive & ~update) | (resized & F.col("orig_sz").isNotNull() & orig.isNull()),
         "duplicate_new": good & alive,
         "unknown_oid_update": (kind == "update") & ~alive,
         "unknown_oid_remove": (kind == "remove") & ~alive,
-        "orig_sz_mismatch": (kind == "update") & alive & new_sz.isNotNull() & F.col("orig_sz").isNotNull() & (F.col("orig_sz") != stands),
-        "update_to_zero": (kind == "update") & alive & (new_sz <= 0),
+        "orig_sz_mismatch": resized & (orig != stands),
+        "update_to_zero": resized & (exact("new_sz") <= 0),
         "unknown_kind": F.coalesce(~kind.isin("new", "update", "remove"), F.lit(True)),
     }
     found = F.array_compact(F.array(*[F.when(F.coalesce(when, F.lit(False)), name) for name, when in types.items()]))
     if coin is not None:
         found = F.when(F.col("coin") == coin, found).otherwise(F.array(F.lit("coin_mismatch")))
-    return rows.select("coin", "height", "pos", "oid", F.explode(found).alias("type"))
+    return rows.select("coin", clock, "pos", "oid", F.explode(found).alias("type"))
 
 
-def newest_anomalies(diffs: DataFrame, coin: str | None = None, n: int = 1000) -> DataFrame:
+def newest_anomalies(diffs: DataFrame, coin: str | None = None, n: int = 1000, clock: str = "height") -> DataFrame:
     """The newest ``n`` rows of ``anomaly_rows`` of each coin."""
-    return newest(anomaly_rows(diffs, coin), ["coin"], ["height", "pos", "type"], n).drop("_rank")
+    return newest(anomaly_rows(diffs, coin, clock), ["coin"], [clock, "pos", "type"], n).drop("_rank")
+
 
+def anomalies(diffs: DataFrame, calendar: DataFrame | None = None, snapshots: DataFrame | None = None, clock: str = "height") -> DataFrame:
+    """``coin, type, n``: anomalies by type, and ``height_gap``, the blocks that did not follow the one before.
 
-def anomalies(diffs: DataFrame) -> DataFrame:
-    """``coin, type, n``: anomalies by type, and ``height_gap``, heights of a coin that don't follow the one before."""
-    per = anomaly_rows(diffs).groupBy("coin", "type").agg(F.count("*").alias("n"))
-    heights = diffs.select("coin", "height").distinct()
-    step = F.col("height") - F.lag("height").over(Window.partitionBy("coin").orderBy("height"))
-    gaps = heights.withColumn("s", step).where("s <> 1").groupBy("coin").agg(F.count("*").alias("n"))
+    Heights are the chain's: a block without diffs of a coin is none the less a block its book sees.
+    Without a ``calendar`` (see ``blocks``) the blocks are those that have a diff of any coin.
+    """
+    if calendar is None:
+        calendar = chain.calendar(diffs.select(F.col(clock).alias("arrival"), "height").distinct())
+    per = anomaly_rows(diffs, clock=clock).groupBy("coin", "type").agg(F.count("*").alias("n"))
+    gaps = chain.gap_counts(chain.epochs(diffs, calendar, snapshots, clock), calendar).where("n > 0")
     return per.unionByName(gaps.select("coin", F.lit("height_gap").alias("type"), "n"))
 
 
-def with_snapshot(snapshot: DataFrame, diffs: DataFrame) -> DataFrame:
-    """Snapshot orders (bids then asks, each in queue order, at ``height``) as the first news; older diffs go."""
-    news = snapshot.select("coin", "height", (F.col("ordinal") - (1 << 40)).alias("pos"), "oid", "side", "px", F.lit("new").alias("kind"), "sz", F.lit(None).cast("double").alias("new_sz"))
-    since = snapshot.groupBy("coin").agg(F.max("height").alias("_h"))
-    later = diffs.join(since, "coin", "left").where(F.col("_h").isNull() | (F.col("height") > F.col("_h"))).drop("_h")
+def feed_stats(events: DataFrame, blocks: DataFrame, snapshots: DataFrame | None = None) -> DataFrame:
+    """One row ``blocks, diffs, parse_skips, anomalies_total, stale_coins`` of a feed of ``diffs.events`` and ``diffs.blocks``.
+
+    Both have an ``arrival`` beside what they are read with; bare events belong to the block before them.
+    """
+    good = events.where("reason is null")
+    calendar = chain.calendar(blocks)
+    gaps = chain.gap_counts(chain.epochs(good, calendar, snapshots), calendar)
+    counts = events.agg(F.count_if(F.col("reason").isNull()).alias("diffs"), F.count_if(F.col("reason").isNotNull()).alias("parse_skips"))
+    odd = anomalies(good, calendar, snapshots, "arrival").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("anomalies_total"))
+    stale = gaps.agg(F.array_sort(F.collect_set(F.when(F.col("n") > 0, F.col("coin")))).alias("stale_coins"))
+    rows = [blocks.agg(F.count("*").alias("blocks")), counts, odd, stale]
+    names = ["blocks", "diffs", "parse_skips", "anomalies_total", "stale_coins"]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows).agg(*[F.max(c).alias(c) for c in names])
+
+
+def integrity(diffs: DataFrame, calendar: DataFrame, snapshots: DataFrame | None = None, clock: str = "arrival") -> DataFrame:
+    """``coin, orders, size, empty_levels, bid, ask, crossed, stale, anomalies, sound`` of each book after all diffs.
+
+    A book is ``sound`` unless it is crossed.  Anomalies alone are no fault: a feed without a snapshot
+    speaks of orders from before it began; ``stale`` and levels without size are told.
+    """
+    side = lambda s: F.when(F.col("side") == s, F.col("key"))
+    per = levels(final_orders(diffs, clock), clock=clock).groupBy("coin").agg(F.sum("orders").alias("orders"), F.sum("size").alias("size"), F.count_if(F.col("size") <= 0).alias("empty_levels"), F.max(side("B")).alias("bid"), F.min(side("A")).alias("ask"))
+    gaps = chain.gap_counts(chain.epochs(diffs, calendar, snapshots, clock), calendar).select("coin", (F.col("n") > 0).alias("stale"))
+    odd = anomalies(diffs, calendar, snapshots, clock).groupBy("coin").agg(F.sum("n").alias("anomalies"))
+    whole = diffs.select("coin").distinct().join(per, "coin", "left").join(gaps, "coin", "left").join(odd, "coin", "left")
+    crossed = F.coalesce(F.col("bid") >= F.col("ask"), F.lit(False))
+    none = lambda c, kind: F.coalesce(c, F.lit(0)).cast(kind).alias(c)
+    return whole.select("coin", none("orders", "long"), none("size", "double"), none("empty_levels", "long"), F.col("bid").cast("double").alias("bid"), F.col("ask").cast("double").alias("ask"), crossed.alias("crossed"), F.coalesce("stale", F.lit(False)).alias("stale"), none("anomalies", "long"), (~crossed).alias("sound"))
+
+
+def snapshot_mismatches(snapshot: DataFrame, coin: str) -> DataFrame:
+    """``coin, height, type``: snapshots of another coin that are loaded into the book of ``coin``."""
+    return snapshot.where(F.col("coin") != coin).select("coin", "height").distinct().withColumn("type", F.lit("snapshot_coin_mismatch"))
+
+
+def with_snapshot(snapshot: DataFrame, diffs: DataFrame, clock: str = "height") -> DataFrame:
+    """Snapshot orders (bids then asks, each in queue order, at their ``clock``) as the first news; older diffs go."""
+    none = F.lit(None).cast("string")
+    texts = {c: F.col(c).cast("string") for c in ("px", "sz", "new_sz", "orig_sz") if c in diffs.columns}
+    at = [clock] if clock == "height" or "height" not in snapshot.columns else [clock, "height"]
+    news = snapshot.select("coin", *at, (F.col("ordinal") - (1 << 40)).alias("pos"), "oid", "side", F.col("px").cast("string").alias("px"), F.lit("new").alias("kind"), F.col("sz").cast("string").alias("sz"), none.alias("new_sz"))
+    since = snapshot.groupBy("coin").agg(F.max(clock).alias("_h"))
+    later = diffs.withColumns(texts).join(since, "coin", "left").where(F.col("_h").isNull() | (F.col(clock) > F.col("_h"))).drop("_h")
     return news.unionByName(later, allowMissingColumns=True)
 
 
-class Book:
-    """Level totals of one coin, fed one diff at a time."""
-
-    def __init__(self) -> None:
-        self.orders: dict[int, list] = {}
-        self.sides: dict[str, dict[str, list]] = {"B": {}, "A": {}}
-
-    def _add(self, side: str, px: str, by: float, count: int) -> None:
-        level = self.sides[side].setdefault(px, [0.0, 0])
-        level[0] += by
-        level[1] += count
-        if level[1] <= 0:
-            del self.sides[side][px]
-
-    def apply(self, oid: int, side: str, px: str, kind: str, sz: float | None, new_sz: float | None) -> None:
-        held = self.orders.get(oid)
-        if kind == "new" and sz is not None and sz == sz:
-            if held:  # replaced: to the back of its queue
-                self._add(held[0], held[1], -held[2], -1)
-                del self.orders[oid]
-            self.orders[oid] = [side, px, sz]
-            self._add(side, px, sz, 1)
-        elif held and kind == "update" and new_sz is not None and new_sz == new_sz and new_sz > 0:
-            self._add(held[0], held[1], new_sz - held[2], 0)
-            held[2] = new_sz
-        elif held and (kind == "remove" or (kind == "update" and new_sz is not None and new_sz <= 0)):
-            self._add(held[0], held[1], -held[2], -1)
-            del self.orders[oid]
-
-    def best(self, side: str) -> tuple[str, float] | None:
-        if not self.sides[side]:
-            return None
-        px = (max if side == "B" else min)(self.sides[side], key=float)
-        return px, self.sides[side][px][0]
-
-
-def sizes_over_time(diffs: DataFrame) -> DataFrame:
-    """``coin, oid, side, px, size, height, pos, end``: each size an order has had, until the next change.
-
-    ``end`` is the height of the change, null for what still stands.
+def sizes_over_time(diffs: DataFrame, clock: str = "height") -> DataFrame:
+    """``coin, oid, side, px, key, size``, ``clock``, ``pos, end``: each size an order has had, until the next change.
+
+    ``end`` is the ``clock`` of the change, null for what still stands.  Orders are sorted once.
     """
-    w = Window.partitionBy("coin", "oid").orderBy("height", "pos")
-    past = w.rowsBetween(Window.unboundedPreceding, 0)
-    new = (F.col("kind") == "new") & F.col("sz").isNotNull()
-    size = F.when(new, F.col("sz")).when((F.col("kind") == "update") & F.col("new_sz").isNotNull(), F.greatest("new_sz", F.lit(0.0))).when(F.col("kind") == "remove", 0.0)
-    frame = diffs.withColumns({"_size": size, "_of": F.last(F.when(new, F.struct("side", "px")), ignorenulls=True).over(past)}).where("_size is not null and _of is not null")
-    # after its end an order stays gone until it is new again
-    life = F.sum(new.cast("long")).over(past)
-    frame = frame.withColumn("_life", life)
-    gone = F.coalesce(F.max((F.col("_size") == 0).cast("int")).over(Window.partitionBy("coin", "oid", "_life").orderBy("height", "pos").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    frame = frame.withColumn("_gone", gone).where("_gone = 0")
-    return frame.select("coin", "oid", "_of.side", "_of.px", F.col("_size").alias("size"), "height", "pos", F.lead("height").over(w).alias("end"))
-
-
-def level_spans(diffs: DataFrame) -> DataFrame:
-    """``coin, side, px, size, height, end``: what stands at a level from a height on, until before ``end`` (null: still)."""
-    each = sizes_over_time(diffs).where("size > 0").withColumn("size", F.col("size").cast("decimal(28,12)"))
-    moves = each.select("coin", "side", "px", "height", "size", F.lit(1).alias("orders"))
-    moves = moves.unionByName(each.where("end is not null").select("coin", "side", "px", F.col("end").alias("height"), (-F.col("size")).alias("size"), F.lit(-1).alias("orders")))
-    moves = moves.groupBy("coin", "side", "px", "height").agg(F.sum("size").cast("decimal(38,12)").alias("size"), F.sum("orders").alias("orders"))
-    w = Window.partitionBy("coin", "side", "px").orderBy("height")
+    new, update, ends = _rules()
+    w = Window.partitionBy("coin", "oid").orderBy(clock, "pos")
+    past = w.rowsBetween(Window.unboundedPreceding, -1)
+    size = F.when(new, exact("sz")).when(ends, F.lit(0).cast(DECIMAL)).when(update, exact("new_sz"))
+    rows = diffs.select("coin", "oid", clock, "pos", F.when(new, F.struct("side", F.col("px").cast("string").alias("px"), exact("px").alias("key"))).alias("of"), size.alias("size"), F.when(new, 1).when(ends, 0).alias("turn")).where("size is not null")
+    # an update or end counts only while the order is there
+    rows = rows.withColumns({"alive": F.coalesce(F.last("turn", ignorenulls=True).over(past), F.lit(0)), "of": F.coalesce("of", F.last("of", ignorenulls=True).over(past))}).where("coalesce(turn, 0) = 1 or alive = 1")
+    return rows.select("coin", "oid", "of.side", "of.px", "of.key", "size", clock, "pos", F.lead(clock).over(w).alias("end"))
+
+
+def level_spans(diffs: DataFrame, clock: str = "height") -> DataFrame:
+    """``coin, side, key, px, size``, ``clock``, ``end``: what stands at a level from a block on, until before ``end`` (null: still)."""
+    each = sizes_over_time(diffs, clock).where("size > 0")
+    moves = each.select(*LEVEL, clock, "size", F.lit(1).alias("orders"), F.lit(None).cast("string").alias("px"), F.lit(None).cast("long").alias("pos"))
+    moves = moves.unionByName(each.where("end is not null").select(*LEVEL, F.col("end").alias(clock), (-F.col("size")).alias("size"), F.lit(-1).alias("orders")), allowMissingColumns=True)
+    moves = moves.unionByName(level_texts(diffs, clock).select(*LEVEL, clock, F.lit(0).cast(DECIMAL).alias("size"), F.lit(0).alias("orders"), "px", "pos"))
+    moves = moves.groupBy(*LEVEL, clock).agg(F.sum("size").cast(DECIMAL).alias("size"), F.sum("orders").alias("orders"), F.max_by("px", "pos").alias("px"))
+    w = Window.partitionBy(*LEVEL).orderBy(clock)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    told = moves.select("coin", "side", "px", F.sum("size").over(upto).cast("double").alias("size"), F.sum("orders").over(upto).alias("orders"), "height", F.lead("height").over(w).alias("end"))
+    told = moves.select(*LEVEL, F.last("px", ignorenulls=True).over(upto).alias("px"), F.sum("size").over(upto).cast("double").alias("size"), F.sum("orders").over(upto).alias("orders"), clock, F.lead(clock).over(w).alias("end"))
     return told.where("orders > 0").drop("orders")
 
 
-def block_tops(diffs: DataFrame, blocks: DataFrame | None = None) -> DataFrame:
-    """``coin, height, n_diffs, bid_px, bid_sz, ask_px, ask_sz, mid, crossed`` after each block.
+def block_tops(diffs: DataFrame, blocks: DataFrame | None = None, calendar: DataFrame | None = None, snapshots: DataFrame | None = None, clock: str = "height") -> DataFrame:
+    """``coin``, ``clock``, ``n_diffs, bid_px, bid_sz, ask_px, ask_sz, mid, crossed`` after each block.
 
-    ``blocks`` has the ``coin, height`` to tell; without it every coin is told at every height that has
-    diffs of its own.  A level stands over a span of heights.  Spans are cut into dyadic nodes, the best
+    ``blocks`` has the ``coin`` and ``clock`` to tell; without it every coin is told at every block that has
+    diffs of its own.  With a ``calendar`` of the chain's blocks (see ``blocks``) a column ``stale`` tells whether the book has
+    met a gap since it was last loaded.  A level stands over a span of blocks.  Spans are cut into dyadic nodes, the best
     level of a node is one aggregate, and a block takes the best of the nodes above it: no book is
     replayed, and neither a busy coin nor a long history is one task's work.
     """
-    counts = diffs.groupBy("coin", "height").agg(F.count("*").alias("n_diffs"))
-    wanted = counts if blocks is None else blocks.select("coin", "height").distinct().join(counts, ["coin", "height"], "left").fillna(0, ["n_diffs"])
-    low, high = wanted.agg(F.min("height"), F.max("height")).first()
+    counts = diffs.groupBy("coin", clock).agg(F.count("*").alias("n_diffs"))
+    wanted = counts if blocks is None else blocks.select("coin", clock).distinct().join(counts, ["coin", clock], "left").fillna(0, ["n_diffs"])
+    if calendar is not None:
+        wanted = chain.staleness(wanted, chain.epochs(diffs, calendar, snapshots, clock), calendar, clock)
+    stale = ["stale"] if calendar is not None else []
+    low, high = wanted.agg(F.min(clock), F.max(clock)).first()
     if low is None:
-        return wanted.select("coin", "height", "n_diffs", *[F.lit(None).cast(t).alias(c) for c, t in (("bid_px", "string"), ("bid_sz", "double"), ("ask_px", "string"), ("ask_sz", "double"), ("mid", "double"), ("crossed", "boolean"))])
+        return wanted.select("coin", clock, "n_diffs", *[F.lit(None).cast(t).alias(c) for c, t in (("bid_px", "string"), ("bid_sz", "double"), ("ask_px", "string"), ("ask_sz", "double"), ("mid", "double"), ("crossed", "boolean"))], *stale)
     bits = (high - low + 1).bit_length()
-    spans = level_spans(diffs).select("coin", "side", "px", "size", F.greatest(F.col("height") - low, F.lit(0)).alias("a"), (F.least(F.coalesce("end", F.lit(high + 1)), F.lit(high + 1)) - low).alias("b")).where("a < b")
+    spans = level_spans(diffs, clock).select("coin", "side", "key", "px", "size", F.greatest(F.col(clock) - low, F.lit(0)).alias("a"), (F.least(F.coalesce("end", F.lit(high + 1)), F.lit(high + 1)) - low).alias("b")).where("a < b")
     # an odd left end and an odd right end of a span are nodes of their own, level by level
     shift = lambda x, k: F.call_function("shiftright", x, k)
     k = F.col("k")
     levels_ = F.sequence(F.lit(0), F.least(F.lit(bits), F.ceil(F.log2(F.col("b") - F.col("a"))).cast("int") + 1))
     cut = spans.select("*", F.explode(levels_).alias("k")).withColumns({"first": shift(F.col("a") + F.call_function("shiftleft", F.lit(1).cast("long"), k) - 1, k), "last": shift(F.col("b"), k)}).where("first < last")
     ends = F.array(F.when(F.col("first") % 2 == 1, F.col("first")), F.when(F.col("last") % 2 == 1, F.col("last") - 1))
-    away = F.col("px").cast("decimal(38,18)")
-    level = F.struct(F.when(F.col("side") == "B", away).otherwise(-away).alias("key"), "px", "size")
+    level = F.struct(F.when(F.col("side") == "B", F.col("key")).otherwise(-F.col("key")).alias("key"), "px", "size")
     nodes = cut.select("coin", "side", "k", level.alias("level"), F.explode(ends).alias("node")).where("node is not null").groupBy("coin", "side", "k", "node").agg(F.max("level").alias("level"))
-    above = wanted.select("coin", "height", F.explode(F.sequence(F.lit(0), F.lit(bits))).alias("k")).withColumn("node", shift(F.col("height") - low, k))
+    above = wanted.select("coin", clock, F.explode(F.sequence(F.lit(0), F.lit(bits))).alias("k")).withColumn("node", shift(F.col(clock) - low, k))
     best = lambda side: F.max(F.when(F.col("side") == side, F.col("level")))
-    tops = above.join(nodes, ["coin", "k", "node"]).groupBy("coin", "height").agg(best("B").alias("bid"), best("A").alias("ask"))
-    bid, ask = F.col("bid.px").cast("double"), F.col("ask.px").cast("double")
-    return wanted.join(tops, ["coin", "height"], "left").select(
-        "coin", "height", "n_diffs", F.col("bid.px").alias("bid_px"), F.col("bid.size").alias("bid_sz"), F.col("ask.px").alias("ask_px"), F.col("ask.size").alias("ask_sz"),
-        ((bid + ask) / 2).alias("mid"), F.coalesce(F.col("bid.key") >= -F.col("ask.key"), F.lit(False)).alias("crossed"),
+    tops = above.join(nodes, ["coin", "k", "node"]).groupBy("coin", clock).agg(best("B").alias("bid"), best("A").alias("ask"))
+    return wanted.join(tops, ["coin", clock], "left").select(
+        "coin", clock, "n_diffs", F.col("bid.px").alias("bid_px"), F.col("bid.size").alias("bid_sz"), F.col("ask.px").alias("ask_px"), F.col("ask.size").alias("ask_sz"),
+        ((F.col("bid.key") - F.col("ask.key")) / 2).cast("double").alias("mid"), F.coalesce(F.col("bid.key") >= -F.col("ask.key"), F.lit(False)).alias("crossed"), *stale,
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars
 from ..functions.scalars import round6
-from ..operators import asof, backtest, book, candles, indicators, l4, latency, ofi, validate
+from ..operators import asof, backtest, blocks, book, candles, indicators, l4, latency, ofi, validate
 from ..sources import archive, diffs, frames, sinks, views
 
 HOUR, DAY = 3_600_000, 86_400_000
@@ -435,60 +435,72 @@ def backtest_report_figures(spark, d):
 
 
 _ITEMS = "items AS (SELECT l_orderkey, l_linenumber, max(l_returnflag) AS l_returnflag, max(l_linestatus) AS l_linestatus, max(l_partkey) AS l_partkey, max(l_quantity) AS l_quantity FROM lineitem GROUP BY 1, 2)"
-_DIFFS = _ITEMS + """, base AS (SELECT l_returnflag AS coin, l_orderkey AS height, CAST(l_linenumber AS BIGINT) AS pos, l_orderkey * 8 + l_linenumber AS oid, CASE WHEN l_linestatus = 'O' THEN 'A' ELSE 'B' END AS side, CAST(1000 + l_partkey % 40 AS VARCHAR) AS px, l_quantity AS sz FROM items),
-n AS (SELECT coin, oid, arg_max(side, height * 64 + pos) AS side, arg_max(px, height * 64 + pos) AS px, arg_max(sz, height * 64 + pos) AS sz, max(height) AS height, max(pos) AS pos FROM base GROUP BY 1, 2),
-alive AS (SELECT coin, oid, side, px, CASE WHEN oid % 3 = 0 THEN floor(sz / 2) ELSE sz END AS size, height, pos FROM n WHERE oid % 5 <> 0 AND NOT (oid % 3 = 0 AND floor(sz / 2) <= 0))"""
-
-
-@query("l4_final_orders", f"WITH {_DIFFS} SELECT coin, oid, side, px, size, height, pos FROM alive")
+_DIFFS = _ITEMS + """, base AS (SELECT *, k || CASE oid % 4 WHEN 1 THEN '.0' WHEN 2 THEN '.00' ELSE '' END AS px, CASE WHEN oid % 16 <> 1 AND oid % 2 = 0 THEN CAST(CAST(sz AS BIGINT) AS VARCHAR) || '.0' ELSE CAST(CAST(sz AS BIGINT) AS VARCHAR) END AS szt, floor(sz / 2) AS half,
+  oid % 3 = 0 AND floor(sz / 2) <= 0 AS faded, height * 64 + pos AS born
+  FROM (SELECT l_returnflag AS coin, l_orderkey AS height, CAST(l_linenumber AS BIGINT) AS pos, l_orderkey * 8 + l_linenumber AS oid, CASE WHEN l_linestatus = 'O' THEN 'A' ELSE 'B' END AS side, CAST(1000 + l_partkey % 40 AS INTEGER) AS k, l_quantity AS sz FROM items)),
+alive AS (SELECT coin, oid, side, k, px, CASE WHEN oid % 3 = 0 THEN half ELSE sz END AS size, CASE WHEN oid % 3 = 0 THEN CAST(CAST(half AS BIGINT) AS VARCHAR) ELSE szt END AS size_text, height, pos FROM base WHERE oid % 5 <> 0 AND NOT faded)"""
+# a level is called as the order says that met it empty
+_CALLED = """, lives AS (SELECT coin, side, k, px, born, CASE WHEN faded THEN (height + 1) * 64 + pos + 8 WHEN oid % 5 = 0 THEN (height + 2) * 64 + pos + 16 END AS died FROM base),
+steps AS (SELECT coin, side, k, px, born AS pt, 1 AS step FROM lives UNION ALL SELECT coin, side, k, px, died, -1 FROM lives WHERE died IS NOT NULL),
+met AS (SELECT *, coalesce(sum(step) OVER (PARTITION BY coin, side, k ORDER BY pt, step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM steps),
+called AS (SELECT coin, side, k, px, pt FROM met WHERE step = 1 AND before = 0),
+names AS (SELECT coin, side, k, arg_max(px, pt) AS px FROM called GROUP BY 1, 2, 3)"""
+_HELD = ", lv AS (SELECT coin, side, k, sum(size) AS size, count(*) AS orders FROM alive GROUP BY 1, 2, 3)"
+
+
+@query("l4_final_orders", f"WITH {_DIFFS} SELECT coin, oid, side, px, CAST(size AS DOUBLE) AS size, size_text, height, pos FROM (SELECT * REPLACE (CASE WHEN oid % 3 <> 0 AND oid % 16 = 1 THEN size_text || 'e0' ELSE size_text END AS size_text) FROM alive)")
 def l4_final_orders(spark, d):
-    return l4.final_orders(views.diffs(spark, d))
+    return l4.final_orders(views.diffs(spark, d)).select("coin", "oid", "side", "px", F.col("size").cast("double").alias("size"), "size_text", "height", "pos")
 
 
-@query("l4_queue_positions", f"WITH {_DIFFS} SELECT coin, oid, count(*) OVER w AS orders_ahead, coalesce(sum(size) OVER w, 0) AS size_ahead FROM alive WINDOW w AS (PARTITION BY coin, side, px ORDER BY height, pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+@query("l4_queue_positions", f"WITH {_DIFFS} SELECT coin, oid, count(*) OVER w AS orders_ahead, CAST(coalesce(sum(size) OVER w, 0) AS DOUBLE) AS size_ahead FROM alive WINDOW w AS (PARTITION BY coin, side, k ORDER BY height, pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
 def l4_queue_positions(spark, d):
-    return l4.queue_positions(l4.final_orders(views.diffs(spark, d))).select("coin", "oid", "orders_ahead", "size_ahead")
+    return l4.queue_positions(l4.final_orders(views.diffs(spark, d))).select("coin", "oid", "orders_ahead", F.col("size_ahead").cast("double").alias("size_ahead"))
 
 
-@query("l4_levels", f"WITH {_DIFFS} SELECT coin, side, px, sum(size) AS size, count(*) AS orders FROM alive GROUP BY 1, 2, 3")
+@query("l4_levels", f"WITH {_DIFFS}{_CALLED}{_HELD} SELECT coin, side, px, CAST(size AS DOUBLE) AS size, orders FROM lv JOIN names USING (coin, side, k)")
 def l4_levels(spark, d):
-    return l4.levels(l4.final_orders(views.diffs(spark, d)))
+    own = views.diffs(spark, d)
+    return l4.levels(l4.final_orders(own), l4.level_texts(own)).select("coin", "side", "px", F.col("size").cast("double").alias("size"), "orders")
 
 
-@query("l4_top", f"""WITH {_DIFFS}, lv AS (SELECT coin, side, px, sum(size) AS size, count(*) AS orders FROM alive GROUP BY 1, 2, 3), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY coin, side ORDER BY CASE WHEN side = 'B' THEN -CAST(px AS INTEGER) ELSE CAST(px AS INTEGER) END) AS INTEGER) AS rank FROM lv) SELECT coin, side, px, size, orders, rank FROM r WHERE rank <= 5""")
+@query("l4_top", f"""WITH {_DIFFS}{_CALLED}{_HELD}, r AS (SELECT *, CAST(row_number() OVER (PARTITION BY coin, side ORDER BY CASE WHEN side = 'B' THEN -k ELSE k END) AS INTEGER) AS rank FROM lv JOIN names USING (coin, side, k)) SELECT coin, side, px, CAST(size AS DOUBLE) AS size, orders, rank FROM r WHERE rank <= 5""")
 def l4_top(spark, d):
-    return l4.top(l4.levels(l4.final_orders(views.diffs(spark, d))), 5)
+    own = views.diffs(spark, d)
+    return l4.top(l4.levels(l4.final_orders(own), l4.level_texts(own)), 5).select("coin", "side", "px", F.col("size").cast("double").alias("size"), "orders", "rank")
 
 
-@query("l4_checksum", f"""WITH {_DIFFS}, tip AS (SELECT coin, max(height + CASE WHEN oid % 5 = 0 THEN 2 WHEN oid % 3 = 0 THEN 1 ELSE 0 END) AS height FROM base GROUP BY 1),
-lv AS (SELECT coin, side, px, string_agg(CAST(oid AS VARCHAR) || ':' || CAST(CAST(size AS BIGINT) AS VARCHAR), ',' ORDER BY height, pos) AS q FROM alive GROUP BY 1, 2, 3),
-tx AS (SELECT coin, string_agg(side || '|' || px || '|' || q || ';', '' ORDER BY CASE WHEN side = 'B' THEN 0 ELSE 1 END, CASE WHEN side = 'B' THEN -CAST(px AS INTEGER) ELSE CAST(px AS INTEGER) END) AS t FROM lv GROUP BY 1)
-SELECT coin, sha256('coin=' || coin || ';height=' || CAST(height AS VARCHAR) || ';' || coalesce(t, '')) AS checksum FROM tip LEFT JOIN tx USING (coin)""")
+@query("l4_checksum", f"""WITH {_DIFFS}{_CALLED}, tip AS (SELECT max(height + CASE WHEN oid % 5 = 0 THEN 2 WHEN oid % 3 = 0 THEN 1 ELSE 0 END) AS height FROM base),
+qs AS (SELECT coin, side, k, string_agg(CAST(oid AS VARCHAR) || ':' || size_text, ',' ORDER BY height, pos) AS q FROM alive GROUP BY 1, 2, 3),
+tx AS (SELECT coin, string_agg(side || '|' || px || '|' || q || ';', '' ORDER BY CASE WHEN side = 'B' THEN 0 ELSE 1 END, CASE WHEN side = 'B' THEN -k ELSE k END) AS t FROM qs JOIN names USING (coin, side, k) GROUP BY 1)
+SELECT coin, sha256('coin=' || coin || ';height=' || CAST((SELECT height FROM tip) AS VARCHAR) || ';' || coalesce(t, '')) AS checksum FROM (SELECT DISTINCT coin FROM base) LEFT JOIN tx USING (coin)""")
 def l4_checksum(spark, d):
     own = views.diffs(spark, d)
     return l4.checksum(l4.final_orders(own), own)
 
 
-_ODD = f"""WITH {_DIFFS}, o AS (SELECT coin, oid, height, oid % 11 = 0 AS bad, oid % 3 = 0 AND oid % 17 <> 0 AS upd, oid % 3 = 0 AND oid % 17 = 0 AS odd, oid % 5 = 0 AS gone, oid % 13 = 0 AS twice, floor(sz / 2) AS half FROM base),
-f AS (SELECT coin, oid, 'bad_decimal' AS type FROM o WHERE bad UNION ALL SELECT coin, oid, 'bad_decimal' FROM o WHERE bad AND twice UNION ALL SELECT coin, oid, 'duplicate_new' FROM o WHERE twice AND NOT bad
-UNION ALL SELECT coin, oid, 'unknown_oid_update' FROM o WHERE upd AND bad UNION ALL SELECT coin, oid, 'unknown_kind' FROM o WHERE odd
-UNION ALL SELECT coin, oid, 'orig_sz_mismatch' FROM o WHERE upd AND NOT bad AND oid % 7 = 0 UNION ALL SELECT coin, oid, 'update_to_zero' FROM o WHERE upd AND NOT bad AND half <= 0
-UNION ALL SELECT coin, oid, 'unknown_oid_remove' FROM o WHERE gone AND (bad OR (upd AND half <= 0)))"""
+# bad prices and sizes, orders announced twice, sizes before that don't fit or are none, kinds nobody knows
+_ODD = f"""WITH {_DIFFS}, o AS (SELECT coin, oid, height, oid % 11 = 0 OR oid % 23 = 0 AS bad, oid % 3 = 0 AND oid % 17 <> 0 AS upd, oid % 3 = 0 AND oid % 17 = 0 AS odd, oid % 5 = 0 AS gone, oid % 13 = 0 AS twice, half, born, oid % 19 = 0 AS vague FROM base),
+f AS (SELECT coin, oid, 'bad_decimal' AS type, born AS place FROM o WHERE bad UNION ALL SELECT coin, oid, 'bad_decimal', born + 7 FROM o WHERE bad AND twice UNION ALL SELECT coin, oid, 'duplicate_new', born + 7 FROM o WHERE twice AND NOT bad
+UNION ALL SELECT coin, oid, 'unknown_oid_update', born + 72 FROM o WHERE upd AND bad UNION ALL SELECT coin, oid, 'unknown_kind', born + 72 FROM o WHERE odd UNION ALL SELECT coin, oid, 'bad_decimal', born + 72 FROM o WHERE upd AND NOT bad AND vague
+UNION ALL SELECT coin, oid, 'orig_sz_mismatch', born + 72 FROM o WHERE upd AND NOT bad AND NOT vague AND oid % 7 = 0 UNION ALL SELECT coin, oid, 'update_to_zero', born + 72 FROM o WHERE upd AND NOT bad AND half <= 0
+UNION ALL SELECT coin, oid, 'unknown_oid_remove', born + 144 FROM o WHERE gone AND (bad OR (upd AND half <= 0)))"""
 
 
 def _odd_diffs(spark, d):
-    """The diffs with prices that are none, orders announced twice, sizes that don't fit, and kinds nobody knows."""
     base = views.diffs(spark, d)
     oid, kind = F.col("oid"), F.col("kind")
     px = F.when((kind == "new") & (oid % 11 == 0), "high").otherwise(F.col("px"))
-    orig = F.col("orig_sz") + F.when(oid % 7 == 0, 1.0).otherwise(0.0)
-    base = base.withColumns({"px": px, "orig_sz": orig, "kind": F.when((kind == "update") & (oid % 17 == 0), "odd").otherwise(kind)})
+    sz = F.when((kind == "new") & (oid % 23 == 0), "much").otherwise(F.col("sz"))
+    orig = F.when(oid % 19 == 0, "some").when(oid % 7 == 0, F.concat(F.lit("1"), "orig_sz")).otherwise(F.col("orig_sz"))
+    base = base.withColumns({"px": px, "sz": sz, "orig_sz": F.when(kind == "update", orig), "kind": F.when((kind == "update") & (oid % 17 == 0), "odd").otherwise(kind)})
     twice = base.where("kind = 'new' and oid % 13 = 0").withColumn("pos", F.col("pos") + 7)
     return base.unionByName(twice)
 
 
-@query("l4_anomalies", f"""{_ODD}, hs AS (SELECT coin, height AS h FROM o UNION SELECT coin, height + 1 FROM o WHERE upd OR odd UNION SELECT coin, height + 2 FROM o WHERE gone),
-st AS (SELECT coin, h - lag(h) OVER (PARTITION BY coin ORDER BY h) AS s FROM hs) SELECT coin, type, count(*) AS n FROM f GROUP BY 1, 2 UNION ALL SELECT coin, 'height_gap', count(*) FROM st WHERE s <> 1 GROUP BY 1""")
+# heights are the chain's: a book meets a gap where no coin has a diff
+@query("l4_anomalies", f"""{_ODD}, hs AS (SELECT height AS h FROM o UNION SELECT height + 1 FROM o WHERE upd OR odd UNION SELECT height + 2 FROM o WHERE gone),
+st AS (SELECT h, h - lag(h) OVER (ORDER BY h) AS s FROM hs), fs AS (SELECT coin, min(height) AS f FROM o GROUP BY 1) SELECT coin, type, count(*) AS n FROM f GROUP BY 1, 2 UNION ALL SELECT coin, 'height_gap', count(*) FROM st, fs WHERE s <> 1 AND h > fs.f GROUP BY 1""")
 def l4_anomalies(spark, d):
     return l4.anomalies(_odd_diffs(spark, d))
 
@@ -498,28 +510,75 @@ def l4_anomaly_rows(spark, d):
     return l4.anomaly_rows(_odd_diffs(spark, d)).select("coin", "oid", "type")
 
 
-@query("l4_block_tops", f"""WITH {_DIFFS}, mv AS (SELECT coin, side, px, height AS h, sz AS s, 1 AS c FROM base
-UNION ALL SELECT coin, side, px, height + 1, floor(sz / 2) - sz, CASE WHEN floor(sz / 2) <= 0 THEN -1 ELSE 0 END FROM base WHERE oid % 3 = 0
-UNION ALL SELECT coin, side, px, height + 2, CASE WHEN oid % 3 = 0 THEN -floor(sz / 2) ELSE -sz END, -1 FROM base WHERE oid % 5 = 0 AND NOT (oid % 3 = 0 AND floor(sz / 2) <= 0)),
-lv AS (SELECT coin, side, px, h, sum(sum(s)) OVER w AS size, sum(sum(c)) OVER w AS orders FROM mv GROUP BY 1, 2, 3, 4 WINDOW w AS (PARTITION BY coin, side, px ORDER BY h)),
+@query("l4_newest_anomalies", f"{_ODD}, r AS (SELECT coin, oid, type, row_number() OVER (PARTITION BY coin ORDER BY place DESC, type DESC) AS n FROM f) SELECT coin, oid, type FROM r WHERE n <= 1000")
+def l4_newest_anomalies(spark, d):
+    return l4.newest_anomalies(_odd_diffs(spark, d)).select("coin", "oid", "type")
+
+
+@query("l4_block_tops", f"""WITH {_DIFFS}{_CALLED}, nm AS (SELECT coin, side, k, pt // 64 AS h, arg_max(px, pt) AS px FROM called GROUP BY 1, 2, 3, 4), mv AS (SELECT coin, side, k, height AS h, sz AS s, 1 AS c FROM base
+UNION ALL SELECT coin, side, k, height + 1, half - sz, CASE WHEN faded THEN -1 ELSE 0 END FROM base WHERE oid % 3 = 0
+UNION ALL SELECT coin, side, k, height + 2, CASE WHEN oid % 3 = 0 THEN -half ELSE -sz END, -1 FROM base WHERE oid % 5 = 0 AND NOT faded),
+lv AS (SELECT coin, side, k, h, sum(sum(s)) OVER w AS size, sum(sum(c)) OVER w AS orders FROM mv GROUP BY 1, 2, 3, 4 WINDOW w AS (PARTITION BY coin, side, k ORDER BY h)),
 ev AS (SELECT coin, height AS h FROM base UNION ALL SELECT coin, height + 1 FROM base WHERE oid % 3 = 0 UNION ALL SELECT coin, height + 2 FROM base WHERE oid % 5 = 0), bl AS (SELECT coin, h, count(*) AS n_diffs FROM ev GROUP BY 1, 2),
-grid AS (SELECT bl.coin, bl.h, k.side, k.px FROM bl JOIN (SELECT DISTINCT coin, side, px FROM lv) k USING (coin)),
-stood AS (SELECT grid.coin, grid.h, grid.side, grid.px, lv.size, lv.orders FROM grid ASOF JOIN lv ON grid.coin = lv.coin AND grid.side = lv.side AND grid.px = lv.px AND grid.h >= lv.h),
-tp AS (SELECT coin, h, max(CAST(px AS INTEGER)) FILTER (WHERE side = 'B') AS b, arg_max(size, CAST(px AS INTEGER)) FILTER (WHERE side = 'B') AS bz, min(CAST(px AS INTEGER)) FILTER (WHERE side = 'A') AS a, arg_min(size, CAST(px AS INTEGER)) FILTER (WHERE side = 'A') AS az FROM stood WHERE orders > 0 GROUP BY 1, 2)
-SELECT coin, h AS height, n_diffs, CAST(b AS VARCHAR) AS bid_px, CAST(bz AS DOUBLE) AS bid_sz, CAST(a AS VARCHAR) AS ask_px, CAST(az AS DOUBLE) AS ask_sz, (b + a) / 2.0 AS mid, coalesce(b >= a, false) AS crossed FROM bl LEFT JOIN tp USING (coin, h)""")
+grid AS (SELECT bl.coin, bl.h, g.side, g.k FROM bl JOIN (SELECT DISTINCT coin, side, k FROM lv) g USING (coin)),
+stood AS (SELECT grid.coin, grid.h, grid.side, grid.k, lv.size, lv.orders FROM grid ASOF JOIN lv ON grid.coin = lv.coin AND grid.side = lv.side AND grid.k = lv.k AND grid.h >= lv.h),
+tp AS (SELECT coin, h, max(k) FILTER (WHERE side = 'B') AS b, arg_max(size, k) FILTER (WHERE side = 'B') AS bz, min(k) FILTER (WHERE side = 'A') AS a, arg_min(size, k) FILTER (WHERE side = 'A') AS az FROM stood WHERE orders > 0 GROUP BY 1, 2),
+bn AS (SELECT tp.coin, tp.h, nm.px FROM tp ASOF JOIN (SELECT * FROM nm WHERE side = 'B') nm ON tp.coin = nm.coin AND tp.b = nm.k AND tp.h >= nm.h),
+an AS (SELECT tp.coin, tp.h, nm.px FROM tp ASOF JOIN (SELECT * FROM nm WHERE side = 'A') nm ON tp.coin = nm.coin AND tp.a = nm.k AND tp.h >= nm.h)
+SELECT bl.coin, bl.h AS height, n_diffs, bn.px AS bid_px, CAST(bz AS DOUBLE) AS bid_sz, an.px AS ask_px, CAST(az AS DOUBLE) AS ask_sz, (b + a) / 2.0 AS mid, coalesce(b >= a, false) AS crossed FROM bl LEFT JOIN tp USING (coin, h) LEFT JOIN bn USING (coin, h) LEFT JOIN an USING (coin, h)""")
 def l4_block_tops(spark, d):
     return l4.block_tops(views.diffs(spark, d))
 
 
-@query("l4_snapshot_replay", f"""WITH {_DIFFS}, cut AS (SELECT coin AS c, max(height) // 2 AS h FROM base GROUP BY 1), s AS (SELECT coin, count(*) FILTER (WHERE height <= h) AS old, count(*) AS orders, sum(size) AS size FROM alive JOIN cut ON coin = c GROUP BY 1) SELECT coin, orders, size FROM s""")
+# every book that is followed sees every block of the feed, block by block in order of arrival
+_FEED = _DIFFS + """, own AS (SELECT coin, height AS h FROM base UNION ALL SELECT coin, height + 1 FROM base WHERE oid % 3 = 0 UNION ALL SELECT coin, height + 2 FROM base WHERE oid % 5 = 0),
+fed AS (SELECT coin, h, 2 * h AS arrival FROM own WHERE h % 501 <> 0), hs AS (SELECT DISTINCT h FROM fed),
+bl AS (SELECT 2 * h AS arrival, h FROM hs UNION ALL SELECT 2 * h + 1, CASE WHEN h % 733 = 0 THEN h ELSE h - 3 END FROM hs WHERE h % 733 = 0 OR h % 1009 = 0),
+sn AS (SELECT coin, 2 * h AS loaded, h - CASE WHEN coin = 'N' THEN 3 ELSE 0 END AS h FROM (SELECT max(h) // 2 AS h FROM own), (SELECT unnest(['A', 'N']) AS coin)),
+cal AS (SELECT arrival, h, lag(h) OVER (ORDER BY arrival) + 1 AS expected FROM bl),
+bk AS (SELECT coin, min(arrival) AS f, any_value(loaded) AS loaded, any_value(sn.h) AS sh FROM fed LEFT JOIN sn USING (coin) GROUP BY coin),
+seen AS (SELECT coin, arrival, h, coalesce(arrival > loaded, false) AS again, CASE WHEN arrival = f THEN NULL WHEN arrival = min(arrival) FILTER (arrival > loaded) OVER (PARTITION BY coin) THEN sh + 1 ELSE expected END AS expected FROM cal, bk WHERE arrival >= f),
+st AS (SELECT coin, arrival, h, again, sum(CASE WHEN h <> expected THEN 1 ELSE 0 END) OVER (PARTITION BY coin, again ORDER BY arrival) AS gaps FROM seen)"""
+
+
+@query("chain_gaps", f"WITH {_FEED} SELECT arrival, expected, h AS height, CASE WHEN h > expected THEN 'missing' WHEN h = expected - 1 THEN 'repeat' ELSE 'rewind' END AS kind FROM cal WHERE h <> expected")
+def chain_gaps(spark, d):
+    """The blocks that did not follow the one before, once for the chain."""
+    return blocks.gaps(blocks.calendar(views.blocks(spark, d)))
+
+
+@query("book_staleness", f"WITH {_FEED} SELECT coin, arrival, n_diffs, gaps > 0 AS stale FROM st JOIN (SELECT coin, arrival, count(*) AS n_diffs FROM fed GROUP BY 1, 2) USING (coin, arrival)")
+def book_staleness(spark, d):
+    """Whether a coin's book is stale at each block with its diffs; two coins are loaded again half way."""
+    feed, calendar = views.feed(spark, d), blocks.calendar(views.blocks(spark, d))
+    epochs = blocks.epochs(feed, calendar, views.loads(spark, d))
+    return blocks.staleness(feed.groupBy("coin", "arrival").agg(F.count("*").alias("n_diffs")), epochs, calendar)
+
+
+@query("feed_stats", f"WITH {_FEED}, g AS (SELECT coin, arg_max(gaps, arrival) AS n FROM st GROUP BY 1), late AS (SELECT coin, oid, faded AND oid % 5 = 0 AND (height + 1) % 501 <> 0 AND (height + 2) % 501 <> 0 AND height % 501 <> 0 AS ghost, faded AND (height + 1) % 501 <> 0 AND height % 501 <> 0 AS nil, oid % 3 = 0 AND (height + 1) % 501 <> 0 AND height % 501 = 0 AS lost_u, oid % 5 = 0 AND (height + 2) % 501 <> 0 AND height % 501 = 0 AS lost_r FROM base) SELECT (SELECT count(*) FROM bl) AS blocks, (SELECT count(*) FROM fed) AS diffs, CAST(0 AS BIGINT) AS parse_skips, CAST((SELECT sum(n) FROM g) + (SELECT sum(ghost::INT + nil::INT + lost_u::INT + lost_r::INT) FROM late) AS BIGINT) AS anomalies_total, (SELECT string_agg(coin, ',' ORDER BY coin) FROM g WHERE n > 0) AS stale_coins")
+def feed_stats(spark, d):
+    feed = views.feed(spark, d).withColumn("reason", F.lit(None).cast("string"))
+    return l4.feed_stats(feed, views.blocks(spark, d), views.loads(spark, d)).withColumn("stale_coins", F.array_join("stale_coins", ","))
+
+
+@query("l4_snapshot_replay", f"""WITH {_DIFFS}, cut AS (SELECT coin AS c, max(height) // 2 AS h FROM base GROUP BY 1), s AS (SELECT coin, count(*) FILTER (WHERE height <= h) AS old, count(*) AS orders, sum(size) AS size FROM alive JOIN cut ON coin = c GROUP BY 1) SELECT coin, orders, CAST(size AS DOUBLE) AS size FROM s""")
 def l4_snapshot_replay(spark, d):
     """Final state from a snapshot taken half way and the diffs after it."""
     all_ = views.diffs(spark, d)
     half = all_.where("kind = 'new'").groupBy("coin").agg(F.floor(F.max("height") / 2).alias("h"))
     early = all_.join(half, "coin").where("height <= h").drop("h")
-    stood = l4.final_orders(early).join(half, "coin").select("coin", F.col("h").alias("height"), (F.col("height") * 64 + F.col("pos")).alias("ordinal"), "oid", "side", "px", F.col("size").alias("sz"))
+    stood = l4.final_orders(early).join(half, "coin").select("coin", F.col("h").alias("height"), (F.col("height") * 64 + F.col("pos")).alias("ordinal"), "oid", "side", "px", F.col("size_text").alias("sz"))
     end = l4.final_orders(l4.with_snapshot(stood, all_))
-    return end.groupBy("coin").agg(F.count("*").alias("orders"), F.sum("size").alias("size"))
+    return end.groupBy("coin").agg(F.count("*").alias("orders"), F.sum("size").cast("double").alias("size"))
+
+
+@query("book_integrity", f"""WITH {_FEED}, o AS (SELECT *, height % 501 <> 0 AS n_in, oid % 3 = 0 AND (height + 1) % 501 <> 0 AS u_in, oid % 5 = 0 AND (height + 2) % 501 <> 0 AS r_in FROM base),
+live AS (SELECT coin, side, k, CASE WHEN u_in THEN half ELSE sz END AS size FROM o WHERE n_in AND NOT r_in AND NOT (u_in AND half <= 0)),
+b AS (SELECT coin, count(*) AS orders, CAST(sum(size) AS DOUBLE) AS size, CAST(max(k) FILTER (side = 'B') AS DOUBLE) AS bid, CAST(min(k) FILTER (side = 'A') AS DOUBLE) AS ask FROM live GROUP BY 1),
+odd AS (SELECT coin, sum((u_in AND NOT n_in)::INT + (r_in AND NOT n_in)::INT + (u_in AND n_in AND half <= 0)::INT + (r_in AND n_in AND u_in AND half <= 0)::INT) AS n FROM o GROUP BY 1), g AS (SELECT coin, arg_max(gaps, arrival) AS n FROM st GROUP BY 1)
+SELECT coin, orders, size, CAST(0 AS BIGINT) AS empty_levels, bid, ask, bid >= ask AS crossed, g.n > 0 AS stale, CAST(odd.n + g.n AS BIGINT) AS anomalies, NOT bid >= ask AS sound FROM b JOIN odd USING (coin) JOIN g USING (coin)""")
+def book_integrity(spark, d):
+    return l4.integrity(views.feed(spark, d), blocks.calendar(views.blocks(spark, d)), views.loads(spark, d))
 
 
 def _frames(spark, d):
@@ -637,15 +696,15 @@ def recent_findings(spark, d):
     return found.where("code in ('crossed', 'empty_asks')").select("symbol", "t_ms", "arrival", "code")
 
 
-@query("l4_snapshots", f"WITH {_DIFFS} SELECT coin, side, count(*) AS orders, sum(size) AS size, CAST(5 AS BIGINT) AS height, CAST(sum(CASE WHEN side = 'B' THEN 1 ELSE 0 END) AS BIGINT) AS bids FROM alive GROUP BY 1, 2")
+@query("l4_snapshots", f"WITH {_DIFFS} SELECT coin, side, count(*) AS orders, CAST(sum(size) AS DOUBLE) AS size, CAST(5 AS BIGINT) AS height, CAST(sum(CASE WHEN side = 'B' THEN 1 ELSE 0 END) AS BIGINT) AS bids FROM alive GROUP BY 1, 2")
 def l4_snapshots(spark, d):
     """Open orders written as one snapshot of each coin and read back; bids have the first ordinals."""
-    order = F.struct("oid", "side", F.col("px").alias("limit_px"), F.col("size").cast("string").alias("sz"))
+    order = F.struct("oid", "side", F.col("px").alias("limit_px"), F.col("size_text").alias("sz"))
     own = lambda side: F.array_sort(F.collect_list(F.when(F.col("side") == side, order))).alias("bids" if side == "B" else "asks")
     books = l4.final_orders(views.diffs(spark, d)).groupBy("coin").agg(own("B"), own("A"))
     told = diffs.snapshots(books.select(F.to_json(F.struct("coin", F.lit(5).alias("height"), "bids", "asks")).alias("raw")))
     count = told.where("side = 'B'").groupBy("coin").agg(F.count("*").alias("n"))
-    return told.join(count, "coin").groupBy("coin", "side").agg(F.count("*").alias("orders"), F.sum("sz").alias("size"), F.max("height").alias("height"), F.count_if((F.col("side") == "B") & (F.col("ordinal") < F.col("n"))).alias("bids"))
+    return told.join(count, "coin").groupBy("coin", "side").agg(F.count("*").alias("orders"), F.sum(F.col("sz").cast("double")).alias("size"), F.max("height").alias("height"), F.count_if((F.col("side") == "B") & (F.col("ordinal") < F.col("n"))).alias("bids"))
 
 
 @query("capture_quotes", f"WITH {_QUOTES} SELECT symbol, t_ms, arrival, bid_sz, ask_sz, {_r('bid_px', 'ask_px')} FROM quotes WHERE arrival % 3 < 2")
@@ -662,7 +721,7 @@ def capture_quotes(spark, d):
 
 def _lines(spark, d):
     base = views.diffs(spark, d).where("kind = 'new'")
-    event = F.struct(F.lit("u").alias("user"), "oid", "coin", F.when(F.col("oid") % 7 == 0, "?").otherwise(F.col("side")).alias("side"), "px", F.struct(F.struct(F.col("sz").cast("string").alias("sz")).alias("new")).alias("raw_book_diff"))
+    event = F.struct(F.lit("u").alias("user"), "oid", "coin", F.when(F.col("oid") % 7 == 0, "?").otherwise(F.col("side")).alias("side"), "px", F.struct(F.struct("sz").alias("new")).alias("raw_book_diff"))
     block = base.groupBy("height").agg(F.collect_list(event).alias("book_diffs"))
     return block.select(F.to_json(F.struct(F.col("height").alias("time"), "height", F.struct("book_diffs").alias("data"))).alias("raw"), F.col("height").alias("ordinal"))
 
@@ -670,7 +729,7 @@ def _lines(spark, d):
 @query("diff_lines", f"WITH {_ITEMS} SELECT coin, count(*) AS diffs, sum(sz) AS size FROM (SELECT l_returnflag AS coin, l_orderkey * 8 + l_linenumber AS oid, l_quantity AS sz FROM items) WHERE oid % 7 <> 0 GROUP BY 1")
 def diff_lines(spark, d):
     """Diffs written as block lines and parsed again; events with a bad side are rejected."""
-    return diffs.events(_lines(spark, d)).where("reason is null").groupBy("coin").agg(F.count("*").alias("diffs"), F.sum("sz").alias("size"))
+    return diffs.events(_lines(spark, d)).where("reason is null").groupBy("coin").agg(F.count("*").alias("diffs"), F.sum(F.col("sz").cast("double")).alias("size"))
 
 
 @query("diff_counters", f"WITH {_ITEMS} SELECT CASE WHEN oid % 7 = 0 THEN '' ELSE coin END AS coin, count(*) FILTER (WHERE oid % 7 <> 0) AS diffs, count(*) FILTER (WHERE oid % 7 = 0) AS rejected, count(DISTINCT height) AS blocks, count(*) FILTER (WHERE oid % 7 <> 0) AS new FROM (SELECT l_returnflag AS coin, l_orderkey AS height, l_orderkey * 8 + l_linenumber AS oid FROM items) GROUP BY 1")

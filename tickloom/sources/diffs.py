@@ -1,7 +1,8 @@
 """Lines of order-book diffs and snapshots: shapes are told apart per line, bad parts are kept apart.
 
-A line is a bare event, a block with its events nested in ``data`` or flat, or a quiet block.  In
-tolerant mode a bad event is a row with ``reason`` and nothing else; strict mode raises.
+A line is a bare event or a block, with its events nested in ``data`` or flat; a quiet block has none.  In
+tolerant mode a bad event or line is a row with ``reason`` and nothing else; strict mode raises.  Prices and
+sizes stay the texts they are.
 """
 
 from __future__ import annotations
@@ -13,6 +14,9 @@ from ..functions.scalars import side
 
 REQUIRED = ("oid", "coin", "side", "px")
 KNOWN = (*REQUIRED, "user", "raw_book_diff", "rawBookDiff")
+#: fixed values: what a block line may say
+BLOCK_KEYS, DATA_KEYS = ("time", "height", "data", "book_diffs", "order_statuses"), ("book_diffs", "order_statuses")
+TIMES, HEIGHTS = ("time", "time_ms", "blockTime"), ("height", "block_height", "blockHeight")
 
 
 def lines(spark, path: str) -> DataFrame:
@@ -27,53 +31,100 @@ def lines(spark, path: str) -> DataFrame:
     return read.withColumn("ordinal", F.row_number().over(Window.partitionBy("file").orderBy("_id"))).drop("_id")
 
 
+def _texts(names: tuple[str, ...]) -> Column:
+    return F.array(*[F.lit(n) for n in names])
+
+
+def _has(keys: Column, name: str) -> Column:
+    return F.coalesce(F.array_contains(keys, name), F.lit(False))
+
+
+def _first(of: str, keys: Column, *names: str) -> Column:
+    """Value of the first of ``names`` that is among ``keys``, even if it is null."""
+    out = F.lit(None).cast("string")
+    for name in reversed(names):
+        out = F.when(_has(keys, name), F.col(f"{of}.{name}")).otherwise(out)
+    return out
+
+
+def _shaped(frame: DataFrame) -> DataFrame:
+    """``ordinal, raw, keys, event, block, height, time_ms, listed`` of every line that is not blank.
+
+    A line is an ``event``, a ``block`` (of a whole height and time, with its events ``listed``), or neither.
+    """
+    fields = ", ".join(f"{n} string" for n in (*TIMES, *HEIGHTS))
+    shape = f"{fields}, data struct<book_diffs:array<string>, order_statuses:string>, book_diffs array<string>, order_statuses string"
+    read = frame.where(F.trim("raw") != "").select("raw", "ordinal", F.json_object_keys("raw").alias("keys"), F.from_json("raw", shape).alias("p"))
+    event = _has(F.col("keys"), "raw_book_diff") | _has(F.col("keys"), "rawBookDiff")
+    # a key with a null value is there too; it is looked for only where the values tell nothing
+    inner = F.json_object_keys(F.get_json_object("raw", "$.data"))
+    nested = F.when(F.col("p.data.book_diffs").isNotNull() | F.col("p.data.order_statuses").isNotNull(), True).when(F.col("p.data").isNotNull(), _has(inner, "book_diffs") | _has(inner, "order_statuses")).otherwise(False)
+    flat = _has(F.col("keys"), "book_diffs") | (_has(F.col("keys"), "order_statuses") & _has(F.col("keys"), "height"))
+    text = F.when(nested, F.get_json_object("raw", "$.data.book_diffs")).otherwise(F.get_json_object("raw", "$.book_diffs"))
+    listed = F.when(nested, F.col("p.data.book_diffs")).otherwise(F.col("p.book_diffs"))
+    whole = lambda names: _first("p", F.col("keys"), *names).try_cast("bigint")
+    told = read.select("raw", "ordinal", "keys", event.alias("event"), (nested | flat).alias("shaped"), listed.alias("listed"), whole(HEIGHTS).alias("height"), whole(TIMES).alias("time_ms"), F.when(listed.isNull(), text).alias("other"))
+    block = ~F.col("event") & F.col("shaped") & F.col("height").isNotNull() & F.col("time_ms").isNotNull() & F.col("other").isNull()
+    return told.withColumn("block", F.coalesce(block, F.lit(False)))
+
+
+def blocks(frame: DataFrame) -> DataFrame:
+    """``ordinal, height, time_ms, n_events`` of every block line, also of quiet blocks."""
+    return _shaped(frame).where("block").select("ordinal", "height", "time_ms", F.coalesce(F.size("listed"), F.lit(0)).cast("long").alias("n_events"))
+
+
 def events(frame: DataFrame, strict: bool = False) -> DataFrame:
     """``height, time_ms, ordinal, pos, oid, coin, side, px, kind, sz, orig_sz, new_sz, reason`` per event.
 
-    Events of a block have its height and time; bare events have null.  Quiet blocks have no rows.
+    Events of a block have its height and time; bare events have null.  Quiet blocks have no rows here (see ``blocks``);
+    lines that are neither event nor block have one, with a reason.
     """
-    shape = "height string, time string, data struct<book_diffs:array<string>>, book_diffs array<string>"
-    read = frame.select("raw", "ordinal", F.from_json("raw", shape).alias("p"))
-    nested = F.coalesce("p.data.book_diffs", "p.book_diffs")
-    listed = F.when(nested.isNotNull(), nested).when(F.col("p.height").isNull(), F.array("raw")).otherwise(F.array().cast("array<string>"))
-    each = read.select(F.col("p.height").try_cast("bigint").alias("height"), F.col("p.time").try_cast("bigint").alias("time_ms"), "ordinal", F.posexplode(listed).alias("pos", "e"))
+    line = _shaped(frame)
+    odd = F.array_except("keys", _texts(BLOCK_KEYS))
+    drift = F.when(F.col("block") & (F.size(odd) > 0), F.concat(F.lit("unknown "), F.array_join(odd, ",")))
+    reason = F.when(F.col("event") | F.col("block"), drift if strict else None).when(F.col("keys").isNull(), "not an object").when(F.col("shaped"), "bad block").otherwise("unknown line")
+    if strict:
+        reason = F.when(reason.isNotNull(), F.raise_error(reason).cast("string"))
+    line = line.withColumn("_reason", reason)
+    listed = F.when(F.col("block") & F.col("_reason").isNull(), F.coalesce("listed", F.array().cast("array<string>"))).otherwise(F.array("raw"))
+    of_block = lambda c: F.when(F.col("block"), F.col(c)).alias(c)
+    each = line.select(of_block("height"), of_block("time_ms"), "ordinal", "_reason", F.posexplode(listed).alias("pos", "e"))
     return parse_event(each, strict)
 
 
-def _first(of: str, *names: str) -> Column:
-    """Value of the first of ``names`` that the map ``of`` has, even if it is null."""
-    out = F.lit(None).cast("string")
-    for name in reversed(names):
-        out = F.when(F.coalesce(F.map_contains_key(of, name), F.lit(False)), F.col(of)[name]).otherwise(out)
-    return out
+EVENT = "oid string, coin string, side string, px string, raw_book_diff string, rawBookDiff string"
+DIFF = "new struct<sz:string>, update struct<origSz:string, orig_sz:string, newSz:string, new_sz:string>"
 
 
 def parse_event(each: DataFrame, strict: bool = False) -> DataFrame:
-    kinds = "map<string,string>"
-    each = each.withColumn("_e", F.from_json("e", kinds))
-    each = each.withColumn("_diff", _first("_e", "raw_book_diff", "rawBookDiff")).withColumn("_d", F.from_json("_diff", kinds))
-    each = each.withColumns({"_new": F.from_json(F.col("_d")["new"], kinds), "_update": F.from_json(F.col("_d")["update"], kinds)})
-    new, new_sz, orig = F.col("_new")["sz"], _first("_update", "newSz", "new_sz"), _first("_update", "origSz", "orig_sz")
-    kind = F.when(F.col("_diff") == "remove", "remove").when(new.isNotNull(), "new").when(new_sz.isNotNull(), "update")
-    field = lambda name: F.col("_e")[name]
+    """The event in text ``e``; a ``_reason`` that is there already stands."""
+    given = F.col("_reason") if "_reason" in each.columns else F.lit(None).cast("string")
+    each = each.withColumns({"_given": given, "_keys": F.json_object_keys("e"), "_e": F.from_json("e", EVENT)})
+    keys = F.col("_keys")
+    each = each.withColumn("_diff", _first("_e", keys, "raw_book_diff", "rawBookDiff"))
+    each = each.withColumns({"_kinds": F.json_object_keys("_diff"), "_d": F.from_json("_diff", DIFF)})
+    said = F.when(F.size("_kinds") == 1, F.get("_kinds", F.lit(0)))
+    each = each.withColumns({"_said": said, "_of": F.when(said == "new", F.json_object_keys(F.get_json_object("_diff", "$.new"))).when(said == "update", F.json_object_keys(F.get_json_object("_diff", "$.update")))})
+    said, of = F.col("_said"), F.col("_of")
+    new, new_sz, orig = F.col("_d.new.sz"), _first("_d.update", of, "newSz", "new_sz"), _first("_d.update", of, "origSz", "orig_sz")
+    only = lambda *names: F.size(F.array_except(of, _texts(names))) == 0
+    kind = F.when(F.col("_diff") == "remove", "remove").when((said == "new") & new.isNotNull() & only("sz"), "new").when((said == "update") & new_sz.isNotNull() & orig.isNotNull() & only("origSz", "orig_sz", "newSz", "new_sz"), "update")
+    field = lambda name: F.col(f"_e.{name}")
     way = side(field("side"))
-    keys = F.map_keys("_e")
-    unknown = F.array_except(keys, F.array(*[F.lit(k) for k in KNOWN]))
-    missing = F.array_except(F.array(*[F.lit(k) for k in REQUIRED]), keys)
+    unknown, missing = F.array_except(keys, _texts(KNOWN)), F.array_except(_texts(REQUIRED), keys)
     reason = (
-        F.when(keys.isNull(), "not an object").when(F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, ",")))
+        F.when(F.col("_given").isNotNull(), F.col("_given")).when(keys.isNull(), "not an object").when(F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, ",")))
         .when(way.isNull(), "bad side").when(field("oid").try_cast("bigint").isNull(), "bad oid").when(kind.isNull(), "unsupported diff")
     )
     if strict:
         reason = reason.when(F.size(unknown) > 0, F.concat(F.lit("unknown "), F.array_join(unknown, ",")))
         reason = F.when(reason.isNotNull(), F.raise_error(reason).cast("string"))
-    ok = reason.isNull()
-    keep = lambda c: F.when(ok, c)
     base = [c for c in ("height", "time_ms", "ordinal", "pos") if c in each.columns]
-    return each.select(
-        *base, keep(field("oid").try_cast("bigint")).alias("oid"), keep(field("coin")).alias("coin"), keep(way).alias("side"), keep(field("px")).alias("px"), keep(kind).alias("kind"),
-        keep(new.try_cast("double")).alias("sz"), keep(orig.try_cast("double")).alias("orig_sz"), keep(new_sz.try_cast("double")).alias("new_sz"), reason.alias("reason"),
-    )
+    told = each.select(*base, field("oid").try_cast("bigint").alias("oid"), field("coin").alias("coin"), way.alias("side"), field("px").alias("px"), kind.alias("kind"), new.alias("sz"), orig.alias("orig_sz"), new_sz.alias("new_sz"), reason.alias("reason"))
+    ok = F.col("reason").isNull()
+    of_kind = {"sz": "new", "orig_sz": "update", "new_sz": "update"}
+    keep = lambda c: F.when(ok & (F.col("kind") == of_kind[c]) if c in of_kind else ok, F.col(c)).alias(c)
+    return told.select(*base, *[keep(c) for c in ("oid", "coin", "side", "px", "kind", "sz", "orig_sz", "new_sz")], "reason")
 
 
 def counters(parsed: DataFrame) -> DataFrame:
@@ -82,13 +133,13 @@ def counters(parsed: DataFrame) -> DataFrame:
     return parsed.groupBy(F.coalesce("coin", F.lit("")).alias("coin")).agg(F.count_if(good).alias("diffs"), F.count_if(~good).alias("rejected"), F.count_distinct("height").alias("blocks"), *[F.count_if(F.col("kind") == k).alias(k) for k in ("new", "update", "remove")])
 
 
-ORDER = "array<struct<user:string,coin:string,side:string,limit_px:string,limitPx:string,sz:string,oid:bigint,timestamp:bigint>>"
+ORDER = "array<struct<user:string,coin:string,side:string,limit_px:string,limitPx:string,px:string,sz:string,size:string,oid:bigint,timestamp:bigint>>"
 
 
 def snapshots(frame: DataFrame) -> DataFrame:
     """``coin, height, ordinal, oid, side, px, sz`` of whole-file snapshots in ``raw``; bids first, in queue order.
 
-    A snapshot is always read strictly: without coin, height or an order's id it raises.
+    A snapshot is always read strictly: without coin, height, or an order's id, price or size it raises.
     """
     at = lambda p: F.get_json_object("raw", p)
     lost = F.when(at("$.coin").isNull(), "coin").when(at("$.height").isNull(), "height")
@@ -96,8 +147,9 @@ def snapshots(frame: DataFrame) -> DataFrame:
     orders = F.when(lost.isNotNull(), F.raise_error(F.concat(F.lit("snapshot without "), lost)).cast(ORDER)).otherwise(F.concat(listed("$.bids"), listed("$.asks")))
     whole = frame.select(at("$.coin").alias("coin"), at("$.height").cast("bigint").alias("height"), orders.alias("o"))
     each = whole.select("coin", "height", F.posexplode("o").alias("ordinal", "o"))
-    oid = F.coalesce("o.oid", F.raise_error(F.lit("snapshot order without oid")).cast("bigint"))
-    return each.select("coin", "height", F.col("ordinal").cast("bigint").alias("ordinal"), oid.alias("oid"), _side("o.side").alias("side"), F.coalesce("o.limit_px", "o.limitPx").alias("px"), F.col("o.sz").try_cast("double").alias("sz"))
+    sure = lambda name, kind, *fields: F.coalesce(*fields, F.raise_error(F.lit(f"snapshot order without {name}")).cast(kind))
+    px, sz = sure("price", "string", "o.limit_px", "o.limitPx", "o.px"), sure("size", "string", "o.sz", "o.size")
+    return each.select("coin", "height", F.col("ordinal").cast("bigint").alias("ordinal"), sure("oid", "bigint", "o.oid").alias("oid"), _side("o.side").alias("side"), px.alias("px"), sz.alias("sz"))
 
 
 def _side(name: str) -> Column:

@@ -54,19 +54,41 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def diffs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order diffs: ``coin, height, pos, oid, side, px, kind, sz, new_sz, orig_sz``.
+    """Order diffs: ``coin, height, pos, oid, side, px, kind, sz, new_sz, orig_sz``; prices and sizes are texts.
 
-    Each line item is an order placed at its order's height; some are resized or removed later.
+    Each line item is an order placed at its order's height; some are resized or removed later.  Equal
+    prices come as several texts (1012, 1012.0, 1012.00), and so do sizes (7, 7.0, 7e0).
     """
     oid = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     names = ("l_returnflag", "l_linestatus", "l_partkey", "l_quantity")
     items = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(*[F.max(c).alias(c) for c in names])
+    px, size = (F.lit(1000) + F.col("l_partkey") % 40).cast("string"), F.col("l_quantity").cast("long")
+    tail = F.when(oid % 4 == 1, ".0").when(oid % 4 == 2, ".00").otherwise("")
     base = items.select(
-        F.col("l_returnflag").alias("coin"), F.col("l_orderkey").alias("height"), F.col("l_linenumber").cast("long").alias("pos"), oid.alias("oid"),
-        F.when(F.col("l_linestatus") == "O", "A").otherwise("B").alias("side"), (F.lit(1000) + F.col("l_partkey") % 40).cast("string").alias("px"), F.col("l_quantity").alias("sz"),
+        F.col("l_returnflag").alias("coin"), F.col("l_orderkey").alias("height"), F.col("l_linenumber").cast("long").alias("pos"), oid.alias("oid"), F.when(F.col("l_linestatus") == "O", "A").otherwise("B").alias("side"),
+        F.concat(px, tail).alias("px"), F.concat(size.cast("string"), F.when(oid % 16 == 1, "e0").when(oid % 2 == 0, ".0").otherwise("")).alias("sz"), F.floor(size / 2).cast("string").alias("half"),
     )
-    none = F.lit(None).cast("double")
+    none = F.lit(None).cast("string")
     new = base.select("coin", "height", "pos", "oid", "side", "px", F.lit("new").alias("kind"), "sz", none.alias("new_sz"), none.alias("orig_sz"))
-    later = base.where(F.col("oid") % 3 == 0).select("coin", (F.col("height") + 1).alias("height"), (F.col("pos") + 8).alias("pos"), "oid", "side", "px", F.lit("update").alias("kind"), none.alias("sz"), F.floor(F.col("sz") / 2).cast("double").alias("new_sz"), F.col("sz").alias("orig_sz"))
+    later = base.where(F.col("oid") % 3 == 0).select("coin", (F.col("height") + 1).alias("height"), (F.col("pos") + 8).alias("pos"), "oid", "side", "px", F.lit("update").alias("kind"), none.alias("sz"), F.col("half").alias("new_sz"), F.col("sz").alias("orig_sz"))
     gone = base.where(F.col("oid") % 5 == 0).select("coin", (F.col("height") + 2).alias("height"), (F.col("pos") + 16).alias("pos"), "oid", "side", "px", F.lit("remove").alias("kind"), none.alias("sz"), none.alias("new_sz"), none.alias("orig_sz"))
     return new.unionByName(later).unionByName(gone)
+
+
+def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The diffs as a node's feed brought them: with the ``arrival`` of their block; one block in 501 is missing."""
+    return diffs(spark, sf_dir).where("height % 501 <> 0").withColumn("arrival", F.col("height") * 2)
+
+
+def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The blocks of ``feed``, ``arrival, height``; some come twice, and some are followed by one from before."""
+    own = feed(spark, sf_dir).select("arrival", "height").distinct()
+    twice = own.where("height % 733 = 0").select((F.col("arrival") + 1).alias("arrival"), "height")
+    back = own.where("height % 1009 = 0 and height % 733 <> 0").select((F.col("arrival") + 1).alias("arrival"), (F.col("height") - 3).alias("height"))
+    return own.unionByName(twice).unionByName(back)
+
+
+def loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``coin, arrival, height`` of snapshots of two coins half way; that of N is three blocks old."""
+    half = diffs(spark, sf_dir).agg(F.floor(F.max("height") / 2).alias("h"))
+    return half.select(F.explode(F.array(F.lit("A"), F.lit("N"))).alias("coin"), (F.col("h") * 2).alias("arrival"), "h").select("coin", "arrival", (F.col("h") - F.when(F.col("coin") == "N", 3).otherwise(0)).alias("height"))

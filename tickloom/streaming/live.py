@@ -1,27 +1,35 @@
 """Structured Streaming: spooled frames in, candles, findings, books and points out.
 
-Sources are files (a spool) or any stream with the same columns, so offsets can be replayed and no row is
+Sources are files (a spool), the tail of a growing file (``sources.tail``) or any stream with the same columns, so offsets can be replayed and no row is
 shed under pressure: ``maxFilesPerTrigger`` limits a batch instead.  Event time is a TIMESTAMP column
 ``ts`` made from ``t_ms``.
+
+Keyed state is kept by entry (``transformWithState``): a batch reads and writes the entries its rows touch.
+It needs the RocksDB state store: ``stateful(spark)`` sets it.
 """
 
 from __future__ import annotations
 
-from collections import deque
 from collections.abc import Iterator
+from decimal import Decimal, InvalidOperation
+from itertools import groupby
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..operators.candles import ohlcv
-from ..operators.l4 import Book
 from ..sources.sinks import Sink
 
 TRADES = "symbol string, t_ms long, price double, size double, side string, tid long, arrival long"
-DIFFS = "coin string, height long, pos long, oid long, side string, px string, kind string, sz double, new_sz double"
+DIFFS = "coin string, arrival long, height long, pos long, oid long, side string, px string, kind string, sz string, new_sz string, orig_sz string"
+BLOCKS = "arrival long, height long"
+
+
+def stateful(spark: SparkSession) -> SparkSession:
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    return spark
 
 
 def read(spark: SparkSession, path: str, schema: str, files: int = 100, kind: str = "json") -> DataFrame:
@@ -46,63 +54,190 @@ def dedup(trades: DataFrame, late: str = "1 hour") -> DataFrame:
 TRAILING = "symbol string, t_ms long, arrival long, open double, high double, low double, close double, volume double, trades long, vwap double"
 
 
-def trailing(trades: DataFrame, width_ms: int = 60_000) -> DataFrame:
-    """Trailing candles per trade, with the trades of the last ``width_ms`` as state of a symbol.
+class Trailing(StatefulProcessor):
+    """The trades of the last two widths of a symbol, in one entry per width of time.
 
-    State is bounded by the window: what has left it for every later trade is evicted.
+    An entry goes when all of it has left the window of every later trade, and all of them
+    when the watermark passes the last one.
     """
 
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = deque(zip(*state.get)) if state.exists else deque()
-        newest = max((h[0] for h in held), default=0)
-        rows = pd.concat(list(batches)).sort_values("arrival")
-        out = []
-        for r in rows.itertuples():
-            own = [h for h in held if r.t_ms - width_ms <= h[0] < r.t_ms]
-            if own:
-                px, vol = [h[1] for h in own], sum(h[2] for h in own)
-                out.append((key[0], r.t_ms, r.arrival, px[0], max(px), min(px), px[-1], vol, len(own), sum(h[1] * h[2] for h in own) / vol if vol > 0 else px[-1]))
-            held.append((r.t_ms, r.price, r.size))
-            newest = max(newest, r.t_ms)
-            while held[0][0] < newest - 2 * width_ms:
-                held.popleft()
-        state.update(tuple(list(c) for c in zip(*held)))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in TRAILING.split(", ")])
-
-    return trades.groupBy("symbol").applyInPandasWithState(run, TRAILING, "t array<long>, p array<double>, s array<double>", "append", GroupStateTimeout.NoTimeout)
-
-
-TOPS = "coin string, height long, bid_px string, bid_sz double, ask_px string, ask_sz double, stale boolean"
-
-
-def book_tops(diffs: DataFrame) -> DataFrame:
-    """Top of the book after each block, with the open orders as state of a coin.
-
-    A skipped height makes the book stale.  A row of kind ``reset`` empties it and makes it good again: a
-    snapshot is a reset and its orders as new ones, at the snapshot's height.
+    def __init__(self, width_ms: int) -> None:
+        self.width = width_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.spans = handle.getMapState("spans", "span long", "arrival array<long>, t array<long>, p array<double>, s array<double>")
+        self.newest = handle.getValueState("newest", "t long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        rows = sorted(rows, key=lambda r: r.arrival)
+        newest = self.newest.get()[0] if self.newest.exists() else 0
+        low = min(min(r.t_ms for r in rows), newest) // self.width - 2
+        held = {k: self.spans.getValue((k,)) for k in range(low, newest // self.width + 1) if self.spans.exists() and self.spans.containsKey((k,))} if newest else {}
+        old = sorted(x for v in held.values() for x in zip(*v))
+        arrival, t, p, s = (np.array(c) for c in zip(*old, *((r.arrival, r.t_ms, r.price, r.size) for r in rows)))
+        n, first = len(old), 0
+        # what no later row of the batch asks for is passed over
+        needed = np.minimum.accumulate((t[n:] - self.width)[::-1])[::-1]
+        for i in range(n, len(t)):
+            while t[first] < needed[i - n]:
+                first += 1
+            own = first + np.flatnonzero((t[first:i] >= t[i] - self.width) & (t[first:i] < t[i]))
+            if len(own):
+                px, vol = p[own], s[own].sum()
+                vwap = (px * s[own]).sum() / vol if vol > 0 else px[-1]
+                yield Row(symbol=key[0], t_ms=int(t[i]), arrival=int(arrival[i]), open=float(px[0]), high=float(px.max()), low=float(px.min()), close=float(px[-1]), volume=float(vol), trades=len(own), vwap=float(vwap))
+        newest = int(max(newest, t[n:].max()))
+        span = t // self.width
+        for k in set(held) - set(range((newest - 2 * self.width) // self.width, newest // self.width + 1)):
+            self.spans.removeKey((k,))
+        for k in np.unique(span[n:]):
+            if k >= (newest - 2 * self.width) // self.width:
+                own = span == k
+                self.spans.updateValue((int(k),), tuple(c[own].tolist() for c in (arrival, t, p, s)))
+        self.newest.update((newest,))
+        self.handle.registerTimer(newest + 2 * self.width)
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.newest.exists() and expiredTimerInfo.getExpiryTimeInMs() >= self.newest.get()[0] + 2 * self.width:
+            self.spans.clear()
+            self.newest.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def trailing(trades: DataFrame, width_ms: int = 60_000, late: str = "1 hour") -> DataFrame:
+    """Trailing candles per trade: of the trades that came before it, those of the ``width_ms`` before its time."""
+    return timed(trades, late).groupBy("symbol").transformWithState(Trailing(width_ms), TRAILING, "Append", "EventTime")
+
+
+TOPS = "coin string, arrival long, height long, n_diffs long, bid_px string, bid_sz double, ask_px string, ask_sz double, mid double, crossed boolean, stale boolean, anomalies long"
+
+
+def _number(text: str | None) -> Decimal | None:
+    try:
+        x = Decimal(text)
+    except (InvalidOperation, TypeError):
+        return None
+    return x if x.is_finite() else None
+
+
+class Books(StatefulProcessor):
+    """A coin's book: an entry per open order and one per price level, written only where a diff touches them."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.orders = handle.getMapState("orders", "oid long", "side string, price string, size string")
+        self.levels = handle.getMapState("levels", "side string, price string", "px string, size string, orders long")
+        self.head = handle.getValueState("head", "height long, stale boolean, anomalies long")
+
+    def _load(self) -> None:
+        """The levels of the batch's book; orders are looked up one by one."""
+        self.sides: dict[str, dict[Decimal, list]] = {"B": {}, "A": {}}
+        if self.levels.exists():
+            for (side, price), (px, size, n) in self.levels.iterator():
+                self.sides[side][Decimal(price)] = [px, Decimal(size), n]
+        self.touched: set[tuple[str, Decimal]] = set()
+
+    def _save(self) -> None:
+        for side, price in self.touched:
+            level, key = self.sides[side].get(price), (side, f"{price.normalize():f}")
+            if level:
+                self.levels.updateValue(key, (level[0], f"{level[1]:f}", level[2]))
+            elif self.levels.exists() and self.levels.containsKey(key):
+                self.levels.removeKey(key)
+
+    def _order(self, oid: int) -> tuple[str, Decimal, Decimal] | None:
+        if not (self.orders.exists() and self.orders.containsKey((oid,))):
+            return None
+        side, price, size = self.orders.getValue((oid,))
+        return side, Decimal(price), Decimal(size)
+
+    def _move(self, side: str, price: Decimal, px: str, by: Decimal, count: int) -> None:
+        level = self.sides[side].setdefault(price, [px, Decimal(0), 0])
+        level[1] += by
+        level[2] += count
+        if not level[2]:
+            del self.sides[side][price]
+        self.touched.add((side, price))
+
+    def _drop(self, oid: int, held: tuple[str, Decimal, Decimal]) -> None:
+        self._move(held[0], held[1], "", -held[2], -1)
+        self.orders.removeKey((oid,))
+
+    def _apply(self, r: Row) -> int:
+        """One diff; returns how many anomalies it was."""
+        held = self._order(r.oid)
+        if r.kind == "new":
+            size, price = _number(r.sz), _number(r.px)
+            if size is None or price is None:
+                return 1
+            if held:  # replaced: to the back of its queue
+                self._drop(r.oid, held)
+            self.orders.updateValue((r.oid,), (r.side, f"{price.normalize():f}", f"{size:f}"))
+            self._move(r.side, price, r.px, size, 1)
+            return int(held is not None)
+        if r.kind == "update" and held:
+            size = _number(r.new_sz)
+            if size is None:
+                return 1
+            odd = int(r.orig_sz is not None and _number(r.orig_sz) != held[2])
+            if size <= 0:
+                self._drop(r.oid, held)
+                return odd + 1
+            self.orders.updateValue((r.oid,), (held[0], f"{held[1].normalize():f}", f"{size:f}"))
+            self._move(held[0], held[1], "", size - held[2], 0)
+            return odd
+        if r.kind == "remove" and held:
+            self._drop(r.oid, held)
+            return 0
+        return 1
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        height, stale, anomalies = self.head.get() if self.head.exists() else (None, False, 0)
+        self._load()
+        for arrival, block in groupby(sorted(rows, key=lambda r: (r.arrival, r.pos)), lambda r: r.arrival):
+            block = list(block)
+            given = [r for r in block if r.kind not in ("block", "reset")]
+            if any(r.kind == "reset" for r in block):
+                self.touched |= {(side, price) for side in "BA" for price in self.sides[side]}
+                self.sides, stale, anomalies = {"B": {}, "A": {}}, False, 0
+                self.orders.clear()
+            elif height is None and not given:
+                continue  # no book yet
+            elif height is not None and block[0].height != height + 1:
+                stale, anomalies = True, anomalies + 1
+            height = block[0].height
+            anomalies += sum(self._apply(r) for r in given)
+            if given and len(given) == sum(r.kind != "block" for r in block):
+                bid, ask = max(self.sides["B"], default=None), min(self.sides["A"], default=None)
+                told = lambda side, price: (None, None) if price is None else (self.sides[side][price][0], float(self.sides[side][price][1]))
+                (bid_px, bid_sz), (ask_px, ask_sz), both = told("B", bid), told("A", ask), bid is not None and ask is not None
+                yield Row(coin=key[0], arrival=arrival, height=height, n_diffs=len(given), bid_px=bid_px, bid_sz=bid_sz, ask_px=ask_px, ask_sz=ask_sz, mid=float((bid + ask) / 2) if both else None, crossed=both and bid >= ask, stale=stale, anomalies=anomalies)
+        self._save()
+        if height is not None:
+            self.head.update((height, stale, anomalies))
+
+    def close(self) -> None:
+        pass
+
+
+def book_tops(diffs: DataFrame, blocks: DataFrame | None = None, coins: list[str] | None = None) -> DataFrame:
+    """Top of the book after each block with a coin's diffs, and whether the book is ``stale``.
+
+    With ``blocks`` (the chain's, also quiet ones) each of the ``coins`` sees every block, so only
+    a block the chain misses, repeats or rewinds makes a book stale; without them a coin knows the blocks of its own diffs only and
+    ``stale`` stays false unless diffs skip heights.  A row of kind ``reset`` empties the book and makes it good again: a
+    snapshot is a reset and its orders as new ones, of one arrival and at the snapshot's height.
     """
-
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        book, height, stale = Book(), None, False
-        if state.exists:
-            oids, sides, pxs, sizes, height, stale = state.get
-            for o, s, p, z in zip(oids, sides, pxs, sizes):
-                book.apply(o, s, p, "new", z, None)
-        out = []
-        for h, block in pd.concat(list(batches)).sort_values(["height", "pos"]).groupby("height", sort=False):
-            stale = stale or (height is not None and h != height + 1)
-            height = int(h)
-            for r in block.itertuples():
-                if r.kind == "reset":
-                    book, stale = Book(), False
-                    continue
-                book.apply(r.oid, r.side, r.px, r.kind, r.sz, r.new_sz)
-            out.append((key[0], height, *(book.best("B") or (None, None)), *(book.best("A") or (None, None)), stale))
-        o = book.orders
-        state.update((list(o), [v[0] for v in o.values()], [v[1] for v in o.values()], [v[2] for v in o.values()], height, stale))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in TOPS.split(", ")])
-
-    return diffs.groupBy("coin").applyInPandasWithState(run, TOPS, "o array<long>, s array<string>, p array<string>, z array<double>, h long, stale boolean", "append", GroupStateTimeout.NoTimeout)
+    if blocks is not None:
+        if not coins:
+            raise ValueError("blocks are dealt to the coins that are followed: name them")
+        none = lambda t: F.lit(None).cast(t)
+        seen = blocks.select(F.explode(F.array(*[F.lit(c) for c in coins])).alias("coin"), "arrival", "height", F.lit(-1).cast("long").alias("pos"), none("long").alias("oid"), none("string").alias("side"), none("string").alias("px"), F.lit("block").alias("kind"), *[none("string").alias(c) for c in ("sz", "new_sz", "orig_sz")])
+        diffs = diffs.where(F.col("coin").isin(*coins)).select(seen.columns).unionByName(seen)
+    return diffs.groupBy("coin").transformWithState(Books(), TOPS, "Append", "None")
 
 
 def write(stream: DataFrame, sink: Sink, checkpoint: str) -> StreamingQuery:
