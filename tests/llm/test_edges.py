@@ -2,6 +2,7 @@
 
 import hashlib
 import zlib
+from statistics import NormalDist
 
 import numpy as np
 import public_tokenizers
@@ -153,20 +154,25 @@ def words_of(prefix, n):
     return [f"{prefix}{i}" for i in range(n)]
 
 
-@pytest.mark.parametrize("rivals", [0, 2, 6, 40])
-def test_a_passage_is_found_however_many_others_hold_parts_of_it(spark, rivals):
+@pytest.mark.parametrize("rivals", [0, 2, 6, 40, 200])
+@pytest.mark.parametrize("edited", ["no word", "the middle", "any word"])
+def test_a_passage_is_found_however_many_others_hold_parts_of_it(spark, rivals, edited):
     rng = np.random.default_rng(rivals)
     rows = []
     for p in range(20):
         whole = words_of(f"p{p}_", 60)
-        for c in range(2):
+        other = list(whole)
+        if edited != "no word":
+            other[30 if edited == "the middle" else int(rng.integers(0, 60))] = "edit"
+        for c, own in enumerate((whole, other)):
             k = 2 * p + c
-            rows.append((k, " ".join(words_of(f"a{k}_", int(rng.integers(20, 90))) + whole + words_of(f"b{k}_", int(rng.integers(20, 90)))), "en"))
+            rows.append((k, " ".join(words_of(f"a{k}_", int(rng.integers(20, 90))) + own + words_of(f"b{k}_", int(rng.integers(20, 90)))), "en"))
         for c in range(rivals):  # forty words of it, too few for a passage
             at = int(rng.integers(0, 21))
-            rows.append((1000 + 100 * p + c, " ".join(words_of(f"c{p}_{c}_", 30) + whole[at : at + 40] + words_of(f"d{p}_{c}_", 30)), "en"))
+            rows.append((1000 + 1000 * p + c, " ".join(words_of(f"c{p}_{c}_", 30) + (whole, other)[c % 2][at : at + 40] + words_of(f"d{p}_{c}_", 30)), "en"))
     found = {frozenset((r.doc_id, r.partner_id)) for r in passages.near_passages(docs(spark, rows)).collect()}
-    assert found == {frozenset((2 * p, 2 * p + 1)) for p in range(20)}
+    want = {frozenset((2 * p, 2 * p + 1)) for p in range(20)}
+    assert found <= want and len(found) >= (20 if edited == "no word" else 18)
 
 
 def test_short_edited_copies_are_found(spark):
@@ -435,13 +441,15 @@ def test_mined_rules_are_those_of_brute_force(spark):
     options = {"min_support": 0.01, "min_confidence": 0.5, "min_rows": 5, "min_lift": 1.2}
     got = {tuple(sorted(r.tokens)): (r.confidence, r.support, r.lift, r.head) for r in url_rules.mine(urls, spark.createDataFrame(list(enumerate(bad)), "id int, bad boolean"), **options).collect()}
     base, found = sum(bad) / 300, {}
+    tried = sum(5 <= sum(set(need) <= set(s) for s in sets) for k in range(1, 7) for need in combinations(names, k))
+    z = NormalDist().inv_cdf(1 - 0.025 / tried)
     for k in range(1, 7):
         for need in combinations(names, k):
             own = [b for s, b in zip(sets, bad) if set(need) <= set(s)]
             both, m = sum(own), len(own)
             if both < 5 or both / 300 < 0.01:
                 continue
-            c, z = both / m, 1.96
+            c = both / m
             low = (c + z * z / (2 * m) - z * (c * (1 - c) / m + z * z / (4 * m * m)) ** 0.5) / (1 + z * z / m)
             if low > base and c >= 0.5 and c / base >= 1.2:
                 found[need] = (c, both / 300, c / base)
@@ -452,6 +460,20 @@ def test_mined_rules_are_those_of_brute_force(spark):
         assert np.allclose((c, support, lift), want[need]) and head == min(need, key=lambda t: (held[t], t))
 
 
+def test_chance_makes_no_rules(spark):
+    """Labels that have nothing to do with the urls: many combinations, none of which is a rule."""
+    rng = np.random.default_rng(12)
+    sets = [sorted({f"t{int(j)}" for j in rng.integers(0, 25, 5)}) for _ in range(1500)]
+    urls = spark.createDataFrame(list(enumerate(sets)), "id int, tokens array<string>")
+    bad = spark.createDataFrame([(i, bool(rng.random() < 0.26)) for i in range(1500)], "id int, bad boolean")
+    assert url_rules.mine(urls, bad, min_confidence=0.4).count() == 0
+
+
+def test_urls_of_any_column_name(spark):
+    got = spark.createDataFrame([("http://A.b/c?d",)], "link string").select(*url_rules.host_and_path(F.col("link"))).first()
+    assert tuple(got) == ("a.b", "/c")
+
+
 def test_the_deciding_rule_is_told(spark):
     rows = [(i, f"http://spam.example/{'win' if i % 2 else 'read'}/prize/{i}") for i in range(60)]
     pages = spark.createDataFrame([*rows, (900, "http://x.net/win/prize"), (901, "http://spam.example/" + "win/" * 30_000)], "page_id long, url string")

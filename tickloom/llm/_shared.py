@@ -25,16 +25,26 @@ def _file_system(spark: SparkSession, path: str):
     return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def shared_path(spark: SparkSession) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/tickloom/{uuid.uuid4().hex}"
+
+
+def passing(spark: SparkSession, path: str) -> None:
+    """What has been written to ``path`` goes with the application."""
+    where, files = _file_system(spark, path)
+    files.deleteOnExit(where)
+
+
 def settle(df: DataFrame, codec: str = "zstd") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
 
     The table goes with the application, or before that with ``release``.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tickloom/{uuid.uuid4().hex}"
+    path = shared_path(spark)
     df.write.option("compression", codec).parquet(path)
-    where, files = _file_system(spark, path)
-    files.deleteOnExit(where)
+    passing(spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out._settled = path
     return out

@@ -7,7 +7,7 @@ or a non-ASCII byte.  Because the state is reset at word borders, each distinct
 through the network once, however often it occurs.
 
 Training happens in numpy, by backpropagation through time, on a bounded sample of labelled rows:
-about ``PER_LANGUAGE`` documents for each language that any row names, chosen by a hash of the id among
+about ``PER_LANGUAGE`` documents for each language (of the ``MOST_LANGUAGES`` most frequent ones; fewer each where that would be more than ``SAMPLE_ROWS``), chosen by a hash of the id among
 rows that are not held out; of a text of more than ``MOST_CHARS`` characters it sees so many from a
 place that the hash picks.  Language, source and id are never inputs of a prediction, and whole texts
 are predicted, however long.
@@ -34,6 +34,8 @@ SPAN = 24
 HIDDEN = 16
 PER_LANGUAGE = 250
 MOST_CHARS = 8000
+#: languages that are learned, the most frequent ones, and documents of all of them together
+MOST_LANGUAGES, SAMPLE_ROWS = 500, 20_000
 #: bytes of text scored at once: the more, the fewer words run through the network twice
 SCORE_BYTES = 8 << 20
 
@@ -213,13 +215,14 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """Train on a bounded sample of the labelled rows that are not held out; None without any."""
     able = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     able = able.select(F.xxhash64(F.col(id_col).cast("string")).alias("pick"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    counts = able.groupBy("lang").count().collect()  # a row per language
+    counts = able.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    per = min(PER_LANGUAGE, SAMPLE_ROWS // max(1, len(counts)))
     if not counts:
         return None
-    share = F.create_map(*[F.lit(x) for lang, count in counts for x in (lang, int(1_000_000 * min(1, PER_LANGUAGE / count)) + 1)])
+    share = F.create_map(*[F.lit(x) for lang, count in counts for x in (lang, int(1_000_000 * min(1, per / count)) + 1)])
     from_ = F.pmod(F.shiftright("pick", 20), F.greatest(F.lit(1), F.length("text") - (MOST_CHARS - 1))).cast("int") + 1
     chosen = able.where(F.pmod("pick", F.lit(1_000_000)) < share[F.col("lang")]).select("lang", F.substring(F.col("text"), from_, F.lit(MOST_CHARS)).alias("text"))
-    rows = sorted(chosen.limit(4 * PER_LANGUAGE * len(counts)).collect())
+    rows = sorted(chosen.limit(4 * per * len(counts)).collect())
     rows = [(lang, text) for lang, text in rows if text and any(c.isalpha() for c in text)]
     return train([t for _, t in rows], [lang for lang, _ in rows]) if rows else None
 

@@ -357,8 +357,11 @@ def score(own: DataFrame, model: Model, most: int = BROADCAST_ENTRIES) -> DataFr
         arrays = _stack(told.sort_by("shard"))
         return pa.Table.from_batches([out for batch in docs.combine_chunks().to_batches() for out in _scored(batch, lambda h: look(arrays, h), unseen)])
 
-    asked = dealt.groupBy("block").applyInArrow(ask, "block long, shard int, h binary")
-    told = asked.groupBy("shard").cogroup(model.shards.groupBy("shard")).applyInArrow(answer, "block long, shard int, h binary, logp binary, logw binary")
+    # a shard meets the questions of about n blocks at a time, each of which asks it about one in n of its own
+    shares = -(-blocks // n)
+    asked = dealt.groupBy("block").applyInArrow(ask, "block long, shard int, h binary").withColumn("share", F.pmod("block", F.lit(shares)))
+    shards = model.shards.withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))))
+    told = asked.groupBy("shard", "share").cogroup(shards.groupBy("shard", "share")).applyInArrow(answer, "block long, shard int, h binary, logp binary, logw binary")
     return dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(finish, schema)
 
 

@@ -19,7 +19,6 @@ Other columns are ignored, whatever their names.
 from __future__ import annotations
 
 import os
-import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ._bytes import buffers, chunks, hash_spans, ragged
-from ._shared import shared_dir, shuffle_partitions
+from ._shared import passing, shared_path, shuffle_partitions
 
 BLOCK_TOKENS = 1 << 20
 #: text of one range partition, about
@@ -256,7 +255,8 @@ def read_token_blocks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def token_file_digest(docs: DataFrame, tokenizer: str, **options) -> DataFrame:
-    """Write the blocks to the shared folder and read them back."""
-    path = f"{shared_dir(docs.sparkSession)}/tickloom/{uuid.uuid4().hex}"
+    """Write the blocks to the shared folder and read them back; they go with the application."""
+    path = shared_path(docs.sparkSession)
     write_token_blocks(docs, tokenizer, path, **options)
+    passing(docs.sparkSession, path)
     return read_token_blocks(docs.sparkSession, path)

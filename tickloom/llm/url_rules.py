@@ -3,8 +3,9 @@
 Labelled urls become baskets of host and path tokens plus the item ``label:bad`` where the label says
 so.  Spark's FP-growth mines frequent token combinations; rules that conclude ``label:bad`` are kept
 if their confidence, support and lift (confidence by the share of bad urls) reach the thresholds, the
-lower end of the confidence's 95 % interval (Wilson) is above that share, and no shorter rule among
-their own tokens is as confident.  An inverted index holds each rule under its rarest token, so a url meets only rules
+lower end of the confidence's interval (Wilson) is above that share, and no shorter rule among
+their own tokens is as confident.  The interval is one of 95 % for all combinations together: every frequent one is a rule
+that chance might have made, so each is tested at 5 % by their number (Bonferroni).  An inverted index holds each rule under its rarest token, so a url meets only rules
 whose rarest token it has; what meets is checked for all tokens of the rule.
 
 Explicit (host, path) rules come first: a rule fits its host and all subdomains where the path starts
@@ -17,6 +18,8 @@ nowhere.  Empty tables give no rules or no rows.  Other columns are ignored, wha
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +37,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
     at = F.instr(url, "://")
-    rest = F.when(at > 0, F.expr("substring(`url`, instr(`url`, '://') + 3)"))
+    rest = F.when(at > 0, F.substring(url, at + 3, F.length(url)))
     host = F.translate(F.regexp_extract(rest, "^[^/?#]*", 0), _UPPER, _LOWER)
     return F.coalesce(host, F.lit("")), F.coalesce(F.regexp_extract(rest, "^[^/?#]*([^?#]*)", 1), F.lit(""))
 
@@ -72,7 +75,7 @@ def mine(urls: DataFrame, bad: DataFrame, min_support: float = 0.002, min_confid
     sets = settle(model.freqItemsets)
     good = sets.where(F.array_contains("items", BAD) & (F.size("items") > 1)).select(F.array_sort(F.array_remove("items", BAD)).alias("tokens"), F.col("freq").alias("both"))
     whole = sets.where(~F.array_contains("items", BAD)).select(F.array_sort("items").alias("tokens"), "freq")
-    share, z = hits / n, 1.96
+    share, z = hits / n, NormalDist().inv_cdf(1 - 0.025 / max(1, whole.count()))
     c, m = F.col("both") / F.col("freq"), F.col("freq")
     least = (c + z * z / (2 * m) - z * F.sqrt(c * (1 - c) / m + z * z / (4 * m * m))) / (1 + z * z / m)
     rules = good.join(whole, "tokens").where(least > share).select("tokens", c.alias("confidence"), (F.col("both") / n).alias("support"), (c / share).alias("lift"))
