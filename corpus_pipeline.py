@@ -16,7 +16,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm._shared import settle
+from tickloom.llm._shared import release, settle
 from tickloom.llm.decontaminate import decontaminate
 from tickloom.llm.langid import fit, predict
 from tickloom.llm.line_dedup import drop_repeated_lines
@@ -72,5 +72,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = settle(stage(spark, docs, sf_dir), "snappy")
+        before, docs = docs, settle(stage(spark, docs, sf_dir), "snappy")
+        release(before)
     return STAGES[-1][1](spark, docs, sf_dir)
