@@ -106,29 +106,51 @@ def checked_trades(trades: DataFrame, venue_sides: bool = True) -> DataFrame:
     return drop_critical(clean, trade_findings(clean))
 
 
-def quality(findings: DataFrame, points: DataFrame | None = None) -> DataFrame:
+def quality(findings: DataFrame, points: DataFrame | None = None, as_of_ms: int | None = None) -> DataFrame:
     """Per symbol counts and shares.
 
     Completeness is 1 less the share of errors among findings; accuracy counts a warning as half an
-    error; CRITICAL findings are findings, but no errors.  ``points`` adds how many rows were looked at.
+    error; CRITICAL findings are findings, but no errors.  Spikes and price changes are ``outliers``.  ``points`` (of all
+    types) adds how many rows were looked at and, with ``as_of_ms``, how old the newest one is; a day where there is none.
     """
     n = F.count("*")
     errors, warnings = F.count_if(F.col("level") == ERROR), F.count_if(F.col("level") == WARNING)
     out = findings.groupBy("symbol").agg(
         n.alias("findings"), errors.alias("errors"), warnings.alias("warnings"), F.count_if(F.col("level") == CRITICAL).alias("criticals"),
-        F.count_if(F.col("code") == "duplicate").alias("duplicates"), F.count_if(F.col("code") == "volume_spike").alias("spikes"), F.count_if(F.col("code") == "price_change").alias("price_changes"),
+        F.count_if(F.col("code") == "duplicate").alias("duplicates"), F.count_if(F.col("code") == "volume_spike").alias("spikes"), F.count_if(F.col("code") == "price_change").alias("price_changes"), F.count_if(F.col("code").isin("volume_spike", "price_change")).alias("outliers"),
         (1 - ratio(errors, n)).alias("completeness"), (1 - ratio(errors + warnings * 0.5, n)).alias("accuracy"),
     )
-    return out if points is None else out.join(points.groupBy("symbol").agg(F.count("*").alias("points")), "symbol", "left")
+    if points is None:
+        return out
+    seen = points.groupBy("symbol").agg(F.count("*").alias("points"), F.max("t_ms").alias("_newest"))
+    out = out.join(seen, "symbol", "left")
+    age = F.coalesce(F.lit(as_of_ms) - F.col("_newest"), F.lit(86_400_000)).cast("long")
+    return (out if as_of_ms is None else out.withColumn("freshness_ms", age)).drop("_newest")
 
 
-def report(findings: DataFrame, points: DataFrame | None = None) -> DataFrame:
+def report(findings: DataFrame, points: DataFrame | None = None, as_of_ms: int | None = None) -> DataFrame:
     """``quality`` of every symbol, and one row of totals whose symbol is null."""
-    each = quality(findings, points)
-    total = quality(findings.withColumn("symbol", F.lit("")), None if points is None else points.withColumn("symbol", F.lit("")))
+    each = quality(findings, points, as_of_ms)
+    total = quality(findings.withColumn("symbol", F.lit("")), None if points is None else points.withColumn("symbol", F.lit("")), as_of_ms)
     return each.unionByName(total.withColumn("symbol", F.lit(None).cast("string")))
 
 
+def point_warnings(findings: DataFrame, back: int = 10) -> DataFrame:
+    """``symbol, data_type, arrival, findings, warnings`` of each point, of its last ``back`` findings.
+
+    When a point has just been checked, the newest findings are its own; a point is known by symbol, type and arrival.
+    """
+    point = ["symbol", "data_type", "arrival"]
+    last = findings.withColumn("_n", F.row_number().over(Window.partitionBy(*point).orderBy(F.desc("code")))).where(F.col("_n") <= back)
+    return last.groupBy(*point).agg(F.count("*").alias("findings"), F.count_if(F.col("level") == WARNING).alias("warnings"))
+
+
+def rates(points: DataFrame) -> DataFrame:
+    """``symbol, data_type, n, per_second`` over the time between a feed's first and last point; null where that is none."""
+    span = (F.max("t_ms") - F.min("t_ms")) / 1000
+    return points.groupBy("symbol", "data_type").agg(F.count("*").alias("n"), F.try_divide(F.count("*"), span).alias("per_second"))
+
+
 def recent(findings: DataFrame, as_of_ms: int, age_ms: int = 86_400_000) -> DataFrame:
     return findings.where(F.col("t_ms") >= as_of_ms - age_ms)
 

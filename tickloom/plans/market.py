@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -176,12 +177,12 @@ def structure_findings(spark, d):
 
 @query("quality", f"""WITH {_TRADES}, x AS (SELECT *, lag(price) OVER w AS before, avg(size) OVER (w ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS usual FROM trades WINDOW w AS (PARTITION BY symbol ORDER BY arrival)),
 f AS (SELECT symbol, 'E' AS l, 'p' AS c FROM x WHERE price <= 0 UNION ALL SELECT symbol, 'E', 's' FROM x WHERE size <= 0 UNION ALL SELECT symbol, 'W', 'change' FROM x WHERE before > 0 AND abs(price - before) > 0.1 * before UNION ALL SELECT symbol, 'W', 'spike' FROM x WHERE size > 10.0 * usual),
-n AS (SELECT symbol, count(*) AS points FROM trades GROUP BY 1), both_ AS (SELECT f.*, points FROM f JOIN n USING (symbol) UNION ALL SELECT NULL, l, c, (SELECT count(*) FROM trades) FROM f)
-SELECT symbol, count(*) AS findings, count(*) FILTER (WHERE l = 'E') AS errors, count(*) FILTER (WHERE l = 'W') AS warnings, CAST(0 AS BIGINT) AS criticals, CAST(0 AS BIGINT) AS duplicates, count(*) FILTER (WHERE c = 'spike') AS spikes, count(*) FILTER (WHERE c = 'change') AS price_changes,
+n AS (SELECT symbol, count(*) AS points, max(t_ms) AS newest FROM trades GROUP BY 1), both_ AS (SELECT f.*, points, newest FROM f JOIN n USING (symbol) UNION ALL SELECT NULL, l, c, (SELECT count(*) FROM trades), (SELECT max(t_ms) FROM trades) FROM f)
+SELECT symbol, count(*) AS findings, count(*) FILTER (WHERE l = 'E') AS errors, count(*) FILTER (WHERE l = 'W') AS warnings, CAST(0 AS BIGINT) AS criticals, CAST(0 AS BIGINT) AS duplicates, count(*) FILTER (WHERE c = 'spike') AS spikes, count(*) FILTER (WHERE c = 'change') AS price_changes, count(*) FILTER (WHERE c IN ('spike', 'change')) AS outliers, 1706000000000 - max(newest) AS freshness_ms,
   floor((1 - count(*) FILTER (WHERE l = 'E') * 1.0 / count(*)) * 1e6 + 0.37) / 1e6 AS completeness, floor((1 - (count(*) FILTER (WHERE l = 'E') + count(*) FILTER (WHERE l = 'W') * 0.5) / count(*)) * 1e6 + 0.37) / 1e6 AS accuracy, max(points) AS points FROM both_ GROUP BY symbol""")
 def quality(spark, d):
     t = views.trades(spark, d)
-    return rounded(validate.report(validate.trade_findings(t), t), "completeness", "accuracy")
+    return rounded(validate.report(validate.trade_findings(t), t, 1706000000000), "completeness", "accuracy")
 
 
 @query("critical_dropped", f"""WITH {_LEVELS}, g AS (SELECT symbol, t_ms, arrival, bare, max(bp) FILTER (WHERE i = 0) AS b, max(ap) FILTER (WHERE i = 0) AS a FROM lv GROUP BY 1, 2, 3, 4) SELECT symbol, t_ms, arrival FROM g WHERE bare OR b < a""")
@@ -679,6 +680,34 @@ def capture_trades(spark, d):
     return frames.capture_trades(views.trades(spark, d).select(raw.alias("raw"), F.col("arrival").alias("ordinal")))
 
 
+@query("point_warnings", f"""WITH {_TRADES}, x AS (SELECT *, lag(price) OVER w AS before, avg(size) OVER (w ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS usual FROM trades WINDOW w AS (PARTITION BY symbol ORDER BY arrival)),
+f AS (SELECT symbol, arrival, 0 AS w FROM x WHERE price <= 0 UNION ALL SELECT symbol, arrival, 0 FROM x WHERE size <= 0 UNION ALL SELECT symbol, arrival, 1 FROM x WHERE before > 0 AND abs(price - before) > 0.1 * before UNION ALL SELECT symbol, arrival, 1 FROM x WHERE size > 10.0 * usual)
+SELECT symbol, 'trade' AS data_type, arrival, count(*) AS findings, CAST(sum(w) AS BIGINT) AS warnings FROM f GROUP BY 1, 3""")
+def point_warnings(spark, d):
+    return validate.point_warnings(validate.trade_findings(views.trades(spark, d)))
+
+
+@query("feed_rates", f"WITH {_TRADES} SELECT symbol, 'trade' AS data_type, count(*) AS n, floor(count(*) / ((max(t_ms) - min(t_ms)) / 1000.0) * 1e6 + 0.37) / 1e6 AS per_second FROM trades GROUP BY 1")
+def feed_rates(spark, d):
+    return rounded(validate.rates(views.trades(spark, d).withColumn("data_type", F.lit("trade"))), "per_second")
+
+
+@query("type_points", f"""WITH {_LEVELS}, g AS (SELECT symbol, t_ms, arrival, bare, max(bp) FILTER (WHERE i = 0) AS bp, max(bs) FILTER (WHERE i = 0) AS bs, max(ap) FILTER (WHERE i = 0) AS ap, max(sz) FILTER (WHERE i = 0) AS sz FROM lv GROUP BY 1, 2, 3, 4),
+p AS (SELECT symbol, t_ms, 'orderbook' AS data_type, bp AS best_bid_price, bs AS best_bid_size, CASE WHEN NOT bare THEN ap END AS best_ask_price, CASE WHEN NOT bare THEN sz END AS best_ask_size, 10 AS bid_levels, CASE WHEN bare THEN 0 ELSE 10 END AS ask_levels, NULL::DOUBLE AS price, NULL::DOUBLE AS size, NULL::VARCHAR AS side, NULL::DOUBLE AS mid_price, NULL::INTEGER AS empty_book FROM g
+UNION ALL SELECT symbol, t_ms, 'trade', NULL, NULL, NULL, NULL, NULL, NULL, price, size, side, NULL, NULL FROM trades
+UNION ALL SELECT symbol, t_ms, 'ticker', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, price, NULL FROM trades
+UNION ALL SELECT symbol, t_ms, 'bbo', CASE WHEN arrival % 7 > 0 THEN bid_px END, CASE WHEN arrival % 7 > 0 THEN bid_sz END, CASE WHEN arrival % 5 > 0 THEN ask_px END, CASE WHEN arrival % 5 > 0 THEN ask_sz END, NULL, NULL, NULL, NULL, NULL, NULL, CASE WHEN arrival % 35 = 0 THEN 1 END FROM quotes)
+SELECT * REPLACE ({", ".join(f"floor({c} * 1e6 + 0.37) / 1e6 AS {c}" for c in ("best_bid_price", "best_ask_price", "price", "mid_price"))}) FROM p""")
+def type_points(spark, d):
+    """Books, trades, mids and top-of-book events as points of one table with their payloads."""
+    t, q, b = views.trades(spark, d), views.quotes(spark, d), views.books(spark, d)
+    level = lambda px, sz: F.struct(F.col(px).cast("string").alias("px"), F.col(sz).cast("string").alias("sz"))
+    point = lambda frame, kind, *fields: frame.select("symbol", "t_ms", F.lit(kind).alias("data_type"), F.to_json(F.struct(*fields)).alias("data"))
+    some = lambda n, side: F.when(F.col("arrival") % n > 0, level(f"{side}_px", f"{side}_sz")).alias(side)
+    points = [point(b, "orderbook", "bids", "asks"), point(t, "trade", "price", "size", "side"), point(t, "ticker", F.col("price").alias("mid_price")), point(q, "bbo", some(7, "bid"), some(5, "ask"))]
+    return rounded(sinks.type_points(reduce(DataFrame.unionByName, points)), "best_bid_price", "best_ask_price", "price", "mid_price")
+
+
 @query("book_points", f"""{_BEST}, t AS (SELECT symbol, t_ms, arrival, max(bs) FILTER (WHERE i = 0) AS best_bid_size, CASE WHEN bare THEN NULL ELSE floor(min(ap) * 1e6 + 0.37) / 1e6 END AS best_ask FROM lv GROUP BY symbol, t_ms, arrival, bare)
 SELECT symbol, t_ms, best_bid, best_bid_size, best_ask, CAST(bid_levels AS INTEGER) AS bid_levels, CAST(ask_levels AS INTEGER) AS ask_levels, false AS empty_book FROM g JOIN t USING (symbol, t_ms, arrival)""")
 def book_points(spark, d):

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import millis
 from ..operators.asof import newest
+from . import lz4
 
 #: fixed values: where the archive keeps each kind of data
 TEMPLATES = {
@@ -53,8 +54,15 @@ def check_bars(bars: DataFrame) -> DataFrame:
 
 
 def between(stored: DataFrame, symbol: str, data_type: str, start_ms: int, end_ms: int) -> DataFrame:
-    """Rows of a symbol and type with ``start <= t <= end``, in order; pushed to the scan or to partitions."""
-    return stored.where((F.col("symbol") == symbol) & (F.col("data_type") == data_type) & F.col("t_ms").between(start_ms, end_ms)).orderBy("t_ms")
+    """Rows of a symbol and type with ``start <= t <= end``, in order; pushed to the scan or to partitions.
+
+    Of a store by ``date`` (see ``sinks.clustered``) only the days of the range are listed.
+    """
+    rows = stored.where((F.col("symbol") == symbol) & (F.col("data_type") == data_type) & F.col("t_ms").between(start_ms, end_ms))
+    if "date" in stored.columns:
+        day = lambda ms: F.date_add(F.lit("1970-01-01").cast("date"), ms // 86_400_000)
+        rows = rows.where(F.col("date").between(day(start_ms), day(end_ms)))
+    return rows.orderBy("t_ms")
 
 
 def latest(stored: DataFrame, n: int) -> DataFrame:
@@ -71,28 +79,5 @@ def days(spark: SparkSession, root: str) -> list[str]:
 
 
 def lz4_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``file, ordinal, raw`` of LZ4-frame text files; empty files have no lines.
-
-    Spark's own text reader knows the Hadoop block format only.  A file is read by one task, which
-    decompresses it as a stream and gives its lines on in blocks.
-    """
-    import pyarrow as pa
-
-    def run(batches):
-        for batch in batches:
-            for name, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-                n = 0
-                with pa.CompressedInputStream(pa.BufferReader(content.as_buffer()), "lz4") as stream:
-                    rest = b""
-                    while block := stream.read(4 << 20):
-                        *lines, rest = (rest + block).split(b"\n")
-                        yield _numbered(name, n, lines)
-                        n += len(lines)
-                    if rest:
-                        yield _numbered(name, n, [rest])
-
-    def _numbered(name, n, lines):
-        return pa.RecordBatch.from_arrays([pa.array([name] * len(lines), pa.string()), pa.array(range(n, n + len(lines)), pa.int64()), pa.array([x.decode("utf-8", "replace") for x in lines], pa.string())], ["file", "ordinal", "raw"])
-
-    files = spark.read.format("binaryFile").load(path).where("length > 0").select("path", "content")
-    return files.mapInArrow(run, "file string, ordinal long, raw string")
+    """``file, ordinal, raw`` of LZ4-frame text files, which Spark's own text reader does not know; see ``lz4``."""
+    return lz4.lines(spark, path)

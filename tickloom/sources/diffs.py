@@ -73,6 +73,14 @@ def blocks(frame: DataFrame) -> DataFrame:
     return _shaped(frame).where("block").select("ordinal", "height", "time_ms", F.coalesce(F.size("listed"), F.lit(0)).cast("long").alias("n_events"))
 
 
+def counted(frame: DataFrame, name: str = "feed") -> DataFrame:
+    """``frame``, observed: ``blocks, diffs, skipped`` (lines) and ``bytes``, for an ``Observation`` or ``live.FeedStats``."""
+    told = _shaped(frame)
+    diffs = F.when(F.col("block"), F.coalesce(F.size("listed"), F.lit(0))).when(F.col("event"), 1).otherwise(0)
+    sums = [F.count_if(F.col("block")).alias("blocks"), F.sum(diffs).alias("diffs"), F.count_if(~F.col("block") & ~F.col("event")).alias("skipped"), F.sum(F.octet_length("raw")).alias("bytes")]
+    return told.observe(name, *sums).select("raw", "ordinal")
+
+
 def events(frame: DataFrame, strict: bool = False) -> DataFrame:
     """``height, time_ms, ordinal, pos, oid, coin, side, px, kind, sz, orig_sz, new_sz, reason`` per event.
 

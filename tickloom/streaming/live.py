@@ -10,6 +10,7 @@ It needs the RocksDB state store: ``stateful(spark)`` sets it.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from decimal import Decimal, InvalidOperation
 from itertools import groupby
@@ -17,10 +18,10 @@ from itertools import groupby
 import numpy as np
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery, StreamingQueryListener
 
 from ..operators.candles import ohlcv
-from ..sources.sinks import Sink
+from ..sources.sinks import BatchSink, Sink
 
 TRADES = "symbol string, t_ms long, price double, size double, side string, tid long, arrival long"
 DIFFS = "coin string, arrival long, height long, pos long, oid long, side string, px string, kind string, sz string, new_sz string, orig_sz string"
@@ -243,3 +244,34 @@ def book_tops(diffs: DataFrame, blocks: DataFrame | None = None, coins: list[str
 def write(stream: DataFrame, sink: Sink, checkpoint: str) -> StreamingQuery:
     """Run over what is there and stop; the checkpoint makes retries exact per batch."""
     return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(lambda df, _: sink(df)).start()
+
+
+def write_once(stream: DataFrame, sink: BatchSink, checkpoint: str) -> StreamingQuery:
+    """As ``write``, for sinks that know a batch again when a run that failed is begun anew."""
+    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(sink).start()
+
+
+class FeedStats(StreamingQueryListener):
+    """What the queries of a session have counted: ``batches``, ``rows``, ``late`` ones and all ``observe``d sums.
+
+    A row is late if a stateful operator drops it because the watermark has passed it; aggregations put rows
+    together first, so count late rows where rows are still single, as in ``dedup``.
+    """
+
+    def __init__(self) -> None:
+        self.totals: Counter[str] = Counter()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.totals.update(batches=1, rows=p.numInputRows, late=sum(s.numRowsDroppedByWatermark for s in p.stateOperators))
+        for row in p.observedMetrics.values():
+            self.totals.update({k: v for k, v in row.asDict().items() if v})
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
