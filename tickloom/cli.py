@@ -6,6 +6,7 @@ Results are small reports and go to standard output as JSON lines, or as Parquet
 from __future__ import annotations
 
 import argparse
+import inspect
 import json
 import sys
 from functools import reduce
@@ -14,14 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import timeframe_ms
-from tickloom.operators import backtest, blocks, candles, l4, ofi
-from tickloom.sources import archive, diffs, frames
+from tickloom.operators import backtest, blocks, candles, l4, ofi, validate
+from tickloom.sources import archive, diffs, frames, sinks
 from tickloom.streaming import live
 
-#: defaults of every threshold a command uses
+def _default(operator, name: str):
+    return inspect.signature(operator).parameters[name].default
+
+
+#: defaults of every threshold, as the operators have them
 SETTINGS = {
-    "ofi_windows_ms": [1000, 10_000], "ofi_horizons_ms": [1000, 5000], "fee_bps": 10.0, "slippage_bps": 0.0, "capital": 10_000.0,
-    "price_jump": 0.10, "volume_spike": 10.0, "wide_spread": 0.05, "future_ms": 10_000, "stale_ms": 300_000, "retention_days": 30, "gap_ms": 10_000, "buffer_rows": 200_000,
+    "ofi_windows_ms": [1000, 10_000], "ofi_horizons_ms": [1000, 5000], "rolling_window_ms": _default(ofi.rolling_signal, "window_ms"), "rolling_halflife": _default(ofi.rolling_signal, "halflife"), "fee_bps": _default(backtest.run, "fee_bps"),
+    "slippage_bps": _default(backtest.run, "slippage_bps"), "capital": _default(backtest.run, "capital"), "price_jump": _default(validate.trade_findings, "jump"), "volume_spike": _default(validate.trade_findings, "spike"), "wide_spread": _default(validate.book_findings, "wide"),
+    "future_ms": _default(validate.time_findings, "future_ms"), "stale_ms": _default(validate.time_findings, "stale_ms"), "retention_days": _default(sinks.expire, "days"), "buffer_rows": _default(candles.retained, "most"), "anomalies_kept": _default(l4.newest_anomalies, "n"),
 }
 
 
@@ -32,8 +38,8 @@ def parser() -> argparse.ArgumentParser:
     p = sub.add_parser("ofi", help="order-flow imbalance read of capture or archive lines")
     p.add_argument("paths", nargs="+")
     p.add_argument("--symbol")
-    p.add_argument("--windows", default="1,10", help="seconds")
-    p.add_argument("--horizons", default="1,5", help="seconds")
+    p.add_argument("--windows", default=",".join(f"{x / 1000:g}" for x in SETTINGS["ofi_windows_ms"]), help="seconds")
+    p.add_argument("--horizons", default=",".join(f"{x / 1000:g}" for x in SETTINGS["ofi_horizons_ms"]), help="seconds")
     p = sub.add_parser("replay", help="final order book of diff lines, with anomaly counts")
     p.add_argument("paths", nargs="+")
     p.add_argument("--snapshot")

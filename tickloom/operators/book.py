@@ -43,17 +43,26 @@ def is_sorted(levels: Column, bids: bool) -> Column:
     return px == (F.reverse(rising) if bids else rising)
 
 
+def totals(levels: Column, n: int = 5) -> Column:
+    """``struct<all, top, levels>``: size of all levels, of the first ``n``, and how many there are, in one fold."""
+    start = F.struct(F.lit(0.0).alias("all"), F.lit(0.0).alias("top"), F.lit(0).cast("long").alias("levels"))
+    more = lambda a, x: F.struct((a["all"] + x["sz"]).alias("all"), F.when(a["levels"] < n, a["top"] + x["sz"]).otherwise(a["top"]).alias("top"), (a["levels"] + 1).alias("levels"))
+    return F.aggregate(levels, start, more)
+
+
 def metrics(books: DataFrame) -> DataFrame:
     """Best prices, mid, spread, depth volumes and imbalances; a book with an empty side has no row."""
-    bid, ask = F.get("bids", F.lit(0)), F.get("asks", F.lit(0))
-    bp, ap = bid["px"], ask["px"]
-    bv, av = volume(F.col("bids")), volume(F.col("asks"))
-    b5, a5 = volume(F.col("bids"), 5), volume(F.col("asks"), 5)
-    return books.where((F.size("bids") > 0) & (F.size("asks") > 0)).select(
-        "symbol", "t_ms", "arrival", bp.alias("best_bid"), ap.alias("best_ask"), bid["sz"].alias("bid_size"), ask["sz"].alias("ask_size"), mid(bp, ap).alias("mid"), (ap - bp).alias("spread"),
+    # each side is folded once; what follows reads the fold
+    first = books.select("symbol", "t_ms", "arrival", F.get("bids", F.lit(0)).alias("b"), F.get("asks", F.lit(0)).alias("a"), totals(F.col("bids")).alias("bt"), totals(F.col("asks")).alias("at"))
+    bp, ap, bv, av, b5, a5 = (F.col(c) for c in ("b.px", "a.px", "bt.all", "at.all", "bt.top", "at.top"))
+    told = F.struct(
+        bp.alias("best_bid"), ap.alias("best_ask"), F.col("b.sz").alias("bid_size"), F.col("a.sz").alias("ask_size"), mid(bp, ap).alias("mid"), (ap - bp).alias("spread"),
         spread_bps(bp, ap).alias("spread_bps"), bv.alias("bid_volume"), av.alias("ask_volume"), b5.alias("bid_depth_5"), a5.alias("ask_depth_5"), imbalance(bv, av).alias("imbalance"), imbalance(b5, a5).alias("imbalance_5"),
-        F.size("bids").cast("long").alias("bid_levels"), F.size("asks").cast("long").alias("ask_levels"), F.coalesce(bp >= ap, F.lit(False)).alias("crossed"),
+        F.col("bt.levels").alias("bid_levels"), F.col("at.levels").alias("ask_levels"), F.coalesce(bp >= ap, F.lit(False)).alias("crossed"),
     )
+    # a filter would be pushed below the folds and do them again; an empty array has no rows
+    whole = F.when((F.col("bt.levels") > 0) & (F.col("at.levels") > 0), F.array(told)).otherwise(F.array().cast(f"array<{first.select(told.alias('t')).schema['t'].dataType.simpleString()}>"))
+    return first.select("symbol", "t_ms", "arrival", F.inline(whole))
 
 
 def capture_summary(quotes: DataFrame, places: int = 9) -> DataFrame:

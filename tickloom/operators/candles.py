@@ -61,7 +61,7 @@ def trailing(trades: DataFrame, width_ms: int, in_order: bool = False) -> DataFr
     later; only the others are joined with their window's trades.  With ``in_order`` arrival is known to
     follow time, and there are no others.
     """
-    trades = haloed(trades, width_ms)
+    given, trades = trades, haloed(trades, width_ms)
     w = Window.partitionBy("symbol", "_b").orderBy("t_ms").rangeBetween(-width_ms, -1)
     keys = ["symbol", "t_ms", "arrival"]
     price, size, by = F.col("price"), F.col("size"), F.col("arrival")
@@ -72,8 +72,10 @@ def trailing(trades: DataFrame, width_ms: int, in_order: bool = False) -> DataFr
     out = out.where("trades > 0 and not _halo").withColumn("vwap", F.when(F.col("volume") > 0, ratio(F.col("pv"), F.col("volume"))).otherwise(F.col("close"))).drop("pv", "_halo")
     if in_order:
         return out.drop("_latest", "_b")
-    late = out.where("_latest > arrival").select("symbol", "_b", F.col("t_ms").alias("_t"), F.col("arrival").alias("_a"))
-    seen = trades.join(late, ["symbol", "_b"]).where((F.col("t_ms") >= F.col("_t") - width_ms) & (F.col("t_ms") < F.col("_t")) & (by < F.col("_a")))
+    # a window reaches into two stretches of its width
+    own = F.floor(F.col("t_ms") / width_ms)
+    late = out.where("_latest > arrival").select("symbol", F.col("t_ms").alias("_t"), F.col("arrival").alias("_a"), F.explode(F.array(own - 1, own)).alias("_w"))
+    seen = given.withColumn("_w", own).join(late, ["symbol", "_w"]).where((F.col("t_ms") >= F.col("_t") - width_ms) & (F.col("t_ms") < F.col("_t")) & (by < F.col("_a")))
     mended = seen.groupBy("symbol", F.col("_t").alias("t_ms"), F.col("_a").alias("arrival")).agg(*ohlcv(by))
     return out.where("_latest < arrival").drop("_latest", "_b").unionByName(mended)
 

@@ -3,23 +3,25 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import add
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .asof import BUCKET_MS, asof, haloed, seeded
+from .asof import BUCKET_MS, asof, haloed, numbered, seeded
 
-def contributions(quotes: DataFrame) -> DataFrame:
-    """``symbol, t_ms, arrival, e``; an unchanged price counts on both sides, a symbol's first row has none."""
-    own = quotes.select("symbol", "t_ms", "arrival", "bid_px", "bid_sz", "ask_px", "ask_sz")
+
+def contributions(quotes: DataFrame, *keep: str) -> DataFrame:
+    """``symbol, t_ms, arrival, e`` and columns to ``keep``; an unchanged price counts on both sides, a symbol's first row has none."""
+    own = quotes.select("symbol", "t_ms", "arrival", "bid_px", "bid_sz", "ask_px", "ask_sz", *keep)
     w = Window.partitionBy("symbol", "_b").orderBy("t_ms", "arrival")
     pb, qb, pa, qa = (F.lag(c).over(w) for c in ("bid_px", "bid_sz", "ask_px", "ask_sz"))
     b, a = F.col("bid_px"), F.col("ask_px")
     zero = F.lit(0.0)
     e = F.when(b >= pb, F.col("bid_sz")).otherwise(zero) - F.when(b <= pb, qb).otherwise(zero) - F.when(a <= pa, F.col("ask_sz")).otherwise(zero) + F.when(a >= pa, qa).otherwise(zero)
-    told = seeded(own, "symbol", ["t_ms", "arrival"]).select("symbol", "t_ms", "arrival", "_seed", F.when(pb.isNotNull(), e).alias("e"))
+    told = seeded(own, "symbol", ["t_ms", "arrival"]).select("symbol", "t_ms", "arrival", "_seed", *keep, F.when(pb.isNotNull(), e).alias("e"))
     return told.where("e is not null and not _seed").drop("_seed")
 
 
@@ -108,47 +110,32 @@ def analyze(quotes: DataFrame, widths_ms: list[int], horizons_ms: list[int]) ->
     return out
 
 
-def _folded(table: pa.Table, alpha: float) -> pa.Table:
-    """Rows of one bucket in order with their place and the slow average folded from zero."""
-    table = table.sort_by([("t_ms", "ascending"), ("arrival", "ascending")])
-    norm, out = 0.0, []
-    for v in table.column("ofi").to_pylist():
-        norm += alpha * (abs(v) - norm)
-        out.append(norm)
-    return table.append_column("k", pa.array(range(1, len(out) + 1), pa.int64())).append_column("norm", pa.array(out, pa.float64()))
-
-
-def _carried(table: pa.Table, alpha: float) -> pa.Table:
-    """A symbol's buckets, one row each, with the rows and the average before each."""
-    table = table.sort_by("_b")
-    seen, norm, before, start = 0, 0.0, [], []
-    for n, own in zip(table.column("n").to_pylist(), table.column("own").to_pylist()):
-        before.append(seen)
-        start.append(norm)
-        seen, norm = seen + n, norm * (1 - alpha) ** n + own
-    return table.select(["symbol", "_b"]).append_column("before", pa.array(before, pa.int64())).append_column("start", pa.array(start, pa.float64()))
-
-
 def rolling_signal(quotes: DataFrame, window_ms: int = 1000, halflife: int = 300, warmup: int = 30) -> DataFrame:
     """Rolling OFI over ``[t - window, t]`` over a slow average of its size, within [-3, 3].
 
     The average folds over all quotes of the symbol so far.  A quote sees those of its millisecond that
-    arrived before it.  Within a time bucket the average is ``start * (1 - alpha) ** k`` plus a fold from
-    zero; ``start`` is carried over one row per bucket.
+    arrived before it.  Quotes are numbered first.  Within a chunk of them the fold is a running sum of sizes that are scaled
+    up by as much as the average would have decayed since the chunk began; a chunk is 200 half-lives long, so
+    that doubles hold the scale (2^200), and of the chunks before, all that doubles can tell is in the last five.
     """
     alpha = 1 - 0.5 ** (1 / halflife)
-    dealt = haloed(contributions(quotes), window_ms)
+    size = 200 * halflife
+    own = numbered(quotes, ["symbol"], ["t_ms", "arrival"], BUCKET_MS)
+    dealt = haloed(contributions(own, "_pos"), window_ms)
     earlier = F.sum("e").over(Window.partitionBy("symbol", "_b").orderBy("t_ms").rangeBetween(-window_ms, -1))
     same = F.sum("e").over(Window.partitionBy("symbol", "_b", "t_ms").orderBy("arrival").rowsBetween(Window.unboundedPreceding, 0))
-    flow = dealt.withColumn("ofi", F.coalesce(earlier, F.lit(0.0)) + same).where("not _halo")
-    flow = flow.select("symbol", "t_ms", "arrival", F.col("ofi").cast("double").alias("ofi"), F.floor(F.col("t_ms") / BUCKET_MS).alias("_b"))
-    ddl = ", ".join(f"{c} {t}" for c, t in flow.dtypes)
-    flow = flow.groupBy("symbol", "_b").applyInArrow(lambda t: _folded(t, alpha), f"{ddl}, k long, norm double")
-    ends = flow.groupBy("symbol", "_b").agg(F.count("*").alias("n"), F.max_by("norm", "k").alias("own"))
-    kinds = dict(ends.dtypes)
-    carry = ends.groupBy("symbol").applyInArrow(lambda t: _carried(t, alpha), f"symbol {kinds['symbol']}, _b {kinds['_b']}, before long, start double")
-    flow = flow.join(carry, ["symbol", "_b"])
-    norm = F.col("norm") + F.col("start") * F.pow(F.lit(1 - alpha), F.col("k"))
+    flow = dealt.withColumn("ofi", (F.coalesce(earlier, F.lit(0.0)) + same).cast("double")).where("not _halo")
+    # the first quote has no flow
+    flow = flow.select("symbol", "t_ms", "arrival", "ofi", "_pos", F.floor((F.col("_pos") - 1) / size).alias("_c"))
+    decay, k = F.lit(1 - alpha), F.pmod(F.col("_pos") - 1, F.lit(size))
+    chunk = Window.partitionBy("symbol", "_c").orderBy("_pos")
+    scaled = F.sum(F.abs("ofi") * F.pow(decay, -k)).over(chunk.rowsBetween(Window.unboundedPreceding, 0))
+    flow = flow.withColumns({"own": alpha * scaled * F.pow(decay, k), "k": k + 1})
+    ends = flow.groupBy("symbol", "_c").agg(F.max_by("own", "_pos").alias("end"))
+    before = Window.partitionBy("symbol").orderBy("_c")
+    start = reduce(add, (F.coalesce(F.lag("end", d).over(before), F.lit(0.0)) * (1 - alpha) ** (size * (d - 1)) for d in range(1, 6)))
+    flow = flow.join(ends.select("symbol", "_c", start.alias("start")), ["symbol", "_c"])
+    norm = F.col("own") + F.col("start") * F.pow(decay, F.col("k"))
     # the first quote, which has no flow, is an update too
-    ready = F.col("before") + F.col("k") + 1 >= warmup
+    ready = F.col("_pos") + 1 >= warmup
     return flow.select("symbol", "t_ms", "arrival", F.when(ready & (norm > 0), F.greatest(F.lit(-3.0), F.least(F.lit(3.0), F.try_divide(F.col("ofi"), norm)))).otherwise(0.0).alias("signal"))

@@ -26,8 +26,9 @@ def channel(frames: DataFrame) -> DataFrame:
 
 
 def _data(frames: DataFrame, name: str, schema: str) -> DataFrame:
-    own = frames.where(F.get_json_object("raw", "$.channel") == name)
-    return own.withColumn("_d", F.from_json("raw", f"data {schema}")["data"])
+    """Frames of a channel with their ``data`` as ``_d``, parsed once; only texts that have the channel's name are."""
+    own = frames.where(F.contains("raw", F.lit(f'"{name}"'))).withColumn("_f", F.from_json("raw", f"channel string, data {schema}"))
+    return own.where(F.col("_f.channel") == name).withColumn("_d", F.col("_f.data"))
 
 
 def _rest(frames: DataFrame) -> list[Column]:
@@ -62,10 +63,10 @@ def bbo(frames: DataFrame, symbols: list[str]) -> DataFrame:
 
 def contexts(frames: DataFrame, symbols: list[str], now_ms: int) -> DataFrame:
     """Asset contexts: numbers or null (booleans are no numbers), all-null rows go; the basis in points needs an oracle above zero."""
-    at = lambda f: number(F.get_json_object("raw", f"$.data.ctx.{f}"))
     fields = {"mark": "markPx", "oracle": "oraclePx", "mid": "midPx", "open_interest": "openInterest", "funding": "funding", "premium": "premium"}
-    own = frames.where(F.get_json_object("raw", "$.channel") == "activeAssetCtx").withColumn("symbol", F.get_json_object("raw", "$.data.coin"))
-    own = own.where(F.col("symbol").isin(symbols)).select(*_rest(frames), "symbol", F.lit(now_ms).alias("t_ms"), *[at(p).alias(n) for n, p in fields.items()])
+    texts = ",".join(f"{p}:string" for p in fields.values())
+    d = _data(frames, "activeAssetCtx", f"struct<coin:string,ctx:struct<{texts}>>").where(F.col("_d.coin").isin(symbols))
+    own = d.select(*_rest(frames), F.col("_d.coin").alias("symbol"), F.lit(now_ms).alias("t_ms"), *[number(F.col(f"_d.ctx.{p}")).alias(n) for n, p in fields.items()])
     mark, oracle = F.col("mark"), F.col("oracle")
     return own.where(F.coalesce(*fields).isNotNull()).withColumns({"basis": mark - oracle, "basis_bps": basis_bps(mark, oracle)})
 
