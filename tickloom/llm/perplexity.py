@@ -47,6 +47,8 @@ BROADCAST_LANGUAGES = 10_000
 BROADCAST_ENTRIES = 3_000_000
 #: entries of a shard, and bytes of text that a block of documents has, where the model is not broadcast
 SHARD_ENTRIES, BLOCK_BYTES = 1 << 21, 8 << 20
+#: blocks whose questions (about 4 MB each) a shard of the model meets at a time, times the number of shards
+SHARE_BLOCKS = 16
 #: distinct n-grams that a counting task holds, and bytes of text that one pass has
 HELD, PASS_BYTES = 1 << 17, 1 << 20
 
@@ -357,8 +359,8 @@ def score(own: DataFrame, model: Model, most: int = BROADCAST_ENTRIES) -> DataFr
         arrays = _stack(told.sort_by("shard"))
         return pa.Table.from_batches([out for batch in docs.combine_chunks().to_batches() for out in _scored(batch, lambda h: look(arrays, h), unseen)])
 
-    # a shard meets the questions of about n blocks at a time, each of which asks it about one in n of its own
-    shares = -(-blocks // n)
+    # a block asks each of n shards about one in n of its n-grams, so a share has about SHARE_BLOCKS blocks' questions
+    shares = -(-blocks // (SHARE_BLOCKS * n))
     asked = dealt.groupBy("block").applyInArrow(ask, "block long, shard int, h binary").withColumn("share", F.pmod("block", F.lit(shares)))
     shards = model.shards.withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))))
     told = asked.groupBy("shard", "share").cogroup(shards.groupBy("shard", "share")).applyInArrow(answer, "block long, shard int, h binary, logp binary, logw binary")
