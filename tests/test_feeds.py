@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from tickloom.sources import archive, diffs, lz4, sinks, tail
+from tickloom.sources import archive, diffs, frames, lz4, sinks, tail
 from tickloom.streaming import live
 
 COMPRESSED = pa.Codec("lz4_raw")
@@ -52,9 +52,9 @@ def test_lz4_runs_are_read_like_the_whole_file(spark, tmp_path, run_bytes):
         (tmp_path / f"f {k}.lz4").write_bytes(frame(cut(text[:third], rng, 900), 0x60 | 8, plain=(0, 2)) + struct.pack("<II", 0x184D2A51, 3) + b"xyz" + linked.getvalue().to_pybytes() + frame([], 0x60) + frame(cut(text[2 * third :], rng, 400), 0x60 | 16 | 4))
         want[k] = text.decode().split("\n")[: -1 if text.endswith(b"\n") else None]
     (tmp_path / "empty.lz4").write_bytes(b"")
-    runs = lz4.runs(spark, str(tmp_path), run_bytes).groupBy("path").count().collect()
+    runs = lz4.runs(lz4.files(spark, str(tmp_path)), run_bytes).groupBy("path").count().collect()
     assert len(runs) == 3 and all((r["count"] > 5) == (run_bytes < 1000) for r in runs)
-    got = lz4.lines(spark, str(tmp_path), run_bytes).orderBy("file", "ordinal").collect()
+    got = lz4.lines(lz4.files(spark, str(tmp_path)), run_bytes).orderBy("file", "ordinal").collect()
     for k, lines in want.items():
         assert [r.raw for r in got if f"{k}.lz4" in r.file] == lines
 
@@ -64,7 +64,7 @@ def test_lz4_files_that_are_cut_off_are_errors(spark, tmp_path):
     for bad in (whole[:-8], b"no frame at all"):
         (tmp_path / "a.lz4").write_bytes(bad)
         with pytest.raises(Exception, match="cut off|no LZ4 frame"):
-            lz4.lines(spark, str(tmp_path)).collect()
+            lz4.lines(lz4.files(spark, str(tmp_path))).collect()
 
 
 def follow(spark, tmp_path, **options):
@@ -217,3 +217,43 @@ def test_what_a_stream_counts_is_what_is_there(spark, tmp_path):
     seen = Observation()
     assert diffs.counted(spark.createDataFrame([(x, 0) for x in lines], "raw string, ordinal long"), seen).count() == len(lines)
     assert seen.get == {k: t[k] for k in ("blocks", "diffs", "skipped", "bytes")}
+
+
+def test_gaps_of_a_stream_are_filled_when_the_archive_has_them(spark, tmp_path):
+    trade = lambda symbol, t: (symbol, t, 1.0, 1.0, "B", t, t)
+    later = 86_400_000 + 9_999
+    feed = [[trade("X", t) for t in (0, 1000, 9000, 9500)] + [trade("Y", 0), trade("Y", 500)], [trade("X", 9400), trade("X", 20_000), trade("Y", later)], [trade("X", 20_500)], [trade("X", 20_900)]]
+    stored = [[], [trade("X", t) for t in (1000, 1001, 5000, 9000)], [trade("X", 1001)], [trade("Y", 700), trade("X", 15_000), trade("X", 9400)]]
+    times = iter([9_500, 20_000, 86_400_000 + 10_000, 86_400_000 + 20_001])
+    calls = iter(stored)
+    archive = lambda s: s.createDataFrame(next(calls), live.TRADES)
+    for k, rows in enumerate(feed):
+        spark.createDataFrame(rows, live.TRADES).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
+        gaps = live.silences(live.read(live.stateful(spark), str(tmp_path / "in"), live.TRADES, files=1), 5_000)
+        live.backfill(gaps, archive, sinks.parquet_once(str(tmp_path / "out")), str(tmp_path / "pending"), str(tmp_path / "at"), lambda: next(times)).awaitTermination()
+        waiting = sorted(tuple(r) for r in spark.read.schema(live.GAPS).parquet(str(tmp_path / "pending" / f"batch={k}")).collect())
+        assert waiting == [[("X", 1000, 9000)], [("X", 9500, 20_000), ("Y", 500, later)], [("X", 9500, 20_000), ("Y", 500, later)], []][k], k
+    got = sorted((r.symbol, r.t_ms, r.batch, r.backfilled) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [("X", 1001, 1, True), ("X", 5000, 1, True), ("X", 9000, 1, True), ("X", 15_000, 3, True), ("Y", 700, 3, True)]
+
+
+def test_requested_files_are_mirrored_and_read(spark, tmp_path):
+    """Two symbols over two days; some files are empty, some are not there yet, one is of a symbol nobody asked for."""
+    spans = spark.sql("select explode(array('ETH', 'SOL')) symbol, date'2025-03-01' first_day, date'2025-03-02' last_day")
+    wanted = archive.requests(spans, ["trades"])
+    source, cache = tmp_path / "source", tmp_path / "cache"
+
+    def put(day, hour, symbol, *times):
+        at = source / "market_data" / day / str(hour) / "trades" / f"{symbol}.lz4"
+        at.parent.mkdir(parents=True, exist_ok=True)
+        at.write_bytes(frame([json.dumps({"coin": symbol, "px": "1", "sz": "2", "side": "A", "time": t, "tid": t}).encode() + b"\n" for t in times]) if times else b"")
+
+    put("20250301", 3, "ETH", 5, 4), put("20250301", 23, "SOL", 7), put("20250302", 0, "ETH", 9), put("20250302", 1, "BTC", 1), put("20250302", 1, "ETH")
+    states = lambda: {r.state: r["count"] for r in archive.mirror(wanted, f"file://{source}", f"file://{cache}").groupBy("state").count().collect()}
+    assert states() == {"copied": 3, "empty": 1, "missing": 92}
+    put("20250302", 1, "ETH", 11)
+    assert states() == {"cached": 3, "copied": 1, "missing": 92}
+    lines = archive.collected(spark, str(cache), wanted)
+    assert sorted((r.symbol, r.day, r.hour, r.data_type) for r in lines.collect()) == [("ETH", "20250301", 3, "trades")] * 2 + [("ETH", "20250302", 0, "trades"), ("ETH", "20250302", 1, "trades"), ("SOL", "20250301", 23, "trades")]
+    assert [(r.symbol, r.t_ms) for r in frames.archive_trades(lines).orderBy("t_ms").collect()] == [("ETH", 4), ("ETH", 5), ("SOL", 7), ("ETH", 9), ("ETH", 11)]
+    assert [d.rpartition("/")[2] for d in archive.days(spark, str(cache / "market_data"))] == ["20250301", "20250302"]

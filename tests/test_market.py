@@ -427,5 +427,16 @@ def test_scalars(spark):
     assert scalars.timeframe_ms("5m") == 300_000 and scalars.timeframe_ms("1d") == 86_400_000
     with pytest.raises(Exception, match="not a side"):
         df.select(scalars.side(F.col("side"), strict=True)).collect()
+    assert abs(scalars.ema_alpha(1) - 0.5) < 1e-12 and abs((1 - scalars.ema_alpha(300)) ** 300 - 0.5) < 1e-12
+    assert [scalars.backoff_bound(k) for k in (0, 3, 9)] == [1.0, 8.0, 60.0]
+    plain = spark.createDataFrame([("1.50",), ("+.5",), ("1e2",), ("1.5e-3",), (" 007 ",), ("5.",), ("-2.0",)], "t string").select(scalars.plain(scalars.exact("t"), F.col("t"))).collect()
+    assert [r[0] for r in plain] == ["1.50", "0.5", "100", "0.0015", "7", "5", "-2.0"]
     texts = spark.createDataFrame([('{"a":null,"b":"2"}',), ('{"b":"2"}',), ('{"c":{"b":1}}',), ("x",)], "j string")
     assert [r[0] for r in texts.select(scalars.first_path(F.col("j"), "$.a", "$.b", "$.c.b")).collect()] == [None, "2", "1", None]
+
+
+def test_report_of_a_few_rows():
+    from pyspark.sql import Row
+
+    text = backtest.report([Row(symbol="X", cagr=float("nan"), total_return=0.25, num_trades=3)])
+    assert [x.strip() for x in text.splitlines()] == ["symbol: X", "cagr: n/a", "total_return: 0.2500", "num_trades: 3"]

@@ -184,6 +184,18 @@ def recovered(gap: DataFrame, archive: DataFrame) -> DataFrame:
     return met.where(F.col("end_ms").isNotNull() & (F.col("t_ms") <= F.col("end_ms")) & good)
 
 
+def gap_states(gap: DataFrame, rows: DataFrame, as_of_ms: int, give_up_ms: int = 86_400_000) -> DataFrame:
+    """``gap`` (``symbol, start_ms, end_ms``) with ``n`` of the ``rows`` ``recovered`` for it, and its ``state``.
+
+    A gap is ``recovered`` with the first row; without one it is ``waiting``, as archives lag, until it has been over for
+    ``give_up_ms``: then it is ``lost``.
+    """
+    own = rows.groupBy("symbol", "start_ms").agg(F.count("*").alias("n"))
+    told = gap.select("symbol", "start_ms", "end_ms").join(own, ["symbol", "start_ms"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    late = F.lit(as_of_ms) - F.col("end_ms") > give_up_ms
+    return told.select("symbol", "start_ms", "end_ms", "n", F.when(F.col("n") > 0, "recovered").when(late, "lost").otherwise("waiting").alias("state"))
+
+
 def monitor(trades: DataFrame, rows: int = 100) -> DataFrame:
     """Range volatility in percent, volume and mean size over the last ``rows`` trades."""
     w = Window.partitionBy("symbol", "_b").orderBy("_pos").rowsBetween(-(rows - 1), 0)

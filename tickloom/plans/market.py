@@ -220,6 +220,17 @@ def gap_recovered(spark, d):
     return validate.recovered(gap, t.where("arrival % 4 <> 0")).select("symbol", "t_ms", "arrival", "price", "start_ms")
 
 
+@query("gap_states", f"""WITH {_TRADES}, a AS (SELECT * FROM trades WHERE arrival % 4 <> 0), live AS (SELECT * FROM trades WHERE arrival % 4 = 0),
+g AS (SELECT symbol, lag(t_ms) OVER (PARTITION BY symbol ORDER BY t_ms, arrival) AS start_ms, t_ms AS end_ms FROM live)
+SELECT g.symbol, start_ms, end_ms, count(a.symbol) AS n, CASE WHEN count(a.symbol) > 0 THEN 'recovered' WHEN 1706000000000 - end_ms > {10 * DAY} THEN 'lost' ELSE 'waiting' END AS state
+FROM g LEFT JOIN a ON a.symbol = g.symbol AND a.t_ms > start_ms AND a.t_ms <= end_ms WHERE end_ms - start_ms >= {2 * HOUR} GROUP BY 1, 2, 3""")
+def gap_states(spark, d):
+    """What became of the silences of a feed that got one trade in four, once the archive has been asked."""
+    t = views.trades(spark, d)
+    gap = validate.gaps(t.where("arrival % 4 = 0"), 2 * HOUR)
+    return validate.gap_states(gap, validate.recovered(gap, t.where("arrival % 4 <> 0")), 1706000000000, 10 * DAY)
+
+
 @query("monitor", f"""WITH {_TRADES}, m AS (SELECT symbol, t_ms, arrival, (max(price) OVER w - min(price) OVER w) AS r, min(price) OVER w AS low, sum(size) OVER w AS volume, avg(size) OVER w AS mean_size FROM trades WINDOW w AS (PARTITION BY symbol ORDER BY arrival ROWS 99 PRECEDING))
 SELECT symbol, t_ms, arrival, volume, floor(mean_size * 1e6 + 0.37) / 1e6 AS mean_size, floor((CASE WHEN low = 0 THEN 0.0 ELSE r / low END * 100) * 1e6 + 0.37) / 1e6 AS range_pct FROM m""")
 def monitor(spark, d):

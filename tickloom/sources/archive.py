@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,4 +84,45 @@ def days(spark: SparkSession, root: str) -> list[str]:
 
 def lz4_lines(spark: SparkSession, path: str) -> DataFrame:
     """``file, ordinal, raw`` of LZ4-frame text files, which Spark's own text reader does not know; see ``lz4``."""
-    return lz4.lines(spark, path)
+    return lz4.lines(lz4.files(spark, path))
+
+
+def collected(spark: SparkSession, root: str, wanted: DataFrame) -> DataFrame:
+    """``symbol, day, hour, data_type, file, ordinal, raw`` of the lines of all ``wanted`` files (of ``requests``) under ``root``.
+
+    Files that are missing or empty have no lines.  Only requested files are opened, each by as many tasks as it has runs.
+    """
+    where = root.rstrip("/") + "/"
+    listed = lz4.files(spark, root).withColumn("_p", F.expr(f"substring(path, instr(path, '{where}') + {len(where)})"))
+    found = listed.join(wanted.withColumnRenamed("path", "_p"), "_p").drop("_p")
+    return lz4.lines(found.select("path").distinct()).join(found.withColumnRenamed("path", "file"), "file").select("symbol", "day", "hour", "data_type", "file", "ordinal", "raw")
+
+
+def mirror(wanted: DataFrame, source: str, cache: str) -> DataFrame:
+    """``path, state`` of each distinct ``wanted`` path, after what the ``cache`` lacks has been copied from ``source``, by many tasks.
+
+    What the cache has is not asked for again (``cached``), unless it is empty.  Empty files are not kept (``empty``), so that they
+    are asked for again; ``missing`` ones have not been published yet.  A copy is written beside its place and moved there whole, so a task that
+    is run twice does no harm.
+    """
+    states = {True: "copied", False: "empty", None: "missing"}
+
+    def run(batches):
+        for batch in batches:
+            told = []
+            for path in batch.column("path").to_pylist():
+                to, at = pa.fs.FileSystem.from_uri(f"{cache.rstrip('/')}/{path}")
+                if to.get_file_info(at).size:
+                    told.append("cached")
+                    continue
+                from_, name = pa.fs.FileSystem.from_uri(f"{source.rstrip('/')}/{path}")
+                size = from_.get_file_info(name).size
+                if size:
+                    to.create_dir(at.rpartition("/")[0], recursive=True)
+                    beside = f"{at}.{uuid.uuid4().hex}"
+                    pa.fs.copy_files(name, beside, source_filesystem=from_, destination_filesystem=to)
+                    to.move(beside, at)
+                told.append(states[None if size is None else size > 0])
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(told, pa.string())], ["path", "state"])
+
+    return wanted.select("path").distinct().mapInArrow(run, "path string, state string")

@@ -28,7 +28,7 @@ MAGIC, SKIPPABLE, END = 0x184D2204, range(0x184D2A50, 0x184D2A60), 0
 RUN_BYTES, READ_BYTES = 16 << 20, 4 << 20
 
 
-def _open(path: str):
+def opened(path: str):
     if path.startswith("file:"):
         return pa.OSFile(unquote(path.removeprefix("file:").replace("///", "/", 1)), "rb")
     system, name = pyarrow.fs.FileSystem.from_uri(path)
@@ -83,7 +83,7 @@ def _cut(batches: Iterator[pa.RecordBatch], run_bytes: int) -> Iterator[pa.Recor
     for batch in batches:
         for path in batch.column("path").to_pylist():
             runs, ends = [], []
-            with _open(path) as f:
+            with opened(path) as f:
                 size = f.size()
                 for start, stop, flg, bd, free in blocks(f, 0, None, size):
                     if not runs or (free and start - runs[-1][0] >= run_bytes):
@@ -148,7 +148,7 @@ def _rest(f, size: int, start: int, flags: tuple[int, int]) -> bytes:
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, run, start, flg, bd, stop, last_flg, last_bd in zip(*(c.to_pylist() for c in batch.columns)):
-            with _open(path) as f:
+            with opened(path) as f:
                 size, n, rest = f.size(), 0, b""
                 begun = run > 0  # the first line began before this run
                 for block in _decoded(f, size, start, stop, (flg, bd)):
@@ -174,13 +174,17 @@ def _numbered(path: str, run: int, n: int, lines: list[bytes]) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays([pa.array([path] * len(lines), pa.string()), pa.array(range(at, at + len(lines)), pa.int64()), pa.array([x.decode("utf-8", "replace") for x in lines], pa.string())], ["file", "ordinal", "raw"])
 
 
-def runs(spark: SparkSession, path: str, run_bytes: int = RUN_BYTES) -> DataFrame:
+def files(spark: SparkSession, path: str) -> DataFrame:
+    """``path`` of all files that are not empty, in folders of any depth."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).where("length > 0").select("path")
+
+
+def runs(listed: DataFrame, run_bytes: int = RUN_BYTES) -> DataFrame:
     """Where the runs of blocks of all files begin and stop, with the flags of their first and last frame."""
-    files = spark.read.format("binaryFile").load(path).where("length > 0").select("path")
-    return files.mapInArrow(partial(_cut, run_bytes=run_bytes), _RUN_DDL)
+    return listed.select("path").mapInArrow(partial(_cut, run_bytes=run_bytes), _RUN_DDL)
 
 
-def lines(spark: SparkSession, path: str, run_bytes: int = RUN_BYTES) -> DataFrame:
-    """``file, ordinal, raw`` of all lines; ordinals rise within a file, from 0 on by one within a run."""
-    dealt = runs(spark, path, run_bytes).repartition(F.col("path"), F.col("run"))
+def lines(listed: DataFrame, run_bytes: int = RUN_BYTES) -> DataFrame:
+    """``file, ordinal, raw`` of all lines of ``listed`` files; ordinals rise within a file, from 0 on by one within a run."""
+    dealt = runs(listed, run_bytes).repartition(F.col("path"), F.col("run"))
     return dealt.mapInArrow(_lines, "file string, ordinal long, raw string")

@@ -11,17 +11,19 @@ It needs the RocksDB state store: ``stateful(spark)`` sets it.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from decimal import Decimal, InvalidOperation
 from itertools import groupby
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery, StreamingQueryListener
 
 from ..operators.candles import ohlcv
-from ..sources.sinks import BatchSink, Sink
+from ..operators.validate import gap_states, recovered
+from ..sources.sinks import BatchSink, Sink, parquet_once
 
 TRADES = "symbol string, t_ms long, price double, size double, side string, tid long, arrival long"
 DIFFS = "coin string, arrival long, height long, pos long, oid long, side string, px string, kind string, sz string, new_sz string, orig_sz string"
@@ -241,6 +243,65 @@ def book_tops(diffs: DataFrame, blocks: DataFrame | None = None, coins: list[str
     return diffs.groupBy("coin").transformWithState(Books(), TOPS, "Append", "None")
 
 
+GAPS = "symbol string, start_ms long, end_ms long"
+
+
+class Silences(StatefulProcessor):
+    """The last time of a symbol, and the silences of at least ``least_ms`` between its frames."""
+
+    def __init__(self, least_ms: int) -> None:
+        self.least = least_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "t long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        last = self.last.get()[0] if self.last.exists() else None
+        for t in sorted(r.t_ms for r in rows):
+            if last is not None and t - last >= self.least:
+                yield Row(symbol=key[0], start_ms=last, end_ms=t)
+            last = t if last is None else max(last, t)
+        self.last.update((last,))
+
+    def close(self) -> None:
+        pass
+
+
+def silences(frames: DataFrame, least_ms: int) -> DataFrame:
+    """``symbol, start_ms, end_ms`` of silences, as they end; a frame that comes later than its successors opens none."""
+    return frames.select("symbol", "t_ms").groupBy("symbol").transformWithState(Silences(least_ms), GAPS, "Append", "None")
+
+
+def attempt(due: DataFrame, archive: DataFrame, sink: BatchSink, pending: str, number: int, as_of_ms: int) -> None:
+    """Store what ``archive`` has of the gaps ``due`` as batch ``number``, and keep those that wait in ``pending/batch=number``.
+
+    What is recovered goes to the sink only, not through operators that hold the present.
+    """
+    rows = recovered(due, archive).persist()
+    try:
+        sink(rows.select(*archive.columns).withColumn("backfilled", F.lit(True)), number)
+        parquet_once(pending)(gap_states(due, rows, as_of_ms).where("state = 'waiting'").select("symbol", "start_ms", "end_ms"), number)
+    finally:
+        rows.unpersist()
+
+
+def backfill(gaps: DataFrame, archive: Callable[[SparkSession], DataFrame], sink: BatchSink, pending: str, checkpoint: str, now: Callable[[], int]) -> StreamingQuery:
+    """Try to fill the gaps of a stream from the archive; each batch tries those that still wait once more.
+
+    The sink has to know a batch again, as ``parquet_once`` does.
+    """
+
+    def each(new: DataFrame, batch: int) -> None:
+        spark = new.sparkSession
+        try:
+            new = new.unionByName(spark.read.schema(GAPS).parquet(f"{pending}/batch={batch - 1}"))
+        except AnalysisException:  # the first batch
+            pass
+        attempt(new, archive(spark), sink, pending, batch, now())
+
+    return write_once(gaps, each, checkpoint)
+
+
 def write(stream: DataFrame, sink: Sink, checkpoint: str) -> StreamingQuery:
     """Run over what is there and stop; the checkpoint makes retries exact per batch."""
     return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(lambda df, _: sink(df)).start()
