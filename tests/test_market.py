@@ -283,7 +283,7 @@ def random_diffs(seed, blocks=400):
         for _ in range(rng.randint(1, 4)):
             oid, kind = rng.randint(1, 30), rng.choice(["new", "new", "update", "remove"])
             px = f"{rng.randint(90, 99) if oid % 2 else rng.randint(98, 107)}{rng.choice(['', '.0', '.00'])}"
-            yield h, oid, "B" if oid % 2 else "A", px, kind, rng.choice(sizes) if kind == "new" else None, rng.choice([*sizes, "0", "0.0"]) if kind == "update" else None, None
+            yield h, oid, "B" if oid % 2 else "A", px, kind, rng.choice([*sizes, "0"]) if kind == "new" else None, rng.choice([*sizes, "0", "0.0"]) if kind == "update" else None, None
 
 
 def test_l4_final_state_and_queue(spark):

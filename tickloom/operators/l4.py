@@ -225,30 +225,33 @@ def with_snapshot(snapshot: DataFrame, diffs: DataFrame, clock: str = "height")
 
 
 def sizes_over_time(diffs: DataFrame, clock: str = "height") -> DataFrame:
-    """``coin, oid, side, px, key, size``, ``clock``, ``pos, end``: each size an order has had, until the next change.
+    """``coin, oid, side, px, key, size``, ``clock``, ``pos, placed, end, end_pos``: each size an order has had, until the next change.
 
-    ``end`` is the ``clock`` of the change, null for what still stands.  Orders are sorted once.
+    ``placed`` rows are those of a ``new``.  ``end`` is the ``clock`` of the change, null for what still stands.  Orders are sorted once.
     """
     new, update, ends = _rules()
     w = Window.partitionBy("coin", "oid").orderBy(clock, "pos")
     past = w.rowsBetween(Window.unboundedPreceding, -1)
-    size = F.when(new, exact("sz")).when(ends, F.lit(0).cast(DECIMAL)).when(update, exact("new_sz"))
-    rows = diffs.select("coin", "oid", clock, "pos", F.when(new, F.struct("side", F.col("px").cast("string").alias("px"), exact("px").alias("key"))).alias("of"), size.alias("size"), F.when(new, 1).when(ends, 0).alias("turn")).where("size is not null")
+    size = F.when(new, exact("sz")).when(update, exact("new_sz"))
+    rows = diffs.select("coin", "oid", clock, "pos", F.when(new, F.struct("side", F.col("px").cast("string").alias("px"), exact("px").alias("key"))).alias("of"), size.alias("size"), F.when(new, 1).when(ends, 0).alias("turn"), (new | update | ends).alias("_counts"))
     # an update or end counts only while the order is there
-    rows = rows.withColumns({"alive": F.coalesce(F.last("turn", ignorenulls=True).over(past), F.lit(0)), "of": F.coalesce("of", F.last("of", ignorenulls=True).over(past))}).where("coalesce(turn, 0) = 1 or alive = 1")
-    return rows.select("coin", "oid", "of.side", "of.px", "of.key", "size", clock, "pos", F.lead(clock).over(w).alias("end"))
+    rows = rows.where("_counts").withColumns({"alive": F.coalesce(F.last("turn", ignorenulls=True).over(past), F.lit(0)), "of": F.coalesce("of", F.last("of", ignorenulls=True).over(past))}).where("coalesce(turn, 0) = 1 or alive = 1")
+    after = {"end": F.lead(clock).over(w), "end_pos": F.lead("pos").over(w)}
+    return rows.withColumns(after).where("coalesce(turn, 1) = 1").select("coin", "oid", "of.side", "of.px", "of.key", "size", clock, "pos", (F.coalesce("turn", F.lit(0)) == 1).alias("placed"), *after)
 
 
 def level_spans(diffs: DataFrame, clock: str = "height") -> DataFrame:
     """``coin, side, key, px, size``, ``clock``, ``end``: what stands at a level from a block on, until before ``end`` (null: still)."""
-    each = sizes_over_time(diffs, clock).where("size > 0")
-    moves = each.select(*LEVEL, clock, "size", F.lit(1).alias("orders"), F.lit(None).cast("string").alias("px"), F.lit(None).cast("long").alias("pos"))
-    moves = moves.unionByName(each.where("end is not null").select(*LEVEL, F.col("end").alias(clock), (-F.col("size")).alias("size"), F.lit(-1).alias("orders")), allowMissingColumns=True)
-    moves = moves.unionByName(level_texts(diffs, clock).select(*LEVEL, clock, F.lit(0).cast(DECIMAL).alias("size"), F.lit(0).alias("orders"), "px", "pos"))
-    moves = moves.groupBy(*LEVEL, clock).agg(F.sum("size").cast(DECIMAL).alias("size"), F.sum("orders").alias("orders"), F.max_by("px", "pos").alias("px"))
+    each = sizes_over_time(diffs, clock)
+    moves = each.select(*LEVEL, clock, "pos", "size", F.lit(1).alias("orders"), F.when(F.col("placed"), F.col("px")).alias("px"))
+    moves = moves.unionByName(each.where("end is not null").select(*LEVEL, F.col("end").alias(clock), F.col("end_pos").alias("pos"), (-F.col("size")).alias("size"), F.lit(-1).alias("orders")), allowMissingColumns=True)
+    # the order that meets a level empty names it; at one moment what goes goes first
+    before = F.sum("orders").over(Window.partitionBy(*LEVEL).orderBy(clock, "pos", "orders").rowsBetween(Window.unboundedPreceding, -1))
+    named = moves.withColumn("px", F.when(F.coalesce(before, F.lit(0)) == 0, F.col("px")))
+    told = named.groupBy(*LEVEL, clock).agg(F.sum("size").cast(DECIMAL).alias("size"), F.sum("orders").alias("orders"), F.max(F.when(F.col("px").isNotNull(), F.struct("pos", "px"))).alias("n"))
     w = Window.partitionBy(*LEVEL).orderBy(clock)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    told = moves.select(*LEVEL, F.last("px", ignorenulls=True).over(upto).alias("px"), F.sum("size").over(upto).cast("double").alias("size"), F.sum("orders").over(upto).alias("orders"), clock, F.lead(clock).over(w).alias("end"))
+    told = told.select(*LEVEL, F.last("n.px", ignorenulls=True).over(upto).alias("px"), F.sum("size").over(upto).cast("double").alias("size"), F.sum("orders").over(upto).alias("orders"), clock, F.lead(clock).over(w).alias("end"))
     return told.where("orders > 0").drop("orders")
 
 
