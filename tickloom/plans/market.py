@@ -122,6 +122,15 @@ def book_metrics(spark, d):
     return rounded(book.metrics(views.books(spark, d)), *_METRICS)
 
 
+@query("book_levels_read", f"WITH {_LEVELS} SELECT symbol, t_ms, arrival, count(*) FILTER (WHERE (arrival + i) % 13 <> 0) AS bid_levels, count(*) FILTER (WHERE (arrival + i) % 13 = 0) AS skipped, {_r('max(CASE WHEN (arrival + i) % 13 <> 0 THEN bp END)').replace('AS max(CASE WHEN (arrival + i) % 13 <> 0 THEN bp END)', 'AS best_bid')} FROM lv GROUP BY 1, 2, 3")
+def book_levels_read(spark, d):
+    """Levels of texts, some of which are no numbers: those are passed over and counted."""
+    text = F.transform("bids", lambda x, i: F.struct(F.when((F.col("arrival") + i) % 13 == 0, "none").otherwise(x["px"].cast("string")).alias("px"), x["sz"].cast("string").alias("sz")))
+    good, skipped = book.parse_levels(text)
+    read = views.books(spark, d).select("symbol", "t_ms", "arrival", good.alias("bids"), skipped.cast("long").alias("skipped"))
+    return rounded(read.select("symbol", "t_ms", "arrival", F.size("bids").cast("long").alias("bid_levels"), "skipped", F.get("bids", F.lit(0))["px"].alias("best_bid")), "best_bid")
+
+
 @query("book_sanitized", f"""WITH {_LEVELS} SELECT symbol, t_ms, arrival, CAST(count(*) FILTER (WHERE bp > 0 AND round(bp, 8) > 0) AS BIGINT) AS bid_levels, {_r('max(round(bp, 8))').replace('AS max(round(bp, 8))', 'AS best_bid')}
 FROM lv WHERE NOT bare GROUP BY symbol, t_ms, arrival HAVING max(CASE WHEN i = 0 THEN bp END) > 0 AND max(CASE WHEN i = 0 THEN round(bp, 8) END) < min(CASE WHEN ap > 0 THEN round(ap, 8) END)""")
 def book_sanitized(spark, d):
@@ -567,6 +576,15 @@ def book_staleness(spark, d):
     return blocks.staleness(feed.groupBy("coin", "arrival").agg(F.count("*").alias("n_diffs")), epochs, calendar)
 
 
+@query("l4_every_block", f"""WITH {_FEED}, k AS (SELECT coin, arrival FROM bl, (SELECT unnest(['A', 'N', 'R']) AS coin)), n AS (SELECT coin, arrival, count(*) AS n_diffs FROM fed GROUP BY 1, 2)
+SELECT coin, arrival, coalesce(n_diffs, 0) AS n_diffs, coalesce(gaps > 0, false) AS stale FROM k LEFT JOIN n USING (coin, arrival) LEFT JOIN st USING (coin, arrival)""")
+def l4_every_block(spark, d):
+    """Each block fires for each coin that is followed, with how many diffs it has of it."""
+    calendar = blocks.calendar(views.blocks(spark, d))
+    tops = l4.block_tops(views.feed(spark, d), blocks.seen(calendar, ["A", "N", "R"]), calendar, views.loads(spark, d), "arrival")
+    return tops.select("coin", "arrival", "n_diffs", "stale")
+
+
 @query("feed_stats", f"WITH {_FEED}, g AS (SELECT coin, arg_max(gaps, arrival) AS n FROM st GROUP BY 1), late AS (SELECT coin, oid, faded AND oid % 5 = 0 AND (height + 1) % 501 <> 0 AND (height + 2) % 501 <> 0 AND height % 501 <> 0 AS ghost, faded AND (height + 1) % 501 <> 0 AND height % 501 <> 0 AS nil, oid % 3 = 0 AND (height + 1) % 501 <> 0 AND height % 501 = 0 AS lost_u, oid % 5 = 0 AND (height + 2) % 501 <> 0 AND height % 501 = 0 AS lost_r FROM base) SELECT (SELECT count(*) FROM bl) AS blocks, (SELECT count(*) FROM fed) AS diffs, CAST(0 AS BIGINT) AS parse_skips, CAST((SELECT sum(n) FROM g) + (SELECT sum(ghost::INT + nil::INT + lost_u::INT + lost_r::INT) FROM late) AS BIGINT) AS anomalies_total, (SELECT string_agg(coin, ',' ORDER BY coin) FROM g WHERE n > 0) AS stale_coins")
 def feed_stats(spark, d):
     feed = views.feed(spark, d).withColumn("reason", F.lit(None).cast("string"))
