@@ -75,8 +75,8 @@ class Trailing(StatefulProcessor):
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         rows = sorted(rows, key=lambda r: r.arrival)
         newest = self.newest.get()[0] if self.newest.exists() else 0
-        low = min(min(r.t_ms for r in rows), newest) // self.width - 2
-        held = {k: self.spans.getValue((k,)) for k in range(low, newest // self.width + 1) if self.spans.exists() and self.spans.containsKey((k,))} if newest else {}
+        kept = range((newest - 2 * self.width) // self.width, newest // self.width + 1)
+        held = {k: self.spans.getValue((k,)) for k in kept if self.spans.containsKey((k,))} if self.spans.exists() else {}
         old = sorted(x for v in held.values() for x in zip(*v))
         arrival, t, p, s = (np.array(c) for c in zip(*old, *((r.arrival, r.t_ms, r.price, r.size) for r in rows)))
         n, first = len(old), 0
