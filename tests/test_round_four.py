@@ -4,6 +4,8 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from tickloom.functions.scalars import round6
+from tickloom.operators import book
 from tickloom.sources import views
 
 
@@ -23,3 +25,15 @@ def test_spreads_of_quotes_and_levels_are_the_nearest_doubles(spark, tmp_path):
     for b, q in zip(views.books(spark, d).orderBy("arrival").collect(), views.quotes(spark, d).orderBy("arrival").collect()):
         assert [x.px for x in b.bids] == [q.bid_px - s for s in steps]
         assert [x.px for x in b.asks] == ([] if b.arrival % 89 == 0 else [q.ask_px - (b.arrival % 97 == 0) + s for s in steps])
+
+
+def test_six_places_of_any_double(spark):
+    given = [1.2345678, -1.2345678, 0.0, 1.5e15, -1.4411518807585586e20, 9.3e12, None]
+    got = [r[0] for r in spark.createDataFrame([(i, x) for i, x in enumerate(given)], "i int, x double").orderBy("i").select(round6(F.col("x"))).collect()]
+    assert got == [1.234568, -1.234568, 0.0, *[(x * 1e6 + 0.37) / 1e6 for x in given[3:5]], 9.3e12, None]
+
+
+def test_metrics_of_a_book_whose_mid_is_next_to_nothing(spark):
+    level = "array<struct<px:double,sz:double>>"
+    b = spark.createDataFrame([("x", 0, 0, [(0.4, 1.0)], [(0.4 + 0.2 - 1.0, 2.0)])], f"symbol string, t_ms long, arrival long, bids {level}, asks {level}")
+    assert book.metrics(b).select(round6(F.col("spread_bps"))).first()[0] < -1e20
