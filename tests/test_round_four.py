@@ -1,12 +1,14 @@
 """Results on larger tables: what ties, dense windows and long histories must not change."""
 
+import json
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import round6
 from tickloom.operators import book
-from tickloom.sources import views
+from tickloom.plans import market
+from tickloom.sources import diffs, views
 
 
 def events(spark, folder, rows):
@@ -37,3 +39,43 @@ def test_metrics_of_a_book_whose_mid_is_next_to_nothing(spark):
     level = "array<struct<px:double,sz:double>>"
     b = spark.createDataFrame([("x", 0, 0, [(0.4, 1.0)], [(0.4 + 0.2 - 1.0, 2.0)])], f"symbol string, t_ms long, arrival long, bids {level}, asks {level}")
     assert book.metrics(b).select(round6(F.col("spread_bps"))).first()[0] < -1e20
+
+
+def test_a_snapshot_in_parts_is_the_whole_one(spark):
+    order = lambda oid, side: {"oid": oid, "side": side, "limit_px": "1", "sz": "2"}
+    whole = {"coin": "X", "height": 5, "bids": [order(i, "B") for i in range(7)], "asks": [order(i, "A") for i in range(10, 15)]}
+    cut = [(0, 3, 0, 1), (3, 3, 1, 4), (3, 7, 4, 5)]
+    parts = [{"coin": "X", "height": 5, "part": 10 * k, "bids": whole["bids"][a:b], "asks": whole["asks"][c:e]} for k, (a, b, c, e) in enumerate(cut)]
+    raw = lambda lines: spark.createDataFrame([(json.dumps(x),) for x in lines], "raw string")
+    read = lambda frame: sorted(map(tuple, frame.collect()))
+    assert read(diffs.snapshots(raw(parts[::-1]), parts=True)) == read(diffs.snapshots(raw([whole])))
+
+
+def items(spark, folder, orders):
+    rows = [(o, o * 7 + n, n, float(1 + (o + n) % 9), "ANR"[(o + n) % 3], "OF"[n % 2]) for o in range(orders) for n in range(1, 5)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string").write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+def test_snapshot_lines_do_not_grow_with_the_book(spark, tmp_path, monkeypatch):
+    d, seen = items(spark, tmp_path, 20_000), []
+    whole = diffs.snapshots
+    monkeypatch.setattr(diffs, "snapshots", lambda frame, *a, **k: seen.append(frame) or whole(frame, *a, **k))
+    market.QUERIES["l4_snapshots"](spark, d)
+    lines = seen[0].select(F.get_json_object("raw", "$.coin").alias("coin"), F.size(F.split("raw", "limit_px")).alias("n"))
+    most, n = lines.agg(F.max("n"), F.count("*")).first()
+    assert n > 3 and most <= 32_768 // 2 + 1  # of eight ids four are taken
+
+
+def test_views_read_line_items_once(spark, tmp_path):
+    d = items(spark, tmp_path, 30)
+    got = {(r.oid, r.kind): (r.height, r.pos, r.sz, r.new_sz, r.orig_sz) for r in views.diffs(spark, d).collect()}
+    oids = [8 * o + n for o in range(30) for n in range(1, 5)]
+    assert set(got) == {(i, "new") for i in oids} | {(i, "update") for i in oids if i % 3 == 0} | {(i, "remove") for i in oids if i % 5 == 0}
+    for (oid, kind), (height, pos, sz, new_sz, orig_sz) in got.items():
+        later = {"new": 0, "update": 1, "remove": 2}[kind]
+        assert (height, pos) == (oid // 8 + later, oid % 8 + 8 * later)
+        assert (sz is not None, new_sz is not None, orig_sz is not None) == (kind == "new", kind == "update", kind == "update")
+    assert views.diffs(spark, d)._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    heights = {h for h, *_ in got.values()}
+    assert {r.height for r in views.blocks(spark, d).collect()} == {h for h in heights if h % 501}
