@@ -6,7 +6,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import round6
-from tickloom.operators import book
+from tickloom.operators import book, l4
 from tickloom.plans import market
 from tickloom.sources import diffs, views
 
@@ -79,3 +79,11 @@ def test_views_read_line_items_once(spark, tmp_path):
     assert views.diffs(spark, d)._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
     heights = {h for h, *_ in got.values()}
     assert {r.height for r in views.blocks(spark, d).collect()} == {h for h in heights if h % 501}
+
+
+def test_a_replay_from_a_snapshot_does_not_deal_diffs_by_coin(spark, tmp_path):
+    d = items(spark, tmp_path, 30)
+    diffs_ = views.diffs(spark, d)
+    snapshot = diffs_.where("kind = 'new'").select("coin", "height", F.col("pos").alias("ordinal"), "oid", "side", "px", "sz").where("height < 9")
+    plan = l4.with_snapshot(snapshot, diffs_)._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan
