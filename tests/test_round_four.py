@@ -107,3 +107,10 @@ def test_trailing_candles_join_no_trade_with_its_window(spark):
     t = spark.createDataFrame([("A", 1, 1, 1.0, 1.0)], "symbol string, t_ms long, arrival long, price double, size double")
     plan = candles.trailing(t, 60)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "specifiedwindowframe(RangeFrame, -60" not in plan
+
+
+def test_tops_of_a_history_with_a_long_silence(spark):
+    rows = [("X", 1 << 30 if i == 9 else 3 * i, 0, i, "B", str(90 + i % 4), "new", "1", None) for i in range(10)]
+    d = spark.createDataFrame(rows, "coin string, height long, pos long, oid long, side string, px string, kind string, sz string, new_sz string")
+    tops = l4.block_tops(d)
+    assert [r.bid_px for r in tops.orderBy("height").collect()] == ["90", "91", "92", *["93"] * 7]
