@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import basis_bps, number
+from ..functions.scalars import basis_bps, number, once
 
 LEVEL = "struct<px:string,sz:string,n:int>"
 
@@ -27,8 +27,9 @@ def channel(frames: DataFrame) -> DataFrame:
 
 def _data(frames: DataFrame, name: str, schema: str) -> DataFrame:
     """Frames of a channel with their ``data`` as ``_d``, parsed once; only texts that have the channel's name are."""
-    own = frames.where(F.contains("raw", F.lit(f'"{name}"'))).withColumn("_f", F.from_json("raw", f"channel string, data {schema}"))
-    return own.where(F.col("_f.channel") == name).withColumn("_d", F.col("_f.data"))
+    rest = [c for c in frames.columns if c != "raw"]
+    parsed = F.when(F.contains("raw", F.lit(f'"{name}"')), F.from_json("raw", f"channel string, data {schema}"))
+    return once(frames, rest, F.struct("raw", parsed.alias("_f"))).where(F.col("_f.channel") == name).withColumn("_d", F.col("_f.data"))
 
 
 def _rest(frames: DataFrame) -> list[Column]:
