@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from tickloom.operators import l4
 from tickloom.plans import market
 from tickloom.sources import diffs, views
 
@@ -67,3 +68,11 @@ def test_frames_are_written_and_parsed_once_by_all_cores(spark):
     told = plan(market.QUERIES["frames_books"](spark, "/root/testdata/sf0.001"))
     assert told.count("from_json(") == 1 and told.count("to_json(") + told.count("StructsToJsonEvaluator") == 1
     assert "RepartitionByExpression" in told
+
+
+def test_orders_are_dealt_out_before_they_are_ordered(spark):
+    rows = [("X", 1, 0, 1, "B", "5.0", "new", "1", None), ("X", 2, 0, 1, "B", "5.0", "remove", None, None), ("X", 3, 0, 2, "B", "5.0", "new", "1", None), ("X", 4, 0, 3, "B", "5", "new", "1", None),
+            ("X", 5, 0, 2, "B", "5.0", "remove", None, None), ("X", 6, 0, 3, "B", "5", "remove", None, None), ("X", 6, 1, 4, "B", "5.00", "new", "2", None)]
+    d = spark.createDataFrame(rows, "coin string, height long, pos long, oid long, side string, px string, kind string, sz string, new_sz string")
+    assert "RepartitionByExpression" in plan(l4.final_orders(d)) and "Aggregate" not in plan(l4.level_texts(d))
+    assert sorted((r.height, r.px) for r in l4.level_texts(d).collect()) == [(1, "5.0"), (6, "5.00")]
