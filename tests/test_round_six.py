@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tickloom.operators import blocks
+from tickloom.operators import blocks, l4
 
 ROW = "coin string, arrival long, height long, pos long, oid long, side string, px string, kind string, sz string, new_sz string, orig_sz string, reason string"
 
@@ -42,3 +42,7 @@ def test_a_calendar_goes_on_over_empty_buckets(spark):
     rows = [(0, 5), (1, 6), (9, 7), (40, 9), (41, 10), (95, 11), (96, 11)]
     got = blocks.calendar(spark.createDataFrame(rows, "arrival long, height long"), span=8).orderBy("arrival").collect()
     assert [(r.expected, r.broken, r.breaks) for r in got] == [(None, False, 0), (6, False, 0), (7, False, 0), (8, True, 1), (10, False, 1), (11, False, 1), (12, True, 2)]
+
+
+def test_diffs_are_checked_in_as_many_parts_as_a_shuffle_has(spark):
+    assert l4.anomaly_rows(feed(spark)[0].drop("reason")).rdd.getNumPartitions() == 4
