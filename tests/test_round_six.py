@@ -46,3 +46,13 @@ def test_a_calendar_goes_on_over_empty_buckets(spark):
 
 def test_diffs_are_checked_in_as_many_parts_as_a_shuffle_has(spark):
     assert l4.anomaly_rows(feed(spark)[0].drop("reason")).rdd.getNumPartitions() == 4
+
+
+def test_integrity_reads_the_diffs_once(spark):
+    d, b = feed(spark)
+    d, seen = watched(spark, d.drop("reason"))
+    loads = spark.createDataFrame([("X", 70, 71)], "coin string, arrival long, height long")
+    got = l4.integrity(d, blocks.calendar(b), loads).collect()
+    assert seen.value == 445, got
+    # unknown removals, and the gaps since a book began or was loaded
+    assert {r.coin: (r.orders + r.size / 2, r.anomalies) for r in got} == {"X": (150.0, 28), "Y": (152.0, 29), "Z": (152.0, 29)}
