@@ -56,3 +56,10 @@ def test_integrity_reads_the_diffs_once(spark):
     assert seen.value == 445, got
     # unknown removals, and the gaps since a book began or was loaded
     assert {r.coin: (r.orders + r.size / 2, r.anomalies) for r in got} == {"X": (150.0, 28), "Y": (152.0, 29), "Z": (152.0, 29)}
+
+
+def test_feed_statistics_read_the_events_once_and_the_skips_once(spark):
+    d, b = feed(spark)
+    d, seen = watched(spark, d.withColumn("reason", F.when(F.col("oid") == 7, "bad side")))
+    told = l4.feed_stats(d, b).first()
+    assert seen.value <= 2 * 445 and told.diffs == 444 and told.parse_skips == 1 and told.stale_coins == ["X", "Y", "Z"]
