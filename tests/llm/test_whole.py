@@ -134,3 +134,27 @@ def test_no_link_is_lost_beside_others_that_hold_nearly_all_of_a_passage(spark):
         for a, b in pairs:
             top[a] = top[b] = min(top[a], top[b])
     assert len(top) > 20 and {i: c for i, c in of.items() if i >= 100_000} == top
+
+
+def test_crowds_compare_stretches_with_words_inserted(spark):
+    """Eight pairs of a passage and its copy with three words inserted, of which all shingles are also in others that are no near copies."""
+    rng = np.random.default_rng(8)
+    fresh = lambda n: [f"u{v}" for v in rng.integers(0, 1 << 40, n)]
+    rows = []
+    for p in range(8):
+        common = [f"c{p}_{k}" for k in range(150)]
+        text = lambda *parts: " ".join(w for part in (fresh(30), *parts, fresh(30)) for w in part)
+        places = [*range(5, 43), *range(62, 100)] * 2
+        rows += [(10_000 + 1000 * p + k, text(common[a : a + 46])) for k, a in enumerate(places)]
+        rows += [(2 * p, text(common[50:75], fresh(3), common[75:100])), (2 * p + 1, text(common[50:100]))]
+    got = passages.near_passages(docs(spark, rows)).collect()
+    assert {(r.doc_id, r.partner_id, r.class_id) for r in got} == {t for p in range(0, 16, 2) for t in ((p, p + 1, p), (p + 1, p, p))}
+
+
+def test_different_shingles_of_stretches_are_counted():
+    for seed in range(20):
+        rng = np.random.default_rng(seed)
+        token = rng.integers(0, 9 + 3 * seed, 60 + seed).astype(np.uint64)
+        own = token < 4 + seed
+        got = passages._different(token, own, 46)
+        assert got.tolist() == [len(set(token[i : i + 46][own[i : i + 46]].tolist())) for i in range(len(token) - 45)]
