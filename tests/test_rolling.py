@@ -36,3 +36,16 @@ def test_rolling_signal_folds_over_every_quote(spark):
     assert set(got) == set(want)  # a symbol's first quote has no flow
     worst = max(abs(got[k] - want[k]) for k in got)
     assert worst < 1e-9, f"off by {worst}"
+
+
+def test_rolling_signal_sums_no_window_row_by_row(spark):
+    """A window that holds all 3000 quotes, and one that holds two: the work is the same, and so is the sum."""
+    rng = np.random.default_rng(5)
+    own = [(1_700_000_000_000 + 7 * (k // 3), 100.0 + int(rng.integers(0, 4)), float(rng.integers(1, 9)), 105.0 + int(rng.integers(0, 4)), float(rng.integers(1, 9))) for k in range(3000)]
+    quotes = spark.createDataFrame([("A", r[0], k, *r[1:]) for k, r in enumerate(own)], "symbol string, t_ms long, arrival long, bid_px double, bid_sz double, ask_px double, ask_sz double")
+    for width in (1_000_000, 7):
+        told = ofi.rolling_signal(quotes, window_ms=width, halflife=30)
+        assert "RangeFrame" not in told._jdf.queryExecution().toString()
+        got = {r.arrival: r.signal for r in told.collect()}
+        want = dict(enumerate(folded(own, width, 30), 1))
+        assert set(got) == set(want) and max(abs(got[k] - want[k]) for k in got) < 1e-9

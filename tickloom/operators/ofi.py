@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .asof import BUCKET_MS, asof, haloed, numbered, seeded
+from .asof import BUCKET_MS, asof, numbered, seeded
 
 
 def contributions(quotes: DataFrame, *keep: str) -> DataFrame:
@@ -110,6 +110,25 @@ def analyze(quotes: DataFrame, widths_ms: list[int], horizons_ms: list[int]) ->
     return out
 
 
+def _trailing(flow: DataFrame, width_ms: int) -> DataFrame:
+    """``flow`` (``symbol, t_ms, arrival, e`` and more) with ``ofi``, the sum of ``e`` over ``[t - width, t]`` as far as it has arrived.
+
+    Time is cut into stretches of one width, so a window is the end of one stretch and the beginning of the next: two
+    running sums, whatever a window holds, and nothing is taken off again.
+    """
+    upto = Window.rowsBetween(Window.unboundedPreceding, 0)
+    placed = flow.withColumn("_b", F.floor(F.col("t_ms") / width_ms))
+    begun = placed.withColumn("_own", F.sum("e").over(upto.partitionBy("symbol", "_b").orderBy("t_ms", "arrival")))
+    kept = F.struct("_own", *[c for c in flow.columns if c != "symbol"])
+    # each quote is a row of its stretch, and asks what the stretch before holds from its own place on
+    at = lambda b, t, e, of: F.struct((F.col("_b") - b).alias("_b"), (F.col("t_ms") - t).alias("_t"), e.alias("_e"), of.alias("_of"))
+    asked = at(1, width_ms, F.lit(0.0), kept)
+    both = begun.select("symbol", F.inline(F.array(at(0, 0, F.col("e").cast("double"), F.when(F.lit(False), kept)), asked)))
+    back = F.sum("_e").over(upto.partitionBy("symbol", "_b").orderBy(F.desc("_t"), F.col("_of").isNotNull()))
+    told = both.withColumn("_before", back).where("_of is not null")
+    return told.select("symbol", "_of.*", (F.col("_before") + F.col("_of._own")).cast("double").alias("ofi")).drop("_own")
+
+
 def rolling_signal(quotes: DataFrame, window_ms: int = 1000, halflife: int = 300, warmup: int = 30) -> DataFrame:
     """Rolling OFI over ``[t - window, t]`` over a slow average of its size, within [-3, 3].
 
@@ -121,12 +140,8 @@ def rolling_signal(quotes: DataFrame, window_ms: int = 1000, halflife: int = 300
     alpha = 1 - 0.5 ** (1 / halflife)
     size = 200 * halflife
     own = numbered(quotes, ["symbol"], ["t_ms", "arrival"], BUCKET_MS)
-    dealt = haloed(contributions(own, "_pos"), window_ms)
-    earlier = F.sum("e").over(Window.partitionBy("symbol", "_b").orderBy("t_ms").rangeBetween(-window_ms, -1))
-    same = F.sum("e").over(Window.partitionBy("symbol", "_b", "t_ms").orderBy("arrival").rowsBetween(Window.unboundedPreceding, 0))
-    flow = dealt.withColumn("ofi", (F.coalesce(earlier, F.lit(0.0)) + same).cast("double")).where("not _halo")
     # the first quote has no flow
-    flow = flow.select("symbol", "t_ms", "arrival", "ofi", "_pos", F.floor((F.col("_pos") - 1) / size).alias("_c"))
+    flow = _trailing(contributions(own, "_pos"), window_ms).select("symbol", "t_ms", "arrival", "ofi", "_pos", F.floor((F.col("_pos") - 1) / size).alias("_c"))
     decay, k = F.lit(1 - alpha), F.pmod(F.col("_pos") - 1, F.lit(size))
     chunk = Window.partitionBy("symbol", "_c").orderBy("_pos")
     scaled = F.sum(F.abs("ofi") * F.pow(decay, -k)).over(chunk.rowsBetween(Window.unboundedPreceding, 0))
